@@ -49,14 +49,18 @@ def width_seconds(width: str) -> int:
 def bucket_start(c: Column | str, width: str) -> Column:
     """Start of the interval containing ``c`` (toStartOfInterval).
 
-    Fixed widths are aligned to the epoch, like the source engine, and keep
-    the input type.  One week starts on Monday, months, quarters and years on
-    their first day.
+    Fixed widths are aligned to the epoch, like the source engine; the
+    arithmetic is on microseconds since the epoch, so it needs no time zone
+    and, unlike ``window()``, can be used many times in one projection and
+    keeps NULLs.  One week starts on Monday, months, quarters and years on
+    their first day.  The result is TIMESTAMP_NTZ.
     """
     col = _col(c)
     n, unit = parse_width(width)
     if unit in _FIXED_UNITS:
-        return F.window(col, f"{n * _FIXED_UNITS[unit]} seconds").start
+        step = n * _FIXED_UNITS[unit] * 1_000_000
+        micros = F.timestamp_diff("MICROSECOND", epoch_ntz(), col)
+        return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, F.lit(step)), epoch_ntz())
     if n != 1:
         raise ValueError(f"only single calendar units are supported: {width!r}")
     return F.trunc(F.to_date(col), unit).cast("timestamp_ntz")

@@ -85,6 +85,7 @@ CANDLE = T.StructType(
 LOAD_SEQ_TYPE = T.StructType(
     [
         _field("load_ms", T.LongType()),
+        _field("file_ms", T.LongType()),
         _field("source", T.StringType()),
         _field("row", T.LongType()),
     ]
