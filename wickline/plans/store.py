@@ -45,25 +45,32 @@ def _months(values: Iterable[int | str]) -> list[int]:
     return sorted({int(v) for v in values})
 
 
-def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """SRT-1: range partition by (month, symbol, open_time) and sort inside.
+def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY) -> DataFrame:
+    """SRT-1: range partition by (month, *key) and sort inside.
 
     Range partitions keep each file to a narrow slice of keys, so parquet
     min/max statistics skip row groups for symbol and time predicates, and
     split a hot symbol over many files.  Without an explicit count AQE sizes
     the partitions from the data.
     """
-    cols = [MONTH, "symbol", "open_time"]
+    cols = [MONTH, *key]
     parts = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     return parts.sortWithinPartitions(*cols)
 
 
 @dataclass
 class CandleStore:
+    """Tables of one dataset.  ``columns`` is the loader's column list (the
+    last one is the load stamp), ``key`` the unique key and ``time_col`` the
+    column whose month partitions the tables; the defaults are the candle
+    table's."""
+
     spark: SparkSession
     root: str
     key: Sequence[str] = KEY
     partitions: int | None = None
+    columns: Sequence[str] = tuple(CANDLE_COLUMNS)
+    time_col: str = "open_time"
 
     # ------------------------------------------------------------ layout
     @property
@@ -83,7 +90,7 @@ class CandleStore:
         return self.spark.read.parquet(path)
 
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        writer = clustered(df, self.partitions).write.mode(mode).option("compression", "zstd")
+        writer = clustered(df, self.partitions, self.key).write.mode(mode).option("compression", "zstd")
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(MONTH).parquet(path)
@@ -120,8 +127,8 @@ class CandleStore:
                     F.monotonically_increasing_id().alias("row"),
                 ),
             )
-        stamped = stamp(df, CANDLE_COLUMNS, now=now, keep=(LOAD_SEQ,))
-        return stamped.withColumn(MONTH, month_key("open_time"))
+        stamped = stamp(df, self.columns, now=now, keep=(LOAD_SEQ,))
+        return stamped.withColumn(MONTH, month_key(self.time_col))
 
     def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
@@ -161,8 +168,8 @@ class CandleStore:
         rows = self.latest_rows(months)
         if rows is None:
             return None
-        view = latest_by_key(rows, (*self.key, MONTH), VERSION, LOAD_SEQ)
-        return view.select(*CANDLE_COLUMNS, MONTH)
+        view = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
+        return view.select(*self.columns, MONTH)
 
     # ------------------------------------------------------------ maintenance
     def compact(self, months: Iterable[int] | None = None) -> list[int]:
@@ -174,7 +181,7 @@ class CandleStore:
         if not wanted:
             return []
         rows = rows.filter(F.col(MONTH).isin(wanted))
-        deduped = latest_by_key(rows, (*self.key, MONTH), VERSION, LOAD_SEQ)
+        deduped = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
         self._replace_months(deduped, self.latest_path)
         return wanted
 
@@ -214,7 +221,7 @@ class CandleStore:
         if full_refresh or not fs.has_data(self.spark, path):
             out = rollup_last(rows.drop(MONTH), width).withColumn(MONTH, month_key("open_time"))
             (
-                clustered(out, self.partitions)
+                clustered(out, self.partitions, self.key)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .option("compression", "zstd")

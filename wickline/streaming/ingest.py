@@ -13,19 +13,21 @@ replayed rows.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import time
 import urllib.parse
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wickline.functions.convert import stamp, type_klines
-from wickline.functions.time import month_key
+from wickline.functions.time import epoch_ntz, month_key
 from wickline.operators.quality import SchemaError, assert_schema
 from wickline.plans.store import CandleStore
 from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ
@@ -84,9 +86,16 @@ def landing_file_stream(
     )
 
 
+def _norm_path(p: str) -> str:
+    """``_metadata.file_path`` is a URL-encoded URI, listings give plain paths."""
+    p = urllib.parse.unquote(p)
+    if p.startswith("file:"):
+        p = "/" + p[len("file:"):].lstrip("/")
+    return p
+
+
 def _same_file(a: str, b: str) -> bool:
-    norm = lambda p: urllib.parse.unquote(p).replace("file:///", "file:/")
-    return norm(a) == norm(b)
+    return _norm_path(a) == _norm_path(b)
 
 
 def _short(e: BaseException) -> str:
@@ -110,7 +119,6 @@ def load_files(
     paths: Sequence[str],
     store: CandleStore,
     now: dt.datetime | None = None,
-    columns: Sequence[str] = CANDLE_COLUMNS,
 ) -> LoadResult:
     """STR-4 + STR-5: load a small batch of landing files, isolating bad ones.
 
@@ -120,23 +128,43 @@ def load_files(
     stamped with one load time, and appended in one write per table.
     """
     load_ms = int(time.time() * 1000)
+    columns = list(store.columns)
     report: list[tuple[str, str, int, str | None]] = []
-    shapes: dict[str, list[str]] = {}
+    shapes: dict[tuple[bool, str], list[str]] = {}
+    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
     for path in paths:
         try:
-            schema = spark.read.parquet(path).schema
-            assert_schema(schema, columns, optional=("created_at",))
-            shapes.setdefault(schema.simpleString(), []).append(path)
+            nanos = False
+            try:
+                schema = spark.read.parquet(path).schema
+            except AnalysisException as e:
+                if "NANOS" not in str(e):
+                    raise
+                nanos = True
+                with _nanos_as_long(spark):
+                    schema = spark.read.parquet(path).schema
+            assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
+            shapes.setdefault((nanos, schema.simpleString()), []).append(path)
         except SchemaError as e:
             report.append((path, "failed", 0, _short(e)))
         except Exception as e:  # noqa: BLE001 - unreadable file: report it, keep going
             report.append((path, "failed", 0, _short(e)))
     good = [p for group in shapes.values() for p in group]
+    cached: list[DataFrame] = []
     if good:
         frames = []
-        for group in shapes.values():
-            raw = with_file_sequence(spark.read.parquet(*group), load_ms)
-            frames.append(type_klines(raw, keep=(LOAD_SEQ,)))
+        for (nanos, _), group in shapes.items():
+            if nanos:
+                with _nanos_as_long(spark):
+                    raw = with_file_sequence(spark.read.parquet(*group), load_ms)
+                    raw = _nanos_to_ntz(raw, time_cols)
+                    # materialise under the setting; the union below reads the cache
+                    raw = raw.persist()
+                    raw.count()
+                    cached.append(raw)
+            else:
+                raw = with_file_sequence(spark.read.parquet(*group), load_ms)
+            frames.append(_typed(raw, columns))
         batch = frames[0]
         for f in frames[1:]:
             batch = batch.unionByName(f)
@@ -149,6 +177,8 @@ def load_files(
             store.append(prepared, prepared=True)
         finally:
             prepared.unpersist()
+            for df in cached:
+                df.unpersist()
         for path in good:
             n = next((v for k, v in counts.items() if _same_file(k, path)), 0)
             report.append((path, "loaded", int(n), None))
@@ -157,13 +187,44 @@ def load_files(
     return LoadResult(report)
 
 
+@contextlib.contextmanager
+def _nanos_as_long(spark: SparkSession):
+    """Read INT64 nanosecond timestamps (which Spark rejects) as longs."""
+    key = "spark.sql.legacy.parquet.nanosAsLong"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _nanos_to_ntz(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Epoch-nanosecond longs of the known time columns -> NTZ UTC wall clock."""
+    out = df
+    for c in cols:
+        if c in df.columns and isinstance(df.schema[c].dataType, T.LongType):
+            out = out.withColumn(c, F.timestamp_add("MICROSECOND", F.floor(F.col(c) / 1000).cast("long"), epoch_ntz()))
+    return out
+
+
+def _typed(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Candle files are typed by name (both landing shapes); other tables are
+    taken as they are, in the configured column order."""
+    if list(columns) == CANDLE_COLUMNS:
+        return type_klines(raw, keep=(LOAD_SEQ,))
+    present = [c for c in columns[:-1]]
+    return raw.select(*present, LOAD_SEQ)
+
+
 def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetime | None = None) -> None:
     """Load a whole landing folder in one distributed scan (no per-file loop).
 
     Any unreadable file fails the whole job and nothing is appended.
     """
     raw = with_file_sequence(read_landing(spark, base), int(time.time() * 1000))
-    store.append(type_klines(raw, keep=(LOAD_SEQ,)), now=now)
+    assert_schema(raw.drop(LOAD_SEQ), store.columns, optional=(store.columns[-1],), check_types=list(store.columns) == CANDLE_COLUMNS)
+    store.append(_typed(raw, store.columns), now=now)
 
 
 def start_ingest(
