@@ -223,3 +223,17 @@ def test_continuous_ingest_stops_gracefully(spark, workdir):
 def test_batch_load_error_lists_failed_files():
     e = BatchLoadError([("a", "loaded", 3, None), ("b", "failed", 0, "x")])
     assert "['b']" in str(e)
+
+
+def test_bad_values_and_missing_columns_isolated(spark, workdir):
+    land = f"{workdir}/landing"
+    good = _write(f"{land}/a/good.parquet", _typed_table(F3_ROWS))
+    text = _typed_table(F3_ROWS).drop_columns(["created_at"])
+    text = text.set_column(2, "open_price", pa.array(["50000.0", "abc", "50200.0"]))
+    bad_value = _write(f"{land}/b/text_bad.parquet", text)
+    missing = _write(f"{land}/c/missing.parquet", _typed_table(F3_ROWS, "ETHUSD").drop_columns(["volume"]))
+    store = CandleStore(spark, f"{workdir}/tables")
+    result = load_files(spark, [good, bad_value, missing], store)
+    status = {os.path.basename(r[0]): r[1] for r in result.report}
+    assert status == {"good.parquet": "loaded", "text_bad.parquet": "failed", "missing.parquet": "failed"}
+    assert store.latest().count() == 3

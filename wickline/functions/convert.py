@@ -34,14 +34,21 @@ def _to_ntz(c: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"cannot read a time from {dtype.simpleString()}")
 
 
-def type_klines(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def _lenient_double(c: Column) -> Column:
+    return c.try_cast("double")
+
+
+def type_klines(df: DataFrame, keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
     """Landing rows (text or typed form) -> CANDLE columns without created_at.
 
     Prices and volumes become doubles (a bad number raises), epoch-ms
     times become NTZ UTC timestamps.  Columns are matched by name, so both
     landing shapes (text prices with long close_time, or doubles with
-    timestamps) load.  ``created_at`` is passed through if present.
+    timestamps) load.  ``created_at`` is passed through if present.  With
+    ``strict=False`` a bad number becomes NULL instead of raising (the loader
+    then reports the file).
     """
+    to_double = _strict_double if strict else _lenient_double
     types = {f.name: f.dataType for f in df.schema.fields}
     out: list[Column] = []
     for field in CANDLE.fields:
@@ -52,7 +59,7 @@ def type_klines(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             raise ValueError(f"missing column: {name}")
         c, dtype = F.col(name), types[name]
         if name in DOUBLE_COLUMNS:
-            out.append((c if isinstance(dtype, T.DoubleType) else _strict_double(c.cast("string"))).alias(name))
+            out.append((c if isinstance(dtype, T.DoubleType) else to_double(c.cast("string"))).alias(name))
         elif name in ("open_time", "close_time", "created_at"):
             out.append(_to_ntz(c, dtype).alias(name))
         elif name == "number_of_trades":

@@ -45,16 +45,22 @@ def _months(values: Iterable[int | str]) -> list[int]:
     return sorted({int(v) for v in values})
 
 
-def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY) -> DataFrame:
-    """SRT-1: range partition by (month, *key) and sort inside.
-
-    Range partitions keep each file to a narrow slice of keys, so parquet
-    min/max statistics skip row groups for symbol and time predicates, and
-    split a hot symbol over many files.  Without an explicit count AQE sizes
-    the partitions from the data.
+def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False) -> DataFrame:
+    """SRT-1: group rows by (month, *key) into files and sort inside each file.
+
+    Bulk rewrites use range partitioning: each file holds a narrow slice of
+    keys, so parquet min/max statistics skip row groups for symbol and time
+    predicates, and a hot symbol is split over many files.  Appends use
+    ``rebalance`` instead (no sampling job): AQE hashes on (month, first key
+    column), splits oversized partitions and merges small ones.
     """
     cols = [MONTH, *key]
-    parts = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    if rebalance:
+        parts = df.hint("rebalance", MONTH, key[0])
+    elif partitions:
+        parts = df.repartitionByRange(partitions, *cols)
+    else:
+        parts = df.repartitionByRange(*cols)
     return parts.sortWithinPartitions(*cols)
 
 
@@ -106,7 +112,9 @@ class CandleStore:
             fs.delete(self.spark, staging)
 
     # ------------------------------------------------------------ loading
-    def prepare(self, df: DataFrame, now: dt.datetime | None = None, load_ms: int | None = None) -> DataFrame:
+    def prepare(
+        self, df: DataFrame, now: dt.datetime | None = None, load_ms: int | None = None, keep: Sequence[str] = ()
+    ) -> DataFrame:
         """PRJ-4 + load order: CANDLE columns stamped with the load time, plus
         ``load_seq`` and ``open_month``.
 
@@ -127,24 +135,33 @@ class CandleStore:
                     F.monotonically_increasing_id().alias("row"),
                 ),
             )
-        stamped = stamp(df, self.columns, now=now, keep=(LOAD_SEQ,))
+        stamped = stamp(df, self.columns, now=now, keep=(LOAD_SEQ, *keep))
         return stamped.withColumn(MONTH, month_key(self.time_col))
 
+    def stage(self, rows: DataFrame) -> DataFrame:
+        """Prepared rows arranged for an append (rebalanced, sorted by key)."""
+        return clustered(rows, None, self.key, rebalance=True)
+
+    def append_staged(self, staged: DataFrame) -> None:
+        """Write staged rows to both tables (pass a persisted DataFrame)."""
+        for path in (self.append_only_path, self.latest_path):
+            staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(path)
+
     def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
 
-        Both writes are plain appends partitioned by month: no shuffle on the
-        key at load time.  An empty input writes nothing.
+        Both writes are plain appends partitioned by month, from one cached
+        copy of the staged rows: one small shuffle, no shuffle on the key and
+        no rewrite of existing files.  An empty input writes nothing.
         """
         rows = df if prepared else self.prepare(df, now)
-        rows = rows.persist()
+        staged = self.stage(rows).persist()
         try:
-            if rows.isEmpty():
+            if staged.isEmpty():
                 return
-            self._write(rows, self.append_only_path, "append")
-            self._write(rows, self.latest_path, "append")
+            self.append_staged(staged)
         finally:
-            rows.unpersist()
+            staged.unpersist()
 
     # ------------------------------------------------------------ reading
     def history(self) -> DataFrame | None:

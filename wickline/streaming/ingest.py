@@ -114,24 +114,10 @@ class LoadResult:
         return spark.createDataFrame(self.report, REPORT_SCHEMA)
 
 
-def load_files(
-    spark: SparkSession,
-    paths: Sequence[str],
-    store: CandleStore,
-    now: dt.datetime | None = None,
-) -> LoadResult:
-    """STR-4 + STR-5: load a small batch of landing files, isolating bad ones.
-
-    Per file only the footer is read on the driver (schema check, DQ-2); a
-    file that is not parquet or has other columns is reported and skipped.
-    The good files are read in one parallel scan per landing shape, typed,
-    stamped with one load time, and appended in one write per table.
-    """
-    load_ms = int(time.time() * 1000)
-    columns = list(store.columns)
+def _check_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
+    """Per-file footer checks on the driver (the slow path, at most a batch of files)."""
     report: list[tuple[str, str, int, str | None]] = []
     shapes: dict[tuple[bool, str], list[str]] = {}
-    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
     for path in paths:
         try:
             nanos = False
@@ -145,10 +131,50 @@ def load_files(
                     schema = spark.read.parquet(path).schema
             assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
             shapes.setdefault((nanos, schema.simpleString()), []).append(path)
-        except SchemaError as e:
-            report.append((path, "failed", 0, _short(e)))
-        except Exception as e:  # noqa: BLE001 - unreadable file: report it, keep going
+        except Exception as e:  # noqa: BLE001 - unreadable or wrong file: report it, keep going
             report.append((path, "failed", 0, _short(e)))
+    return shapes, report
+
+
+def _merged_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
+    """Fast path: all footers read by one parallel job and merged.
+
+    Succeeds only when every file is readable parquet of one compatible shape
+    with no unknown column; otherwise the caller falls back to per-file checks.
+    A file *missing* a column is not visible here: it shows up as NULLs and is
+    caught by the per-file NULL count after the read.
+    """
+    try:
+        schema = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+        assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS)
+    except Exception:  # noqa: BLE001
+        return None
+    return {(False, schema.simpleString()): list(paths)}
+
+
+def load_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    store: CandleStore,
+    now: dt.datetime | None = None,
+) -> LoadResult:
+    """STR-4 + STR-5: load a small batch of landing files, isolating bad ones.
+
+    Footers are checked first (DQ-2): in one parallel job when the batch is
+    clean, file by file otherwise, so an unreadable file or one with other
+    columns is reported and skipped.  The good files are read in one
+    parallel scan per landing shape, typed, stamped with one load time and
+    staged once (cached).  One aggregation counts rows and NULLs per file: a
+    file with a missing column or an unparsable number is reported and left
+    out.  The rest is appended with one write per table.
+    """
+    load_ms = int(time.time() * 1000)
+    columns = list(store.columns)
+    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
+    shapes = _merged_footers(spark, paths, columns) if len(paths) > 1 else None
+    report: list[tuple[str, str, int, str | None]] = []
+    if shapes is None:
+        shapes, report = _check_footers(spark, paths, columns)
     good = [p for group in shapes.values() for p in group]
     cached: list[DataFrame] = []
     if good:
@@ -164,24 +190,38 @@ def load_files(
                     cached.append(raw)
             else:
                 raw = with_file_sequence(spark.read.parquet(*group), load_ms)
-            frames.append(_typed(raw, columns))
+            # the load stamp replaces any value the file carries
+            frames.append(_typed(raw, columns, strict=False).drop(columns[-1]))
         batch = frames[0]
         for f in frames[1:]:
             batch = batch.unionByName(f)
-        prepared = store.prepare(batch, now=now, load_ms=load_ms).persist()
+        required = columns[:-1]
+        any_null = F.lit(False)
+        for c in required:
+            any_null = any_null | F.col(c).isNull()
+        source = F.col(f"{LOAD_SEQ}.source")
+        staged = store.stage(store.prepare(batch.withColumn("__bad", any_null), now=now, load_ms=load_ms, keep=("__bad",))).persist()
+        cached.append(staged)
         try:
-            counts = {
-                r["source"]: r["n"]
-                for r in prepared.groupBy(F.col(f"{LOAD_SEQ}.source").alias("source")).agg(F.count(F.lit(1)).alias("n")).collect()
+            stats = {
+                r["source"]: (r["n"], r["bad"])
+                for r in staged.groupBy(source.alias("source"))
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__bad")).alias("bad"))
+                .collect()
             }
-            store.append(prepared, prepared=True)
+            rejected = [k for k, (_, bad) in stats.items() if bad]
+            keep = staged.filter(~source.isin(rejected)) if rejected else staged
+            if any(n for k, (n, _) in stats.items() if k not in rejected):
+                store.append_staged(keep.drop("__bad"))
         finally:
-            prepared.unpersist()
             for df in cached:
                 df.unpersist()
         for path in good:
-            n = next((v for k, v in counts.items() if _same_file(k, path)), 0)
-            report.append((path, "loaded", int(n), None))
+            n, bad = next((v for k, v in stats.items() if _same_file(k, path)), (0, 0))
+            if bad:
+                report.append((path, "failed", 0, f"{bad} rows with NULL or invalid values in required columns"))
+            else:
+                report.append((path, "loaded", int(n), None))
     order = {p: i for i, p in enumerate(paths)}
     report.sort(key=lambda r: order.get(r[0], 0))
     return LoadResult(report)
@@ -208,11 +248,11 @@ def _nanos_to_ntz(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
-def _typed(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _typed(raw: DataFrame, columns: Sequence[str], strict: bool = True) -> DataFrame:
     """Candle files are typed by name (both landing shapes); other tables are
     taken as they are, in the configured column order."""
     if list(columns) == CANDLE_COLUMNS:
-        return type_klines(raw, keep=(LOAD_SEQ,))
+        return type_klines(raw, keep=(LOAD_SEQ,), strict=strict)
     present = [c for c in columns[:-1]]
     return raw.select(*present, LOAD_SEQ)
 
