@@ -26,7 +26,11 @@ from wickline.operators.rollup import (
 from wickline.operators.slices import plan_pages, slice_klines, top_n_per_symbol
 from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS
 from wickline.sources.events import event_candles, read_table
+from wickline.plans.store import CandleStore
+from wickline.session import scratch_path
+from wickline.sources.landing import landing_text, write_landing
 from wickline.sources.pages import format_kline_row, parse_kline_pages
+from wickline.streaming.ingest import backfill, run_once
 from wickline.sources.payloads import (
     new_landing_files,
     parse_stream_klines,
@@ -227,6 +231,32 @@ def q_rest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamp(type_klines(landing), CANDLE_COLUMNS, now=LOAD_TIME)
 
 
+def q_pipeline_rollup_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: landing files -> file-stream load -> tables -> incremental rollup.
+
+    Writes under a fresh folder in the checkpoint directory.  created_at is
+    the load time, so it is left out of the result.
+    """
+    work = scratch_path(spark, "pipeline")
+    candles = event_candles(spark, sf_dir)
+    write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
+    store = CandleStore(spark, f"{work}/tables")
+    run_once(spark, f"{work}/landing", store, f"{work}/checkpoint")
+    store.refresh_rollup("5 minutes")
+    return store.read_rollup("5 minutes").drop("created_at", "open_month")
+
+
+def q_pipeline_backfill_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files -> one distributed backfill -> compaction -> deduplicated view."""
+    work = scratch_path(spark, "backfill")
+    candles = event_candles(spark, sf_dir)
+    write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
+    store = CandleStore(spark, f"{work}/tables")
+    backfill(spark, f"{work}/landing", store)
+    store.compact()
+    return store.latest().drop("created_at", "open_month")
+
+
 QUERIES: dict[str, Query] = {
     "latest_candles": q_latest_candles,
     "rollup_5min": q_rollup_5min,
@@ -247,6 +277,8 @@ QUERIES: dict[str, Query] = {
     "event_payload": q_event_payload,
     "notifications": q_notifications,
     "rest_roundtrip": q_rest_roundtrip,
+    "pipeline_rollup_5min": q_pipeline_rollup_5min,
+    "pipeline_backfill_latest": q_pipeline_backfill_latest,
 }
 
 
@@ -383,6 +415,8 @@ FROM latest GROUP BY symbol""",
 FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         "rest_roundtrip": base
         + f"SELECT {', '.join(LANDING_COLUMNS)}, {_ts(LOAD_TIME)} AS created_at FROM latest",
+        "pipeline_rollup_5min": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({rollup5})",
+        "pipeline_backfill_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
     }
 
 

@@ -22,24 +22,45 @@ def to_landing(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDING.fields])
 
 
-def write_landing(df: DataFrame, base: str, run_time: dt.datetime | None = None) -> str | None:
+def landing_text(df: DataFrame) -> DataFrame:
+    """Typed candles -> the text landing form (prices as exact text, close_time as epoch ms)."""
+    from wickline.functions.time import to_epoch_millis
+
+    out = []
+    for f in LANDING.fields:
+        if f.name == "close_time":
+            out.append(to_epoch_millis(F.col(f.name)).alias(f.name))
+        else:
+            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(*out, *[c for c in df.columns if c not in LANDING_COLUMNS])
+
+
+def write_landing(
+    df: DataFrame, base: str, run_time: dt.datetime | None = None, order_by: tuple[str, ...] = ()
+) -> str | None:
     """Write landing rows as zstd parquet, one folder per symbol; no rows, no files.
 
     Layout ``{base}/run={stamp}/pair={symbol}/part-*.parquet``: the run stamp
     is the caller's time at microsecond resolution, so every run writes
     fresh names (the file stream never re-reads a name it committed).
-    Rows stay in the files with all 13 columns.  Returns the run folder.
+    Rows stay in the files with all 13 columns.  ``order_by`` names extra
+    columns of ``df`` that order rows of the same (symbol, open_time) inside
+    a file (the loader lets the later row win); they are not written.
+    Returns the run folder.
     """
     landing = to_landing(df)
     assert_landing_schema(landing)
     if landing.isEmpty():
         return None
     out = f"{base.rstrip('/')}/run={_run_stamp(run_time)}"
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDING.fields], *order_by)
     (
-        landing.withColumn("pair", F.col("symbol"))
-        # Range partitions split a hot symbol by time; AQE merges small ones.
+        rows.withColumn("pair", F.col("symbol"))
+        # Range partitions split a hot symbol by time and keep a key in one
+        # file; AQE merges small ones.
         .repartitionByRange("symbol", "open_time")
-        .sortWithinPartitions("symbol", "open_time")
+        .sortWithinPartitions("pair", "symbol", "open_time", *order_by)
+        .drop(*order_by)
         .write.mode("errorifexists")
         .option("compression", "zstd")
         .partitionBy("pair")
