@@ -122,3 +122,18 @@ def test_upsert_idempotent_and_month_scoped(spark, workdir):
     assert len(after) == 4
     assert after[dt.datetime(2025, 2, 1, 0, 5)] == 99.0
     assert after[dt.datetime(2025, 1, 31, 23, 5)] == before[dt.datetime(2025, 1, 31, 23, 5)]
+
+
+def test_store_slice_and_monthly_rebuild(spark, workdir):
+    store = CandleStore(spark, workdir)
+    jan = [("A", dt.datetime(2025, 1, 31, 23, m), m) for m in range(0, 10)]
+    feb = [("A", dt.datetime(2025, 2, 1, 0, m), 100 + m) for m in range(0, 10)] + [("B", dt.datetime(2025, 2, 1, 0, 0), 7)]
+    store.append(candles_df(spark, jan + feb), now=dt.datetime(2025, 2, 2))
+    got = store.slice("A", dt.datetime(2025, 2, 1, 0, 2, 30), dt.datetime(2025, 2, 1, 0, 5), limit=10)
+    assert [r.open_price for r in got.collect()] == [103.0, 104.0, 105.0]
+    latest = store.slice("A", None, dt.datetime(2025, 2, 1, 0, 1), limit=3)
+    assert [r.open_price for r in latest.collect()] == [9.0, 100.0, 101.0]
+    assert store.refresh_rollup("5 minutes", full_refresh=True)["months"] == [202501, 202502]
+    assert store.read_rollup().count() == 5
+    assert store.compact() == [202501, 202502]
+    assert store.latest_rows().count() == 21

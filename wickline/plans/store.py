@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import stamp
-from wickline.functions.time import month_key
+from wickline.functions.time import month_key, parse_width, width_seconds
 from wickline.operators.dedup import latest_by_key
 from wickline.operators.rollup import after_high_water, rollup_last
+from wickline.operators.slices import DEFAULT_LIMIT, slice_klines
 from wickline.plans import fs
 from wickline.schemas import CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
 from wickline.session import scratch_path
@@ -189,19 +190,42 @@ class CandleStore:
         return view.select(*self.columns, MONTH)
 
     # ------------------------------------------------------------ maintenance
-    def compact(self, months: Iterable[int] | None = None) -> list[int]:
-        """DED-2: rewrite months of the latest table with one row per key."""
-        rows = self._read(self.latest_path)
-        if rows is None:
-            return []
-        wanted = _months(months) if months is not None else _months(fs.partition_values(self.spark, self.latest_path, MONTH))
-        if not wanted:
+    def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
+        """DED-2: rewrite months of the latest table with one row per key.
+
+        Months are rewritten a few at a time (``months_per_job``), so each
+        job shuffles at most that much data and a failure leaves every month
+        either old or compacted, never half written.
+        """
+        if not fs.has_data(self.spark, self.latest_path):
             return []
-        rows = rows.filter(F.col(MONTH).isin(wanted))
-        deduped = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
-        self._replace_months(deduped, self.latest_path)
+        listed = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
+        wanted = [m for m in _months(months) if m in listed] if months is not None else listed
+        for i in range(0, len(wanted), max(1, months_per_job)):
+            chunk = wanted[i : i + max(1, months_per_job)]
+            rows = self.latest_rows(chunk)
+            deduped = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
+            self._replace_months(deduped, self.latest_path)
         return wanted
 
+    def slice(
+        self,
+        symbol: str,
+        start: dt.datetime | None = None,
+        end: dt.datetime | None = None,
+        limit: int | None = DEFAULT_LIMIT,
+    ) -> DataFrame | None:
+        """SRC-2 on the stored table: month partitions outside [start, end] are
+        never listed, the symbol and time predicates reach the parquet reader
+        below the deduplication window."""
+        lo = start.year * 100 + start.month if start else None
+        hi = end.year * 100 + end.month if end else None
+        months = [m for m in _months(fs.partition_values(self.spark, self.latest_path, MONTH)) if (lo is None or m >= lo) and (hi is None or m <= hi)]
+        view = self.latest(months)
+        if view is None:
+            return None
+        return slice_klines(view, symbol, start, end, limit)
+
     # ------------------------------------------------------------ rollups
     def read_rollup(self, width: str = "5 minutes") -> DataFrame | None:
         return self._read(self.rollup_path(width))
@@ -223,41 +247,55 @@ class CandleStore:
     def refresh_rollup(self, width: str = "5 minutes", full_refresh: bool = False) -> dict:
         """AGG-3 + FLT-3 + DED-4: the incremental rollup model.
 
-        First run (or ``full_refresh``): roll up everything and overwrite.
-        Later runs: rows after the target's high water are rolled up (one
-        shuffle: dedup and bucket in one window) and upserted by key into the
-        months they touch.  The high water is global and strict, so late or
-        revised rows at or before it wait for a full refresh.
+        First run (or ``full_refresh``): roll up everything.  Later runs: rows
+        after the target's high water are rolled up (one shuffle: dedup and
+        bucket in one window) and upserted by key into the months they
+        touch.  The high water is global and strict, so late or revised rows
+        at or before it wait for a full refresh.
         """
         from wickline.functions.time import EPOCH
 
         path = self.rollup_path(width)
-        rows = self.latest_rows()
-        if rows is None:
-            return {"mode": "empty", "rows": 0, "months": []}
+        if not fs.has_data(self.spark, self.latest_path):
+            return {"mode": "empty", "high_water": None, "months": []}
         if full_refresh or not fs.has_data(self.spark, path):
-            out = rollup_last(rows.drop(MONTH), width).withColumn(MONTH, month_key("open_time"))
-            (
-                clustered(out, self.partitions, self.key)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .option("compression", "zstd")
-                .partitionBy(MONTH)
-                .parquet(path)
-            )
-            return {"mode": "full", "high_water": None, "months": None}
+            return {"mode": "full", "high_water": None, "months": self._rebuild_rollup(width)}
         hw = self.rollup_high_water(width) or EPOCH
-        fresh = after_high_water(rows, hw)
+        fresh = after_high_water(self.latest_rows(), hw)
         new = rollup_last(fresh.drop(MONTH), width).withColumn(MONTH, month_key("open_time")).persist()
         try:
             touched = _months(r[MONTH] for r in new.select(MONTH).distinct().collect())
-            if not touched:
-                return {"mode": "incremental", "high_water": hw, "months": []}
-            self.upsert(new, path, touched)
+            if touched:
+                self.upsert(new, path, touched)
         finally:
             new.unpersist()
         return {"mode": "incremental", "high_water": hw, "months": touched}
 
+    def _rebuild_rollup(self, width: str) -> list[int]:
+        """Full rebuild.  When no bucket can cross a month boundary (widths
+        that divide a day, or one month) it runs one month per job with a
+        dynamic overwrite of that month; otherwise in one job."""
+        path = self.rollup_path(width)
+        months = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
+        n, unit = parse_width(width)
+        per_month = unit == "month" or (unit in ("second", "minute", "hour", "day") and 86400 % width_seconds(width) == 0)
+        groups = [[m] for m in months] if per_month else [months]
+        for group in groups:
+            out = rollup_last(self.latest_rows(group).drop(MONTH), width).withColumn(MONTH, month_key("open_time"))
+            # month by month: each month is replaced on its own, readers never
+            # see an emptied table, and months are done in ascending order so
+            # an interrupted rebuild is completed by the next incremental run
+            mode = "dynamic" if per_month else "static"
+            (
+                clustered(out, self.partitions, self.key)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", mode)
+                .option("compression", "zstd")
+                .partitionBy(MONTH)
+                .parquet(path)
+            )
+        return months
+
     def upsert(self, new: DataFrame, path: str, touched: Sequence[int] | None = None) -> list[int]:
         """DED-4 on disk: in each touched month, new rows replace rows with the
         same key and all other rows are kept.
