@@ -137,3 +137,21 @@ def test_store_slice_and_monthly_rebuild(spark, workdir):
     assert store.read_rollup().count() == 5
     assert store.compact() == [202501, 202502]
     assert store.latest_rows().count() == 21
+
+
+def test_clean_months_skip_dedup_until_appended(spark, workdir):
+    store = CandleStore(spark, workdir)
+    jan = [("A", dt.datetime(2025, 1, 31, 23, m), m) for m in range(0, 5)]
+    feb = [("A", dt.datetime(2025, 2, 1, 0, m), m) for m in range(0, 5)]
+    store.append(candles_df(spark, jan + feb), now=dt.datetime(2025, 2, 2))
+    store.append(candles_df(spark, jan + feb), now=dt.datetime(2025, 2, 3))
+    assert store.latest().count() == 10 and store.latest_rows().count() == 20
+    store.compact()
+    assert store.clean_months() == [202501, 202502]
+    plan = store.latest()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and store.latest().count() == 10
+    store.append(candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 0), 42)]), now=dt.datetime(2025, 2, 4))
+    assert store.clean_months() == [202501]
+    got = {r.open_time: r.open_price for r in store.latest().collect()}
+    assert len(got) == 10 and got[dt.datetime(2025, 2, 1, 0, 0)] == 42.0
+    assert "Window" in store.latest()._jdf.queryExecution().executedPlan().toString()

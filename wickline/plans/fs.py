@@ -49,3 +49,8 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def touch_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)

@@ -8,6 +8,8 @@ Layout under one root folder, every table partitioned by ``open_month``
 * ``latest/``      - the deduplicated table.  Loads append here too; reads
   keep the latest version per (symbol, open_time) (merge on read), and
   ``compact`` rewrites months so they physically hold one row per key.
+  Compacted months are marked clean and read without the dedup shuffle
+  until the next append to them.
 * ``rollup_<width>/`` - incremental "last candle" rollups, upserted by
   (symbol, open_time) one touched month at a time.
 
@@ -144,10 +146,34 @@ class CandleStore:
         return clustered(rows, None, self.key, rebalance=True)
 
     def append_staged(self, staged: DataFrame) -> None:
-        """Write staged rows to both tables (pass a persisted DataFrame)."""
+        """Write staged rows to both tables (pass a persisted DataFrame).
+
+        The months written lose their "clean" mark first, so the latest view
+        deduplicates them again from then on.
+        """
+        touched = _months(r[MONTH] for r in staged.select(MONTH).distinct().collect())
+        self._mark_dirty(touched)
         for path in (self.append_only_path, self.latest_path):
             staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(path)
 
+    # Months of the latest table that hold exactly one row per key (written
+    # by compaction, cleared by any append to the month).  Kept as empty
+    # marker files in a hidden folder of the table, which Spark never reads.
+    @property
+    def _clean_dir(self) -> str:
+        return f"{self.latest_path}/_clean_months"
+
+    def clean_months(self) -> list[int]:
+        return _months(fs.partition_values(self.spark, self._clean_dir, MONTH))
+
+    def _mark_dirty(self, months: Iterable[int]) -> None:
+        for m in months:
+            fs.delete(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+
+    def _mark_clean(self, months: Iterable[int]) -> None:
+        for m in months:
+            fs.touch_dir(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+
     def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
 
@@ -186,8 +212,20 @@ class CandleStore:
         rows = self.latest_rows(months)
         if rows is None:
             return None
-        view = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
-        return view.select(*self.columns, MONTH)
+        listed = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
+        if months is not None:
+            listed = [m for m in listed if m in set(_months(months))]
+        clean = [m for m in self.clean_months() if m in set(listed)]
+        dirty = [m for m in listed if m not in set(clean)]
+        if not clean:
+            return latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ).select(*self.columns, MONTH)
+        # Compacted months already hold one row per key: read them as they
+        # are, with no shuffle.  Only months appended to since are deduplicated.
+        plain = rows.filter(F.col(MONTH).isin(clean)).select(*self.columns, MONTH)
+        if not dirty:
+            return plain
+        fresh = latest_by_key(rows.filter(F.col(MONTH).isin(dirty)), (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
+        return fresh.select(*self.columns, MONTH).unionByName(plain)
 
     # ------------------------------------------------------------ maintenance
     def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
@@ -205,7 +243,9 @@ class CandleStore:
             chunk = wanted[i : i + max(1, months_per_job)]
             rows = self.latest_rows(chunk)
             deduped = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
+            self._mark_dirty(chunk)
             self._replace_months(deduped, self.latest_path)
+            self._mark_clean(chunk)
         return wanted
 
     def slice(
