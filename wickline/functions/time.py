@@ -25,7 +25,7 @@ def _col(c: Column | str) -> Column:
 
 
 def epoch_ntz() -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz")
+    return as_ntz(EPOCH)
 
 
 def parse_width(width: str) -> tuple[int, str]:
@@ -103,8 +103,17 @@ def stamp_format(c: Column | str) -> Column:
 
 
 def as_ntz(value: dt.datetime | str | None) -> Column:
+    """A TIMESTAMP_NTZ literal built from text.
+
+    ``F.lit(datetime)`` makes a zone-aware TIMESTAMP from the Python
+    process's zone, and casting it to NTZ applies the session zone, so the
+    wall clock would move with either setting.  Text -> NTZ does not.
+    An aware datetime is converted to UTC first.
+    """
     if value is None:
         return F.lit(None).cast("timestamp_ntz")
-    if isinstance(value, str):
-        return F.lit(value).cast("timestamp_ntz")
-    return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ", timespec="microseconds")
+    return F.lit(value).cast("timestamp_ntz")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import stamp, type_klines
-from wickline.functions.time import bucket_start, month_key, to_epoch_millis
+from wickline.functions.time import as_ntz, month_key, to_epoch_millis
 from wickline.operators.dedup import latest_by_key, upsert
 from wickline.operators.quality import check_candles, check_slice, table_health
 from wickline.operators.rollup import (
@@ -89,7 +89,7 @@ def q_rollup_1month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = event_candles(spark, sf_dir)
-    target = rollup_last(candles.filter(F.col("open_time") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")))
+    target = rollup_last(candles.filter(F.col("open_time") < as_ntz(INCREMENTAL_CUT)))
     new, _ = incremental_rollup(candles, target, "5 minutes")
     return upsert(target, new)
 
@@ -100,7 +100,7 @@ def q_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = event_candles(spark, sf_dir)
-    ntz = lambda v: F.lit(v).cast("timestamp_ntz")
+    ntz = as_ntz
     target = rollup_last(candles.filter(F.col("open_time") < ntz(UPSERT_TARGET_BEFORE)))
     new = rollup_last(candles.filter(F.col("open_time") >= ntz(UPSERT_NEW_FROM)))
     return upsert(upsert(target, new), new)

@@ -80,6 +80,7 @@ class CandleStore:
     partitions: int | None = None
     columns: Sequence[str] = tuple(CANDLE_COLUMNS)
     time_col: str = "open_time"
+    base_interval: str = "1 minute"
 
     # ------------------------------------------------------------ layout
     @property
@@ -254,14 +255,23 @@ class CandleStore:
         start: dt.datetime | None = None,
         end: dt.datetime | None = None,
         limit: int | None = DEFAULT_LIMIT,
+        interval: str | None = None,
     ) -> DataFrame | None:
-        """SRC-2 on the stored table: month partitions outside [start, end] are
-        never listed, the symbol and time predicates reach the parquet reader
-        below the deduplication window."""
+        """SRC-2 on the stored tables.  The interval picks the table: the base
+        candles (``base_interval``) or a rollup of that width.  Month
+        partitions outside [start, end] are never read, and the symbol and
+        time predicates reach the parquet reader (below the deduplication
+        window for the base table)."""
         lo = start.year * 100 + start.month if start else None
         hi = end.year * 100 + end.month if end else None
-        months = [m for m in _months(fs.partition_values(self.spark, self.latest_path, MONTH)) if (lo is None or m >= lo) and (hi is None or m <= hi)]
-        view = self.latest(months)
+        in_range = lambda ms: [m for m in ms if (lo is None or m >= lo) and (hi is None or m <= hi)]
+        if interval is None or _slug(interval) == _slug(self.base_interval):
+            view = self.latest(in_range(_months(fs.partition_values(self.spark, self.latest_path, MONTH))))
+        else:
+            path = self.rollup_path(interval)
+            view = self._read(path)
+            if view is not None:
+                view = view.filter(F.col(MONTH).isin(in_range(_months(fs.partition_values(self.spark, path, MONTH)))))
         if view is None:
             return None
         return slice_klines(view, symbol, start, end, limit)
