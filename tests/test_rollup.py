@@ -117,7 +117,7 @@ def test_upsert_idempotent_and_month_scoped(spark, workdir):
     revised = candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 9), 99)], dt.datetime(2025, 2, 3))
     new = rollup_last(revised).withColumn("open_month", F.lit(202502))
     for _ in range(2):
-        assert store.upsert(new, store.rollup_path("5 minutes")) == [202502]
+        assert store.upsert(new) == [202502]
     after = {r.open_time: r.open_price for r in store.read_rollup().collect()}
     assert len(after) == 4
     assert after[dt.datetime(2025, 2, 1, 0, 5)] == 99.0
@@ -155,3 +155,41 @@ def test_clean_months_skip_dedup_until_appended(spark, workdir):
     got = {r.open_time: r.open_price for r in store.latest().collect()}
     assert len(got) == 10 and got[dt.datetime(2025, 2, 1, 0, 0)] == 42.0
     assert "Window" in store.latest()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_incremental_runs_append_and_compact(spark, workdir):
+    store = CandleStore(spark, workdir)
+    store.append(candles_df(spark, LOAD1), now=dt.datetime(2025, 1, 15, 11))
+    store.refresh_rollup("5 minutes")
+    table = store.rollup_table("5 minutes")
+    assert table.clean_months() == [202501]
+    store.append(candles_df(spark, LOAD2), now=dt.datetime(2025, 1, 15, 12))
+    out = store.refresh_rollup("5 minutes")
+    assert out["mode"] == "incremental" and out["months"] == [202501]
+    assert table.clean_months() == [] and table.rows().count() == 4  # old A@10:05 kept until compaction
+    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
+    assert store.compact_rollup("5 minutes") == [202501]
+    assert table.rows().count() == 3 and table.clean_months() == [202501]
+    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
+    # no new rows: the run still re-rolls the last bucket (rows after its
+    # start are after the high water), with the same values
+    assert store.refresh_rollup("5 minutes")["months"] == [202501]
+    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
+    # the rewrite form gives the same table
+    store2 = CandleStore(spark, workdir + "/b")
+    store2.append(candles_df(spark, LOAD1), now=dt.datetime(2025, 1, 15, 11))
+    store2.refresh_rollup("5 minutes")
+    store2.append(candles_df(spark, LOAD2), now=dt.datetime(2025, 1, 15, 12))
+    assert store2.refresh_rollup("5 minutes", rewrite=True)["mode"] == "rewrite"
+    assert store2.rollup_table("5 minutes").rows().count() == 3
+    assert _values(store2.read_rollup()) == _values(store.read_rollup())
+
+
+def test_week_rebuild_replaces_whole_table(spark, workdir):
+    store = CandleStore(spark, workdir)
+    rows = [("A", dt.datetime(2025, 1, 30, 0, 0), 1), ("A", dt.datetime(2025, 2, 1, 0, 0), 2)]
+    store.append(candles_df(spark, rows), now=dt.datetime(2025, 2, 2))
+    store.refresh_rollup("7 days", full_refresh=True)
+    store.refresh_rollup("7 days", full_refresh=True)
+    got = [(r.open_time, r.open_price) for r in store.read_rollup("7 days").collect()]
+    assert got == [(dt.datetime(2025, 1, 30), 2.0)]  # epoch-aligned week starting on a Thursday

@@ -1,0 +1,216 @@
+"""A month-partitioned parquet table with a unique key, merged on read.
+
+Writers append rows; a row with a greater version (``order`` columns,
+compared in turn) replaces older rows of the same key.  ``view`` returns one
+row per key.  ``compact`` rewrites months so they physically hold one row
+per key and marks them clean; clean months are read as plain scans with no
+shuffle, and an append to a month makes it dirty again.  The marks are empty
+folders in a hidden ``_clean_months`` folder of the table, which Spark's
+file listing never reads.
+
+Rewrites of a month read the month, write the result to a staging table in
+the checkpoint folder (lineage cut), then replace the month with a dynamic
+partition overwrite.  A month replace is not atomic with respect to
+concurrent readers and there must be a single writer per table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wickline.operators.dedup import latest_by_key
+from wickline.plans import fs
+from wickline.schemas import KEY, MONTH
+from wickline.session import scratch_path
+
+
+def months_of(values: Iterable[int | str]) -> list[int]:
+    return sorted({int(v) for v in values})
+
+
+def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False) -> DataFrame:
+    """SRT-1: group rows by (month, *key) into files and sort inside each file.
+
+    Bulk rewrites use range partitioning: each file holds a narrow slice of
+    keys, so parquet min/max statistics skip row groups for symbol and time
+    predicates, and a hot symbol is split over many files.  Appends use
+    ``rebalance`` instead (no sampling job): AQE hashes on (month, first key
+    column), splits oversized partitions and merges small ones.
+    """
+    cols = [MONTH, *key]
+    if rebalance:
+        parts = df.hint("rebalance", MONTH, key[0])
+    elif partitions:
+        parts = df.repartitionByRange(partitions, *cols)
+    else:
+        parts = df.repartitionByRange(*cols)
+    return parts.sortWithinPartitions(*cols)
+
+
+@dataclass
+class KeyedTable:
+    spark: SparkSession
+    path: str
+    key: Sequence[str]
+    order: Sequence[str]
+    columns: Sequence[str]
+    partitions: int | None = None
+
+    # ------------------------------------------------------------ listing
+    def exists(self) -> bool:
+        return fs.has_data(self.spark, self.path)
+
+    def months(self) -> list[int]:
+        return months_of(fs.partition_values(self.spark, self.path, MONTH))
+
+    @property
+    def _clean_dir(self) -> str:
+        return f"{self.path}/_clean_months"
+
+    def clean_months(self) -> list[int]:
+        return months_of(fs.partition_values(self.spark, self._clean_dir, MONTH))
+
+    def mark_dirty(self, months: Iterable[int]) -> None:
+        for m in months:
+            fs.delete(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+
+    def mark_clean(self, months: Iterable[int]) -> None:
+        for m in months:
+            fs.touch_dir(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+
+    # ------------------------------------------------------------ reading
+    def rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
+        """Stored rows, superseded versions included."""
+        if not self.exists():
+            return None
+        df = self.spark.read.parquet(self.path)
+        if months is not None:
+            df = df.filter(F.col(MONTH).isin(months_of(months)))
+        return df
+
+    def dedup(self, rows: DataFrame) -> DataFrame:
+        """One row per key, greatest version.  ``open_month`` joins the window
+        partitioning (a function of the key's time, so groups are unchanged)
+        so Catalyst pushes month predicates below the window too."""
+        version, *rest = self.order
+        return latest_by_key(rows, (*self.key, MONTH), version, rest[0] if rest else None)
+
+    def view(self, months: Iterable[int] | None = None) -> DataFrame | None:
+        """``columns`` + ``open_month``, one row per key.
+
+        Clean months are scanned as they are; only the others are
+        deduplicated (one shuffle on the key, partial limit before it).  Key
+        predicates applied to the result reach the parquet scan on both
+        branches; value predicates stay above the deduplication.
+        """
+        rows = self.rows(months)
+        if rows is None:
+            return None
+        listed = self.months()
+        if months is not None:
+            wanted = set(months_of(months))
+            listed = [m for m in listed if m in wanted]
+        clean = [m for m in self.clean_months() if m in set(listed)]
+        dirty = [m for m in listed if m not in set(clean)]
+        out = [*self.columns, MONTH]
+        if not clean:
+            return self.dedup(rows).select(*out)
+        plain = rows.filter(F.col(MONTH).isin(clean)).select(*out)
+        if not dirty:
+            return plain
+        return self.dedup(rows.filter(F.col(MONTH).isin(dirty))).select(*out).unionByName(plain)
+
+    # ------------------------------------------------------------ writing
+    def append(self, staged: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
+        """Append staged rows (already clustered; pass a persisted DataFrame).
+
+        The months written lose their clean mark before any file is added,
+        so the view never serves an appended month without deduplication.
+        """
+        if touched is None:
+            touched = months_of(r[MONTH] for r in staged.select(MONTH).distinct().collect())
+        self.mark_dirty(touched)
+        staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(self.path)
+        return list(touched)
+
+    def replace_months(self, df: DataFrame) -> None:
+        """Write ``df`` to staging, then overwrite exactly its months here."""
+        staging = scratch_path(self.spark, "stage")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(staging)
+            staged = self.spark.read.parquet(staging)
+            (
+                clustered(staged, self.partitions, self.key)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .partitionBy(MONTH)
+                .parquet(self.path)
+            )
+        finally:
+            fs.delete(self.spark, staging)
+
+    def overwrite_unique(self, df: DataFrame, months: Sequence[int] | None = None) -> None:
+        """Replace ``months`` (or, with None, the whole table) with rows known
+        to be unique by key and not read from this table (no staging needed),
+        and mark what was written clean."""
+        if months is not None:
+            self.mark_dirty(months)
+        (
+            clustered(df, self.partitions, self.key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
+            .option("compression", "zstd")
+            .partitionBy(MONTH)
+            .parquet(self.path)
+        )
+        self.mark_clean(months if months is not None else self.months())
+
+    def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
+        """DED-2: rewrite months with one row per key, a few months per job.
+
+        Each job shuffles at most ``months_per_job`` months, and a failure
+        leaves every month either old or compacted, never half written.
+        """
+        if not self.exists():
+            return []
+        listed = self.months()
+        wanted = [m for m in months_of(months) if m in listed] if months is not None else listed
+        step = max(1, months_per_job)
+        for i in range(0, len(wanted), step):
+            chunk = wanted[i : i + step]
+            deduped = self.dedup(self.rows(chunk))
+            self.mark_dirty(chunk)
+            self.replace_months(deduped)
+            self.mark_clean(chunk)
+        return wanted
+
+    def upsert_rewrite(self, new: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
+        """DED-4 by rewriting touched months: in each, new rows replace rows
+        with the same key and all others are kept; the months end up clean.
+
+        Only the touched months are read (partition pruning).  The anti join
+        is planned by AQE: a broadcast join when the measured new side is
+        small, a shuffle join otherwise.
+        """
+        if touched is None:
+            touched = months_of(r[MONTH] for r in new.select(MONTH).distinct().collect())
+        if not touched:
+            return []
+        cols = [*self.columns, MONTH, *[c for c in self.order if c not in self.columns]]
+        fresh = new.select(*cols)
+        rows = self.rows(touched)
+        if rows is None:
+            merged = fresh
+        else:
+            current = self.dedup(rows).select(*cols)
+            kept = current.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
+            merged = kept.unionByName(fresh)
+        self.mark_dirty(touched)
+        self.replace_months(merged)
+        self.mark_clean(touched)
+        return list(touched)

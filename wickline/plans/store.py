@@ -6,17 +6,12 @@ Layout under one root folder, every table partitioned by ``open_month``
 * ``append_only/`` - every loaded row with its load stamp and load order;
   may hold duplicates (retries, revisions).  Never rewritten.
 * ``latest/``      - the deduplicated table.  Loads append here too; reads
-  keep the latest version per (symbol, open_time) (merge on read), and
-  ``compact`` rewrites months so they physically hold one row per key.
-  Compacted months are marked clean and read without the dedup shuffle
-  until the next append to them.
-* ``rollup_<width>/`` - incremental "last candle" rollups, upserted by
-  (symbol, open_time) one touched month at a time.
-
-Rewrites of a month read the month, write the result to a staging table in
-the checkpoint folder (lineage cut), then replace the month with a dynamic
-partition overwrite.  A month replace is not atomic with respect to
-concurrent readers and there must be a single writer per table.
+  keep the latest version per (symbol, open_time), and ``compact`` rewrites
+  months so they physically hold one row per key (see ``plans.keyed``).
+* ``rollup_<width>/`` - incremental "last candle" rollups.  Each run appends
+  only its new rows, stamped with the run; reads keep the newest run's row
+  per (symbol, open_time), which is the upsert by unique key.  A full
+  rebuild or ``compact_rollup`` leaves months physically unique.
 """
 
 from __future__ import annotations
@@ -27,44 +22,23 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import stamp
-from wickline.functions.time import month_key, parse_width, width_seconds
-from wickline.operators.dedup import latest_by_key
+from wickline.functions.time import EPOCH, month_key, parse_width, width_seconds
 from wickline.operators.rollup import after_high_water, rollup_last
 from wickline.operators.slices import DEFAULT_LIMIT, slice_klines
-from wickline.plans import fs
+from wickline.plans.keyed import KeyedTable, clustered, months_of
 from wickline.schemas import CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
-from wickline.session import scratch_path
 
+RUN_SEQ = "run_seq"
 
-def _slug(width: str) -> str:
-    return width.strip().lower().replace(" ", "")
-
-
-def _months(values: Iterable[int | str]) -> list[int]:
-    return sorted({int(v) for v in values})
+__all__ = ["CandleStore", "clustered", "newest_load_first", "table_counts", "RUN_SEQ"]
 
 
-def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False) -> DataFrame:
-    """SRT-1: group rows by (month, *key) into files and sort inside each file.
-
-    Bulk rewrites use range partitioning: each file holds a narrow slice of
-    keys, so parquet min/max statistics skip row groups for symbol and time
-    predicates, and a hot symbol is split over many files.  Appends use
-    ``rebalance`` instead (no sampling job): AQE hashes on (month, first key
-    column), splits oversized partitions and merges small ones.
-    """
-    cols = [MONTH, *key]
-    if rebalance:
-        parts = df.hint("rebalance", MONTH, key[0])
-    elif partitions:
-        parts = df.repartitionByRange(partitions, *cols)
-    else:
-        parts = df.repartitionByRange(*cols)
-    return parts.sortWithinPartitions(*cols)
+def _slug(width: str) -> str:
+    return width.strip().lower().replace(" ", "")
 
 
 @dataclass
@@ -94,33 +68,19 @@ class CandleStore:
     def rollup_path(self, width: str) -> str:
         return f"{self.root.rstrip('/')}/rollup_{_slug(width)}"
 
-    def _read(self, path: str) -> DataFrame | None:
-        if not fs.has_data(self.spark, path):
-            return None
-        return self.spark.read.parquet(path)
-
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        writer = clustered(df, self.partitions, self.key).write.mode(mode).option("compression", "zstd")
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(MONTH).parquet(path)
+    @property
+    def latest_table(self) -> KeyedTable:
+        return KeyedTable(self.spark, self.latest_path, self.key, (self.columns[-1], LOAD_SEQ), self.columns, self.partitions)
 
-    def _replace_months(self, df: DataFrame, path: str) -> None:
-        """Write ``df`` to staging, then overwrite exactly its months in ``path``."""
-        staging = scratch_path(self.spark, "stage")
-        try:
-            df.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(staging)
-            staged = self.spark.read.parquet(staging)
-            self._write(staged, path, "overwrite")
-        finally:
-            fs.delete(self.spark, staging)
+    def rollup_table(self, width: str) -> KeyedTable:
+        return KeyedTable(self.spark, self.rollup_path(width), KEY, (RUN_SEQ,), CANDLE_COLUMNS, self.partitions)
 
     # ------------------------------------------------------------ loading
     def prepare(
         self, df: DataFrame, now: dt.datetime | None = None, load_ms: int | None = None, keep: Sequence[str] = ()
     ) -> DataFrame:
-        """PRJ-4 + load order: CANDLE columns stamped with the load time, plus
-        ``load_seq`` and ``open_month``.
+        """PRJ-4 + load order: the configured columns stamped with the load
+        time, plus ``load_seq`` and ``open_month``.
 
         An input without ``load_seq`` gets one from its row order
         (``monotonically_increasing_id`` follows partition and row order).
@@ -146,34 +106,11 @@ class CandleStore:
         """Prepared rows arranged for an append (rebalanced, sorted by key)."""
         return clustered(rows, None, self.key, rebalance=True)
 
-    def append_staged(self, staged: DataFrame) -> None:
-        """Write staged rows to both tables (pass a persisted DataFrame).
-
-        The months written lose their "clean" mark first, so the latest view
-        deduplicates them again from then on.
-        """
-        touched = _months(r[MONTH] for r in staged.select(MONTH).distinct().collect())
-        self._mark_dirty(touched)
-        for path in (self.append_only_path, self.latest_path):
-            staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(path)
-
-    # Months of the latest table that hold exactly one row per key (written
-    # by compaction, cleared by any append to the month).  Kept as empty
-    # marker files in a hidden folder of the table, which Spark never reads.
-    @property
-    def _clean_dir(self) -> str:
-        return f"{self.latest_path}/_clean_months"
-
-    def clean_months(self) -> list[int]:
-        return _months(fs.partition_values(self.spark, self._clean_dir, MONTH))
-
-    def _mark_dirty(self, months: Iterable[int]) -> None:
-        for m in months:
-            fs.delete(self.spark, f"{self._clean_dir}/{MONTH}={m}")
-
-    def _mark_clean(self, months: Iterable[int]) -> None:
-        for m in months:
-            fs.touch_dir(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+    def append_staged(self, staged: DataFrame, touched: Sequence[int] | None = None) -> None:
+        """DED-3: write staged rows to the history and to the latest table
+        (pass a persisted DataFrame)."""
+        touched = self.latest_table.append(staged, touched)
+        staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(self.append_only_path)
 
     def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
@@ -194,60 +131,23 @@ class CandleStore:
     # ------------------------------------------------------------ reading
     def history(self) -> DataFrame | None:
         """The append-only table, duplicates included."""
-        return self._read(self.append_only_path)
+        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns).rows()
 
     def latest_rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
         """Raw rows of the latest table (may hold superseded versions)."""
-        df = self._read(self.latest_path)
-        if df is not None and months is not None:
-            df = df.filter(F.col(MONTH).isin(_months(months)))
-        return df
+        return self.latest_table.rows(months)
 
     def latest(self, months: Iterable[int] | None = None) -> DataFrame | None:
-        """DED-1 view: one row per (symbol, open_time), the latest load winning.
+        """DED-1 view: one row per key, the latest load winning; compacted
+        months are read without the deduplication shuffle."""
+        return self.latest_table.view(months)
 
-        ``open_month`` is part of the window partitioning (it is a function of
-        open_time, so groups are unchanged); Catalyst then pushes month,
-        symbol and open_time predicates below the window into the scan.
-        """
-        rows = self.latest_rows(months)
-        if rows is None:
-            return None
-        listed = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
-        if months is not None:
-            listed = [m for m in listed if m in set(_months(months))]
-        clean = [m for m in self.clean_months() if m in set(listed)]
-        dirty = [m for m in listed if m not in set(clean)]
-        if not clean:
-            return latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ).select(*self.columns, MONTH)
-        # Compacted months already hold one row per key: read them as they
-        # are, with no shuffle.  Only months appended to since are deduplicated.
-        plain = rows.filter(F.col(MONTH).isin(clean)).select(*self.columns, MONTH)
-        if not dirty:
-            return plain
-        fresh = latest_by_key(rows.filter(F.col(MONTH).isin(dirty)), (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
-        return fresh.select(*self.columns, MONTH).unionByName(plain)
-
-    # ------------------------------------------------------------ maintenance
-    def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
-        """DED-2: rewrite months of the latest table with one row per key.
+    def clean_months(self) -> list[int]:
+        return self.latest_table.clean_months()
 
-        Months are rewritten a few at a time (``months_per_job``), so each
-        job shuffles at most that much data and a failure leaves every month
-        either old or compacted, never half written.
-        """
-        if not fs.has_data(self.spark, self.latest_path):
-            return []
-        listed = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
-        wanted = [m for m in _months(months) if m in listed] if months is not None else listed
-        for i in range(0, len(wanted), max(1, months_per_job)):
-            chunk = wanted[i : i + max(1, months_per_job)]
-            rows = self.latest_rows(chunk)
-            deduped = latest_by_key(rows, (*self.key, MONTH), self.columns[-1], LOAD_SEQ)
-            self._mark_dirty(chunk)
-            self._replace_months(deduped, self.latest_path)
-            self._mark_clean(chunk)
-        return wanted
+    def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
+        """DED-2: rewrite months of the latest table with one row per key."""
+        return self.latest_table.compact(months, months_per_job)
 
     def slice(
         self,
@@ -261,112 +161,105 @@ class CandleStore:
         candles (``base_interval``) or a rollup of that width.  Month
         partitions outside [start, end] are never read, and the symbol and
         time predicates reach the parquet reader (below the deduplication
-        window for the base table)."""
+        window)."""
+        table = self.latest_table if interval is None or _slug(interval) == _slug(self.base_interval) else self.rollup_table(interval)
         lo = start.year * 100 + start.month if start else None
         hi = end.year * 100 + end.month if end else None
-        in_range = lambda ms: [m for m in ms if (lo is None or m >= lo) and (hi is None or m <= hi)]
-        if interval is None or _slug(interval) == _slug(self.base_interval):
-            view = self.latest(in_range(_months(fs.partition_values(self.spark, self.latest_path, MONTH))))
-        else:
-            path = self.rollup_path(interval)
-            view = self._read(path)
-            if view is not None:
-                view = view.filter(F.col(MONTH).isin(in_range(_months(fs.partition_values(self.spark, path, MONTH)))))
+        months = [m for m in table.months() if (lo is None or m >= lo) and (hi is None or m <= hi)]
+        view = table.view(months)
         if view is None:
             return None
         return slice_klines(view, symbol, start, end, limit)
 
     # ------------------------------------------------------------ rollups
     def read_rollup(self, width: str = "5 minutes") -> DataFrame | None:
-        return self._read(self.rollup_path(width))
+        """The rollup table: one row per (symbol, open_time), newest run winning."""
+        return self.rollup_table(width).view()
 
     def rollup_high_water(self, width: str = "5 minutes") -> dt.datetime | None:
         """max(open_time) of a rollup table, reading only its newest month.
 
         The month list comes from the folder listing; only the newest
-        non-empty month is scanned (one column).
+        non-empty month is scanned (one column).  Superseded rows cannot
+        change a maximum, so no deduplication is needed.
         """
-        path = self.rollup_path(width)
-        for m in reversed(_months(fs.partition_values(self.spark, path, MONTH))):
-            df = self._read(path)
-            value = df.filter(F.col(MONTH) == m).agg(F.max("open_time").alias("hw")).first()["hw"]
+        table = self.rollup_table(width)
+        for m in reversed(table.months()):
+            value = table.rows([m]).agg(F.max("open_time").alias("hw")).first()["hw"]
             if value is not None:
                 return value
         return None
 
-    def refresh_rollup(self, width: str = "5 minutes", full_refresh: bool = False) -> dict:
+    def refresh_rollup(self, width: str = "5 minutes", full_refresh: bool = False, rewrite: bool = False) -> dict:
         """AGG-3 + FLT-3 + DED-4: the incremental rollup model.
 
-        First run (or ``full_refresh``): roll up everything.  Later runs: rows
-        after the target's high water are rolled up (one shuffle: dedup and
-        bucket in one window) and upserted by key into the months they
-        touch.  The high water is global and strict, so late or revised rows
-        at or before it wait for a full refresh.
+        First run (or ``full_refresh``): roll up everything, month by month.
+        Later runs: base rows after the target's high water are rolled up
+        (one shuffle: dedup and bucket in one window) and upserted by key.
+        By default the upsert appends the new rows with this run's sequence
+        (reads keep the newest run per key), so a run costs what its new rows
+        cost; ``rewrite=True`` instead rewrites the touched months.  The high
+        water is global and strict, so late or revised rows at or before it
+        wait for a full refresh.
         """
-        from wickline.functions.time import EPOCH
-
-        path = self.rollup_path(width)
-        if not fs.has_data(self.spark, self.latest_path):
+        table = self.rollup_table(width)
+        if not self.latest_table.exists():
             return {"mode": "empty", "high_water": None, "months": []}
-        if full_refresh or not fs.has_data(self.spark, path):
-            return {"mode": "full", "high_water": None, "months": self._rebuild_rollup(width)}
+        run = int(time.time() * 1000)
+        if full_refresh or not table.exists():
+            return {"mode": "full", "high_water": None, "months": self._rebuild_rollup(width, run)}
         hw = self.rollup_high_water(width) or EPOCH
         fresh = after_high_water(self.latest_rows(), hw)
-        new = rollup_last(fresh.drop(MONTH), width).withColumn(MONTH, month_key("open_time")).persist()
+        new = (
+            rollup_last(fresh.drop(MONTH), width)
+            .withColumn(MONTH, month_key("open_time"))
+            .withColumn(RUN_SEQ, F.lit(run).cast("long"))
+        )
+        if rewrite:
+            new = new.persist()
+            try:
+                touched = table.upsert_rewrite(new)
+            finally:
+                new.unpersist()
+            return {"mode": "rewrite", "high_water": hw, "months": touched}
+        staged = clustered(new, None, KEY, rebalance=True).persist()
         try:
-            touched = _months(r[MONTH] for r in new.select(MONTH).distinct().collect())
+            touched = months_of(r[MONTH] for r in staged.select(MONTH).distinct().collect())
             if touched:
-                self.upsert(new, path, touched)
+                table.append(staged, touched)
         finally:
-            new.unpersist()
+            staged.unpersist()
         return {"mode": "incremental", "high_water": hw, "months": touched}
 
-    def _rebuild_rollup(self, width: str) -> list[int]:
+    def _rebuild_rollup(self, width: str, run: int) -> list[int]:
         """Full rebuild.  When no bucket can cross a month boundary (widths
-        that divide a day, or one month) it runs one month per job with a
-        dynamic overwrite of that month; otherwise in one job."""
-        path = self.rollup_path(width)
-        months = _months(fs.partition_values(self.spark, self.latest_path, MONTH))
-        n, unit = parse_width(width)
+        that divide a day, or one month) it runs one month per job, each
+        replacing its month; otherwise in one job."""
+        table = self.rollup_table(width)
+        months = self.latest_table.months()
+        _, unit = parse_width(width)
         per_month = unit == "month" or (unit in ("second", "minute", "hour", "day") and 86400 % width_seconds(width) == 0)
         groups = [[m] for m in months] if per_month else [months]
         for group in groups:
-            out = rollup_last(self.latest_rows(group).drop(MONTH), width).withColumn(MONTH, month_key("open_time"))
-            # month by month: each month is replaced on its own, readers never
-            # see an emptied table, and months are done in ascending order so
-            # an interrupted rebuild is completed by the next incremental run
-            mode = "dynamic" if per_month else "static"
-            (
-                clustered(out, self.partitions, self.key)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", mode)
-                .option("compression", "zstd")
-                .partitionBy(MONTH)
-                .parquet(path)
+            out = (
+                rollup_last(self.latest_rows(group).drop(MONTH), width)
+                .withColumn(MONTH, month_key("open_time"))
+                .withColumn(RUN_SEQ, F.lit(run).cast("long"))
             )
+            # per month: replace that month; otherwise buckets may land in
+            # other months than their rows, so the whole table is replaced
+            table.overwrite_unique(out, group if per_month else None)
         return months
 
-    def upsert(self, new: DataFrame, path: str, touched: Sequence[int] | None = None) -> list[int]:
-        """DED-4 on disk: in each touched month, new rows replace rows with the
-        same key and all other rows are kept.
+    def compact_rollup(self, width: str = "5 minutes", months: Iterable[int] | None = None) -> list[int]:
+        return self.rollup_table(width).compact(months)
 
-        Only the touched months are read (partition pruning) and rewritten.
-        The anti join is planned by AQE: a broadcast join when the measured
-        new side is small, a shuffle join otherwise.
-        """
-        if touched is None:
-            touched = _months(r[MONTH] for r in new.select(MONTH).distinct().collect())
-        if not touched:
-            return []
-        target = self._read(path)
-        if target is None:
-            merged = new
-        else:
-            current = target.filter(F.col(MONTH).isin(list(touched)))
-            kept = current.join(new.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
-            merged = kept.unionByName(new.select(*current.columns))
-        self._replace_months(merged, path)
-        return list(touched)
+    def upsert(self, new: DataFrame, width: str = "5 minutes") -> list[int]:
+        """DED-4 on disk by rewriting the months ``new`` touches (rows of
+        ``new`` replace rows with the same key, all others are kept)."""
+        if RUN_SEQ not in new.columns:
+            new = new.withColumn(RUN_SEQ, F.lit(int(time.time() * 1000)).cast("long"))
+        return self.rollup_table(width).upsert_rewrite(new)
 
 
 def table_counts(df: DataFrame) -> DataFrame:
@@ -377,6 +270,3 @@ def table_counts(df: DataFrame) -> DataFrame:
 def newest_load_first(df: DataFrame) -> DataFrame:
     """SRT-3: history ordered newest load first, then by key."""
     return df.orderBy(F.col(VERSION).desc(), F.col(LOAD_SEQ).desc(), *KEY)
-
-
-__all__ = ["CandleStore", "clustered", "newest_load_first", "table_counts", "Window"]
