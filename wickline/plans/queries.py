@@ -257,6 +257,23 @@ def q_pipeline_backfill_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.latest().drop("created_at", "open_month")
 
 
+def q_pipeline_incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into the tables, a full first rollup, then an incremental run
+    (rows after the high water, appended as a new run) read back merged.
+
+    Rows of one load are appended in event-time order, so the later version
+    of a candle is the later row of its load.
+    """
+    store = CandleStore(spark, scratch_path(spark, "incremental"))
+    candles = event_candles(spark, sf_dir).sortWithinPartitions("symbol", "open_time", "created_at")
+    cut = as_ntz(INCREMENTAL_CUT)
+    store.append(candles.filter(F.col("open_time") < cut))
+    store.refresh_rollup("5 minutes")
+    store.append(candles.filter(F.col("open_time") >= cut))
+    store.refresh_rollup("5 minutes")
+    return store.read_rollup("5 minutes").drop("created_at", "open_month")
+
+
 QUERIES: dict[str, Query] = {
     "latest_candles": q_latest_candles,
     "rollup_5min": q_rollup_5min,
@@ -279,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "rest_roundtrip": q_rest_roundtrip,
     "pipeline_rollup_5min": q_pipeline_rollup_5min,
     "pipeline_backfill_latest": q_pipeline_backfill_latest,
+    "pipeline_incremental_rollup": q_pipeline_incremental_rollup,
 }
 
 
@@ -417,6 +435,7 @@ FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         + f"SELECT {', '.join(LANDING_COLUMNS)}, {_ts(LOAD_TIME)} AS created_at FROM latest",
         "pipeline_rollup_5min": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({rollup5})",
         "pipeline_backfill_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
+        "pipeline_incremental_rollup": f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({incremental})",
     }
 
 
