@@ -30,7 +30,7 @@ from wickline.plans.store import CandleStore
 from wickline.session import scratch_path
 from wickline.sources.landing import landing_text, write_landing
 from wickline.sources.pages import format_kline_row, parse_kline_pages
-from wickline.streaming.ingest import backfill, run_once
+from wickline.streaming.ingest import backfill, run_once, start_message_ingest
 from wickline.sources.payloads import (
     new_landing_files,
     parse_stream_klines,
@@ -159,34 +159,7 @@ def q_ticker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candles = event_candles(spark, sf_dir)
-    s = lambda c: F.col(c).cast("string")
-    kline = F.struct(
-        to_epoch_millis("open_time").alias("t"),
-        to_epoch_millis("close_time").alias("T"),
-        F.col("symbol").alias("s"),
-        F.lit("1m").alias("i"),
-        F.col("number_of_trades").alias("f"),
-        F.col("number_of_trades").alias("L"),
-        s("open_price").alias("o"),
-        s("close_price").alias("c"),
-        s("high_price").alias("h"),
-        s("low_price").alias("l"),
-        s("volume").alias("v"),
-        F.col("number_of_trades").alias("n"),
-        F.lit(True).alias("x"),
-        s("quote_asset_volume").alias("q"),
-        s("taker_buy_base_asset_volume").alias("V"),
-        s("taker_buy_quote_asset_volume").alias("Q"),
-        F.col("ignore").alias("B"),
-    )
-    msg = F.struct(
-        F.lit("kline").alias("e"),
-        to_epoch_millis("created_at").alias("E"),
-        F.col("symbol").alias("s"),
-        kline.alias("k"),
-    )
-    messages = candles.select(F.to_json(msg).alias("body"))
+    messages = _kline_messages(event_candles(spark, sf_dir))
     return type_stream_klines(parse_stream_klines(messages))
 
 
@@ -274,6 +247,49 @@ def q_pipeline_incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame
     return store.read_rollup("5 minutes").drop("created_at", "open_month")
 
 
+def _kline_messages(candles: DataFrame) -> DataFrame:
+    """Typed candles -> live candle message text (event time = created_at)."""
+    s = lambda c: F.col(c).cast("string")
+    kline = F.struct(
+        to_epoch_millis("open_time").alias("t"),
+        to_epoch_millis("close_time").alias("T"),
+        F.col("symbol").alias("s"),
+        F.lit("1m").alias("i"),
+        F.col("number_of_trades").alias("f"),
+        F.col("number_of_trades").alias("L"),
+        s("open_price").alias("o"),
+        s("close_price").alias("c"),
+        s("high_price").alias("h"),
+        s("low_price").alias("l"),
+        s("volume").alias("v"),
+        F.col("number_of_trades").alias("n"),
+        F.lit(True).alias("x"),
+        s("quote_asset_volume").alias("q"),
+        s("taker_buy_base_asset_volume").alias("V"),
+        s("taker_buy_quote_asset_volume").alias("Q"),
+        F.col("ignore").alias("B"),
+    )
+    msg = F.struct(
+        F.lit("kline").alias("e"),
+        to_epoch_millis("created_at").alias("E"),
+        F.col("symbol").alias("s"),
+        kline.alias("k"),
+    )
+    return candles.select(F.to_json(msg).alias("body"))
+
+
+def q_pipeline_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6 end to end: live candle messages (text files) -> message stream ->
+    tables -> deduplicated view.  Updates of one candle are resolved by the
+    message's event time."""
+    work = scratch_path(spark, "messages")
+    _kline_messages(event_candles(spark, sf_dir)).write.mode("errorifexists").text(f"{work}/in")
+    store = CandleStore(spark, f"{work}/tables")
+    stream = spark.readStream.schema("value string").text(f"{work}/in").withColumnRenamed("value", "body")
+    start_message_ingest(stream, store, f"{work}/checkpoint", kind="kline", available_now=True).awaitTermination()
+    return store.latest().drop("created_at", "open_month")
+
+
 QUERIES: dict[str, Query] = {
     "latest_candles": q_latest_candles,
     "rollup_5min": q_rollup_5min,
@@ -297,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_rollup_5min": q_pipeline_rollup_5min,
     "pipeline_backfill_latest": q_pipeline_backfill_latest,
     "pipeline_incremental_rollup": q_pipeline_incremental_rollup,
+    "pipeline_stream_messages": q_pipeline_stream_messages,
 }
 
 
@@ -436,6 +453,7 @@ FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         "pipeline_rollup_5min": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({rollup5})",
         "pipeline_backfill_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
         "pipeline_incremental_rollup": f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({incremental})",
+        "pipeline_stream_messages": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
     }
 
 

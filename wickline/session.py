@@ -34,9 +34,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    configured = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    configured = sc.getCheckpointDir() if sc is not None else None
     if configured:
         return configured
     return spark.conf.get("spark.checkpoint.dir", None)
@@ -49,15 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is.  Only an unset value (tests, the benchmark) falls back to a fresh
     folder on this machine.
     """
+    sc = _context(spark)
     existing = checkpoint_dir(spark)
     if existing:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(existing)
-        return spark.sparkContext.getCheckpointDir() or existing
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(existing)
+        return (sc.getCheckpointDir() if sc is not None else None) or existing
     local = tempfile.mkdtemp(prefix="wickline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickline.functions.convert import stamp, type_klines
 from wickline.functions.time import epoch_ntz, month_key
-from wickline.operators.quality import SchemaError, assert_schema
+from wickline.operators.quality import assert_schema
 from wickline.plans.store import CandleStore
 from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ
 from wickline.sources.landing import read_landing, with_file_sequence
