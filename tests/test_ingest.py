@@ -237,3 +237,17 @@ def test_bad_values_and_missing_columns_isolated(spark, workdir):
     status = {os.path.basename(r[0]): r[1] for r in result.report}
     assert status == {"good.parquet": "loaded", "text_bad.parquet": "failed", "missing.parquet": "failed"}
     assert store.latest().count() == 3
+
+
+def test_archive_processed_files(spark, workdir):
+    land = f"{workdir}/landing"
+    _write(f"{land}/a/one.parquet", _typed_table(F3_ROWS))
+    _write(f"{land}/b/two.parquet", _typed_table(F3_ROWS, "ETHUSD"))
+    store = CandleStore(spark, f"{workdir}/tables")
+    run_once(spark, land, store, f"{workdir}/ckpt", max_files=1, archive_dir=f"{workdir}/archive")
+    assert store.latest().count() == 6
+    archived = [f for _, _, fs in os.walk(f"{workdir}/archive") for f in fs if f.endswith(".parquet")]
+    left = [f for _, _, fs in os.walk(land) for f in fs if f.endswith(".parquet")]
+    # the last batch's files are archived when the next batch (or restart) commits
+    assert "one.parquet" in archived or "two.parquet" in archived
+    assert len(archived) + len(left) == 2

@@ -84,13 +84,24 @@ class KeyedTable:
 
     # ------------------------------------------------------------ reading
     def rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
-        """Stored rows, superseded versions included."""
+        """Stored rows, superseded versions included.
+
+        With ``months`` only those month folders are listed and read
+        (``basePath`` keeps ``open_month`` as a column): a path-based read of
+        the whole table would list every file of every month on the driver
+        before pruning.
+        """
         if not self.exists():
             return None
-        df = self.spark.read.parquet(self.path)
-        if months is not None:
-            df = df.filter(F.col(MONTH).isin(months_of(months)))
-        return df
+        if months is None:
+            return self.spark.read.parquet(self.path)
+        listed = self.months()
+        wanted = [m for m in months_of(months) if m in set(listed)]
+        reader = self.spark.read.option("basePath", self.path)
+        if not wanted:
+            # an empty result with the table's schema, listing one month only
+            return reader.parquet(f"{self.path}/{MONTH}={listed[-1]}").where(F.lit(False))
+        return reader.parquet(*[f"{self.path}/{MONTH}={m}" for m in wanted])
 
     def dedup(self, rows: DataFrame) -> DataFrame:
         """One row per key, greatest version.  ``open_month`` joins the window

@@ -209,7 +209,9 @@ class CandleStore:
         if full_refresh or not table.exists():
             return {"mode": "full", "high_water": None, "months": self._rebuild_rollup(width, run)}
         hw = self.rollup_high_water(width) or EPOCH
-        fresh = after_high_water(self.latest_rows(), hw)
+        # only months at or after the high water's month are listed and read
+        months = [m for m in self.latest_table.months() if m >= hw.year * 100 + hw.month]
+        fresh = after_high_water(self.latest_rows(months), hw)
         new = (
             rollup_last(fresh.drop(MONTH), width)
             .withColumn(MONTH, month_key("open_time"))

@@ -67,23 +67,31 @@ class BatchLoadError(RuntimeError):
 
 
 def landing_file_stream(
-    spark: SparkSession, base: str, max_files: int = MAX_FILES_PER_BATCH, glob: str = "*.parquet"
+    spark: SparkSession,
+    base: str,
+    max_files: int = MAX_FILES_PER_BATCH,
+    glob: str = "*.parquet",
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """SRC-6 / FLT-2: new ``*.parquet`` names under ``base``, at most ``max_files`` per batch.
 
     Nested folders (``year=2025/``) are searched and never become columns.
     Zero-byte files are never listed.  A name already committed is not read
-    again, so writers must use fresh names.
+    again, so writers must use fresh names.  The source lists ``base`` on
+    every trigger; with ``archive_dir`` the files of each committed batch
+    are moved there (``cleanSource=archive``), which keeps that listing to
+    the files still waiting.
     """
-    return (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
-        .load(base)
-        .select("path", "length", "modificationTime")
     )
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.load(base).select("path", "length", "modificationTime")
 
 
 def _norm_path(p: str) -> str:
@@ -277,6 +285,7 @@ def start_ingest(
     max_files: int = MAX_FILES_PER_BATCH,
     quarantine: str | None = None,
     reports: list | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """STR-1 (continuous, a batch every ``poll_seconds``) or STR-2 (``available_now``:
     drain what is waiting in batches of ``max_files``, then stop).
@@ -309,7 +318,7 @@ def start_ingest(
         raise BatchLoadError(result.report)
 
     writer = (
-        landing_file_stream(spark, landing_base, max_files)
+        landing_file_stream(spark, landing_base, max_files, archive_dir=archive_dir)
         .writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
     )
