@@ -26,6 +26,7 @@ from wickline.operators.rollup import (
 from wickline.operators.slices import plan_pages, slice_klines, top_n_per_symbol
 from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS
 from wickline.sources.events import event_candles, read_table
+from wickline.sources.exchange_info import flatten_exchange_info
 from wickline.plans.store import CandleStore
 from wickline.session import scratch_path
 from wickline.sources.landing import landing_text, write_landing
@@ -290,6 +291,57 @@ def q_pipeline_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.latest().drop("created_at", "open_month")
 
 
+FILTER_COLUMNS = ["minPrice", "maxPrice", "tickSize", "minQty", "maxQty", "stepSize", "maxNumOrders"]
+
+
+def _filter(tag: str, **values) -> F.Column:
+    """One symbol filter with every field of the union; absent ones stay NULL
+    and ``to_json`` leaves them out."""
+    from wickline.sources.exchange_info import FILTER_FIELD_TYPES
+
+    fields = [F.lit(tag).alias("filterType")]
+    for name, dtype in FILTER_FIELD_TYPES.items():
+        fields.append((values[name] if name in values else F.lit(None).cast(dtype)).alias(name))
+    return F.struct(*fields)
+
+
+def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10/11 on documents derived from events: one exchange-info document
+    per (symbol, day) whose symbol filters come from that day's events,
+    flattened and tag-checked back into filter rows."""
+    events = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    stats = events.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("day")).agg(
+        F.min("value").alias("mn"), F.max("value").alias("mx"), F.min(k).alias("kmin"), F.max(k).alias("kmax"), F.count(F.lit(1)).alias("n")
+    )
+    text = lambda c: c.cast("long").cast("string")
+    symbol = F.struct(
+        F.col("symbol").alias("symbol"), F.lit("TRADING").alias("status"), F.col("symbol").alias("baseAsset"),
+        F.lit(8).alias("baseAssetPrecision"), F.lit("USDT").alias("quoteAsset"), F.lit(8).alias("quoteAssetPrecision"),
+        F.lit(8).alias("baseCommissionPrecision"), F.lit(8).alias("quoteCommissionPrecision"),
+        F.array(F.lit("LIMIT"), F.lit("MARKET")).alias("orderTypes"), F.lit(True).alias("icebergAllowed"),
+        F.lit(True).alias("ocoAllowed"), F.lit(True).alias("otoAllowed"), F.lit(True).alias("quoteOrderQtyMarketAllowed"),
+        F.lit(False).alias("allowTrailingStop"), F.lit(False).alias("cancelReplaceAllowed"),
+        F.lit(True).alias("isSpotTradingAllowed"), F.lit(False).alias("isMarginTradingAllowed"),
+        F.array(
+            _filter("PRICE_FILTER", minPrice=text(F.floor("mn")), maxPrice=text(F.ceil("mx")), tickSize=F.lit("0.01")),
+            _filter("LOT_SIZE", minQty=F.col("kmin").cast("string"), maxQty=F.col("kmax").cast("string"), stepSize=F.lit("1")),
+            _filter("MAX_NUM_ORDERS", maxNumOrders=F.col("n")),
+        ).alias("filters"),
+        F.array().cast("array<string>").alias("permissions"),
+        F.array(F.array(F.lit("SPOT"))).alias("permissionSets"),
+        F.lit("NONE").alias("defaultSelfTradePreventionMode"),
+        F.array(F.lit("NONE")).alias("allowedSelfTradePreventionModes"),
+    )
+    doc = F.struct(
+        F.lit("UTC").alias("timezone"),
+        to_epoch_millis(F.col("day").cast("timestamp_ntz")).alias("serverTime"),
+        F.array(symbol).alias("symbols"),
+    )
+    tables = flatten_exchange_info(stats.select(F.to_json(doc).alias("body")))
+    return tables["symbol_filters"].select("server_time", "symbol", "position", "filter_type", *FILTER_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "latest_candles": q_latest_candles,
     "rollup_5min": q_rollup_5min,
@@ -314,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_backfill_latest": q_pipeline_backfill_latest,
     "pipeline_incremental_rollup": q_pipeline_incremental_rollup,
     "pipeline_stream_messages": q_pipeline_stream_messages,
+    "exchange_info_filters": q_exchange_info_filters,
 }
 
 
@@ -454,6 +507,20 @@ FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         "pipeline_backfill_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
         "pipeline_incremental_rollup": f"SELECT {', '.join(LANDING_COLUMNS)} FROM ({incremental})",
         "pipeline_stream_messages": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
+        "exchange_info_filters": """WITH s AS (
+  SELECT event_type AS symbol, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS server_time,
+    min(value) AS mn, max(value) AS mx,
+    min(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS kmin,
+    max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS kmax, count(*) AS n
+  FROM events GROUP BY event_type, CAST(ts AS DATE))
+SELECT server_time, symbol, 0 AS position, 'PRICE_FILTER' AS filter_type,
+  CAST(CAST(floor(mn) AS BIGINT) AS VARCHAR) AS minPrice, CAST(CAST(ceil(mx) AS BIGINT) AS VARCHAR) AS maxPrice,
+  '0.01' AS tickSize, NULL::VARCHAR AS minQty, NULL::VARCHAR AS maxQty, NULL::VARCHAR AS stepSize, NULL::BIGINT AS maxNumOrders
+FROM s
+UNION ALL
+SELECT server_time, symbol, 1, 'LOT_SIZE', NULL, NULL, NULL, CAST(kmin AS VARCHAR), CAST(kmax AS VARCHAR), '1', NULL FROM s
+UNION ALL
+SELECT server_time, symbol, 2, 'MAX_NUM_ORDERS', NULL, NULL, NULL, NULL, NULL, NULL, n FROM s""",
     }
 
 
