@@ -6,15 +6,17 @@ only (the content column is never read).  Each micro-batch holds at most
 ``max_files`` names; ``foreachBatch`` checks every file's footer, loads all
 good files in one parallel read, appends them to the candle tables, and
 raises if any file was bad.  The checkpoint commits a batch only after
-``foreachBatch`` returns, so a failed batch is retried whole on restart
-(at least once, like the source system); the deduplicated view absorbs the
-replayed rows.
+``foreachBatch`` returns, so a failed batch is retried whole on restart;
+a per-batch ledger in the checkpoint folder makes the retry append only the
+files the failed attempt did not, so each file reaches the append-only
+table once.
 """
 
 from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import json
 import time
 import urllib.parse
 from collections.abc import Sequence
@@ -29,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wickline.functions.convert import stamp, type_klines
 from wickline.functions.time import epoch_ntz, month_key
 from wickline.operators.quality import assert_schema
+from wickline.plans import fs
 from wickline.plans.store import CandleStore
 from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ
 from wickline.sources.landing import read_landing, with_file_sequence
@@ -275,6 +278,35 @@ def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetim
     store.append(_typed(raw, store.columns), now=now)
 
 
+class BatchLedger:
+    """Files already appended by each micro-batch, kept in the stream's
+    checkpoint folder.
+
+    ``foreachBatch`` may run a batch again after a failure; files the
+    earlier attempt appended are skipped, so the append-only table gets each
+    file once.  The record is written right after the appends, so only a
+    crash between the two can still duplicate a file (the deduplicated view
+    is unaffected).  A fresh checkpoint starts a fresh ledger, as the stream
+    itself restarts from batch 0.
+    """
+
+    KEEP = 100
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.spark = spark
+        self.base = f"{checkpoint.rstrip('/')}/loaded_files"
+
+    def loaded(self, batch_id: int) -> set[str]:
+        text = fs.read_text(self.spark, f"{self.base}/{batch_id}")
+        return set(json.loads(text)) if text else set()
+
+    def record(self, batch_id: int, paths: set[str]) -> None:
+        fs.write_text(self.spark, f"{self.base}/{batch_id}", json.dumps(sorted(paths)))
+        if batch_id >= self.KEEP:
+            # batches this old were committed and are never replayed
+            fs.delete(self.spark, f"{self.base}/{batch_id - self.KEEP}")
+
+
 def start_ingest(
     spark: SparkSession,
     landing_base: str,
@@ -291,17 +323,25 @@ def start_ingest(
     drain what is waiting in batches of ``max_files``, then stop).
 
     STR-3: a batch with a bad file raises after its good files are appended,
-    so the checkpoint does not commit it and a restart retries the batch.
+    so the checkpoint does not commit it and a restart retries the batch;
+    the retry appends only the files not yet appended (``BatchLedger``).
     With ``quarantine`` (a folder) failures are recorded there and the batch
     commits instead.  ``query.stop()`` stops gracefully between batches.
     """
 
+    ledger = BatchLedger(spark, checkpoint)
+
     def run_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         names = [r["path"] for r in files.select("path").collect()]  # at most max_files rows
         if not names:
             return
-        result = load_files(session, names, store)
+        done = ledger.loaded(batch_id)
+        result = load_files(session, [p for p in names if p not in done], store)
+        loaded = {r[0] for r in result.report if r[1] == "loaded"}
+        if loaded:
+            ledger.record(batch_id, done | loaded)
+        result = LoadResult([(p, "loaded", 0, "loaded by an earlier attempt") for p in names if p in done] + result.report)
         if reports is not None:
             reports.append((batch_id, result.report))
         if result.ok:
