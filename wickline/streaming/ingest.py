@@ -33,7 +33,7 @@ from wickline.functions.time import epoch_ntz, month_key
 from wickline.operators.quality import assert_schema
 from wickline.plans import fs
 from wickline.plans.store import CandleStore
-from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ
+from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ, MONTH
 from wickline.sources.landing import read_landing, with_file_sequence
 from wickline.sources.payloads import parse_stream_klines, parse_tickers, type_stream_klines, type_tickers
 
@@ -214,16 +214,21 @@ def load_files(
         staged = store.stage(store.prepare(batch.withColumn("__bad", any_null), now=now, load_ms=load_ms, keep=("__bad",))).persist()
         cached.append(staged)
         try:
-            stats = {
-                r["source"]: (r["n"], r["bad"])
-                for r in staged.groupBy(source.alias("source"))
+            # one pass over the cached batch: rows, bad rows and months per file
+            grouped = (
+                staged.groupBy(source.alias("source"), F.col(MONTH))
                 .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__bad")).alias("bad"))
                 .collect()
-            }
+            )
+            stats: dict[str, tuple[int, int]] = {}
+            for r in grouped:
+                n, bad = stats.get(r["source"], (0, 0))
+                stats[r["source"]] = (n + r["n"], bad + r["bad"])
             rejected = [k for k, (_, bad) in stats.items() if bad]
+            touched = sorted({r[MONTH] for r in grouped if r["source"] not in rejected})
             keep = staged.filter(~source.isin(rejected)) if rejected else staged
-            if any(n for k, (n, _) in stats.items() if k not in rejected):
-                store.append_staged(keep.drop("__bad"))
+            if touched:
+                store.append_staged(keep.drop("__bad"), touched)
         finally:
             for df in cached:
                 df.unpersist()
