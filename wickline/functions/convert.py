@@ -15,10 +15,9 @@ from wickline.schemas import CANDLE, CANDLE_COLUMNS, DOUBLE_COLUMNS
 
 def _strict_double(c: Column) -> Column:
     """Text -> double that raises on bad input whatever the ANSI setting."""
-    parsed = c.try_cast("double")
-    return F.when(c.isNull() | parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("invalid number: "), c.cast("string")))
-    )
+    # try_cast once; raise only when a non-NULL input did not parse
+    failed = F.raise_error(F.concat(F.lit("invalid number: "), c.cast("string"))).cast("double")
+    return F.coalesce(c.try_cast("double"), F.when(c.isNotNull(), failed))
 
 
 def _to_ntz(c: Column, dtype: T.DataType) -> Column:

@@ -28,10 +28,8 @@ _INT_FIELDS = {"open_time", "close_time", "number_of_trades"}
 
 
 def _strict_long(c: Column, name: str) -> Column:
-    parsed = c.try_cast("long")
-    return F.when(c.isNull() | parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit(f"invalid integer in {name}: "), c))
-    )
+    failed = F.raise_error(F.concat(F.lit(f"invalid integer in {name}: "), c)).cast("long")
+    return F.coalesce(c.try_cast("long"), F.when(c.isNotNull(), failed))
 
 
 def parse_kline_pages(df: DataFrame, symbol_col: str = "symbol", payload_col: str = "payload") -> DataFrame:
