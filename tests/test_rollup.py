@@ -153,8 +153,11 @@ def test_clean_months_skip_dedup_until_appended(spark, workdir):
     assert "Window" not in plan and store.latest().count() == 10
     store.append(candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 0), 42)]), now=dt.datetime(2025, 2, 4))
     assert store.clean_months() == [202501]
+    assert store.latest_table.compact() == [202502]  # only the dirty month is rewritten
+    assert store.clean_months() == [202501, 202502]
+    store.append(candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 1), 43)]), now=dt.datetime(2025, 2, 5))
     got = {r.open_time: r.open_price for r in store.latest().collect()}
-    assert len(got) == 10 and got[dt.datetime(2025, 2, 1, 0, 0)] == 42.0
+    assert len(got) == 10 and got[dt.datetime(2025, 2, 1, 0, 0)] == 42.0 and got[dt.datetime(2025, 2, 1, 0, 1)] == 43.0
     assert "Window" in store.latest()._jdf.queryExecution().executedPlan().toString()
 
 

@@ -184,13 +184,19 @@ class KeyedTable:
     def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
         """DED-2: rewrite months with one row per key, a few months per job.
 
+        Without ``months`` only the dirty months (appended to since their last
+        compaction) are rewritten; clean months already hold one row per key.
         Each job shuffles at most ``months_per_job`` months, and a failure
         leaves every month either old or compacted, never half written.
         """
         if not self.exists():
             return []
         listed = self.months()
-        wanted = [m for m in months_of(months) if m in listed] if months is not None else listed
+        if months is not None:
+            wanted = [m for m in months_of(months) if m in listed]
+        else:
+            clean = set(self.clean_months())
+            wanted = [m for m in listed if m not in clean]
         step = max(1, months_per_job)
         for i in range(0, len(wanted), step):
             chunk = wanted[i : i + step]

@@ -414,13 +414,21 @@ def start_message_ingest(
     available_now: bool = False,
     poll_seconds: int = POLL_SECONDS,
 ) -> StreamingQuery:
-    """STR-6: any streaming DataFrame with a string body -> candle or ticker tables."""
+    """STR-6: any streaming DataFrame with a string body -> candle or ticker tables.
+
+    A batch is appended whole; the ledger in the checkpoint folder makes a
+    replay of an appended batch a no-op.
+    """
     if kind not in ("kline", "ticker"):
         raise ValueError("kind must be 'kline' or 'ticker'")
     if kind == "ticker" and not ticker_path:
         raise ValueError("ticker_path is required for tickers")
 
+    ledger = BatchLedger(messages.sparkSession, checkpoint)
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
+        if ledger.loaded(batch_id):
+            return  # appended by an earlier attempt of this batch
         load_ms = int(time.time() * 1000)
         if kind == "kline":
             candles = stream_candles(batch, body_col, load_ms)
@@ -429,6 +437,7 @@ def start_message_ingest(
             now = dt.datetime.fromtimestamp(load_ms / 1000, dt.timezone.utc).replace(tzinfo=None)
             tickers = stamp(stream_tickers(batch, body_col), ["symbol", "price", "time", "created_at"], now=now)
             tickers.withColumn("open_month", month_key("time")).write.mode("append").partitionBy("open_month").parquet(ticker_path)
+        ledger.record(batch_id, {"batch"})
 
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{poll_seconds} seconds")
