@@ -254,3 +254,15 @@ def test_archive_processed_files(spark, workdir):
     # the last batch's files are archived when the next batch (or restart) commits
     assert "one.parquet" in archived or "two.parquet" in archived
     assert len(archived) + len(left) == 2
+
+
+def test_key_value_folders_do_not_become_columns(spark, workdir):
+    land = f"{workdir}/landing"
+    a = _write(f"{land}/year=2025/month=01/a.parquet", _typed_table(F3_ROWS))
+    b = _write(f"{land}/year=2024/b.parquet", _typed_table(F3_ROWS, "ETHUSD"))
+    store = CandleStore(spark, f"{workdir}/tables")
+    assert load_files(spark, [a, b], store).ok
+    assert "year" not in store.history().columns and store.latest().count() == 6
+    assert "year" not in read_landing(spark, land).columns
+    run_once(spark, land, CandleStore(spark, f"{workdir}/tables2"), f"{workdir}/ckpt")
+    assert CandleStore(spark, f"{workdir}/tables2").latest().count() == 6
