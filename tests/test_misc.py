@@ -98,3 +98,14 @@ def test_results_do_not_depend_on_session_zone(spark, name):
             assert got == want, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_flag_candles_and_stamp_format(spark):
+    from wickline.functions.time import stamp_format
+    from wickline.operators.quality import flag_candles
+
+    df = candles_df(spark, [("A", dt.datetime(2025, 1, 1, 12, 30, 5, 123456), 1)], dt.datetime(2025, 1, 2))
+    bad = df.withColumn("number_of_trades", F.lit(-1).cast("long"))
+    r = flag_candles(bad).first()
+    assert (r.ok_time_order, r.ok_low_le_high, r.ok_trades_non_negative, r.ok_volume_non_negative) == (True, True, False, True)
+    assert df.select(stamp_format("open_time").alias("s")).first().s == "20250101123005123456"

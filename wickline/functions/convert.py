@@ -86,12 +86,3 @@ def default_created_at(df: DataFrame, column: str = "created_at") -> DataFrame:
         return df.withColumn(column, now)
     return df.withColumn(column, F.coalesce(F.col(column), now))
 
-
-def with_month(df: DataFrame, time_col: str = "open_time", name: str = "open_month") -> DataFrame:
-    from wickline.functions.time import month_key
-
-    return df.withColumn(name, month_key(F.col(time_col)))
-
-
-def candle_select(df: DataFrame) -> DataFrame:
-    return df.select(*CANDLE_COLUMNS)

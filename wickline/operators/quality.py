@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickline.functions.time import as_ntz, width_seconds
-from wickline.schemas import CANDLE_COLUMNS, KEY, LANDING, LANDING_COLUMNS
+from wickline.schemas import CANDLE_COLUMNS, KEY, LANDING
 
 
 class SchemaError(ValueError):
@@ -118,5 +118,3 @@ def assert_landing_schema(schema: T.StructType | DataFrame) -> T.StructType:
         raise SchemaError(f"landing schema mismatch: {got} != {want}")
     return schema
 
-
-LANDING_REQUIRED = LANDING_COLUMNS

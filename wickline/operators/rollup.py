@@ -10,12 +10,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickline.functions.time import EPOCH, as_ntz, bucket_start, month_key
+from wickline.functions.time import EPOCH, as_ntz, bucket_start
 from wickline.operators.dedup import latest_by_key
-from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ, MONTH, VERSION
+from wickline.schemas import LOAD_SEQ, MONTH, VERSION
 
 _BUCKET = "__bucket"
 _RN = "__rn"
@@ -130,10 +130,3 @@ def incremental_rollup(
     fresh = after_high_water(base, hw, time_col)
     return rollup_last(fresh, width, time_col), hw
 
-
-def candle_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in CANDLE_COLUMNS if c in df.columns])
-
-
-def month_column(df: DataFrame, time_col: str = "open_time") -> Column:
-    return month_key(F.col(time_col)).alias(MONTH)

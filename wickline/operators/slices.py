@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickline.functions.time import (
     as_ntz,
     floor_to_second_millis,
     from_epoch_millis,
-    to_epoch_millis,
     width_seconds,
 )
 
@@ -113,7 +112,3 @@ def backfill_estimate(pages: DataFrame, requests_per_second: float = 20.0) -> Da
         F.sum("candles").alias("candles"),
         (F.count(F.lit(1)) / F.lit(float(requests_per_second))).alias("seconds"),
     )
-
-
-def epoch_millis(c: Column | str) -> Column:
-    return to_epoch_millis(c)

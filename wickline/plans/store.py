@@ -34,7 +34,7 @@ from wickline.schemas import CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
 
 RUN_SEQ = "run_seq"
 
-__all__ = ["CandleStore", "clustered", "newest_load_first", "table_counts", "RUN_SEQ"]
+__all__ = ["CandleStore", "clustered", "newest_load_first", "RUN_SEQ"]
 
 
 def _slug(width: str) -> str:
@@ -264,10 +264,6 @@ class CandleStore:
         return self.rollup_table(width).upsert_rewrite(new)
 
 
-def table_counts(df: DataFrame) -> DataFrame:
-    """Rows per month (a cheap health figure for dashboards and tests)."""
-    return df.groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"))
-
 
 def newest_load_first(df: DataFrame) -> DataFrame:
     """SRT-3: history ordered newest load first, then by key."""

@@ -96,7 +96,3 @@ def read_landing(spark: SparkSession, *paths: str) -> DataFrame:
         .option("ignoreCorruptFiles", "false")
         .parquet(*paths)
     )
-
-
-def landing_columns() -> list[str]:
-    return list(LANDING_COLUMNS)
