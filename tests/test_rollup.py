@@ -197,3 +197,12 @@ def test_week_rebuild_replaces_whole_table(spark, workdir):
     store.refresh_rollup("7 days", full_refresh=True)
     got = [(r.open_time, r.open_price) for r in store.read_rollup("7 days").collect()]
     assert got == [(dt.datetime(2025, 1, 30), 2.0)]  # epoch-aligned week starting on a Thursday
+
+
+def test_rewrite_partitions_follow_bytes():
+    from wickline.plans.keyed import TARGET_FILE_BYTES, partitions_for
+
+    assert partitions_for(0) == 1
+    assert partitions_for(TARGET_FILE_BYTES) == 1
+    assert partitions_for(TARGET_FILE_BYTES + 1) == 2
+    assert partitions_for(8 * 1024**4) == 32768  # an 8 TB month -> 256 MB files

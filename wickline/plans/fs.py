@@ -76,3 +76,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def size_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (0 when absent), from the file system's summary."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getLength())

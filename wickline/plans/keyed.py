@@ -28,10 +28,24 @@ from wickline.schemas import KEY, MONTH
 from wickline.session import scratch_path
 
 
+# Target size of one rewritten parquet file (compressed bytes on disk).
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
 def months_of(values: Iterable[int | str]) -> list[int]:
     return sorted({int(v) for v in values})
 
 
+def partitions_for(size: int, target: int = TARGET_FILE_BYTES) -> int:
+    """Range partitions for a rewrite of ``size`` bytes.
+
+    AQE merges small range partitions but never splits large ones, so a
+    rewrite is sized from the bytes it reads rather than from
+    ``spark.sql.shuffle.partitions``.
+    """
+    return max(1, -(-size // target))
+
+
 def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False) -> DataFrame:
     """SRT-1: group rows by (month, *key) into files and sort inside each file.
 
@@ -67,6 +81,9 @@ class KeyedTable:
     def months(self) -> list[int]:
         return months_of(fs.partition_values(self.spark, self.path, MONTH))
 
+    def month_bytes(self, months: Iterable[int]) -> int:
+        return sum(fs.size_bytes(self.spark, f"{self.path}/{MONTH}={m}") for m in months)
+
     @property
     def _clean_dir(self) -> str:
         return f"{self.path}/_clean_months"
@@ -154,8 +171,9 @@ class KeyedTable:
         try:
             df.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(staging)
             staged = self.spark.read.parquet(staging)
+            parts = self.partitions or partitions_for(fs.size_bytes(self.spark, staging))
             (
-                clustered(staged, self.partitions, self.key)
+                clustered(staged, parts, self.key)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .option("compression", "zstd")
@@ -165,14 +183,16 @@ class KeyedTable:
         finally:
             fs.delete(self.spark, staging)
 
-    def overwrite_unique(self, df: DataFrame, months: Sequence[int] | None = None) -> None:
+    def overwrite_unique(self, df: DataFrame, months: Sequence[int] | None = None, source_bytes: int | None = None) -> None:
         """Replace ``months`` (or, with None, the whole table) with rows known
         to be unique by key and not read from this table (no staging needed),
-        and mark what was written clean."""
+        and mark what was written clean.  ``source_bytes`` (the size of what
+        ``df`` reads) sizes the range partitions."""
         if months is not None:
             self.mark_dirty(months)
+        parts = self.partitions or (partitions_for(source_bytes) if source_bytes is not None else None)
         (
-            clustered(df, self.partitions, self.key)
+            clustered(df, parts, self.key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
             .option("compression", "zstd")

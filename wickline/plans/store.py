@@ -250,7 +250,7 @@ class CandleStore:
             )
             # per month: replace that month; otherwise buckets may land in
             # other months than their rows, so the whole table is replaced
-            table.overwrite_unique(out, group if per_month else None)
+            table.overwrite_unique(out, group if per_month else None, self.latest_table.month_bytes(group))
         return months
 
     def compact_rollup(self, width: str = "5 minutes", months: Iterable[int] | None = None) -> list[int]:
