@@ -266,3 +266,18 @@ def test_key_value_folders_do_not_become_columns(spark, workdir):
     assert "year" not in read_landing(spark, land).columns
     run_once(spark, land, CandleStore(spark, f"{workdir}/tables2"), f"{workdir}/ckpt")
     assert CandleStore(spark, f"{workdir}/tables2").latest().count() == 6
+
+
+def test_optimize_history_keeps_every_row(spark, workdir):
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    for i in range(9):
+        store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 15, 10, i % 3), i)]), now=dt.datetime(2025, 1, 16, 0, i))
+    before = sorted(tuple(r) for r in store.history().drop("load_seq").collect())
+    assert store.optimize_history() == [202501]
+    after = sorted(tuple(r) for r in store.history().drop("load_seq").collect())
+    assert before == after and len(after) == 9
+    files = [f for _, _, fs in os.walk(f"{workdir}/tables/append_only") for f in fs if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert store.latest().count() == 3

@@ -84,3 +84,12 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
+
+
+def file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(visible data files, bytes) under a folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0, 0
+    summary = fs.getContentSummary(p)
+    return int(summary.getFileCount()), int(summary.getLength())

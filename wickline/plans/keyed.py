@@ -226,6 +226,27 @@ class KeyedTable:
             self.mark_clean(chunk)
         return wanted
 
+    def small_file_months(self, min_files: int = 8) -> list[int]:
+        """Months whose files average under a quarter of the target size."""
+        out = []
+        for m in self.months():
+            count, size = fs.file_stats(self.spark, f"{self.path}/{MONTH}={m}")
+            if count >= min_files and size / count < TARGET_FILE_BYTES / 4:
+                out.append(m)
+        return out
+
+    def rewrite_files(self, months: Iterable[int] | None = None) -> list[int]:
+        """Merge small files of months without changing a single row (no
+        deduplication): each month's rows are rewritten as sized, clustered
+        files.  Clean marks are kept, since the rows do not change."""
+        wanted = months_of(months) if months is not None else self.small_file_months()
+        clean = set(self.clean_months())
+        for m in wanted:
+            self.replace_months(self.rows([m]))
+            if m in clean:
+                self.mark_clean([m])
+        return wanted
+
     def upsert_rewrite(self, new: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
         """DED-4 by rewriting touched months: in each, new rows replace rows
         with the same key and all others are kept; the months end up clean.

@@ -149,6 +149,12 @@ class CandleStore:
         """DED-2: rewrite months of the latest table with one row per key."""
         return self.latest_table.compact(months, months_per_job)
 
+    def optimize_history(self, months: Iterable[int] | None = None) -> list[int]:
+        """Merge the small files appends leave in the append-only table (every
+        row kept, duplicates included), one month per job.  Without ``months``
+        only months whose files are small on average are rewritten."""
+        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns, self.partitions).rewrite_files(months)
+
     def slice(
         self,
         symbol: str,
