@@ -1,17 +1,29 @@
 """A month-partitioned parquet table with a unique key, merged on read.
 
-Writers append rows; a row with a greater version (``order`` columns,
-compared in turn) replaces older rows of the same key.  ``view`` returns one
-row per key.  ``compact`` rewrites months so they physically hold one row
-per key and marks them clean; clean months are read as plain scans with no
-shuffle, and an append to a month makes it dirty again.  The marks are empty
-folders in a hidden ``_clean_months`` folder of the table, which Spark's
-file listing never reads.
+Each month folder holds up to two layers:
+
+* ``layer=base``  - rows unique by key, written by compaction or a rebuild;
+* ``layer=delta`` - rows appended since, which may repeat keys and always
+  carry newer versions than the base (a single writer appends after the
+  compaction it follows).
+
+``view`` returns one row per key: the delta is deduplicated (one shuffle of
+the delta only, partial limit before it), and base rows are kept unless the
+delta has their key, through a left-anti join on the key.  Spark sizes that
+join from the delta's files on disk: a small delta is broadcast and the base
+is scanned with no shuffle at all, which is what reading a month that takes
+appends costs.  A month with no delta is a plain scan.  ``compact`` folds a
+month's delta into its base.
 
 Rewrites of a month read the month, write the result to a staging table in
-the checkpoint folder (lineage cut), then replace the month with a dynamic
-partition overwrite.  A month replace is not atomic with respect to
-concurrent readers and there must be a single writer per table.
+the checkpoint folder (lineage cut), then replace the month's base with a
+dynamic partition overwrite and drop its delta.  A month replace is not
+atomic with respect to concurrent readers and there must be a single writer
+per table.  A reader between the two steps sees the new base and the old
+delta, whose rows are the same versions, so its answer is still right.
+
+Tables without layers (``layered=False``) hold rows as appended, e.g. the
+append-only history.
 """
 
 from __future__ import annotations
@@ -27,6 +39,8 @@ from wickline.plans import fs
 from wickline.schemas import KEY, MONTH
 from wickline.session import scratch_path
 
+LAYER = "layer"
+BASE, DELTA = "base", "delta"
 
 # Target size of one rewritten parquet file (compressed bytes on disk).
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -46,23 +60,30 @@ def partitions_for(size: int, target: int = TARGET_FILE_BYTES) -> int:
     return max(1, -(-size // target))
 
 
-def clustered(df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False) -> DataFrame:
+def clustered(
+    df: DataFrame, partitions: int | None = None, key: Sequence[str] = KEY, rebalance: bool = False, layer: str | None = None
+) -> DataFrame:
     """SRT-1: group rows by (month, *key) into files and sort inside each file.
 
     Bulk rewrites use range partitioning: each file holds a narrow slice of
     keys, so parquet min/max statistics skip row groups for symbol and time
     predicates, and a hot symbol is split over many files.  Appends use
     ``rebalance`` instead (no sampling job): AQE hashes on (month, first key
-    column), splits oversized partitions and merges small ones.
+    column), splits oversized partitions and merges small ones.  ``layer``
+    adds the (constant) layer column, sorted right after the month so the
+    writer's partition ordering is already satisfied.
     """
     cols = [MONTH, *key]
+    if layer is not None:
+        df = df.withColumn(LAYER, F.lit(layer))
     if rebalance:
         parts = df.hint("rebalance", MONTH, key[0])
     elif partitions:
         parts = df.repartitionByRange(partitions, *cols)
     else:
         parts = df.repartitionByRange(*cols)
-    return parts.sortWithinPartitions(*cols)
+    lead = [MONTH, LAYER] if layer is not None else [MONTH]
+    return parts.sortWithinPartitions(*lead, *key)
 
 
 @dataclass
@@ -73,6 +94,7 @@ class KeyedTable:
     order: Sequence[str]
     columns: Sequence[str]
     partitions: int | None = None
+    layered: bool = True
 
     # ------------------------------------------------------------ listing
     def exists(self) -> bool:
@@ -81,31 +103,30 @@ class KeyedTable:
     def months(self) -> list[int]:
         return months_of(fs.partition_values(self.spark, self.path, MONTH))
 
-    def month_bytes(self, months: Iterable[int]) -> int:
-        return sum(fs.size_bytes(self.spark, f"{self.path}/{MONTH}={m}") for m in months)
+    def _month_path(self, m: int) -> str:
+        return f"{self.path}/{MONTH}={m}"
 
-    @property
-    def _clean_dir(self) -> str:
-        return f"{self.path}/_clean_months"
+    def layers(self, m: int) -> list[str]:
+        return fs.partition_values(self.spark, self._month_path(m), LAYER) if self.layered else []
 
-    def clean_months(self) -> list[int]:
-        return months_of(fs.partition_values(self.spark, self._clean_dir, MONTH))
+    def dirty_months(self) -> list[int]:
+        """Months with appended rows not yet folded into their base."""
+        return [m for m in self.months() if DELTA in self.layers(m)] if self.layered else self.months()
 
-    def mark_dirty(self, months: Iterable[int]) -> None:
-        for m in months:
-            fs.delete(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+    def clean_months(self) -> list[int]:
+        """Months that hold one row per key (base only)."""
+        return [m for m in self.months() if self.layers(m) == [BASE]] if self.layered else []
 
-    def mark_clean(self, months: Iterable[int]) -> None:
-        for m in months:
-            fs.touch_dir(self.spark, f"{self._clean_dir}/{MONTH}={m}")
+    def month_bytes(self, months: Iterable[int]) -> int:
+        return sum(fs.size_bytes(self.spark, self._month_path(m)) for m in months)
 
     # ------------------------------------------------------------ reading
-    def rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
-        """Stored rows, superseded versions included.
+    def _scan(self, months: Iterable[int] | None = None) -> DataFrame | None:
+        """Stored rows with the ``layer`` column of layered tables.
 
         With ``months`` only those month folders are listed and read
-        (``basePath`` keeps ``open_month`` as a column): a path-based read of
-        the whole table would list every file of every month on the driver
+        (``basePath`` keeps the partition columns): a path-based read of the
+        whole table would list every file of every month on the driver
         before pruning.
         """
         if not self.exists():
@@ -117,8 +138,15 @@ class KeyedTable:
         reader = self.spark.read.option("basePath", self.path)
         if not wanted:
             # an empty result with the table's schema, listing one month only
-            return reader.parquet(f"{self.path}/{MONTH}={listed[-1]}").where(F.lit(False))
-        return reader.parquet(*[f"{self.path}/{MONTH}={m}" for m in wanted])
+            return reader.parquet(self._month_path(listed[-1])).where(F.lit(False))
+        return reader.parquet(*[self._month_path(m) for m in wanted])
+
+    def rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
+        """Stored rows, superseded versions included."""
+        df = self._scan(months)
+        if df is not None and LAYER in df.columns:
+            df = df.drop(LAYER)
+        return df
 
     def dedup(self, rows: DataFrame) -> DataFrame:
         """One row per key, greatest version.  ``open_month`` joins the window
@@ -130,130 +158,120 @@ class KeyedTable:
     def view(self, months: Iterable[int] | None = None) -> DataFrame | None:
         """``columns`` + ``open_month``, one row per key.
 
-        Clean months are scanned as they are; only the others are
-        deduplicated (one shuffle on the key, partial limit before it).  Key
-        predicates applied to the result reach the parquet scan on both
-        branches; value predicates stay above the deduplication.
+        Key predicates applied to the result reach the parquet scans of both
+        layers; value predicates stay above the deduplication.
         """
-        rows = self.rows(months)
-        if rows is None:
+        scan = self._scan(months)
+        if scan is None:
             return None
-        listed = self.months()
-        if months is not None:
-            wanted = set(months_of(months))
-            listed = [m for m in listed if m in wanted]
-        clean = [m for m in self.clean_months() if m in set(listed)]
-        dirty = [m for m in listed if m not in set(clean)]
         out = [*self.columns, MONTH]
-        if not clean:
-            return self.dedup(rows).select(*out)
-        plain = rows.filter(F.col(MONTH).isin(clean)).select(*out)
-        if not dirty:
-            return plain
-        return self.dedup(rows.filter(F.col(MONTH).isin(dirty))).select(*out).unionByName(plain)
+        if not self.layered:
+            return self.dedup(scan).select(*out)
+        listed = self.months() if months is None else [m for m in self.months() if m in set(months_of(months))]
+        layers = {m: self.layers(m) for m in listed}
+        has_base = any(BASE in v for v in layers.values())
+        has_delta = any(DELTA in v for v in layers.values())
+        base = scan.filter(F.col(LAYER) == BASE).drop(LAYER)
+        delta = scan.filter(F.col(LAYER) == DELTA).drop(LAYER)
+        if not has_delta:
+            return base.select(*out)
+        fresh = self.dedup(delta).select(*out)
+        if not has_base:
+            return fresh
+        kept = base.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
+        return fresh.unionByName(kept.select(*out))
 
     # ------------------------------------------------------------ writing
-    def append(self, staged: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
-        """Append staged rows (already clustered; pass a persisted DataFrame).
+    def append(self, staged: DataFrame) -> None:
+        """Append staged rows (``clustered(..., layer='delta')`` for layered
+        tables; pass a persisted DataFrame)."""
+        partition = [MONTH, LAYER] if self.layered else [MONTH]
+        staged.write.mode("append").option("compression", "zstd").partitionBy(*partition).parquet(self.path)
 
-        The months written lose their clean mark before any file is added,
-        so the view never serves an appended month without deduplication.
-        """
-        if touched is None:
-            touched = months_of(r[MONTH] for r in staged.select(MONTH).distinct().collect())
-        self.mark_dirty(touched)
-        staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(self.path)
-        return list(touched)
+    def _drop_deltas(self, months: Iterable[int]) -> None:
+        for m in months:
+            fs.delete(self.spark, f"{self._month_path(m)}/{LAYER}={DELTA}")
+
+    def _write_base(self, df: DataFrame, parts: int | None, mode: str) -> None:
+        layer = BASE if self.layered else None
+        partition = [MONTH, LAYER] if self.layered else [MONTH]
+        (
+            clustered(df, parts, self.key, layer=layer)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", mode)
+            .option("compression", "zstd")
+            .partitionBy(*partition)
+            .parquet(self.path)
+        )
 
-    def replace_months(self, df: DataFrame) -> None:
-        """Write ``df`` to staging, then overwrite exactly its months here."""
+    def replace_months(self, df: DataFrame, months: Sequence[int]) -> None:
+        """Write ``df`` (rows of ``months``, unique by key for layered tables)
+        to staging, then make it the months' base and drop their deltas."""
         staging = scratch_path(self.spark, "stage")
         try:
             df.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(staging)
             staged = self.spark.read.parquet(staging)
-            parts = self.partitions or partitions_for(fs.size_bytes(self.spark, staging))
-            (
-                clustered(staged, parts, self.key)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .option("compression", "zstd")
-                .partitionBy(MONTH)
-                .parquet(self.path)
-            )
+            self._write_base(staged, self.partitions or partitions_for(fs.size_bytes(self.spark, staging)), "dynamic")
+            if self.layered:
+                self._drop_deltas(months)
         finally:
             fs.delete(self.spark, staging)
 
     def overwrite_unique(self, df: DataFrame, months: Sequence[int] | None = None, source_bytes: int | None = None) -> None:
-        """Replace ``months`` (or, with None, the whole table) with rows known
-        to be unique by key and not read from this table (no staging needed),
-        and mark what was written clean.  ``source_bytes`` (the size of what
-        ``df`` reads) sizes the range partitions."""
-        if months is not None:
-            self.mark_dirty(months)
+        """Make ``df`` (unique by key, not read from this table, so no staging)
+        the base of ``months`` and drop their deltas; with ``months=None``
+        replace the whole table.  ``source_bytes`` (the size of what ``df``
+        reads) sizes the range partitions."""
         parts = self.partitions or (partitions_for(source_bytes) if source_bytes is not None else None)
-        (
-            clustered(df, parts, self.key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
-            .option("compression", "zstd")
-            .partitionBy(MONTH)
-            .parquet(self.path)
-        )
-        self.mark_clean(months if months is not None else self.months())
+        self._write_base(df, parts, "dynamic" if months is not None else "static")
+        if self.layered and months is not None:
+            self._drop_deltas(months)
 
     def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
-        """DED-2: rewrite months with one row per key, a few months per job.
+        """DED-2: fold months' deltas into their base, a few months per job.
 
-        Without ``months`` only the dirty months (appended to since their last
-        compaction) are rewritten; clean months already hold one row per key.
-        Each job shuffles at most ``months_per_job`` months, and a failure
-        leaves every month either old or compacted, never half written.
+        Without ``months`` only months with a delta are rewritten.  Each job
+        shuffles at most ``months_per_job`` months, and a failure leaves
+        every month either old or compacted, never half written.
         """
         if not self.exists():
             return []
         listed = self.months()
-        if months is not None:
-            wanted = [m for m in months_of(months) if m in listed]
-        else:
-            clean = set(self.clean_months())
-            wanted = [m for m in listed if m not in clean]
+        wanted = [m for m in months_of(months) if m in listed] if months is not None else self.dirty_months()
         step = max(1, months_per_job)
         for i in range(0, len(wanted), step):
             chunk = wanted[i : i + step]
-            deduped = self.dedup(self.rows(chunk))
-            self.mark_dirty(chunk)
-            self.replace_months(deduped)
-            self.mark_clean(chunk)
+            self.replace_months(self.dedup(self.rows(chunk)), chunk)
         return wanted
 
     def small_file_months(self, min_files: int = 8) -> list[int]:
         """Months whose files average under a quarter of the target size."""
         out = []
         for m in self.months():
-            count, size = fs.file_stats(self.spark, f"{self.path}/{MONTH}={m}")
+            count, size = fs.file_stats(self.spark, self._month_path(m))
             if count >= min_files and size / count < TARGET_FILE_BYTES / 4:
                 out.append(m)
         return out
 
     def rewrite_files(self, months: Iterable[int] | None = None) -> list[int]:
-        """Merge small files of months without changing a single row (no
-        deduplication): each month's rows are rewritten as sized, clustered
-        files.  Clean marks are kept, since the rows do not change."""
+        """Merge small files of months of a table without layers, keeping
+        every row (no deduplication): each month is rewritten as sized,
+        clustered files."""
+        if self.layered:
+            raise ValueError("layered tables are rewritten by compact()")
         wanted = months_of(months) if months is not None else self.small_file_months()
-        clean = set(self.clean_months())
         for m in wanted:
-            self.replace_months(self.rows([m]))
-            if m in clean:
-                self.mark_clean([m])
+            self.replace_months(self.rows([m]), [m])
         return wanted
 
     def upsert_rewrite(self, new: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
         """DED-4 by rewriting touched months: in each, new rows replace rows
-        with the same key and all others are kept; the months end up clean.
+        with the same key and all others are kept; the months end up as base
+        only.
 
-        Only the touched months are read (partition pruning).  The anti join
-        is planned by AQE: a broadcast join when the measured new side is
-        small, a shuffle join otherwise.
+        Only the touched months are read.  The anti join is planned from the
+        sizes Spark measures: a broadcast of the new keys when small, a
+        shuffle join otherwise.
         """
         if touched is None:
             touched = months_of(r[MONTH] for r in new.select(MONTH).distinct().collect())
@@ -268,7 +286,5 @@ class KeyedTable:
             current = self.dedup(rows).select(*cols)
             kept = current.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
             merged = kept.unionByName(fresh)
-        self.mark_dirty(touched)
-        self.replace_months(merged)
-        self.mark_clean(touched)
+        self.replace_months(merged, touched)
         return list(touched)

@@ -5,9 +5,9 @@ Layout under one root folder, every table partitioned by ``open_month``
 
 * ``append_only/`` - every loaded row with its load stamp and load order;
   may hold duplicates (retries, revisions).  Never rewritten.
-* ``latest/``      - the deduplicated table.  Loads append here too; reads
-  keep the latest version per (symbol, open_time), and ``compact`` rewrites
-  months so they physically hold one row per key (see ``plans.keyed``).
+* ``latest/``      - the deduplicated table.  Loads append to each month's
+  delta layer; reads keep the latest version per (symbol, open_time), and
+  ``compact`` folds deltas into the month's base (see ``plans.keyed``).
 * ``rollup_<width>/`` - incremental "last candle" rollups.  Each run appends
   only its new rows, stamped with the run; reads keep the newest run's row
   per (symbol, open_time), which is the upsert by unique key.  A full
@@ -29,7 +29,7 @@ from wickline.functions.convert import stamp
 from wickline.functions.time import EPOCH, month_key, parse_width, width_seconds
 from wickline.operators.rollup import after_high_water, rollup_last
 from wickline.operators.slices import DEFAULT_LIMIT, slice_klines
-from wickline.plans.keyed import KeyedTable, clustered, months_of
+from wickline.plans.keyed import DELTA, LAYER, KeyedTable, clustered, months_of
 from wickline.schemas import CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
 
 RUN_SEQ = "run_seq"
@@ -72,6 +72,10 @@ class CandleStore:
     def latest_table(self) -> KeyedTable:
         return KeyedTable(self.spark, self.latest_path, self.key, (self.columns[-1], LOAD_SEQ), self.columns, self.partitions)
 
+    @property
+    def history_table(self) -> KeyedTable:
+        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns, self.partitions, layered=False)
+
     def rollup_table(self, width: str) -> KeyedTable:
         return KeyedTable(self.spark, self.rollup_path(width), KEY, (RUN_SEQ,), CANDLE_COLUMNS, self.partitions)
 
@@ -104,13 +108,13 @@ class CandleStore:
 
     def stage(self, rows: DataFrame) -> DataFrame:
         """Prepared rows arranged for an append (rebalanced, sorted by key)."""
-        return clustered(rows, None, self.key, rebalance=True)
+        return clustered(rows, None, self.key, rebalance=True, layer=DELTA)
 
-    def append_staged(self, staged: DataFrame, touched: Sequence[int] | None = None) -> None:
-        """DED-3: write staged rows to the history and to the latest table
-        (pass a persisted DataFrame)."""
-        touched = self.latest_table.append(staged, touched)
-        staged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(self.append_only_path)
+    def append_staged(self, staged: DataFrame) -> None:
+        """DED-3: write staged rows to the latest table's delta layer and to the
+        history (pass a persisted DataFrame from ``stage``)."""
+        self.latest_table.append(staged)
+        self.history_table.append(staged.drop(LAYER))
 
     def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
@@ -131,7 +135,7 @@ class CandleStore:
     # ------------------------------------------------------------ reading
     def history(self) -> DataFrame | None:
         """The append-only table, duplicates included."""
-        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns).rows()
+        return self.history_table.rows()
 
     def latest_rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
         """Raw rows of the latest table (may hold superseded versions)."""
@@ -153,7 +157,7 @@ class CandleStore:
         """Merge the small files appends leave in the append-only table (every
         row kept, duplicates included), one month per job.  Without ``months``
         only months whose files are small on average are rewritten."""
-        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns, self.partitions).rewrite_files(months)
+        return self.history_table.rewrite_files(months)
 
     def slice(
         self,
@@ -230,11 +234,11 @@ class CandleStore:
             finally:
                 new.unpersist()
             return {"mode": "rewrite", "high_water": hw, "months": touched}
-        staged = clustered(new, None, KEY, rebalance=True).persist()
+        staged = clustered(new, None, KEY, rebalance=True, layer=DELTA).persist()
         try:
             touched = months_of(r[MONTH] for r in staged.select(MONTH).distinct().collect())
             if touched:
-                table.append(staged, touched)
+                table.append(staged)
         finally:
             staged.unpersist()
         return {"mode": "incremental", "high_water": hw, "months": touched}
