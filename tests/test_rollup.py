@@ -206,3 +206,16 @@ def test_rewrite_partitions_follow_bytes():
     assert partitions_for(TARGET_FILE_BYTES) == 1
     assert partitions_for(TARGET_FILE_BYTES + 1) == 2
     assert partitions_for(8 * 1024**4) == 32768  # an 8 TB month -> 256 MB files
+
+
+def test_small_delta_read_broadcasts_keys_over_the_base(spark, workdir):
+    store = CandleStore(spark, workdir)
+    rows = [("A", dt.datetime(2025, 1, 1, 0, 0) + dt.timedelta(minutes=m), m) for m in range(0, 500)]
+    store.append(candles_df(spark, rows), now=dt.datetime(2025, 1, 2))
+    store.compact()
+    store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 1, 0, 3), 999)]), now=dt.datetime(2025, 1, 3))
+    view = store.latest()
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    got = {r.open_time.minute + 60 * r.open_time.hour: r.open_price for r in view.collect()}
+    assert len(got) == 500 and got[3] == 999.0 and got[4] == 4.0
