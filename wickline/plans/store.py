@@ -88,6 +88,10 @@ class CandleStore:
 
         An input without ``load_seq`` gets one from its row order
         (``monotonically_increasing_id`` follows partition and row order).
+        ``now`` fixes the stamp for tests and replays; it must not be older
+        than the table's last compaction, since appended rows shadow the
+        compacted base of their keys (loads stamped with the clock always
+        satisfy this).
         """
         load_ms = load_ms if load_ms is not None else int(time.time() * 1000)
         if now is None:
