@@ -93,3 +93,12 @@ def file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
         return 0, 0
     summary = fs.getContentSummary(p)
     return int(summary.getFileCount()), int(summary.getLength())
+
+
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a glob pattern, in one listing call."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    if found is None:
+        return []
+    return [st.getPath().toString() for st in found if st.isDirectory()]

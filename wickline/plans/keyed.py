@@ -106,16 +106,21 @@ class KeyedTable:
     def _month_path(self, m: int) -> str:
         return f"{self.path}/{MONTH}={m}"
 
-    def layers(self, m: int) -> list[str]:
-        return fs.partition_values(self.spark, self._month_path(m), LAYER) if self.layered else []
+    def layer_months(self, layer: str) -> list[int]:
+        """Months holding ``layer``, from one glob over the table folder."""
+        found = fs.glob_dirs(self.spark, f"{self.path}/{MONTH}=*/{LAYER}={layer}")
+        return months_of(p.rstrip("/").split("/")[-2].split("=", 1)[1] for p in found)
 
     def dirty_months(self) -> list[int]:
         """Months with appended rows not yet folded into their base."""
-        return [m for m in self.months() if DELTA in self.layers(m)] if self.layered else self.months()
+        return self.layer_months(DELTA) if self.layered else self.months()
 
     def clean_months(self) -> list[int]:
         """Months that hold one row per key (base only)."""
-        return [m for m in self.months() if self.layers(m) == [BASE]] if self.layered else []
+        if not self.layered:
+            return []
+        dirty = set(self.layer_months(DELTA))
+        return [m for m in self.layer_months(BASE) if m not in dirty]
 
     def month_bytes(self, months: Iterable[int]) -> int:
         return sum(fs.size_bytes(self.spark, self._month_path(m)) for m in months)
@@ -167,10 +172,9 @@ class KeyedTable:
         out = [*self.columns, MONTH]
         if not self.layered:
             return self.dedup(scan).select(*out)
-        listed = self.months() if months is None else [m for m in self.months() if m in set(months_of(months))]
-        layers = {m: self.layers(m) for m in listed}
-        has_base = any(BASE in v for v in layers.values())
-        has_delta = any(DELTA in v for v in layers.values())
+        wanted = None if months is None else set(months_of(months))
+        has_base = any(wanted is None or m in wanted for m in self.layer_months(BASE))
+        has_delta = any(wanted is None or m in wanted for m in self.layer_months(DELTA))
         base = scan.filter(F.col(LAYER) == BASE).drop(LAYER)
         delta = scan.filter(F.col(LAYER) == DELTA).drop(LAYER)
         if not has_delta:
