@@ -10,11 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.time import bucket_start
-from wickline.schemas import CANDLE_COLUMNS
+
+
+# Fixed value: the driver's events table (TESTDATA / FIXTURES F12).
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+KNOWN_SCHEMAS = {"events": EVENTS_SCHEMA}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table; known tables are read with their declared
+    schema, which skips the schema-inference job."""
+    reader = spark.read
+    if name in KNOWN_SCHEMAS:
+        reader = reader.schema(KNOWN_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def candles_from_events(events: DataFrame) -> DataFrame:
@@ -36,7 +46,7 @@ def candles_from_events(events: DataFrame) -> DataFrame:
         value.alias("taker_buy_quote_asset_volume"),
         F.lit("0").alias("ignore"),
         F.col("ts").alias("created_at"),
-    ).select(*CANDLE_COLUMNS)
+    )  # already in CANDLE_COLUMNS order
 
 
 def event_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
