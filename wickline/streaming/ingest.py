@@ -129,6 +129,7 @@ def _check_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]
     """Per-file footer checks on the driver (the slow path, at most a batch of files)."""
     report: list[tuple[str, str, int, str | None]] = []
     shapes: dict[tuple[bool, str], list[str]] = {}
+    schemas: dict[tuple[bool, str], T.StructType] = {}
     for path in paths:
         try:
             nanos = False
@@ -142,9 +143,10 @@ def _check_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]
                     schema = spark.read.parquet(path).schema
             assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
             shapes.setdefault((nanos, schema.simpleString()), []).append(path)
+            schemas[(nanos, schema.simpleString())] = schema
         except Exception as e:  # noqa: BLE001 - unreadable or wrong file: report it, keep going
             report.append((path, "failed", 0, _short(e)))
-    return shapes, report
+    return shapes, schemas, report
 
 
 def _merged_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
@@ -160,7 +162,7 @@ def _merged_footers(spark: SparkSession, paths: Sequence[str], columns: list[str
         assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS)
     except Exception:  # noqa: BLE001
         return None
-    return {(False, schema.simpleString()): list(paths)}
+    return {(False, schema.simpleString()): list(paths)}, {(False, schema.simpleString()): schema}
 
 
 def load_files(
@@ -182,25 +184,29 @@ def load_files(
     load_ms = int(time.time() * 1000)
     columns = list(store.columns)
     time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
-    shapes = _merged_footers(spark, paths, columns) if len(paths) > 1 else None
+    merged = _merged_footers(spark, paths, columns) if len(paths) > 1 else None
     report: list[tuple[str, str, int, str | None]] = []
-    if shapes is None:
-        shapes, report = _check_footers(spark, paths, columns)
+    if merged is not None:
+        shapes, schemas = merged
+    else:
+        shapes, schemas, report = _check_footers(spark, paths, columns)
     good = [p for group in shapes.values() for p in group]
     cached: list[DataFrame] = []
     if good:
         frames = []
-        for (nanos, _), group in shapes.items():
+        for (nanos, shape), group in shapes.items():
+            # the schema read from the footers: no second inference job
+            reader = spark.read.schema(schemas[(nanos, shape)])
             if nanos:
                 with _nanos_as_long(spark):
-                    raw = with_file_sequence(spark.read.parquet(*group), load_ms)
+                    raw = with_file_sequence(reader.parquet(*group), load_ms)
                     raw = _nanos_to_ntz(raw, time_cols)
                     # materialise under the setting; the union below reads the cache
                     raw = raw.persist()
                     raw.count()
                     cached.append(raw)
             else:
-                raw = with_file_sequence(spark.read.parquet(*group), load_ms)
+                raw = with_file_sequence(reader.parquet(*group), load_ms)
             # the load stamp replaces any value the file carries
             frames.append(_typed(raw, columns, strict=False).drop(columns[-1]))
         batch = frames[0]
