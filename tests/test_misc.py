@@ -109,3 +109,18 @@ def test_flag_candles_and_stamp_format(spark):
     r = flag_candles(bad).first()
     assert (r.ok_time_order, r.ok_low_le_high, r.ok_trades_non_negative, r.ok_volume_non_negative) == (True, True, False, True)
     assert df.select(stamp_format("open_time").alias("s")).first().s == "20250101123005123456"
+
+
+def test_sql_views(spark, workdir):
+    store = CandleStore(spark, workdir)
+    rows = [("A", dt.datetime(2025, 3, 1, 0, m), m) for m in range(0, 10)]
+    store.append(candles_df(spark, rows), now=dt.datetime(2025, 3, 2))
+    store.append(candles_df(spark, rows[:3]), now=dt.datetime(2025, 3, 3))
+    store.refresh_rollup("5 minutes")
+    made = store.register_views("t", ["5 minutes"])
+    assert set(made) == {"t_latest", "t_history", "t_5minutes"}
+    got = spark.sql(
+        "SELECT (SELECT count(*) FROM t_latest) AS latest, (SELECT count(*) FROM t_history) AS history, "
+        "(SELECT max(close_price) FROM t_5minutes WHERE symbol = 'A') AS last_close"
+    ).first()
+    assert (got.latest, got.history, got.last_close) == (10, 13, 9.0)

@@ -157,6 +157,21 @@ class CandleStore:
         """DED-2: rewrite months of the latest table with one row per key."""
         return self.latest_table.compact(months, months_per_job)
 
+    def register_views(self, prefix: str = "candles", widths: Sequence[str] = ()) -> dict[str, str]:
+        """Temp views for SQL users: ``{prefix}_latest`` (one row per key),
+        ``{prefix}_history`` (every loaded row) and ``{prefix}_<width>`` per
+        rollup.  A view captures the file listing when it is made, so
+        re-register after loads."""
+        frames = {f"{prefix}_latest": self.latest(), f"{prefix}_history": self.history()}
+        for w in widths:
+            frames[f"{prefix}_{_slug(w)}"] = self.read_rollup(w)
+        made = {}
+        for name, df in frames.items():
+            if df is not None:
+                df.createOrReplaceTempView(name)
+                made[name] = name
+        return made
+
     def optimize_history(self, months: Iterable[int] | None = None) -> list[int]:
         """Merge the small files appends leave in the append-only table (every
         row kept, duplicates included), one month per job.  Without ``months``
