@@ -173,17 +173,28 @@ class KeyedTable:
         if not self.layered:
             return self.dedup(scan).select(*out)
         wanted = None if months is None else set(months_of(months))
-        has_base = any(wanted is None or m in wanted for m in self.layer_months(BASE))
-        has_delta = any(wanted is None or m in wanted for m in self.layer_months(DELTA))
+        base_months = [m for m in self.layer_months(BASE) if wanted is None or m in wanted]
+        delta_months = [m for m in self.layer_months(DELTA) if wanted is None or m in wanted]
         base = scan.filter(F.col(LAYER) == BASE).drop(LAYER)
-        delta = scan.filter(F.col(LAYER) == DELTA).drop(LAYER)
-        if not has_delta:
+        if not delta_months:
             return base.select(*out)
-        fresh = self.dedup(delta).select(*out)
-        if not has_base:
-            return fresh
-        kept = base.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
-        return fresh.unionByName(kept.select(*out))
+        fresh = self.dedup(scan.filter(F.col(LAYER) == DELTA).drop(LAYER)).select(*out)
+        shadowed = [m for m in base_months if m in set(delta_months)]
+        untouched = [m for m in base_months if m not in set(delta_months)]
+        parts = [fresh]
+        if shadowed:
+            # only months that have a delta go through the anti join, so even
+            # a delta too large to broadcast never shuffles other months' base
+            kept = base.filter(F.col(MONTH).isin(shadowed)).join(
+                fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti"
+            )
+            parts.append(kept.select(*out))
+        if untouched:
+            parts.append(base.filter(F.col(MONTH).isin(untouched)).select(*out))
+        view = parts[0]
+        for part in parts[1:]:
+            view = view.unionByName(part)
+        return view
 
     # ------------------------------------------------------------ writing
     def append(self, staged: DataFrame) -> None:
