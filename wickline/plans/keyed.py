@@ -160,8 +160,14 @@ class KeyedTable:
         version, *rest = self.order
         return latest_by_key(rows, (*self.key, MONTH), version, rest[0] if rest else None)
 
-    def view(self, months: Iterable[int] | None = None) -> DataFrame | None:
-        """``columns`` + ``open_month``, one row per key.
+    @property
+    def _extra(self) -> list[str]:
+        """Version columns stored next to ``columns`` (load order, run)."""
+        return [c for c in self.order if c not in self.columns]
+
+    def view(self, months: Iterable[int] | None = None, keep_order: bool = False) -> DataFrame | None:
+        """``columns`` + ``open_month``, one row per key (plus the stored
+        version columns with ``keep_order``, as rewrites need).
 
         Key predicates applied to the result reach the parquet scans of both
         layers; value predicates stay above the deduplication.
@@ -169,7 +175,7 @@ class KeyedTable:
         scan = self._scan(months)
         if scan is None:
             return None
-        out = [*self.columns, MONTH]
+        out = [*self.columns, MONTH, *(self._extra if keep_order else [])]
         if not self.layered:
             return self.dedup(scan).select(*out)
         wanted = None if months is None else set(months_of(months))
@@ -256,7 +262,10 @@ class KeyedTable:
         step = max(1, months_per_job)
         for i in range(0, len(wanted), step):
             chunk = wanted[i : i + step]
-            self.replace_months(self.dedup(self.rows(chunk)), chunk)
+            # the layered view: only the delta is deduplicated, the base is
+            # anti-joined on its keys, so the month is shuffled once (for
+            # the clustered write) rather than twice
+            self.replace_months(self.view(chunk, keep_order=True), chunk)
         return wanted
 
     def small_file_months(self, min_files: int = 8) -> list[int]:
@@ -294,11 +303,11 @@ class KeyedTable:
             return []
         cols = [*self.columns, MONTH, *[c for c in self.order if c not in self.columns]]
         fresh = new.select(*cols)
-        rows = self.rows(touched)
-        if rows is None:
+        current = self.view(touched, keep_order=True)
+        if current is None:
             merged = fresh
         else:
-            current = self.dedup(rows).select(*cols)
+            current = current.select(*cols)
             kept = current.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
             merged = kept.unionByName(fresh)
         self.replace_months(merged, touched)
