@@ -282,7 +282,9 @@ def _typed(raw: DataFrame, columns: Sequence[str], strict: bool = True) -> DataF
 def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetime | None = None) -> None:
     """Load a whole landing folder in one distributed scan (no per-file loop).
 
-    Any unreadable file fails the whole job and nothing is appended.
+    Any unreadable file fails the whole job and nothing is appended.  No
+    ledger is kept: running it again appends the files again (the latest
+    view is unaffected); the file stream is the idempotent path.
     """
     raw = with_file_sequence(read_landing(spark, base), int(time.time() * 1000))
     assert_schema(raw.drop(LOAD_SEQ), store.columns, optional=(store.columns[-1],), check_types=list(store.columns) == CANDLE_COLUMNS)
