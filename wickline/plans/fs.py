@@ -10,7 +10,10 @@ from pyspark.sql import SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception as e:  # noqa: BLE001 - remote (Connect) sessions have no JVM handle
+        raise RuntimeError("the candle store needs a classic Spark session (file-system access)") from e
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
