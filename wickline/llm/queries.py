@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
 from wickline.llm.line_dedup import line_digests
+from wickline.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_topk_search": op5_topk_search,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,5 +47,19 @@ WITH line AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op5_topk_search": """
+WITH vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vec q JOIN vec c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
 """,
 }
