@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
 from wickline.llm.line_dedup import line_digests
+from wickline.llm.token_counts import token_counts
 from wickline.llm.topk_search import top_k
 
+
+
+def tokenizer_path(name: str) -> str:
+    """Where this machine keeps a public vocabulary file; the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,9 +32,15 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts(docs, tokenizer_path("word_bpe_49k.json"), budget=2048).drop("prefix")
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op5_topk_search": op5_topk_search,
+    "op10_token_counts": op10_token_counts,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
