@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
 from wickline.llm.line_dedup import line_digests
+from wickline.llm.sentencepieces import piece_digests
 from wickline.llm.token_counts import token_counts
+from wickline.llm.token_files import new_folder, read_tokens, token_digests, write_tokens
 from wickline.llm.topk_search import top_k
 
 
@@ -32,6 +34,16 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    write_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), folder, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return token_digests(read_tokens(spark, folder))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts(docs, tokenizer_path("word_bpe_49k.json"), budget=2048).drop("prefix")
@@ -40,6 +52,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op5_topk_search": op5_topk_search,
+    "op7_sentencepieces": op7_sentencepieces,
+    "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
 }
 
