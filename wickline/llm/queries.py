@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
+from wickline.llm.chat_format import canonical_turns, chat_digests, format_turns, turn_rows
 from wickline.llm.line_dedup import line_digests
 from wickline.llm.sentencepieces import piece_digests
 from wickline.llm.token_counts import token_counts
@@ -29,6 +30,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_digests(format_turns(canonical_turns(turn_rows(rows.unionByName(extra)))))
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
@@ -51,6 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_chat_format": op4_chat_format,
     "op5_topk_search": op5_topk_search,
     "op7_sentencepieces": op7_sentencepieces,
     "op9_token_files": op9_token_files,
@@ -77,6 +86,25 @@ WITH line AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op4_chat_format": rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), named AS (
+  SELECT conv_id, turn, text, role,
+         length(text) + length(text) - length(replace(text, chr(92), ''))
+         + len(regexp_extract_all(text, '\[/?INST\]|</?s>|<</?SYS>>|<\|')) AS written
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(written + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                                    ELSE 11 + length(hex(role)) END) AS BIGINT) AS formatted_chars
+FROM named GROUP BY conv_id
 """,
     "op5_topk_search": """
 WITH vec AS (
