@@ -13,6 +13,7 @@ from wickline.llm.sentencepieces import piece_digests
 from wickline.llm.token_counts import token_counts
 from wickline.llm.token_files import new_folder, read_tokens, token_digests, write_tokens
 from wickline.llm.topk_search import top_k
+from wickline.llm.toxicity import toxicity_scores
 
 
 
@@ -30,6 +31,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -59,6 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_topk_search": op5_topk_search,
     "op7_sentencepieces": op7_sentencepieces,

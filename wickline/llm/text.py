@@ -20,6 +20,8 @@ CHUNK_BYTES = 1 << 20
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII character that is neither letter nor digit.
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
@@ -87,14 +89,16 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lower-cased bytes, word starts, word ends, words before each row)."""
     low = LOWER[data]
     n = len(low)
     if n == 0:
         none = np.zeros(0, np.int64)
         return low, none, none, np.zeros(len(offsets), np.int64)
-    inside = ~SEPARATOR[low]
+    inside = ~separator[low]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
