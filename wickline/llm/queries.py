@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wickline.llm.base import read
 from wickline.llm.chat_format import canonical_turns, chat_digests, format_turns, turn_rows
 from wickline.llm.line_dedup import line_digests
+from wickline.llm import lm_scoring
 from wickline.llm.sentencepieces import piece_digests
 from wickline.llm.token_counts import token_counts
 from wickline.llm.token_files import new_folder, read_tokens, token_digests, write_tokens
@@ -51,6 +52,12 @@ def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = lm_scoring.held_out()
+    scores = lm_scoring.lm_scores(read(spark, sf_dir, "documents", "doc_id", "text"), ~held)
+    return scores.withColumn("held_out", held)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     write_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), folder, tokenizer_path("byte_bpe_50k.json"), end_id=2)
@@ -68,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op4_chat_format": op4_chat_format,
     "op5_topk_search": op5_topk_search,
     "op7_sentencepieces": op7_sentencepieces,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
 }
