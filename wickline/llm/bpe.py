@@ -19,12 +19,12 @@ START = 0
 class Memory(dict):
     """Values by text, computed when missing, of bounded number."""
 
-    def __init__(self, compute: Callable[[str], object], longest: int = 200):
+    def __init__(self, compute: Callable[[str], object], most: int = REMEMBERED, longest: int = 200):
         super().__init__()
-        self.compute, self.longest = compute, longest
+        self.compute, self.most, self.longest = compute, most, longest
 
     def __missing__(self, key: str):
-        if len(self) > REMEMBERED:
+        if len(self) > self.most:
             self.clear()
         value = self.compute(key)
         if len(key) < self.longest:

@@ -63,7 +63,7 @@ class PieceCodec:
         self.raw = [p.piece.replace(SPACE, " ").encode() if p.type == p.NORMAL else b"" for p in model.pieces]
         for b, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([b])
-        self.words = Memory(self._word)
+        self.words = Memory(self._word, 500_000)
 
     def stream(self, symbols: str) -> Iterator[int]:
         """Piece ids of a text in space marks, committed as paths converge."""
@@ -168,20 +168,20 @@ def decode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
 def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned
     32-bit integers), n_chars and text_sha256 of the decoded text."""
-    back = decode_pieces(encode_pieces(df, path, id_col, text_col), path)
+    encoded = encode_pieces(df, path, id_col, text_col)
 
     def digest(b: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x.values.to_numpy() for x in b["ids"]]
-        text = [t.as_py() for t in b["text"]]
+        own, rows = codec(path), []
+        for x in b["ids"]:
+            ids = x.values.to_numpy()
+            text = own.decode(ids)
+            rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(text), hashlib.sha256(text.encode()).hexdigest()))
+        n, crc, chars, sha = zip(*rows, strict=True)
         return batch(
-            doc_id=b["doc_id"],
-            n_tokens=np.array([len(x) for x in ids], np.int64),
-            ids_crc32=np.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], np.int64),
-            n_chars=np.array([len(t) for t in text], np.int64),
-            text_sha256=pa.array([hashlib.sha256(t.encode()).hexdigest() for t in text]),
-        )
-
-    return arrow(back, digest, "doc_id long, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string")
+            doc_id=b["doc_id"], n_tokens=np.array(n, np.int64), ids_crc32=np.array(crc, np.int64), n_chars=np.array(chars, np.int64), text_sha256=pa.array(sha)
+        )
+
+    return arrow(encoded, digest, "doc_id long, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string")
 
 
 def library_ids(path: str, texts: list[str]) -> list[list[int]]:
