@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
 from wickline.llm.chat_format import canonical_turns, chat_digests, format_turns, turn_rows
+from wickline.llm.decontamination import contaminated
 from wickline.llm.line_dedup import line_digests
 from wickline.llm import lm_scoring
 from wickline.llm.sentencepieces import piece_digests
@@ -48,6 +49,10 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_topk_search": op5_topk_search,
+    "op6_decontamination": op6_decontamination,
     "op7_sentencepieces": op7_sentencepieces,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_files": op9_token_files,
