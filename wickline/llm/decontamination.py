@@ -13,8 +13,8 @@ vocabulary are projected: no other has a high cosine.  Benchmark passages go
 through in blocks of ``BLOCK``, each against all documents, so what is sent to
 tasks is bounded.
 
-Defined cases: words are runs of letters, digits and non-ASCII characters,
-A-Z lower-cased; null or empty texts and items match nothing; items of fewer
+Defined cases: words are runs of letters, digits and non-ASCII characters
+in lower case; null or empty texts and items match nothing; items of fewer
 than ``MIN_WORDS`` words are no evidence and are not searched, those of fewer
 than 8 must be there word for word; repeated documents or items give one row
 for each pair of ids; null ids match like others; empty tables give no rows;
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ from wickline.llm.text import PUNCTUATION, U64, chunks, span_hash, words
 MIN_WORDS = 5
 #: Words of a document window; a passage is searched at the scale nearest its length.
 SCALES = (8, 16, 32, 64)
-BLOCK = 1024
-RANK, OVERSAMPLING = 128, 10
+BLOCK = 512
+#: As many dimensions as passages of a block: fewer lose passages that share
+#: no words with others.
+RANK, OVERSAMPLING = 512, 10
 ENERGY = 0.2
 COSINE = 0.45
 #: Shares of the item's and of the answer's words that must be there in order.
@@ -48,7 +51,7 @@ _QUICK_BITS = 22
 
 def _words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, word hashes, words before each row)."""
-    for r0, r1, data, off in chunks(texts):
+    for r0, r1, data, off in chunks(pc.utf8_lower(texts)):
         low, starts, ends, before = words(data, off, PUNCTUATION)
         yield r0, r1, span_hash(low, starts, ends), before
 
@@ -281,11 +284,12 @@ def contaminated(
     benchmark item that it holds, and the shares of words found."""
     src = with_ids(docs, id_col, text_col).select("__id", F.col(text_col).alias("text"))
     parts = staged(passages(benchmark, item_col, item_text_col), "passages")
-    blocks = -(-parts.count() // BLOCK)
+    total = parts.count()
+    blocks = min(total, 1) if total <= BLOCK else 2 * -(-total // BLOCK)  # about half full each
     kinds = "__id long, item long, cosine double, common double, answer double"
     out = docs.sparkSession.createDataFrame([], kinds)
-    for n in range(2 * blocks):  # about half a block each
-        rows = parts.where(F.pmod(F.xxhash64("item", "part"), F.lit(2 * blocks)) == n)
+    for n in range(blocks):
+        rows = parts.where(F.pmod(F.xxhash64("item", "part"), F.lit(blocks)) == n)
         held = rows.orderBy("item", "part").toArrow()
         if held.num_rows:
             out = out.unionByName(_matches(src, rows, held, kinds))

@@ -164,12 +164,13 @@ def top_k(
     df = candidates.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     ask = staged(queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL").distinct(), "queries")
     bound = _largest_norm(df, scale) * _largest_norm(ask, scale)
-    parts = -(-ask.count() // block)
-    by_block = ask.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(2 * parts)))
+    total = ask.count()
+    parts = min(total, 1) if total <= block else 2 * -(-total // block)  # about half full each
+    by_block = ask.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)))
     found = spark.createDataFrame([], _HITS)
     done: list[DataFrame] = []
-    for n in range(2 * parts):
-        rows = by_block.where(F.col("block") == n).select("id", "v").toArrow()  # about half a block
+    for n in range(parts):
+        rows = by_block.where(F.col("block") == n).select("id", "v").toArrow()
         vectors, ids = [], []
         for got, m in _vectors(rows["id"].combine_chunks(), rows["v"], scale):
             ids.append(got), vectors.extend(m)
