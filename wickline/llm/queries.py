@@ -11,6 +11,7 @@ from wickline.llm.chat_format import canonical_turns, chat_digests, format_turns
 from wickline.llm.decontamination import contaminated
 from wickline.llm.line_dedup import line_digests
 from wickline.llm import lm_scoring
+from wickline.llm.ngram_jaccard import jaccard_components
 from wickline.llm.sentencepieces import piece_digests
 from wickline.llm.token_counts import token_counts
 from wickline.llm.token_files import new_folder, read_tokens, token_digests, write_tokens
@@ -29,6 +30,10 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -75,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
@@ -90,6 +96,32 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": rf"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM word
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.b) AS component_id,
+       min(coalesce(c.doc_id, d.doc_id)) AS class_id
+FROM documents d LEFT JOIN size USING (doc_id) JOIN reach r ON r.a = d.doc_id
+LEFT JOIN (SELECT a, b AS doc_id FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+           WHERE shared = x.n AND shared = y.n AND b < a) c ON c.a = d.doc_id
+GROUP BY d.doc_id
+""",
     "op2_line_dedup": f"""
 WITH line AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
