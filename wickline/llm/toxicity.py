@@ -216,42 +216,60 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     return Model(features, np.zeros(0), float(np.log(share / (1 - share)) if 0 < share < 1 else (40.0 if share else -40.0)))
 
 
+def _rate(model: Model, texts: pa.Array) -> tuple[np.ndarray, list[list[dict]]]:
+    """(score, offending sentences) of each text."""
+    keep = _wanted(model)
+    scores, spans = [], []
+    for _, _, data, off in chunks(texts):
+        n = len(off) - 1
+        c = _features(data, off, keep)
+        counts = np.maximum(c.sentences, 1)
+        p0 = 1 / (1 + np.exp(np.log(counts) - model.bias))
+        numbers, at = np.unique(c.sentence, return_inverse=True)
+        owner = np.zeros(len(numbers), np.int64)
+        owner[at] = c.row
+        weight = model.weights[np.searchsorted(model.features, c.feature)] if len(at) else np.zeros(0)
+        z = np.bincount(at, weights=weight, minlength=len(numbers)) + model.bias - np.log(counts[owner])
+        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        plain = counts - np.bincount(owner, minlength=n)
+        none = plain * np.log1p(-p0) + np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)
+        scores.append(-np.expm1(none))
+        own: list[list[dict]] = [[] for _ in range(n)]
+        for number, doc, s in zip(numbers[p >= 0.5], owner[p >= 0.5], p[p >= 0.5], strict=True):
+            k = number - doc  # breaks before the sentence
+            lo = max(int(off[doc]), int(c.breaks[k - 1]) + 1 if k else 0)
+            hi = min(int(off[doc + 1]), int(c.breaks[k]) + 1 if k < len(c.breaks) else int(off[-1]))
+            points = lambda x, y: int(((data[x:y] & 0xC0) != 0x80).sum())
+            own[doc].append({"start": points(off[doc], lo), "length": points(lo, hi), "score": float(s)})
+        spans += own
+    return np.clip(np.concatenate(scores), 0.0, 1.0), spans
+
+
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score and ``offending``: start, length (code points) and score
     of each sentence more likely toxic than not."""
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def rate(b: pa.RecordBatch) -> pa.RecordBatch:
-        keep = _wanted(model)
-        scores, spans = [], []
-        for _, _, data, off in chunks(b["text"]):
-            n = len(off) - 1
-            c = _features(data, off, keep)
-            counts = np.maximum(c.sentences, 1)
-            p0 = 1 / (1 + np.exp(np.log(counts) - model.bias))
-            numbers, at = np.unique(c.sentence, return_inverse=True)
-            owner = np.zeros(len(numbers), np.int64)
-            owner[at] = c.row
-            weight = model.weights[np.searchsorted(model.features, c.feature)] if len(at) else np.zeros(0)
-            z = np.bincount(at, weights=weight, minlength=len(numbers)) + model.bias - np.log(counts[owner])
-            p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-            plain = counts - np.bincount(owner, minlength=n)
-            none = plain * np.log1p(-p0) + np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)
-            scores.append(-np.expm1(none))
-            own: list[list[dict]] = [[] for _ in range(n)]
-            for number, doc, s in zip(numbers[p >= 0.5], owner[p >= 0.5], p[p >= 0.5], strict=True):
-                k = number - doc  # breaks before the sentence
-                lo = max(int(off[doc]), int(c.breaks[k - 1]) + 1 if k else 0)
-                hi = min(int(off[doc + 1]), int(c.breaks[k]) + 1 if k < len(c.breaks) else int(off[-1]))
-                points = lambda x, y: int(((data[x:y] & 0xC0) != 0x80).sum())
-                own[doc].append({"start": points(off[doc], lo), "length": points(lo, hi), "score": float(s)})
-            spans += own
+        scores, spans = _rate(model, b["text"])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64())]))
-        return batch(doc_id=b["doc_id"], score=np.clip(np.concatenate(scores), 0.0, 1.0), offending=pa.array(spans, kind))
+        return batch(doc_id=b["doc_id"], score=scores, offending=pa.array(spans, kind))
 
     return arrow(src, rate, "doc_id long, score double, offending array<struct<start:int,length:int,score:double>>")
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, unchanged."""
+    inner = [f"__c{i}" for i in range(len(docs.columns))]
+    at = inner[docs.columns.index(text_col)]
+    kinds = ", ".join(f"{c} {kind}" for c, (_, kind) in zip(inner, docs.dtypes, strict=True))
+
+    def keep(b: pa.RecordBatch) -> pa.RecordBatch:
+        return b.filter(pa.array(_rate(model, b[at])[0] < threshold))
+
+    return arrow(docs.toDF(*inner), keep, kinds).toDF(*docs.columns)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows whose label is never learnt from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
