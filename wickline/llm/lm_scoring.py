@@ -40,6 +40,8 @@ DISCOUNT = 0.75
 #: Bytes of text of a block: the unit in which words are counted and joined.
 BLOCK_BYTES = 16 << 20
 END = U64(0x5E0D0FD0C5E0D0FD)
+#: Stands before the end that opens a text, so that pair is no counted one.
+BEFORE = U64(0xBEF0BEF0BEF0BEF1)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -65,8 +67,8 @@ class Tokens:
         one[1:], one[:1] = self.word[:-1], END
         one[self.first] = END
         two = np.empty_like(one)
-        two[1:], two[:1] = one[:-1], END
-        two[self.first] = END
+        two[1:], two[:1] = one[:-1], BEFORE
+        two[self.first] = BEFORE
         return one, join(two, one)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from wickline.llm.base import arrow, batch
 from wickline.llm.text import PUNCTUATION, U64, chunks, mix, span_hash, words
 
-MAX_DOCS = 20_000
+MAX_DOCS = 12_000
 MAX_WORDS = 20_000
 MIN_DOCS = 8
 FEATURES = 8192
