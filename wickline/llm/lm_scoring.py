@@ -38,7 +38,7 @@ from wickline.llm.text import MIX_B, U64, chunks, mix, word_hashes
 SHARE = 4e-6
 DISCOUNT = 0.75
 #: Bytes of text of a block: the unit in which words are counted and joined.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 END = U64(0x5E0D0FD0C5E0D0FD)
 #: Stands before the end that opens a text, so that pair is no counted one.
 BEFORE = U64(0xBEF0BEF0BEF0BEF1)
