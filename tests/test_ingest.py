@@ -24,13 +24,13 @@ from wickline.streaming.ingest import (
 
 # Fixture F3: typed landing form with created_at
 F3_ROWS = [
-    ("2025-01-15 10:00:00", 50000.0, 50150.0, 49950.0, 50100.0, 10.5, 525525.0, 156, 6.2, 310620.0),
-    ("2025-01-15 10:01:00", 50100.0, 50250.0, 50050.0, 50200.0, 12.3, 617460.0, 189, 7.8, 391560.0),
-    ("2025-01-15 10:02:00", 50200.0, 50350.0, 50150.0, 50300.0, 8.7, 437610.0, 134, 4.9, 246470.0),
+    ("2025-01-15 10:00:00", 61.5, 62.75, 60.5, 62.25, 4.25, 263.5, 41, 1.75, 108.5),
+    ("2025-01-15 10:01:00", 62.25, 63.5, 61.75, 63.0, 5.5, 346.5, 52, 2.5, 157.5),
+    ("2025-01-15 10:02:00", 63.0, 64.25, 62.75, 63.75, 3.75, 238.0, 36, 1.25, 79.5),
 ]
 
 
-def _typed_table(rows, symbol="BTCUSD"):
+def _typed_table(rows, symbol="LUMUSD"):
     ot = [dt.datetime.fromisoformat(r[0]) for r in rows]
     return pa.table(
         {
@@ -60,13 +60,13 @@ def _write(path, table):
 
 def test_three_copies_nine_appended_three_latest(spark, workdir):
     land = f"{workdir}/landing"
-    paths = [_write(f"{land}/btcusd/f{i}.parquet", _typed_table(F3_ROWS)) for i in range(3)]
+    paths = [_write(f"{land}/lumusd/f{i}.parquet", _typed_table(F3_ROWS)) for i in range(3)]
     store = CandleStore(spark, f"{workdir}/tables")
     result = load_files(spark, paths, store)
     assert result.ok and [r[2] for r in result.report] == [3, 3, 3]
     assert store.history().count() == 9
     latest = store.latest().orderBy("open_time").collect()
-    assert [r.open_price for r in latest] == [50000.0, 50100.0, 50200.0]
+    assert [r.open_price for r in latest] == [61.5, 62.25, 63.0]
     # the file's created_at is replaced by the load time
     assert all(r.created_at != dt.datetime(2025, 1, 15, 10, 5) for r in latest)
     assert store.compact() == [202501]
@@ -75,26 +75,26 @@ def test_three_copies_nine_appended_three_latest(spark, workdir):
 
 def test_duplicate_key_in_one_file_later_row_wins(spark, workdir):
     # Fixture F4: same key twice, same load time -> the second row of the file wins
-    rows = [F3_ROWS[0], (F3_ROWS[0][0], 51000.0) + F3_ROWS[0][2:]]
+    rows = [F3_ROWS[0], (F3_ROWS[0][0], 64.5) + F3_ROWS[0][2:]]
     t = _typed_table(rows)
     t = t.set_column(13, "created_at", pa.array([dt.datetime(2025, 1, 15, 10, 5), dt.datetime(2025, 1, 15, 10, 6)], pa.timestamp("ms")))
     path = _write(f"{workdir}/landing/dup.parquet", t)
     store = CandleStore(spark, f"{workdir}/tables")
     load_files(spark, [path], store)
     got = store.latest().collect()
-    assert len(got) == 1 and got[0].open_price == 51000.0
+    assert len(got) == 1 and got[0].open_price == 64.5
 
 
 def test_generic_loader_schema(spark, workdir):
     # Fixture F5: configurable columns and key
     t = pa.table(
         {
-            "instrument": ["BTCUSD", "ETHUSD", "BTCUSD", "ETHUSD"],
+            "instrument": ["LUMUSD", "QZAUSD", "LUMUSD", "QZAUSD"],
             "timestamp": pa.array(
-                [dt.datetime(2025, 8, 15, 10, 0), dt.datetime(2025, 8, 15, 10, 0), dt.datetime(2025, 8, 15, 10, 0), dt.datetime(2025, 8, 15, 10, 1)],
+                [dt.datetime(2024, 11, 6, 10, 0), dt.datetime(2024, 11, 6, 10, 0), dt.datetime(2024, 11, 6, 10, 0), dt.datetime(2024, 11, 6, 10, 1)],
                 pa.timestamp("ns", tz="UTC"),
             ),
-            "prices": [50000.0, 3000.0, 50001.0, 3001.0],
+            "prices": [61.5, 12.5, 61.9, 12.75],
         }
     )
     path = _write(f"{workdir}/landing/prices.parquet", t)
@@ -104,7 +104,7 @@ def test_generic_loader_schema(spark, workdir):
     assert load_files(spark, [path], store).ok
     assert store.history().count() == 4
     latest = {(r.instrument, r.timestamp.minute): r.prices for r in store.latest().collect()}
-    assert len(latest) == 3 and latest[("BTCUSD", 0)] == 50001.0
+    assert len(latest) == 3 and latest[("LUMUSD", 0)] == 61.9
 
     wrong = _write(f"{workdir}/landing/wrong.parquet", pa.table({"different_column": [1]}))
     result = load_files(spark, [wrong], store)
@@ -112,8 +112,8 @@ def test_generic_loader_schema(spark, workdir):
 
 
 def test_write_landing_roundtrip(spark, workdir):
-    page = '[[1499040000000,"0.01634790","0.80000000","0.01575800","0.01577100","148976.11427815",1499644799999,"2434.19055334",308,"1756.87402397","28.46694368","0"]]'
-    df = spark.createDataFrame([("ETHUSDT", page)], "symbol string, payload string")
+    page = '[[1612345680000,"7.31250000","7.90000000","7.11000000","7.42000000","1203.50640000",1612345739999,"8845.77210000",57,"640.25000000","4711.90000000","0"]]'
+    df = spark.createDataFrame([("QZAUSDT", page)], "symbol string, payload string")
     out = write_landing(parse_kline_pages(df), f"{workdir}/landing", dt.datetime(2025, 1, 1, 12, 0, 0, 1))
     assert out.endswith("run=20250101120000000001")
     files = [f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")]
@@ -121,12 +121,12 @@ def test_write_landing_roundtrip(spark, workdir):
     back = read_landing(spark, out)
     assert back.columns[:13] == ["symbol", "open_time", "open_price", "high_price", "low_price", "close_price", "volume", "close_time",
                                  "quote_asset_volume", "number_of_trades", "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume", "ignore"]
-    assert back.first().open_price == "0.01634790"
-    empty = parse_kline_pages(spark.createDataFrame([("ETHUSDT", "[]")], "symbol string, payload string"))
+    assert back.first().open_price == "7.31250000"
+    empty = parse_kline_pages(spark.createDataFrame([("QZAUSDT", "[]")], "symbol string, payload string"))
     assert write_landing(empty, f"{workdir}/landing2") is None and not os.path.exists(f"{workdir}/landing2")
     store = CandleStore(spark, f"{workdir}/tables")
     assert load_files(spark, [os.path.join(dp, f) for dp, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")], store).ok
-    assert store.latest().first().close_time == dt.datetime(2017, 7, 9, 23, 59, 59, 999000)
+    assert store.latest().first().close_time == dt.datetime(2021, 2, 3, 9, 48, 59, 999000)
 
 
 def test_stream_retry_after_bad_file(spark, workdir):
@@ -158,7 +158,7 @@ def test_stream_retry_after_bad_file(spark, workdir):
     assert store.history().count() == 3 and store.latest().count() == 3
     assert {os.path.basename(r[0]): r[3] for r in replay[0][1]}["good.parquet"] == "loaded by an earlier attempt"
     # the file is fixed in place: the replayed batch now commits
-    pq.write_table(_typed_table(F3_ROWS, "ETHUSD"), bad)
+    pq.write_table(_typed_table(F3_ROWS, "QZAUSD"), bad)
     run_once(spark, land, store, ckpt)
     assert store.latest().count() == 6 and store.history().count() == 6
     # nothing new: a further run loads nothing
@@ -181,11 +181,11 @@ def test_stream_quarantine_commits(spark, workdir):
 def test_message_stream_candles_and_tickers(spark, workdir):
     msgs = f"{workdir}/messages"
     os.makedirs(msgs)
-    base = {"e": "kline", "s": "BTCUSDT", "k": {"t": 1754495085000, "T": 1754495085999, "s": "BTCUSDT", "i": "1s", "f": 1, "L": 4,
+    base = {"e": "kline", "s": "LUMUSDT", "k": {"t": 1718000400000, "T": 1718000400999, "s": "LUMUSDT", "i": "1s", "f": 1, "L": 4,
             "o": "1.0", "c": "2.0", "h": "3.0", "l": "0.5", "v": "0.1", "n": 4, "x": False, "q": "1", "V": "0", "Q": "0", "B": "0"}}
     later = json.loads(json.dumps(base))
-    later["E"], later["k"]["c"], later["k"]["x"] = 1754495086000, "2.5", True
-    base["E"] = 1754495085500
+    later["E"], later["k"]["c"], later["k"]["x"] = 1718000401000, "2.5", True
+    base["E"] = 1718000400500
     with open(f"{msgs}/part1.txt", "w") as f:
         f.write(json.dumps(later) + "\n" + json.dumps(base) + "\n")
     stream = spark.readStream.text(msgs).withColumnRenamed("value", "body")
@@ -198,12 +198,12 @@ def test_message_stream_candles_and_tickers(spark, workdir):
     tick = f"{workdir}/tickers_in"
     os.makedirs(tick)
     with open(f"{tick}/t.txt", "w") as f:
-        f.write(json.dumps([{"e": "24hrMiniTicker", "E": 1754491665001, "s": "REDUSDT", "c": "0.38680000", "o": "0", "h": "0", "l": "0", "v": "0", "q": "0"}]) + "\n")
+        f.write(json.dumps([{"e": "24hrMiniTicker", "E": 1718003600321, "s": "ORBUSDT", "c": "2.05500000", "o": "0", "h": "0", "l": "0", "v": "0", "q": "0"}]) + "\n")
     tstream = spark.readStream.text(tick).withColumnRenamed("value", "body")
     q2 = start_message_ingest(tstream, store, f"{workdir}/ckpt2", kind="ticker", ticker_path=f"{workdir}/tickers", available_now=True)
     q2.awaitTermination()
     t = spark.read.parquet(f"{workdir}/tickers").first()
-    assert (t.symbol, t.price, t.time) == ("REDUSDT", 0.3868, dt.datetime(2025, 8, 6, 14, 47, 45, 1000))
+    assert (t.symbol, t.price, t.time) == ("ORBUSDT", 2.055, dt.datetime(2024, 6, 10, 7, 13, 20, 321000))
     assert t.created_at is not None
 
 
@@ -232,9 +232,9 @@ def test_bad_values_and_missing_columns_isolated(spark, workdir):
     land = f"{workdir}/landing"
     good = _write(f"{land}/a/good.parquet", _typed_table(F3_ROWS))
     text = _typed_table(F3_ROWS).drop_columns(["created_at"])
-    text = text.set_column(2, "open_price", pa.array(["50000.0", "abc", "50200.0"]))
+    text = text.set_column(2, "open_price", pa.array(["61.5", "abc", "63.0"]))
     bad_value = _write(f"{land}/b/text_bad.parquet", text)
-    missing = _write(f"{land}/c/missing.parquet", _typed_table(F3_ROWS, "ETHUSD").drop_columns(["volume"]))
+    missing = _write(f"{land}/c/missing.parquet", _typed_table(F3_ROWS, "QZAUSD").drop_columns(["volume"]))
     store = CandleStore(spark, f"{workdir}/tables")
     result = load_files(spark, [good, bad_value, missing], store)
     status = {os.path.basename(r[0]): r[1] for r in result.report}
@@ -245,7 +245,7 @@ def test_bad_values_and_missing_columns_isolated(spark, workdir):
 def test_archive_processed_files(spark, workdir):
     land = f"{workdir}/landing"
     _write(f"{land}/a/one.parquet", _typed_table(F3_ROWS))
-    _write(f"{land}/b/two.parquet", _typed_table(F3_ROWS, "ETHUSD"))
+    _write(f"{land}/b/two.parquet", _typed_table(F3_ROWS, "QZAUSD"))
     store = CandleStore(spark, f"{workdir}/tables")
     run_once(spark, land, store, f"{workdir}/ckpt", max_files=1, archive_dir=f"{workdir}/archive")
     assert store.latest().count() == 6
@@ -259,7 +259,7 @@ def test_archive_processed_files(spark, workdir):
 def test_key_value_folders_do_not_become_columns(spark, workdir):
     land = f"{workdir}/landing"
     a = _write(f"{land}/year=2025/month=01/a.parquet", _typed_table(F3_ROWS))
-    b = _write(f"{land}/year=2024/b.parquet", _typed_table(F3_ROWS, "ETHUSD"))
+    b = _write(f"{land}/year=2024/b.parquet", _typed_table(F3_ROWS, "QZAUSD"))
     store = CandleStore(spark, f"{workdir}/tables")
     assert load_files(spark, [a, b], store).ok
     assert "year" not in store.history().columns and store.latest().count() == 6
@@ -281,3 +281,153 @@ def test_optimize_history_keeps_every_row(spark, workdir):
     files = [f for _, _, fs in os.walk(f"{workdir}/tables/append_only") for f in fs if f.endswith(".parquet")]
     assert len(files) == 1
     assert store.latest().count() == 3
+
+
+def _layered(spark, workdir, spec):
+    """A store after (rows, now, compact?) steps."""
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    for rows, now, compact in spec:
+        store.append(candles_df(spark, rows), now=now)
+        if compact:
+            store.compact()
+    return store
+
+
+def test_an_older_load_after_compaction_does_not_win(spark, workdir):
+    key = dt.datetime(2025, 1, 15, 10)
+    newer, older = dt.datetime(2025, 2, 2), dt.datetime(2025, 2, 1)
+    plain = _layered(spark, f"{workdir}/a", [([("A", key, 1)], newer, False), ([("A", key, 2)], older, False)])
+    folded = _layered(spark, f"{workdir}/b", [([("A", key, 1)], newer, True), ([("A", key, 2)], older, False)])
+    assert [r.open_price for r in plain.latest().collect()] == [r.open_price for r in folded.latest().collect()] == [1.0]
+    folded.compact()
+    assert [r.open_price for r in folded.latest().collect()] == [1.0]
+
+
+def test_rows_appended_during_compaction_stay(spark, workdir, monkeypatch):
+    from conftest import candles_df
+    from wickline.plans.keyed import KeyedTable
+
+    key = dt.datetime(2025, 1, 15, 10)
+    store = _layered(spark, workdir, [([("A", key, 1)], dt.datetime(2025, 2, 1), False)])
+    write = KeyedTable._write_base
+
+    def slow(self, *a):
+        if not store.latest_table.spark.conf.get("test.appended", ""):
+            spark.conf.set("test.appended", "1")
+            store.append(candles_df(spark, [("B", key, 5), ("A", key, 6)]), now=dt.datetime(2025, 2, 2))
+        return write(self, *a)
+
+    monkeypatch.setattr(KeyedTable, "_write_base", slow)
+    try:
+        store.compact()
+        assert sorted((r.symbol, r.open_price) for r in store.latest().collect()) == [("A", 6.0), ("B", 5.0)]
+        store.compact()
+        assert sorted((r.symbol, r.open_price) for r in store.latest().collect()) == [("A", 6.0), ("B", 5.0)]
+    finally:
+        spark.conf.unset("test.appended")
+
+
+def test_old_files_are_loaded_after_new_ones(spark, workdir):
+    land = f"{workdir}/landing"
+    _write(f"{land}/new.parquet", _typed_table(F3_ROWS))
+    store = CandleStore(spark, f"{workdir}/tables")
+    run_once(spark, land, store, f"{workdir}/ckpt")
+    old = _write(f"{land}/old.parquet", _typed_table(F3_ROWS, "QZAUSD"))
+    month_ago = os.path.getmtime(old) - 30 * 86400
+    os.utime(old, (month_ago, month_ago))
+    run_once(spark, land, store, f"{workdir}/ckpt")
+    assert store.latest().count() == 6
+
+
+def _break_pages(path):
+    """Overwrite the data pages and keep the footer."""
+    raw = bytearray(open(path, "rb").read())
+    footer = int.from_bytes(raw[-8:-4], "little") + 8
+    raw[4 : len(raw) - footer] = b"\xff" * (len(raw) - footer - 4)
+    with open(path, "wb") as f:
+        f.write(raw)
+    return path
+
+
+def test_broken_pages_behind_a_good_footer(spark, workdir):
+    land = f"{workdir}/landing"
+    _write(f"{land}/good.parquet", _typed_table(F3_ROWS))
+    _break_pages(_write(f"{land}/pages.parquet", _typed_table(F3_ROWS, "QZAUSD")))
+    store = CandleStore(spark, f"{workdir}/tables")
+    reports: list = []
+    run_once(spark, land, store, f"{workdir}/ckpt", quarantine=f"{workdir}/quarantine", reports=reports)
+    assert {os.path.basename(r[0]): r[1] for r in reports[0][1]} == {"good.parquet": "loaded", "pages.parquet": "failed"}
+    assert store.latest().count() == 3 and spark.read.parquet(f"{workdir}/quarantine").count() == 1
+
+
+def test_backfill_checks_every_file_and_takes_both_shapes(spark, workdir):
+    from wickline.streaming.ingest import backfill
+
+    land = f"{workdir}/landing"
+    _write(f"{land}/typed.parquet", _typed_table(F3_ROWS))
+    page = '[[1612345680000,"7.3","7.9","7.1","7.4","1203.5",1612345739999,"8845.7",57,"640.2","4711.9","0"]]'
+    write_landing(parse_kline_pages(spark.createDataFrame([("QZAUSDT", page)], "symbol string, payload string")), land)
+    store = CandleStore(spark, f"{workdir}/tables")
+    assert backfill(spark, land, store).ok and store.latest().count() == 4
+    for name, table in (
+        ("missing", _typed_table(F3_ROWS, "X").drop_columns(["volume"])),
+        ("extra", _typed_table(F3_ROWS, "X").append_column("more", pa.array([1, 2, 3]))),
+        ("no_key", _typed_table(F3_ROWS, "X").drop_columns(["open_time"])),
+    ):
+        bad = _write(f"{workdir}/{name}/{name}.parquet", table)
+        _write(f"{workdir}/{name}/good.parquet", _typed_table(F3_ROWS, "Y"))
+        with pytest.raises(BatchLoadError) as err:
+            backfill(spark, f"{workdir}/{name}", store)
+        assert os.path.basename(bad) in str(err.value)
+    assert store.latest().count() == 4 and store.history().count() == 4
+
+
+def test_null_keys_are_refused(spark, workdir):
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    rows = candles_df(spark, [("A", dt.datetime(2025, 1, 15, 10), 1)])
+    with pytest.raises(Exception, match="NULL"):
+        store.append(rows.selectExpr("CAST(NULL AS STRING) symbol", *[c for c in rows.columns if c != "symbol"]))
+    store.append(rows)
+    assert store.latest().count() == 1
+
+
+def test_other_messages_go_to_the_rejects(spark, workdir):
+    msgs = f"{workdir}/in"
+    os.makedirs(msgs)
+    kline = {"t": 60000, "T": 119999, "s": "X", "i": "1m", "f": 1, "L": 4, "o": "1", "c": "2", "h": "3", "l": "0.5", "v": "0.1", "n": 4, "x": False, "q": "1", "V": "0", "Q": "0", "B": "0"}
+    with open(f"{msgs}/m.txt", "w") as f:
+        f.write(json.dumps({"e": "kline", "E": 61000, "s": "X", "k": kline}) + '\n{"result":null,"id":1}\n')
+    stream = spark.readStream.text(msgs).withColumnRenamed("value", "body")
+    store = CandleStore(spark, f"{workdir}/tables")
+    with pytest.raises(Exception):
+        start_message_ingest(stream, store, f"{workdir}/c0", available_now=True).awaitTermination()
+    start_message_ingest(stream, store, f"{workdir}/c1", available_now=True, reject_path=f"{workdir}/rejects").awaitTermination()
+    assert store.latest().count() == 1 and store.compact() == [197001]
+    assert [(r.body, r.reason) for r in spark.read.parquet(f"{workdir}/rejects").collect()] == [('{"result":null,"id":1}', "no candle message")]
+
+
+def test_given_created_at_and_its_default(spark, workdir):
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    given = dt.datetime(2024, 5, 5, 5)
+    store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 15, 10), 1)], given), given_created_at=True)
+    store.append(candles_df(spark, [("B", dt.datetime(2025, 1, 15, 10), 1)], None), given_created_at=True)
+    got = {r.symbol: r.created_at for r in store.latest().collect()}
+    assert got["A"] == given and got["B"] > dt.datetime(2025, 1, 1)
+
+
+def test_upsert_takes_one_row_a_key(spark, workdir):
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    key = dt.datetime(2025, 1, 15, 10)
+    store.append(candles_df(spark, [("A", key, 1)]))
+    store.refresh_rollup("5 minutes")
+    twice = candles_df(spark, [("A", key, 7), ("A", key, 7)]).selectExpr("*", "202501 AS open_month")
+    store.upsert(twice)
+    assert [r.open_price for r in store.read_rollup().collect()] == [7.0]

@@ -50,7 +50,14 @@ def test_slice_interval_picks_table(spark, workdir):
     five = store.slice("A", dt.datetime(2025, 3, 1), dt.datetime(2025, 3, 1, 1), limit=100, interval="5 minutes")
     assert base.count() == 20
     assert [r.open_price for r in five.collect()] == [4.0, 9.0, 14.0, 19.0]
-    assert store.slice("A", interval="4 hours") is None
+    assert [r.open_price for r in store.slice("A", interval="5m").collect()] == [4.0, 9.0, 14.0, 19.0]
+    assert [r.open_price for r in store.slice("A", limit=2).collect()] == [18.0, 19.0]  # neither bound: the latest
+    assert store.slice("A", interval="1m").count() == 20
+    empty = store.slice("A", interval="4h")
+    assert empty.count() == 0 and empty.columns == base.columns
+    for name in ("2x", "", "m", "0m"):
+        with pytest.raises(ValueError):
+            store.slice("A", interval=name)
 
 
 def test_newest_load_first_and_created_at_default(spark, workdir):
@@ -124,3 +131,24 @@ def test_sql_views(spark, workdir):
         "(SELECT max(close_price) FROM t_5minutes WHERE symbol = 'A') AS last_close"
     ).first()
     assert (got.latest, got.history, got.last_close) == (10, 13, 9.0)
+
+
+def test_epoch_millis_in_a_skipped_hour(spark):
+    from wickline.functions.time import from_epoch_millis, to_epoch_micros, to_epoch_millis, truncate_second
+    from pyspark.sql import functions as F
+
+    start = dt.datetime(2024, 1, 1)
+    times = [start + dt.timedelta(hours=h, minutes=30, microseconds=123457) for h in range(0, 366 * 24)] + [dt.datetime(1969, 12, 31, 23, 59, 59, 999500)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Europe/Berlin", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(str(t),) for t in times], "t string").select(F.to_timestamp_ntz("t").alias("t"))
+            df = df.select("t", to_epoch_millis("t").alias("ms"), to_epoch_micros("t").alias("us"), from_epoch_millis(to_epoch_millis("t")).alias("back"), truncate_second("t").alias("s"))
+            for r in df.collect():
+                us = round((r.t - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+                assert (r.us, r.ms) == (us, us // 1000), (zone, r)
+                assert r.back == dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=us // 1000)
+                assert r.s == r.t.replace(microsecond=0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

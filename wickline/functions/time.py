@@ -17,6 +17,9 @@ _FIXED_UNITS = {
     "day": 86400,
 }
 _CALENDAR_UNITS = {"week", "month", "quarter", "year"}
+# The short interval names of candle requests.
+_SHORT_UNITS = {"s": "second", "m": "minute", "h": "hour", "d": "day", "w": "week", "M": "month"}
+_SHORT = re.compile(r"^(\d+)([smhdwM])$")
 _WIDTH = re.compile(r"^\s*(\d+)\s*([a-z]+?)s?\s*$")
 
 
@@ -29,7 +32,10 @@ def epoch_ntz() -> Column:
 
 
 def parse_width(width: str) -> tuple[int, str]:
-    """'5 minutes' -> (5, 'minute')."""
+    """'5 minutes' or '5m' -> (5, 'minute'); an unknown name raises."""
+    short = _SHORT.match(width.strip())
+    if short:
+        width = f"{short.group(1)} {_SHORT_UNITS[short.group(2)]}"
     m = _WIDTH.match(width.lower())
     if not m or (m.group(2) not in _FIXED_UNITS and m.group(2) not in _CALENDAR_UNITS):
         raise ValueError(f"unsupported interval width: {width!r}")
@@ -39,6 +45,12 @@ def parse_width(width: str) -> tuple[int, str]:
     return n, m.group(2)
 
 
+def width_name(width: str) -> str:
+    """The one spelling of a width: '5m', '5 minute' and '5 minutes' -> '5 minutes'."""
+    n, unit = parse_width(width)
+    return f"{n} {unit}" if n == 1 else f"{n} {unit}s"
+
+
 def width_seconds(width: str) -> int:
     n, unit = parse_width(width)
     if unit not in _FIXED_UNITS:
@@ -75,8 +87,22 @@ def month_key(c: Column | str) -> Column:
 
 
 def to_epoch_millis(c: Column | str) -> Column:
-    """NTZ wall clock (taken as UTC) -> epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", epoch_ntz(), _col(c))
+    """NTZ wall clock (taken as UTC) -> epoch milliseconds, floored.
+
+    Days and time of day are fields of the wall clock itself, so no zone
+    rule (a skipped or repeated hour) can move the result;
+    ``timestamp_diff`` would read the value in the session zone.
+    """
+    col = _col(c).cast("timestamp_ntz")
+    day = F.unix_date(F.to_date(col)).cast("long")
+    second = F.floor(F.extract(F.lit("SECOND"), col) * 1000).cast("long")
+    return day * F.lit(86400000) + F.hour(col) * F.lit(3600000) + F.minute(col) * F.lit(60000) + second
+
+
+def to_epoch_micros(c: Column | str) -> Column:
+    """NTZ wall clock (taken as UTC) -> epoch microseconds."""
+    col = _col(c).cast("timestamp_ntz")
+    return to_epoch_millis(col) * F.lit(1000) + F.pmod(F.floor(F.extract(F.lit("SECOND"), col) * 1000000).cast("long"), F.lit(1000))
 
 
 def from_epoch_millis(c: Column | str) -> Column:

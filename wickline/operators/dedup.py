@@ -50,9 +50,10 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = KEY) -> Data
     """Rows of ``new`` replace rows of ``target`` with the same key; others are kept.
 
     ``new`` is expected to be unique by key (a rollup or a deduplicated batch).
-    The anti join shuffles both sides on the key; AQE turns it into a
-    broadcast join at run time only when the measured size of ``new`` is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    Spark plans the anti join from the sizes it knows: it broadcasts the keys
+    of ``new`` where they are under ``spark.sql.autoBroadcastJoinThreshold``
+    (at run time: ``spark.sql.adaptive.autoBroadcastJoinThreshold``) and
+    shuffles both sides on the key otherwise.
     """
     kept = target.join(new.select(*keys), on=list(keys), how="left_anti")
     return kept.unionByName(new.select(*target.columns))

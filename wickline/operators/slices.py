@@ -14,9 +14,8 @@ from wickline.functions.time import (
     width_seconds,
 )
 
-# The service's default and largest page size.
+# Fixed value: the default page size of a candle request.
 DEFAULT_LIMIT = 500
-MAX_LIMIT = 1000
 
 
 def _floor_second(value: dt.datetime) -> dt.datetime:
@@ -28,16 +27,16 @@ def slice_klines(
     symbol: str,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     time_col: str = "open_time",
 ) -> DataFrame:
-    """Candles of one symbol with start <= open_time <= end, at most ``limit``.
+    """Candles of one symbol with start <= open_time <= end, all of them
+    unless ``limit`` is given.
 
-    Bounds are floored to whole seconds.  With a start (or no bounds and no
-    limit) the first ``limit`` candles are returned; without a start the
-    latest ``limit`` before ``end``.  Output is ascending by open_time.  A
-    symbol with no rows gives an empty result.  ``limit=None`` returns all.
-    The symbol and time predicates are literals and reach the parquet scan.
+    Bounds are floored to whole seconds.  With a start the limit takes the
+    first candles, without one the latest.  Output is ascending by
+    open_time; a symbol with no rows gives an empty result.  The symbol and
+    time predicates are literals and reach the parquet scan.
     """
     out = df.filter(F.col("symbol") == F.lit(symbol))
     if start is not None:
@@ -48,7 +47,7 @@ def slice_klines(
         return out.orderBy(time_col)
     if limit <= 0:
         raise ValueError("limit must be positive")
-    if start is not None or end is None:
+    if start is not None:
         return out.orderBy(F.col(time_col).asc()).limit(limit)
     latest = out.orderBy(F.col(time_col).desc()).limit(limit)
     return latest.orderBy(F.col(time_col).asc())

@@ -105,3 +105,12 @@ def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
     if found is None:
         return []
     return [st.getPath().toString() for st in found if st.isDirectory()]
+
+
+def glob_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching a glob pattern, in one listing call."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    if found is None:
+        return []
+    return [st.getPath().toString() for st in found if st.isFile()]

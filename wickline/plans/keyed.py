@@ -3,24 +3,24 @@
 Each month folder holds up to two layers:
 
 * ``layer=base``  - rows unique by key, written by compaction or a rebuild;
-* ``layer=delta`` - rows appended since, which may repeat keys and always
-  carry newer versions than the base (a single writer appends after the
-  compaction it follows).
-
-``view`` returns one row per key: the delta is deduplicated (one shuffle of
-the delta only, partial limit before it), and base rows are kept unless the
-delta has their key, through a left-anti join on the key.  Spark sizes that
-join from the delta's files on disk: a small delta is broadcast and the base
-is scanned with no shuffle at all, which is what reading a month that takes
-appends costs.  A month with no delta is a plain scan.  ``compact`` folds a
-month's delta into its base.
-
-Rewrites of a month read the month, write the result to a staging table in
-the checkpoint folder (lineage cut), then replace the month's base with a
-dynamic partition overwrite and drop its delta.  A month replace is not
-atomic with respect to concurrent readers and there must be a single writer
-per table.  A reader between the two steps sees the new base and the old
-delta, whose rows are the same versions, so its answer is still right.
+* ``layer=delta`` - rows appended since, which may repeat keys.
+
+``view`` returns one row per key, the greatest version of both layers,
+whatever the order of loads and compactions: the delta together with those
+base rows that share a key with it is deduplicated, all other base rows are
+kept as they are.  Spark sizes the semi and anti join on the delta's keys
+from its files on disk: with a small delta they are broadcast and the base is
+scanned without a shuffle, which is what reading a month that takes appends
+costs.  A month with no delta is a plain scan.  ``compact`` folds a month's
+delta into its base.
+
+A rewrite of a month first lists the delta files it is going to read, reads
+exactly those, writes the result to a staging folder beside the table, then
+replaces the month's base with a dynamic partition overwrite and deletes
+exactly the listed files: rows appended meanwhile stay in the delta.  Between
+the last two steps a reader sees the new base and the old delta, whose rows
+are the same versions, so its answer is right.  One rewrite per table may run
+at a time.
 
 Tables without layers (``layered=False``) hold rows as appended, e.g. the
 append-only history.
@@ -28,6 +28,7 @@ append-only history.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -37,7 +38,6 @@ from pyspark.sql import functions as F
 from wickline.operators.dedup import latest_by_key
 from wickline.plans import fs
 from wickline.schemas import KEY, MONTH
-from wickline.session import scratch_path
 
 LAYER = "layer"
 BASE, DELTA = "base", "delta"
@@ -107,9 +107,13 @@ class KeyedTable:
         return f"{self.path}/{MONTH}={m}"
 
     def layer_months(self, layer: str) -> list[int]:
-        """Months holding ``layer``, from one glob over the table folder."""
-        found = fs.glob_dirs(self.spark, f"{self.path}/{MONTH}=*/{LAYER}={layer}")
-        return months_of(p.rstrip("/").split("/")[-2].split("=", 1)[1] for p in found)
+        """Months with files in ``layer``, from one glob over the table folder."""
+        found = fs.glob_files(self.spark, f"{self.path}/{MONTH}=*/{LAYER}={layer}/*.parquet")
+        return months_of(p.split("/")[-3].split("=", 1)[1] for p in found)
+
+    def delta_files(self, months: Iterable[int]) -> list[str]:
+        """The files appended to ``months`` so far."""
+        return [f for m in months_of(months) for f in fs.glob_files(self.spark, f"{self._month_path(m)}/{LAYER}={DELTA}/*.parquet")]
 
     def dirty_months(self) -> list[int]:
         """Months with appended rows not yet folded into their base."""
@@ -165,9 +169,12 @@ class KeyedTable:
         """Version columns stored next to ``columns`` (load order, run)."""
         return [c for c in self.order if c not in self.columns]
 
-    def view(self, months: Iterable[int] | None = None, keep_order: bool = False) -> DataFrame | None:
+    def view(
+        self, months: Iterable[int] | None = None, keep_order: bool = False, delta_files: Sequence[str] | None = None
+    ) -> DataFrame | None:
         """``columns`` + ``open_month``, one row per key (plus the stored
-        version columns with ``keep_order``, as rewrites need).
+        version columns with ``keep_order``, as rewrites need).  With
+        ``delta_files`` only those files of the delta are read.
 
         Key predicates applied to the result reach the parquet scans of both
         layers; value predicates stay above the deduplication.
@@ -180,21 +187,29 @@ class KeyedTable:
             return self.dedup(scan).select(*out)
         wanted = None if months is None else set(months_of(months))
         base_months = [m for m in self.layer_months(BASE) if wanted is None or m in wanted]
-        delta_months = [m for m in self.layer_months(DELTA) if wanted is None or m in wanted]
         base = scan.filter(F.col(LAYER) == BASE).drop(LAYER)
+        if delta_files is None:
+            delta_months = [m for m in self.layer_months(DELTA) if wanted is None or m in wanted]
+            delta = scan.filter(F.col(LAYER) == DELTA).drop(LAYER)
+        else:
+            delta_months = months_of(f.split("/")[-3].split("=", 1)[1] for f in delta_files)
+            delta = self.spark.read.option("basePath", self.path).parquet(*delta_files).drop(LAYER) if delta_files else None
         if not delta_months:
             return base.select(*out)
-        fresh = self.dedup(scan.filter(F.col(LAYER) == DELTA).drop(LAYER)).select(*out)
+        full = [*self.columns, MONTH, *self._extra]
+        delta = delta.select(*full)
         shadowed = [m for m in base_months if m in set(delta_months)]
         untouched = [m for m in base_months if m not in set(delta_months)]
-        parts = [fresh]
+        parts = []
+        versions = delta
         if shadowed:
-            # only months that have a delta go through the anti join, so even
-            # a delta too large to broadcast never shuffles other months' base
-            kept = base.filter(F.col(MONTH).isin(shadowed)).join(
-                fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti"
-            )
-            parts.append(kept.select(*out))
+            # only months that have a delta go through the joins, so even a
+            # delta too large to broadcast never shuffles other months' base
+            own = base.filter(F.col(MONTH).isin(shadowed)).select(*full)
+            key = [*self.key, MONTH]
+            versions = delta.unionByName(own.join(delta.select(*key), on=key, how="left_semi").select(*full))
+            parts.append(own.join(delta.select(*key), on=key, how="left_anti").select(*out))
+        parts.append(self.dedup(versions).select(*out))
         if untouched:
             parts.append(base.filter(F.col(MONTH).isin(untouched)).select(*out))
         view = parts[0]
@@ -209,9 +224,14 @@ class KeyedTable:
         partition = [MONTH, LAYER] if self.layered else [MONTH]
         staged.write.mode("append").option("compression", "zstd").partitionBy(*partition).parquet(self.path)
 
-    def _drop_deltas(self, months: Iterable[int]) -> None:
-        for m in months:
-            fs.delete(self.spark, f"{self._month_path(m)}/{LAYER}={DELTA}")
+    def _drop(self, files: Iterable[str]) -> None:
+        for f in files:
+            fs.delete(self.spark, f)
+
+    def _staging(self) -> str:
+        """A fresh folder beside the table, on the table's own storage."""
+        parent = self.path.rstrip("/").rsplit("/", 1)[0]
+        return f"{parent}/_staging/{uuid.uuid4().hex}"
 
     def _write_base(self, df: DataFrame, parts: int | None, mode: str) -> None:
         layer = BASE if self.layered else None
@@ -225,16 +245,15 @@ class KeyedTable:
             .parquet(self.path)
         )
 
-    def replace_months(self, df: DataFrame, months: Sequence[int]) -> None:
-        """Write ``df`` (rows of ``months``, unique by key for layered tables)
-        to staging, then make it the months' base and drop their deltas."""
-        staging = scratch_path(self.spark, "stage")
+    def replace_months(self, df: DataFrame, replaced: Sequence[str] = ()) -> None:
+        """Write ``df`` (unique by key for layered tables) to staging, then
+        make it the base of its months and delete the ``replaced`` files."""
+        staging = self._staging()
         try:
             df.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(staging)
             staged = self.spark.read.parquet(staging)
             self._write_base(staged, self.partitions or partitions_for(fs.size_bytes(self.spark, staging)), "dynamic")
-            if self.layered:
-                self._drop_deltas(months)
+            self._drop(replaced)
         finally:
             fs.delete(self.spark, staging)
 
@@ -244,9 +263,9 @@ class KeyedTable:
         replace the whole table.  ``source_bytes`` (the size of what ``df``
         reads) sizes the range partitions."""
         parts = self.partitions or (partitions_for(source_bytes) if source_bytes is not None else None)
+        replaced = self.delta_files(months) if self.layered and months is not None else []
         self._write_base(df, parts, "dynamic" if months is not None else "static")
-        if self.layered and months is not None:
-            self._drop_deltas(months)
+        self._drop(replaced)
 
     def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
         """DED-2: fold months' deltas into their base, a few months per job.
@@ -262,10 +281,11 @@ class KeyedTable:
         step = max(1, months_per_job)
         for i in range(0, len(wanted), step):
             chunk = wanted[i : i + step]
-            # the layered view: only the delta is deduplicated, the base is
-            # anti-joined on its keys, so the month is shuffled once (for
-            # the clustered write) rather than twice
-            self.replace_months(self.view(chunk, keep_order=True), chunk)
+            # the layered view: only the delta and the base rows it touches
+            # are deduplicated, so the month is shuffled once, for the
+            # clustered write
+            read = self.delta_files(chunk)
+            self.replace_months(self.view(chunk, keep_order=True, delta_files=read), read)
         return wanted
 
     def small_file_months(self, min_files: int = 8) -> list[int]:
@@ -279,19 +299,28 @@ class KeyedTable:
 
     def rewrite_files(self, months: Iterable[int] | None = None) -> list[int]:
         """Merge small files of months of a table without layers, keeping
-        every row (no deduplication): each month is rewritten as sized,
-        clustered files."""
+        every row (no deduplication): the rows of the files listed now are
+        written as sized, clustered files, then exactly those files go, so
+        rows appended meanwhile stay.  A failure in between leaves rows
+        twice, as a repeated load does."""
         if self.layered:
             raise ValueError("layered tables are rewritten by compact()")
         wanted = months_of(months) if months is not None else self.small_file_months()
         for m in wanted:
-            self.replace_months(self.rows([m]), [m])
+            files = fs.glob_files(self.spark, f"{self._month_path(m)}/*.parquet")
+            if not files:
+                continue
+            rows = self.spark.read.option("basePath", self.path).parquet(*files)
+            parts = self.partitions or partitions_for(self.month_bytes([m]))
+            merged = clustered(rows, parts, self.key)
+            merged.write.mode("append").option("compression", "zstd").partitionBy(MONTH).parquet(self.path)
+            self._drop(files)
         return wanted
 
     def upsert_rewrite(self, new: DataFrame, touched: Sequence[int] | None = None) -> list[int]:
         """DED-4 by rewriting touched months: in each, new rows replace rows
         with the same key and all others are kept; the months end up as base
-        only.
+        only.  Of rows of ``new`` with one key the greatest version counts.
 
         Only the touched months are read.  The anti join is planned from the
         sizes Spark measures: a broadcast of the new keys when small, a
@@ -302,13 +331,14 @@ class KeyedTable:
         if not touched:
             return []
         cols = [*self.columns, MONTH, *[c for c in self.order if c not in self.columns]]
-        fresh = new.select(*cols)
-        current = self.view(touched, keep_order=True)
+        fresh = self.dedup(new.select(*cols)).select(*cols)
+        read = self.delta_files(touched)
+        current = self.view(touched, keep_order=True, delta_files=read)
         if current is None:
             merged = fresh
         else:
             current = current.select(*cols)
             kept = current.join(fresh.select(*self.key, MONTH), on=[*self.key, MONTH], how="left_anti")
             merged = kept.unionByName(fresh)
-        self.replace_months(merged, touched)
+        self.replace_months(merged, read)
         return list(touched)

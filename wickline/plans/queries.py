@@ -168,8 +168,8 @@ def _notification_key() -> F.Column:
     et, eid = F.col("event_type"), F.col("event_id").cast("string")
     return (
         F.when(et == "signup", F.concat(F.lit("landing/other/"), eid, F.lit(".parquet")))
-        .when(et == "click", F.concat(F.lit("data_sources/klines_pricing/click/"), eid, F.lit(".txt")))
-        .otherwise(F.concat(F.lit("data_sources/klines_pricing/"), et, F.lit("/"), eid, F.lit(".parquet")))
+        .when(et == "click", F.concat(F.lit("incoming/candles/click/"), eid, F.lit(".txt")))
+        .otherwise(F.concat(F.lit("incoming/candles/"), et, F.lit("/"), eid, F.lit(".parquet")))
     )
 
 
@@ -499,7 +499,7 @@ FROM latest GROUP BY symbol""",
         "ticker_projection": "SELECT event_type AS symbol, value AS price, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time FROM events",
         "event_payload": _with(_CANDLES) + f"SELECT {', '.join(LANDING_COLUMNS)} FROM candles",
         "notifications": f"""SELECT '{LANDING_BUCKET}' AS bucket,
-  'data_sources/klines_pricing/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS key
+  'incoming/candles/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS key
 FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         "rest_roundtrip": base
         + f"SELECT {', '.join(LANDING_COLUMNS)}, {_ts(LOAD_TIME)} AS created_at FROM latest",

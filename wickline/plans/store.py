@@ -4,7 +4,8 @@ Layout under one root folder, every table partitioned by ``open_month``
 (yyyymm of open_time) and clustered by (symbol, open_time) inside files:
 
 * ``append_only/`` - every loaded row with its load stamp and load order;
-  may hold duplicates (retries, revisions).  Never rewritten.
+  may hold duplicates (retries, revisions).  ``optimize_history`` merges
+  its small files; rows are never changed or dropped.
 * ``latest/``      - the deduplicated table.  Loads append to each month's
   delta layer; reads keep the latest version per (symbol, open_time), and
   ``compact`` folds deltas into the month's base (see ``plans.keyed``).
@@ -25,12 +26,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.functions.convert import stamp
-from wickline.functions.time import EPOCH, month_key, parse_width, width_seconds
+from wickline.functions.convert import default_created_at, stamp
+from wickline.functions.time import EPOCH, month_key, parse_width, to_epoch_micros, width_name, width_seconds
 from wickline.operators.rollup import after_high_water, rollup_last
-from wickline.operators.slices import DEFAULT_LIMIT, slice_klines
+from wickline.operators.slices import slice_klines
 from wickline.plans.keyed import DELTA, LAYER, KeyedTable, clustered, months_of
-from wickline.schemas import CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
+from wickline.schemas import CANDLE, CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
 
 RUN_SEQ = "run_seq"
 
@@ -38,7 +39,7 @@ __all__ = ["CandleStore", "clustered", "newest_load_first", "RUN_SEQ"]
 
 
 def _slug(width: str) -> str:
-    return width.strip().lower().replace(" ", "")
+    return width_name(width).replace(" ", "")
 
 
 @dataclass
@@ -81,33 +82,53 @@ class CandleStore:
 
     # ------------------------------------------------------------ loading
     def prepare(
-        self, df: DataFrame, now: dt.datetime | None = None, load_ms: int | None = None, keep: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        now: dt.datetime | None = None,
+        load_ms: int | None = None,
+        keep: Sequence[str] = (),
+        order_by: str | None = None,
+        given_created_at: bool = False,
+        check_keys: bool = True,
     ) -> DataFrame:
         """PRJ-4 + load order: the configured columns stamped with the load
         time, plus ``load_seq`` and ``open_month``.
 
-        An input without ``load_seq`` gets one from its row order
-        (``monotonically_increasing_id`` follows partition and row order).
-        ``now`` fixes the stamp for tests and replays; it must not be older
-        than the table's last compaction, since appended rows shadow the
-        compacted base of their keys (loads stamped with the clock always
-        satisfy this).
+        ``order_by`` (a time or whole-number column of ``df``) orders rows of
+        one key inside this load: the greatest wins.  Without it, and without
+        a ``load_seq`` of the input's own, a hash of the row decides, which
+        never depends on how the input is partitioned.  ``now`` fixes the
+        stamp for tests and replays.  With ``given_created_at`` (PRJ-5) the
+        input's own ``created_at`` stays and only a missing one gets the
+        clock.  A NULL in a key column raises unless ``check_keys`` is off.
         """
         load_ms = load_ms if load_ms is not None else int(time.time() * 1000)
         if now is None:
             # One value for the whole load, fixed before any write runs.
             now = dt.datetime.fromtimestamp(load_ms / 1000, dt.timezone.utc).replace(tzinfo=None)
         if LOAD_SEQ not in df.columns:
+            order = F.lit(load_ms)
+            if order_by is not None:
+                is_time = df.schema[order_by].dataType.typeName().startswith("timestamp")
+                order = to_epoch_micros(order_by) if is_time else F.col(order_by)
             df = df.withColumn(
                 LOAD_SEQ,
                 F.struct(
                     F.lit(load_ms).cast("long").alias("load_ms"),
-                    F.lit(load_ms).cast("long").alias("file_ms"),
+                    order.cast("long").alias("file_ms"),
                     F.lit(f"load-{uuid.uuid4().hex}").alias("source"),
-                    F.monotonically_increasing_id().alias("row"),
+                    F.xxhash64(*df.columns).alias("row"),
                 ),
             )
-        stamped = stamp(df, self.columns, now=now, keep=(LOAD_SEQ, *keep))
+        if given_created_at:
+            stamped = default_created_at(df, self.columns[-1]).select(*self.columns, LOAD_SEQ, *keep)
+        else:
+            stamped = stamp(df, self.columns, now=now, keep=(LOAD_SEQ, *keep))
+        if check_keys:
+            ok = F.lit(True)
+            for c in self.key:
+                ok = ok & F.col(c).isNotNull()
+            stamped = stamped.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(f"NULL in a key column of {list(self.key)}")).cast("boolean")))
         return stamped.withColumn(MONTH, month_key(self.time_col))
 
     def stage(self, rows: DataFrame) -> DataFrame:
@@ -120,14 +141,21 @@ class CandleStore:
         self.latest_table.append(staged)
         self.history_table.append(staged.drop(LAYER))
 
-    def append(self, df: DataFrame, now: dt.datetime | None = None, prepared: bool = False) -> None:
+    def append(
+        self,
+        df: DataFrame,
+        now: dt.datetime | None = None,
+        prepared: bool = False,
+        order_by: str | None = None,
+        given_created_at: bool = False,
+    ) -> None:
         """SRC-12 + DED-3: append rows to the history and to the latest table.
 
         Both writes are plain appends partitioned by month, from one cached
         copy of the staged rows: one small shuffle, no shuffle on the key and
         no rewrite of existing files.  An empty input writes nothing.
         """
-        rows = df if prepared else self.prepare(df, now)
+        rows = df if prepared else self.prepare(df, now, order_by=order_by, given_created_at=given_created_at)
         staged = self.stage(rows).persist()
         try:
             if staged.isEmpty():
@@ -183,21 +211,23 @@ class CandleStore:
         symbol: str,
         start: dt.datetime | None = None,
         end: dt.datetime | None = None,
-        limit: int | None = DEFAULT_LIMIT,
+        limit: int | None = None,
         interval: str | None = None,
-    ) -> DataFrame | None:
-        """SRC-2 on the stored tables.  The interval picks the table: the base
-        candles (``base_interval``) or a rollup of that width.  Month
-        partitions outside [start, end] are never read, and the symbol and
-        time predicates reach the parquet reader (below the deduplication
-        window)."""
-        table = self.latest_table if interval is None or _slug(interval) == _slug(self.base_interval) else self.rollup_table(interval)
+    ) -> DataFrame:
+        """SRC-2 on the stored tables.  The interval ("5m" or "5 minutes";
+        an unknown name raises) picks the table: the base candles
+        (``base_interval``) or a rollup of that width.  Month partitions
+        outside [start, end] are never read, and the symbol and time
+        predicates reach the parquet reader (below the deduplication
+        window).  Without data the result is empty."""
+        base = interval is None or width_name(interval) == width_name(self.base_interval)
+        table = self.latest_table if base else self.rollup_table(interval)
         lo = start.year * 100 + start.month if start else None
         hi = end.year * 100 + end.month if end else None
         months = [m for m in table.months() if (lo is None or m >= lo) and (hi is None or m <= hi)]
         view = table.view(months)
         if view is None:
-            return None
+            view = self.spark.createDataFrame([], CANDLE).withColumn(MONTH, F.lit(0))
         return slice_klines(view, symbol, start, end, limit)
 
     # ------------------------------------------------------------ rollups

@@ -51,11 +51,11 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a local one only when none is set.
+    """The folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Only an unset value (tests, the benchmark) falls back to a fresh
-    folder on this machine.
+    Where it is unset, a session that runs in this one process (tests, the
+    benchmark) gets a fresh local folder; any other session raises, since a
+    folder of one machine is not seen by the others.
     """
     sc = _context(spark)
     existing = checkpoint_dir(spark)
@@ -63,12 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(existing)
         return (sc.getCheckpointDir() if sc is not None else None) or existing
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     local = tempfile.mkdtemp(prefix="wickline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    if sc is not None:
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir() or local
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.time import bucket_start
+from wickline.operators.quality import SchemaError
 
 
 # Fixed value: the driver's events table (TESTDATA / FIXTURES F12).
@@ -19,12 +20,16 @@ KNOWN_SCHEMAS = {"events": EVENTS_SCHEMA}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; known tables are read with their declared
-    schema, which skips the schema-inference job."""
-    reader = spark.read
-    if name in KNOWN_SCHEMAS:
-        reader = reader.schema(KNOWN_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table.  A known table must hold its declared columns:
+    reading it with that schema would turn a missing one into NULLs."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name not in KNOWN_SCHEMAS:
+        return df
+    wanted = [c.split(" ") for c in KNOWN_SCHEMAS[name].split(", ")]
+    missing = [c for c, _ in wanted if c not in df.columns]
+    if missing:
+        raise SchemaError(f"{name}: missing columns {missing}")
+    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in wanted])
 
 
 def candles_from_events(events: DataFrame) -> DataFrame:

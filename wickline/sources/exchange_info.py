@@ -88,8 +88,11 @@ def exchange_info_schema() -> T.StructType:
     )
 
 
-def _require(cond: Column, value: Column, message: Column) -> Column:
-    return F.when(cond, value).otherwise(F.raise_error(message))
+def _require(df: DataFrame, cond: Column, message: Column) -> DataFrame:
+    """``df`` unchanged; a row that fails ``cond`` raises.  A filter, so the
+    check stays whatever columns are used later."""
+    failed = F.raise_error(message).cast("boolean")
+    return df.filter(F.when(F.coalesce(cond, F.lit(False)), F.lit(True)).otherwise(failed))
 
 
 def _all_present(prefix: str, fields: list[str]) -> Column:
@@ -118,10 +121,10 @@ def resolve_filters(df: DataFrame, struct_col: str = "filter", variants: dict[st
         F.lit(": "),
         F.to_json(F.col(struct_col)),
     )
-    checked = _require(ok, tag, message).alias("filter_type")
+    checked = _require(df, ok, message)
     rest = [F.col(f"{struct_col}.{n}").alias(n) for n in FILTER_FIELD_TYPES]
     others = [c for c in df.columns if c != struct_col]
-    return df.select(*others, checked, *rest)
+    return checked.select(*others, tag.alias("filter_type"), *rest)
 
 
 def parse_exchange_info(df: DataFrame, body_col: str = "body") -> DataFrame:
@@ -129,7 +132,7 @@ def parse_exchange_info(df: DataFrame, body_col: str = "body") -> DataFrame:
     doc = F.from_json(F.col(body_col), exchange_info_schema())
     parsed = df.select(doc.alias("doc"))
     ok = F.col("doc.timezone").isNotNull() & F.col("doc.serverTime").isNotNull() & F.col("doc.symbols").isNotNull()
-    return parsed.select(_require(ok, F.col("doc"), F.concat(F.lit("invalid exchange info: "), F.coalesce(F.to_json("doc"), F.lit("unparseable")))).alias("doc"))
+    return _require(parsed, ok, F.concat(F.lit("invalid exchange info: "), F.coalesce(F.to_json("doc"), F.lit("unparseable"))))
 
 
 def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, DataFrame]:
@@ -146,10 +149,11 @@ def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, Da
 
     rates = docs.select(server_time, F.posexplode("doc.rateLimits").alias("position", "r"))
     rate_ok = F.col("r.rateLimitType").isin(RATE_LIMIT_TYPES) & _all_present("r", ["interval", "intervalNum", "limit"])
+    rates = _require(rates, rate_ok, F.concat(F.lit("invalid rate limit: "), F.coalesce(F.to_json("r"), F.lit("NULL"))))
     rate_limits = rates.select(
         "server_time",
         "position",
-        _require(rate_ok, F.col("r.rateLimitType"), F.concat(F.lit("invalid rate limit: "), F.to_json("r"))).alias("rate_limit_type"),
+        F.col("r.rateLimitType").alias("rate_limit_type"),
         F.col("r.interval").alias("interval"),
         F.col("r.intervalNum").alias("interval_num"),
         F.col("r.limit").alias("limit"),
@@ -164,7 +168,7 @@ def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, Da
     sym = docs.select(server_time, F.posexplode("doc.symbols").alias("symbol_index", "s"))
     required = [n for n, _ in SYMBOL_FIELDS if n not in SYMBOL_OPTIONAL]
     sym_ok = _all_present("s", required)
-    sym = sym.select("server_time", "symbol_index", _require(sym_ok, F.col("s"), F.concat(F.lit("invalid symbol: "), F.to_json("s"))).alias("s"))
+    sym = _require(sym, sym_ok, F.concat(F.lit("invalid symbol: "), F.coalesce(F.to_json("s"), F.lit("NULL"))))
     scalar = [n for n, t in SYMBOL_FIELDS if n not in ("filters", "permissionSets")]
     symbols = sym.select("server_time", "symbol_index", *[F.col(f"s.{n}").alias(n) for n in scalar])
 
@@ -178,6 +182,7 @@ def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, Da
     permission_sets = sets.select("server_time", "symbol", "set_index", F.posexplode("perms").alias("position", "permission"))
 
     sors = docs.select(server_time, F.posexplode("doc.sors").alias("group_index", "g"))
+    sors = _require(sors, _all_present("g", ["baseAsset", "symbols"]), F.concat(F.lit("invalid order routing: "), F.coalesce(F.to_json("g"), F.lit("NULL"))))
     order_routing = sors.select(
         "server_time",
         "group_index",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.operators.quality import assert_landing_schema
+from wickline.plans import fs
 from wickline.schemas import LANDING, LANDING_COLUMNS, LOAD_SEQ
 
 
@@ -50,8 +51,7 @@ def write_landing(
     """
     landing = to_landing(df)
     assert_landing_schema(landing)
-    if landing.isEmpty():
-        return None
+    known = fs.exists(df.sparkSession, base)
     out = f"{base.rstrip('/')}/run={_run_stamp(run_time)}"
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDING.fields], *order_by)
     (
@@ -66,7 +66,10 @@ def write_landing(
         .partitionBy("pair")
         .parquet(out)
     )
-    return out
+    if fs.has_data(df.sparkSession, out):
+        return out
+    fs.delete(df.sparkSession, out if known else base)
+    return None
 
 
 def with_file_sequence(df: DataFrame, load_ms: int) -> DataFrame:

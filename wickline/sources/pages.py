@@ -32,21 +32,37 @@ def _strict_long(c: Column, name: str) -> Column:
     return F.coalesce(c.try_cast("long"), F.when(c.isNotNull(), failed))
 
 
+def _page_rows(payload: Column) -> Column:
+    return F.from_json(payload, "array<array<string>>")
+
+
+def page_problem(payload: Column) -> Column:
+    """Why a page cannot be read; NULL when it can."""
+    rows = _page_rows(payload)
+    short = F.exists(rows, lambda r: r.isNull() | (F.size(r) < PAGE_WIDTH))
+    return F.when(F.json_array_length(payload).isNull() | rows.isNull(), F.lit("no list of candles")).when(short, F.lit("short candle row"))
+
+
+def _valid(problem: Column, payload: Column) -> Column:
+    """A filter condition that raises on a problem, so it is never pruned."""
+    message = F.concat(F.lit("page: "), problem, F.lit(": "), F.coalesce(F.substring(payload, 1, 300), F.lit("NULL")))
+    return F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def parse_kline_pages(df: DataFrame, symbol_col: str = "symbol", payload_col: str = "payload") -> DataFrame:
     """One landing row per candle of every page.
 
     A page is ``[[open_ms, "open", "high", "low", "close", "volume",
     close_ms, "quote", trades, "taker base", "taker quote", "ignore"], ...]``.
     Numbers parsed into a string field keep their exact text, so prices are
-    carried unchanged.  A candle with fewer than 12 items raises.  Narrow:
-    no shuffle, one task per input split.
+    carried unchanged.  A page that is no list of candles (an error object,
+    a broken text) and a candle with fewer than 12 items raise
+    (``page_problem`` tells them apart beforehand).  Narrow: no shuffle, one
+    task per input split.
     """
-    rows = F.from_json(F.col(payload_col), "array<array<string>>")
-    exploded = df.select(F.col(symbol_col).alias("symbol"), F.explode(rows).alias("__row"))
-    checked = F.when(F.size("__row") >= PAGE_WIDTH, F.col("__row")).otherwise(
-        F.raise_error(F.concat(F.lit("short candle row: "), F.to_json(F.col("__row"))))
-    )
-    staged = exploded.select("symbol", checked.alias("__row"))
+    payload = F.col(payload_col)
+    valid = df.filter(_valid(page_problem(payload), payload))
+    staged = valid.select(F.col(symbol_col).alias("symbol"), F.explode(_page_rows(payload)).alias("__row"))
     out: list[Column] = [F.col("symbol")]
     for name in LANDING_COLUMNS[1:]:
         item = F.col("__row")[PAGE_POSITIONS[name]]

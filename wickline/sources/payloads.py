@@ -15,9 +15,8 @@ from wickline.functions.convert import _strict_double
 from wickline.functions.time import from_epoch_millis
 from wickline.schemas import MINI_TICKER_KEYS, STREAM_KLINE_INNER_NAMES, STREAM_KLINE_INNER_RAW
 
-# The accepted event name and the landing key rule.
+# The accepted event name and the landing file suffix.
 PUT_EVENT = "ObjectCreated:Put"
-LANDING_PREFIX = "data_sources/klines_pricing/"
 LANDING_SUFFIX = ".parquet"
 
 _NOTIFICATION = T.StructType(
@@ -45,20 +44,48 @@ _NOTIFICATION = T.StructType(
 )
 
 
+def _only_valid(df: DataFrame, problem: Column, body: Column, what: str) -> DataFrame:
+    """``df`` unchanged; a row with a problem raises.  A filter below the
+    projection, so no choice of output columns can prune the check."""
+    message = F.concat(F.lit(f"{what}: "), problem, F.lit(": "), F.coalesce(F.substring(body, 1, 300), F.lit("NULL")))
+    return df.filter(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def split_rejects(df: DataFrame, problem: Column, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejects with ``body`` and ``reason``) instead of raising."""
+    valid = df.filter(problem.isNull())
+    return valid, df.filter(problem.isNotNull()).select(F.col(body_col).alias("body"), problem.alias("reason"))
+
+
+def notification_problem(body: Column) -> Column:
+    """Why a notification body cannot be read; NULL when it can.  A body
+    without ``Records`` is a valid one without records."""
+    doc = F.from_json(body, _NOTIFICATION)
+    shape = F.json_object_keys(body)
+    records = doc["Records"]
+    lacking = F.exists(records, lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+    return (
+        F.when(shape.isNull(), F.lit("no JSON object"))
+        .when(F.array_contains(shape, "Records") & records.isNull(), F.lit("Records is no list of objects"))
+        .when(lacking, F.lit("record without bucket/key"))
+    )
+
+
 def parse_notifications(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Notification bodies -> one (event_name, bucket, key) row per record.
 
-    A body without ``Records`` gives no rows; a record without bucket name
-    or object key raises.
+    A body without ``Records`` gives no rows.  A malformed body and a record
+    without bucket name or object key raise (``notification_problem`` tells
+    them apart beforehand).
     """
-    parsed = df.select(*keep, F.explode(F.from_json(F.col(body_col), _NOTIFICATION)["Records"]).alias("__r"))
-    bucket, key = F.col("__r.s3.bucket.name"), F.col("__r.s3.object.key")
-    missing = F.raise_error(F.concat(F.lit("notification record without bucket/key: "), F.to_json(F.col("__r"))))
+    body = F.col(body_col)
+    valid = _only_valid(df, notification_problem(body), body, "notification")
+    parsed = valid.select(*keep, F.explode(F.from_json(body, _NOTIFICATION)["Records"]).alias("__r"))
     return parsed.select(
         *keep,
         F.coalesce(F.col("__r.eventName"), F.lit("unknown")).alias("event_name"),
-        F.when(bucket.isNotNull() & key.isNotNull(), bucket).otherwise(missing).alias("bucket"),
-        key.alias("key"),
+        F.col("__r.s3.bucket.name").alias("bucket"),
+        F.col("__r.s3.object.key").alias("key"),
     )
 
 
@@ -67,15 +94,15 @@ def put_events(df: DataFrame) -> Column:
     return F.coalesce(F.col("event_name"), F.lit("unknown")) == F.lit(PUT_EVENT)
 
 
-def landing_keys(prefix: str = LANDING_PREFIX, suffix: str = LANDING_SUFFIX) -> Column:
+def landing_keys(prefix: str, suffix: str = LANDING_SUFFIX) -> Column:
     """FLT-2: key under the landing prefix with the parquet suffix."""
     return F.col("key").startswith(prefix) & F.col("key").endswith(suffix)
 
 
-def new_landing_files(df: DataFrame, body_col: str = "body") -> DataFrame:
+def new_landing_files(df: DataFrame, prefix: str, body_col: str = "body", suffix: str = LANDING_SUFFIX) -> DataFrame:
     """SRC-7 + FLT-1 + FLT-2: the (bucket, key) pairs to load."""
     parsed = parse_notifications(df, body_col)
-    return parsed.filter(put_events(parsed) & landing_keys()).select("bucket", "key")
+    return parsed.filter(put_events(parsed) & landing_keys(prefix, suffix)).select("bucket", "key")
 
 
 def _stream_kline_schema() -> T.StructType:
@@ -96,15 +123,8 @@ def _distinct_inner() -> T.StructType:
     )
 
 
-def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Live candle messages -> event_type, event_ms, symbol, kline struct.
-
-    The inner keys differ only by case (t/T, v/V, q/Q, l/L), so the payload
-    is parsed with the raw names and cast positionally onto a struct with
-    distinct names; nothing downstream depends on case sensitivity.
-    """
-    msg = F.from_json(F.col(body_col), _stream_kline_schema())
-    as_fields = msg.cast(
+def _kline_message(body: Column) -> Column:
+    return F.from_json(body, _stream_kline_schema()).cast(
         T.StructType(
             [
                 T.StructField("event_type", T.StringType()),
@@ -114,7 +134,34 @@ def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str,
             ]
         )
     )
-    return df.select(*keep, as_fields.alias("__m")).select(*keep, "__m.*")
+
+
+def kline_problem(body: Column) -> Column:
+    """Why a live candle message cannot be read; NULL when it can."""
+    msg = _kline_message(body)
+    present = msg["event_type"].isNotNull() & msg["event_ms"].isNotNull() & msg["symbol"].isNotNull()
+    for name in STREAM_KLINE_INNER_NAMES:
+        present = present & msg["kline"][name].isNotNull()
+    keys = F.json_object_keys(body)
+    return (
+        F.when(keys.isNull(), F.lit("no JSON object"))
+        .when(~F.array_contains(keys, "k"), F.lit("no candle message"))
+        .when(~F.coalesce(present, F.lit(False)), F.lit("candle with a missing or invalid field"))
+    )
+
+
+def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Live candle messages -> event_type, event_ms, symbol, kline struct.
+
+    The inner keys differ only by case (t/T, v/V, q/Q, l/L), so the payload
+    is parsed with the raw names and cast positionally onto a struct with
+    distinct names; nothing downstream depends on case sensitivity.  Any
+    other message (an acknowledgement, a broken text, a candle without its
+    required fields) raises; ``kline_problem`` tells them apart beforehand.
+    """
+    body = F.col(body_col)
+    valid = _only_valid(df, kline_problem(body), body, "live candle")
+    return valid.select(*keep, _kline_message(body).alias("__m")).select(*keep, "__m.*")
 
 
 def type_stream_klines(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -142,14 +189,36 @@ def type_stream_klines(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def _ticker_name(key: str) -> str:
+    return f"key_{key}" if key.isupper() else key
+
+
+def _ticker_items(body: Column) -> Column:
+    raw = T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in MINI_TICKER_KEYS]))
+    named = T.ArrayType(T.StructType([T.StructField(_ticker_name(k), T.StringType()) for k in MINI_TICKER_KEYS]))
+    return F.from_json(body, raw).cast(named)
+
+
+def ticker_problem(body: Column) -> Column:
+    """Why a mini-ticker message cannot be read; NULL when it can."""
+    items = _ticker_items(body)
+    lacking = F.exists(items, lambda t: t["s"].isNull() | t["c"].try_cast("double").isNull() | t["key_E"].try_cast("long").isNull())
+    return F.when(F.json_array_length(body).isNull(), F.lit("no JSON list")).when(
+        F.coalesce(lacking, F.lit(True)), F.lit("ticker with a missing or invalid field")
+    )
+
+
 def parse_tickers(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Mini-ticker messages (a JSON *array* of objects) -> one row per ticker.
 
-    Keys are read with ``get_json_object``, which is case-exact.
+    The keys differ only by case, so each object is parsed once with the raw
+    names and cast positionally onto distinct ones.  A message that is no
+    list of objects with symbol, price and time raises.
     """
-    items = df.select(*keep, F.explode(F.from_json(F.col(body_col), "array<string>")).alias("__t"))
-    fields = [F.get_json_object("__t", f"$.{k}").alias(f"key_{k}" if k.isupper() else k) for k in MINI_TICKER_KEYS]
-    return items.select(*keep, *fields)
+    body = F.col(body_col)
+    valid = _only_valid(df, ticker_problem(body), body, "mini ticker")
+    items = valid.select(*keep, F.explode(_ticker_items(body)).alias("__t"))
+    return items.select(*keep, *[F.col("__t")[_ticker_name(k)].alias(_ticker_name(k)) for k in MINI_TICKER_KEYS])
 
 
 def type_tickers(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,12 +14,13 @@ table once.
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
 import json
 import time
 import urllib.parse
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -34,12 +35,22 @@ from wickline.operators.quality import assert_schema
 from wickline.plans import fs
 from wickline.plans.store import CandleStore
 from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ, MONTH
-from wickline.sources.landing import read_landing, with_file_sequence
-from wickline.sources.payloads import parse_stream_klines, parse_tickers, type_stream_klines, type_tickers
+from wickline.sources.landing import with_file_sequence
+from wickline.sources.payloads import (
+    kline_problem,
+    parse_stream_klines,
+    parse_tickers,
+    split_rejects,
+    ticker_problem,
+    type_stream_klines,
+    type_tickers,
+)
 
 # Files per batch and pause between batches.
 MAX_FILES_PER_BATCH = 10
 POLL_SECONDS = 5
+# Footers of a batch read at the same time.
+FOOTERS_AT_ONCE = 8
 
 BINARY_FILE_SCHEMA = T.StructType(
     [
@@ -79,7 +90,7 @@ def landing_file_stream(
     """SRC-6 / FLT-2: new ``*.parquet`` names under ``base``, at most ``max_files`` per batch.
 
     Nested folders (``year=2025/``) are searched and never become columns.
-    Zero-byte files are never listed.  A name already committed is not read
+    Zero-byte files are never listed.  A file's age never matters.  A name already committed is not read
     again, so writers must use fresh names.  The source lists ``base`` on
     every trigger; with ``archive_dir`` the files of each committed batch
     are moved there (``cleanSource=archive``), which keeps that listing to
@@ -91,6 +102,8 @@ def landing_file_stream(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
+        # the default skips files a week older than the newest one seen
+        .option("maxFileAge", "36500d")
     )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
@@ -105,10 +118,6 @@ def _norm_path(p: str) -> str:
     return p
 
 
-def _same_file(a: str, b: str) -> bool:
-    return _norm_path(a) == _norm_path(b)
-
-
 def _short(e: BaseException) -> str:
     return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
@@ -125,44 +134,70 @@ class LoadResult:
         return spark.createDataFrame(self.report, REPORT_SCHEMA)
 
 
+def _nanos_session(spark: SparkSession) -> SparkSession:
+    """A session of its own that reads INT64 nanosecond timestamps (which
+    Spark rejects) as longs, so no setting of the caller's session changes."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return session
+
+
+def _footer(spark: SparkSession, path: str, columns: list[str]) -> tuple[bool, T.StructType]:
+    """(nanosecond times, schema) of one file; raises for a wrong one."""
+    nanos = False
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if "NANOS" not in str(e):
+            raise
+        nanos = True
+        schema = _nanos_session(spark).read.parquet(path).schema
+    assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
+    return nanos, schema
+
+
 def _check_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
-    """Per-file footer checks on the driver (the slow path, at most a batch of files)."""
+    """Every file's own footer: (files by shape, schemas by shape, report of the bad ones)."""
     report: list[tuple[str, str, int, str | None]] = []
     shapes: dict[tuple[bool, str], list[str]] = {}
     schemas: dict[tuple[bool, str], T.StructType] = {}
-    for path in paths:
+
+    def one(path: str):
         try:
-            nanos = False
-            try:
-                schema = spark.read.parquet(path).schema
-            except AnalysisException as e:
-                if "NANOS" not in str(e):
-                    raise
-                nanos = True
-                with _nanos_as_long(spark):
-                    schema = spark.read.parquet(path).schema
-            assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
-            shapes.setdefault((nanos, schema.simpleString()), []).append(path)
-            schemas[(nanos, schema.simpleString())] = schema
+            return _footer(spark, path, columns)
         except Exception as e:  # noqa: BLE001 - unreadable or wrong file: report it, keep going
-            report.append((path, "failed", 0, _short(e)))
+            return e
+
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        found = list(pool.map(one, paths))
+    for path, got in zip(paths, found, strict=True):
+        if isinstance(got, Exception):
+            report.append((path, "failed", 0, _short(got)))
+            continue
+        key = (got[0], got[1].simpleString())
+        shapes.setdefault(key, []).append(path)
+        schemas[key] = got[1]
     return shapes, schemas, report
 
 
-def _merged_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
-    """Fast path: all footers read by one parallel job and merged.
-
-    Succeeds only when every file is readable parquet of one compatible shape
-    with no unknown column; otherwise the caller falls back to per-file checks.
-    A file *missing* a column is not visible here: it shows up as NULLs and is
-    caught by the per-file NULL count after the read.
-    """
-    try:
-        schema = spark.read.option("mergeSchema", "true").parquet(*paths).schema
-        assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS)
-    except Exception:  # noqa: BLE001
-        return None
-    return {(False, schema.simpleString()): list(paths)}, {(False, schema.simpleString()): schema}
+def _read_shapes(spark: SparkSession, shapes: dict, schemas: dict, columns: list[str], time_cols: list[str], load_ms: int) -> DataFrame:
+    """All files as typed rows with their load order and ``__bad`` flags."""
+    frames = []
+    for (nanos, shape), group in shapes.items():
+        # the schema read from the footers: no second inference job
+        reader = (_nanos_session(spark) if nanos else spark).read.schema(schemas[(nanos, shape)])
+        raw = with_file_sequence(reader.parquet(*group), load_ms)
+        if nanos:
+            raw = _nanos_to_ntz(raw, time_cols)
+        # the load stamp replaces any value the file carries
+        frames.append(_typed(raw, columns, strict=False).drop(columns[-1]))
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    bad = F.lit(False)
+    for c in columns[:-1]:
+        bad = bad | F.col(c).isNull()
+    return rows.withColumn("__bad", bad)
 
 
 def load_files(
@@ -170,95 +205,66 @@ def load_files(
     paths: Sequence[str],
     store: CandleStore,
     now: dt.datetime | None = None,
+    all_or_nothing: bool = False,
 ) -> LoadResult:
-    """STR-4 + STR-5: load a small batch of landing files, isolating bad ones.
-
-    Footers are checked first (DQ-2): in one parallel job when the batch is
-    clean, file by file otherwise, so an unreadable file or one with other
-    columns is reported and skipped.  The good files are read in one
-    parallel scan per landing shape, typed, stamped with one load time and
-    staged once (cached).  One aggregation counts rows and NULLs per file: a
-    file with a missing column or an unparsable number is reported and left
-    out.  The rest is appended with one write per table.
+    """STR-4 + STR-5: load a batch of landing files, isolating bad ones.
+
+    Every file's footer is checked first (DQ-2), so an unreadable file or
+    one with other columns is reported and skipped.  The good files are read
+    in one parallel scan per landing shape, typed, stamped with one load time
+    and staged once (cached).  One aggregation counts rows and NULLs per
+    file: a file with an unparsable number is reported and left out.  If the
+    scan itself fails (broken pages behind a good footer), each file is
+    tried alone and the broken ones are reported.  The rest is appended with
+    one write per table; with ``all_or_nothing`` only if no file is bad.
     """
-    load_ms = int(time.time() * 1000)
     columns = list(store.columns)
-    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
-    merged = _merged_footers(spark, paths, columns) if len(paths) > 1 else None
-    report: list[tuple[str, str, int, str | None]] = []
-    if merged is not None:
-        shapes, schemas = merged
-    else:
-        shapes, schemas, report = _check_footers(spark, paths, columns)
+    shapes, schemas, report = _check_footers(spark, paths, columns)
     good = [p for group in shapes.values() for p in group]
-    cached: list[DataFrame] = []
-    if good:
-        frames = []
-        for (nanos, shape), group in shapes.items():
-            # the schema read from the footers: no second inference job
-            reader = spark.read.schema(schemas[(nanos, shape)])
-            if nanos:
-                with _nanos_as_long(spark):
-                    raw = with_file_sequence(reader.parquet(*group), load_ms)
-                    raw = _nanos_to_ntz(raw, time_cols)
-                    # materialise under the setting; the union below reads the cache
-                    raw = raw.persist()
-                    raw.count()
-                    cached.append(raw)
-            else:
-                raw = with_file_sequence(reader.parquet(*group), load_ms)
-            # the load stamp replaces any value the file carries
-            frames.append(_typed(raw, columns, strict=False).drop(columns[-1]))
-        batch = frames[0]
-        for f in frames[1:]:
-            batch = batch.unionByName(f)
-        required = columns[:-1]
-        any_null = F.lit(False)
-        for c in required:
-            any_null = any_null | F.col(c).isNull()
-        source = F.col(f"{LOAD_SEQ}.source")
-        staged = store.stage(store.prepare(batch.withColumn("__bad", any_null), now=now, load_ms=load_ms, keep=("__bad",))).persist()
-        cached.append(staged)
+    if good and not (all_or_nothing and report):
         try:
-            # one pass over the cached batch: rows, bad rows and months per file
-            grouped = (
-                staged.groupBy(source.alias("source"), F.col(MONTH))
-                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__bad")).alias("bad"))
-                .collect()
-            )
-            stats: dict[str, tuple[int, int]] = {}
-            for r in grouped:
-                n, bad = stats.get(r["source"], (0, 0))
-                stats[r["source"]] = (n + r["n"], bad + r["bad"])
-            rejected = [k for k, (_, bad) in stats.items() if bad]
-            touched = sorted({r[MONTH] for r in grouped if r["source"] not in rejected})
-            keep = staged.filter(~source.isin(rejected)) if rejected else staged
-            if touched:
-                store.append_staged(keep.drop("__bad"))
-        finally:
-            for df in cached:
-                df.unpersist()
-        for path in good:
-            n, bad = next((v for k, v in stats.items() if _same_file(k, path)), (0, 0))
-            if bad:
-                report.append((path, "failed", 0, f"{bad} rows with NULL or invalid values in required columns"))
+            report += _load_good(spark, shapes, schemas, store, now, all_or_nothing)
+        except Exception as e:  # noqa: BLE001 - a file whose pages cannot be read
+            if all_or_nothing:
+                raise
+            if len(good) == 1:
+                report.append((good[0], "failed", 0, _short(e)))
             else:
-                report.append((path, "loaded", int(n), None))
+                for path in good:
+                    report += load_files(spark, [path], store, now).report
     order = {p: i for i, p in enumerate(paths)}
     report.sort(key=lambda r: order.get(r[0], 0))
     return LoadResult(report)
 
 
-@contextlib.contextmanager
-def _nanos_as_long(spark: SparkSession):
-    """Read INT64 nanosecond timestamps (which Spark rejects) as longs."""
-    key = "spark.sql.legacy.parquet.nanosAsLong"
-    old = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def _load_good(
+    spark: SparkSession, shapes: dict, schemas: dict, store: CandleStore, now: dt.datetime | None, all_or_nothing: bool
+) -> list[tuple[str, str, int, str | None]]:
+    """Load files with good footers; nothing is written before every page was read."""
+    load_ms = int(time.time() * 1000)
+    columns = list(store.columns)
+    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
+    rows = _read_shapes(spark, shapes, schemas, columns, time_cols, load_ms)
+    source = F.col(f"{LOAD_SEQ}.source")
+    staged = store.stage(store.prepare(rows, now=now, load_ms=load_ms, keep=("__bad",), check_keys=False)).persist()
     try:
-        yield
+        # one pass over the cached batch: rows and bad rows per file
+        grouped = staged.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__bad")).alias("bad")).collect()
+        stats = {_norm_path(r["source"]): (r["n"], r["bad"]) for r in grouped}
+        rejected = [r["source"] for r in grouped if r["bad"]]
+        if len(rejected) < len(grouped) and not (all_or_nothing and rejected):
+            keep = staged.filter(~source.isin(rejected)) if rejected else staged
+            store.append_staged(keep.drop("__bad"))
     finally:
-        spark.conf.set(key, old)
+        staged.unpersist()
+    report: list[tuple[str, str, int, str | None]] = []
+    for path in (p for group in shapes.values() for p in group):
+        n, bad = stats.get(_norm_path(path), (0, 0))
+        if bad:
+            report.append((path, "failed", 0, f"{bad} rows with NULL or invalid values in required columns"))
+        else:
+            report.append((path, "loaded", int(n), None))
+    return report
 
 
 def _nanos_to_ntz(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -279,16 +285,24 @@ def _typed(raw: DataFrame, columns: Sequence[str], strict: bool = True) -> DataF
     return raw.select(*present, LOAD_SEQ)
 
 
-def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetime | None = None) -> None:
-    """Load a whole landing folder in one distributed scan (no per-file loop).
+def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetime | None = None) -> LoadResult:
+    """Load a whole landing folder in one distributed scan per landing shape.
 
-    Any unreadable file fails the whole job and nothing is appended.  No
-    ledger is kept: running it again appends the files again (the latest
-    view is unaffected); the file stream is the idempotent path.
+    Every file passes the checks of ``load_files``; both landing shapes may
+    lie in one folder.  One bad file raises ``BatchLoadError`` and nothing is
+    appended.  No ledger is kept: running it again appends the files again
+    (the latest view is unaffected); the file stream is the idempotent path.
     """
-    raw = with_file_sequence(read_landing(spark, base), int(time.time() * 1000))
-    assert_schema(raw.drop(LOAD_SEQ), store.columns, optional=(store.columns[-1],), check_types=list(store.columns) == CANDLE_COLUMNS)
-    store.append(_typed(raw, store.columns), now=now)
+    paths = [r["path"] for r in _landing_names(spark, base).collect()]  # names only
+    result = load_files(spark, paths, store, now, all_or_nothing=True)
+    if not result.ok:
+        raise BatchLoadError(result.report)
+    return result
+
+
+def _landing_names(spark: SparkSession, base: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return reader.load(base).select("path")
 
 
 class BatchLedger:
@@ -299,25 +313,29 @@ class BatchLedger:
     earlier attempt appended are skipped, so the append-only table gets each
     file once.  The record is written right after the appends, so only a
     crash between the two can still duplicate a file (the deduplicated view
-    is unaffected).  A fresh checkpoint starts a fresh ledger, as the stream
+    is unaffected).  Records stay as long as the checkpoint, so a replay from
+    a restored older one is a replay too.  A fresh checkpoint starts a fresh ledger, as the stream
     itself restarts from batch 0.
     """
 
-    KEEP = 100
-
     def __init__(self, spark: SparkSession, checkpoint: str):
         self.spark = spark
         self.base = f"{checkpoint.rstrip('/')}/loaded_files"
 
+    def stream_id(self) -> str:
+        """A name that stays with the checkpoint folder."""
+        known = fs.read_text(self.spark, f"{self.base}/stream")
+        if not known:
+            known = uuid.uuid4().hex
+            fs.write_text(self.spark, f"{self.base}/stream", known)
+        return known
+
     def loaded(self, batch_id: int) -> set[str]:
         text = fs.read_text(self.spark, f"{self.base}/{batch_id}")
         return set(json.loads(text)) if text else set()
 
     def record(self, batch_id: int, paths: set[str]) -> None:
         fs.write_text(self.spark, f"{self.base}/{batch_id}", json.dumps(sorted(paths)))
-        if batch_id >= self.KEEP:
-            # batches this old were committed and are never replayed
-            fs.delete(self.spark, f"{self.base}/{batch_id - self.KEEP}")
 
 
 def start_ingest(
@@ -393,7 +411,8 @@ def stream_candles(messages: DataFrame, body_col: str = "body", load_ms: int = 0
     """Live candle messages -> typed candles with a load order by event time.
 
     Within one batch every row gets the same load stamp, so the tie is broken
-    by the message's event time: the later update of a candle wins.
+    by the message's event time, then by its trade count, which only grows:
+    the later update of a candle wins however the messages are partitioned.
     """
     parsed = parse_stream_klines(messages, body_col)
     typed = type_stream_klines(parsed, keep=("event_ms",))
@@ -403,7 +422,7 @@ def stream_candles(messages: DataFrame, body_col: str = "body", load_ms: int = 0
             F.lit(load_ms).cast("long").alias("load_ms"),
             F.col("event_ms").alias("file_ms"),
             F.lit("stream").alias("source"),
-            F.monotonically_increasing_id().alias("row"),
+            F.col("number_of_trades").cast("long").alias("row"),
         ),
     ).drop("event_ms")
 
@@ -421,11 +440,16 @@ def start_message_ingest(
     ticker_path: str | None = None,
     available_now: bool = False,
     poll_seconds: int = POLL_SECONDS,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """STR-6: any streaming DataFrame with a string body -> candle or ticker tables.
 
-    A batch is appended whole; the ledger in the checkpoint folder makes a
-    replay of an appended batch a no-op.
+    A batch of candles is appended whole; the ledger in the checkpoint folder
+    makes a replay of an appended batch a no-op.  Tickers have no key that
+    could tell a repeated row, so each batch has a folder of its own that a
+    replay overwrites.  A message that cannot be read fails the batch; with
+    ``reject_path`` it is written there with its reason (one folder a batch,
+    too) and the others are loaded.
     """
     if kind not in ("kline", "ticker"):
         raise ValueError("kind must be 'kline' or 'ticker'")
@@ -433,18 +457,24 @@ def start_message_ingest(
         raise ValueError("ticker_path is required for tickers")
 
     ledger = BatchLedger(messages.sparkSession, checkpoint)
+    problem = kline_problem(F.col(body_col)) if kind == "kline" else ticker_problem(F.col(body_col))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if ledger.loaded(batch_id):
             return  # appended by an earlier attempt of this batch
         load_ms = int(time.time() * 1000)
+        folder = f"batch={ledger.stream_id()}-{batch_id}"
+        if reject_path:
+            batch, rejects = split_rejects(batch, problem, body_col)
+            rejects.write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/{folder}")
         if kind == "kline":
             candles = stream_candles(batch, body_col, load_ms)
             store.append(store.prepare(candles, load_ms=load_ms), prepared=True)
         else:
             now = dt.datetime.fromtimestamp(load_ms / 1000, dt.timezone.utc).replace(tzinfo=None)
             tickers = stamp(stream_tickers(batch, body_col), ["symbol", "price", "time", "created_at"], now=now)
-            tickers.withColumn("open_month", month_key("time")).write.mode("append").partitionBy("open_month").parquet(ticker_path)
+            tickers = tickers.withColumn("open_month", month_key("time"))
+            tickers.write.mode("overwrite").partitionBy("open_month").parquet(f"{ticker_path.rstrip('/')}/{folder}")
         ledger.record(batch_id, {"batch"})
 
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
