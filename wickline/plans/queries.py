@@ -7,14 +7,15 @@ from ``events`` (one candle per event, see ``sources.events``).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import stamp, type_klines
-from wickline.functions.time import as_ntz, month_key, to_epoch_millis
+from wickline.functions.time import as_ntz, bucket_start, month_key, stamp_format, to_epoch_millis
 from wickline.operators.dedup import latest_by_key, upsert
 from wickline.operators.quality import check_candles, check_slice, table_health
 from wickline.operators.rollup import (
@@ -24,15 +25,23 @@ from wickline.operators.rollup import (
     rollup_last_two_step,
 )
 from wickline.operators.slices import plan_pages, slice_klines, top_n_per_symbol
-from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS
+from wickline.plans import fs
+from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS, MONTH
 from wickline.sources.events import event_candles, read_table
-from wickline.sources.exchange_info import flatten_exchange_info
-from wickline.plans.store import CandleStore
+from wickline.sources.exchange_info import (
+    EXCHANGE_FILTER_FIELDS,
+    FILTER_FIELD_TYPES,
+    SYMBOL_FIELDS,
+    SYMBOL_FILTER_FIELDS,
+    flatten_exchange_info,
+)
+from wickline.plans.store import CandleStore, newest_load_first
 from wickline.session import scratch_path
 from wickline.sources.landing import landing_text, write_landing
 from wickline.sources.pages import format_kline_row, parse_kline_pages
-from wickline.streaming.ingest import backfill, run_once, start_message_ingest
+from wickline.streaming.ingest import REPORT_SCHEMA, backfill, run_once, start_message_ingest
 from wickline.sources.payloads import (
+    kline_problem,
     new_landing_files,
     parse_stream_klines,
     parse_tickers,
@@ -52,6 +61,10 @@ TOP_N = 3
 PAGE_LIMIT = 500
 LOAD_TIME = dt.datetime(2024, 2, 1)
 LANDING_BUCKET = "candles-landing"
+LANDING_PREFIX = "incoming/candles/"
+LATE_CUT = dt.datetime(2024, 1, 16)
+BAD_EVERY = 7
+BAD_FILE_SYMBOLS = ["view", "click", "purchase", "error", "signup"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +73,24 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_key(event_candles(spark, sf_dir))
 
 
+@contextlib.contextmanager
+def _workspace(spark: SparkSession, name: str):
+    """A scratch folder for the tables of one query, removed at the end."""
+    work = scratch_path(spark, name)
+    try:
+        yield work
+    finally:
+        fs.delete(spark, work)
+
+
+def _kept(df: DataFrame, work: str) -> DataFrame:
+    """The result of a query whose tables are about to be removed, written
+    once beside them."""
+    out = f"{work}-result"
+    df.write.option("compression", "zstd").parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 def _ts(value: dt.datetime) -> str:
     return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S}'"
 
@@ -90,21 +121,45 @@ def q_rollup_1month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = event_candles(spark, sf_dir)
-    target = rollup_last(candles.filter(F.col("open_time") < as_ntz(INCREMENTAL_CUT)))
-    new, _ = incremental_rollup(candles, target, "5 minutes")
-    return upsert(target, new)
+    before = candles.filter(F.col("open_time") < as_ntz(INCREMENTAL_CUT))
+    # the greatest bucket start needs no deduplication
+    new, _ = incremental_rollup(candles, before.select(bucket_start("open_time", "5 minutes").alias("open_time")), "5 minutes")
+    return upsert(rollup_last(before), new)
+
+
+def _late(candles: DataFrame) -> F.Column:
+    """Rows that arrive in a second load: all after the cut, one symbol
+    whole, and every fifth minute's later versions before the cut."""
+    revised = (F.col("number_of_trades") % 5 == 0) & (F.col("symbol") != SLICE_SYMBOL)
+    return (F.col("open_time") >= as_ntz(LATE_CUT)) | (F.col("symbol") == "signup") | revised
+
+
+def q_incremental_rollup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-3 where it matters: late rows, a late symbol and revisions at or
+    before the high water stay out, so a full rollup would differ."""
+    candles = event_candles(spark, sf_dir)
+    first = candles.filter(~_late(candles))
+    new, _ = incremental_rollup(candles, first.select(bucket_start("open_time", "5 minutes").alias("open_time")), "5 minutes")
+    return upsert(rollup_last(first), new)
 
 
 def q_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return high_water_column(rollup_last(event_candles(spark, sf_dir), "5 minutes"))
+    candles = event_candles(spark, sf_dir)
+    return high_water_column(candles.select(bucket_start("open_time", "5 minutes").alias("open_time")))
 
 
 def q_upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-4 twice on a stored table: each side is computed once."""
     candles = event_candles(spark, sf_dir)
-    ntz = as_ntz
-    target = rollup_last(candles.filter(F.col("open_time") < ntz(UPSERT_TARGET_BEFORE)))
-    new = rollup_last(candles.filter(F.col("open_time") >= ntz(UPSERT_NEW_FROM)))
-    return upsert(upsert(target, new), new)
+    with _workspace(spark, "upsert") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        store.append(candles.filter(F.col("open_time") < as_ntz(UPSERT_TARGET_BEFORE)), order_by="created_at", given_created_at=True)
+        store.refresh_rollup("5 minutes")
+        new = rollup_last(candles.filter(F.col("open_time") >= as_ntz(UPSERT_NEW_FROM)))
+        new = new.withColumn(MONTH, month_key("open_time"))
+        store.upsert(new)
+        store.upsert(new)
+        return _kept(store.read_rollup("5 minutes").drop(MONTH), work)
 
 
 def q_slice_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +175,38 @@ def q_slice_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_slice(s, SLICE_START, SLICE_END, "1 minute", SLICE_LIMIT)
 
 
+def q_slice_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neither bound: the latest candles; the limit is the request's own."""
+    return slice_klines(_latest(spark, sf_dir), SLICE_SYMBOL, limit=SLICE_LIMIT)
+
+
+def q_slice_interval_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The short interval name picks the stored rollup; no limit."""
+    with _workspace(spark, "slice") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        store.append(event_candles(spark, sf_dir), order_by="created_at", given_created_at=True)
+        store.refresh_rollup("5 minutes")
+        return _kept(store.slice(SLICE_SYMBOL, SLICE_START, SLICE_END, interval="5m").drop(MONTH), work)
+
+
+def q_newest_load_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-3: the place of every history row in the order newest load first."""
+    with _workspace(spark, "history") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        store.append(event_candles(spark, sf_dir), order_by="created_at", given_created_at=True)
+        ordered = newest_load_first(store.history())
+        # the sort is global, so ids that grow with the partition number follow it
+        placed = ordered.select("symbol", "open_time", "created_at", F.monotonically_increasing_id().alias("place"))
+        w = Window.partitionBy("symbol").orderBy("place")
+        return _kept(placed.select("symbol", "open_time", "created_at", F.row_number().over(w).cast("long").alias("place")), work)
+
+
+def q_run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The microsecond stamp of landing file names, for every event time."""
+    events = read_table(spark, sf_dir, "events")
+    return events.select("event_id", stamp_format("ts").alias("stamp"))
+
+
 def q_top_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n_per_symbol(_latest(spark, sf_dir), TOP_N)
 
@@ -142,7 +229,7 @@ def q_candle_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_candles(_latest(spark, sf_dir), by=["symbol"])
 
 
-def q_ticker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ticker_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     ticker = F.struct(
         F.lit("24hrMiniTicker").alias("e"),
@@ -155,8 +242,11 @@ def q_ticker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("v"),
         (F.col("value") * F.lit(2.0)).cast("string").alias("q"),
     )
-    messages = events.select(F.to_json(F.array(ticker)).alias("body"))
-    return type_tickers(parse_tickers(messages))
+    return events.select(F.to_json(F.array(ticker)).alias("body"))
+
+
+def q_ticker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return type_tickers(parse_tickers(_ticker_messages(spark, sf_dir)))
 
 
 def q_event_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +258,8 @@ def _notification_key() -> F.Column:
     et, eid = F.col("event_type"), F.col("event_id").cast("string")
     return (
         F.when(et == "signup", F.concat(F.lit("landing/other/"), eid, F.lit(".parquet")))
-        .when(et == "click", F.concat(F.lit("incoming/candles/click/"), eid, F.lit(".txt")))
-        .otherwise(F.concat(F.lit("incoming/candles/"), et, F.lit("/"), eid, F.lit(".parquet")))
+        .when(et == "click", F.concat(F.lit(f"{LANDING_PREFIX}click/"), eid, F.lit(".txt")))
+        .otherwise(F.concat(F.lit(LANDING_PREFIX), et, F.lit("/"), eid, F.lit(".parquet")))
     )
 
 
@@ -186,7 +276,7 @@ def q_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("s3"),
     )
     bodies = events.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("body"))
-    return new_landing_files(bodies)
+    return new_landing_files(bodies, LANDING_PREFIX)
 
 
 def q_rest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,47 +298,133 @@ def q_rest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pipeline_rollup_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: landing files -> file-stream load -> tables -> incremental rollup.
 
-    Writes under a fresh folder in the checkpoint directory.  created_at is
-    the load time, so it is left out of the result.
+    created_at is the load time, so it is left out of the result.
     """
-    work = scratch_path(spark, "pipeline")
-    candles = event_candles(spark, sf_dir)
-    write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
-    store = CandleStore(spark, f"{work}/tables")
-    run_once(spark, f"{work}/landing", store, f"{work}/checkpoint")
-    store.refresh_rollup("5 minutes")
-    return store.read_rollup("5 minutes").drop("created_at", "open_month")
+    with _workspace(spark, "pipeline") as work:
+        candles = event_candles(spark, sf_dir)
+        write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
+        store = CandleStore(spark, f"{work}/tables")
+        run_once(spark, f"{work}/landing", store, f"{work}/checkpoint")
+        store.refresh_rollup("5 minutes")
+        return _kept(store.read_rollup("5 minutes").drop("created_at", MONTH), work)
 
 
 def q_pipeline_backfill_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files -> one distributed backfill -> compaction -> deduplicated view."""
-    work = scratch_path(spark, "backfill")
-    candles = event_candles(spark, sf_dir)
-    write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
-    store = CandleStore(spark, f"{work}/tables")
-    backfill(spark, f"{work}/landing", store)
-    store.compact()
-    return store.latest().drop("created_at", "open_month")
+    with _workspace(spark, "backfill") as work:
+        candles = event_candles(spark, sf_dir)
+        write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
+        store = CandleStore(spark, f"{work}/tables")
+        backfill(spark, f"{work}/landing", store)
+        store.compact()
+        return _kept(store.latest().drop("created_at", MONTH), work)
 
 
 def q_pipeline_incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads into the tables, a full first rollup, then an incremental run
     (rows after the high water, appended as a new run) read back merged.
+    The event time orders the versions of a candle inside a load."""
+    with _workspace(spark, "incremental") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        candles = event_candles(spark, sf_dir)
+        cut = as_ntz(INCREMENTAL_CUT)
+        store.append(candles.filter(F.col("open_time") < cut), order_by="created_at")
+        store.refresh_rollup("5 minutes")
+        store.append(candles.filter(F.col("open_time") >= cut), order_by="created_at")
+        store.refresh_rollup("5 minutes")
+        return _kept(store.read_rollup("5 minutes").drop("created_at", MONTH), work)
+
+
+def _halves(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    even = F.col("number_of_trades") % 2 == 0
+    return candles.filter(even), candles.filter(~even)
+
+
+def q_pipeline_layered_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows loaded and compacted, the rest appended: the view
+    over base and delta, with versions in both, given by the event time."""
+    with _workspace(spark, "layered") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        first, second = _halves(event_candles(spark, sf_dir))
+        store.append(first, order_by="created_at", given_created_at=True)
+        store.compact()
+        store.append(second, order_by="created_at", given_created_at=True)
+        return _kept(store.latest().drop(MONTH), work)
+
+
+def q_pipeline_compact_then_older(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with an older stamp after a compaction: rows of the compacted
+    load keep winning for the keys that both hold, before and after a second
+    compaction."""
+    with _workspace(spark, "older") as work:
+        store = CandleStore(spark, f"{work}/tables")
+        first, second = _halves(event_candles(spark, sf_dir))
+        store.append(first, now=LOAD_TIME, order_by="created_at")
+        store.compact()
+        store.append(second, now=LOAD_TIME - dt.timedelta(days=1), order_by="created_at")
+        seen = store.latest().drop(MONTH)
+        before = _kept(seen.withColumn("phase", F.lit("layered")), f"{work}-a")
+        store.compact()
+        after = _kept(store.latest().drop(MONTH).withColumn("phase", F.lit("compacted")), f"{work}-b")
+        return before.unionByName(after)
+
+
+def q_pipeline_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-3, STR-4 and DQ-2: landing files per symbol, of which one symbol's
+    lack a column and another's hold a number that is none.  The batches are
+    quarantined and commit; the result is the rows that were loaded and the
+    rows of files that were reported, by symbol."""
+    with _workspace(spark, "bad") as work:
+        candles = landing_text(event_candles(spark, sf_dir))
+        for symbol in BAD_FILE_SYMBOLS:
+            own = candles.filter(F.col("symbol") == symbol).drop("created_at")
+            if symbol == "error":
+                own = own.drop("volume")
+            if symbol == "signup":
+                own = own.withColumn("open_price", F.when(F.col("number_of_trades") % BAD_EVERY == 0, F.lit("n/a")).otherwise(F.col("open_price")))
+            own.coalesce(1).write.parquet(f"{work}/landing/{symbol}")
+        store = CandleStore(spark, f"{work}/tables")
+        run_once(spark, f"{work}/landing", store, f"{work}/checkpoint", quarantine=f"{work}/quarantine")
+        loaded = store.history().groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")).withColumn("status", F.lit("loaded"))
+        failed = spark.read.schema(REPORT_SCHEMA).parquet(f"{work}/quarantine")
+        symbol = F.element_at(F.split("path", "/"), -2).alias("symbol")
+        failed = failed.select(symbol, F.lit(0).cast("long").alias("rows"), "status").distinct()
+        return _kept(loaded.select("symbol", "rows", "status").unionByName(failed), work)
+
+
+def _broken(c: F.Column, n: F.Column) -> F.Column:
+    """Every few texts broken, in turn: cut short, replaced by an error object, missing."""
+    return (
+        F.when(n % (3 * BAD_EVERY) == 0, F.substring(c, 1, 20))
+        .when(n % (3 * BAD_EVERY) == BAD_EVERY, F.lit('{"code":-1121,"msg":"no such symbol"}'))
+        .when(n % (3 * BAD_EVERY) == 2 * BAD_EVERY, F.lit(None).cast("string"))
+        .otherwise(c)
+    )
+
+
+def q_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live candle messages with a share of broken ones: valid messages are
+    typed, the others kept with their reason; counted by symbol and reason."""
+    candles = event_candles(spark, sf_dir)
+    bodies = _kline_messages(candles, keep=("symbol", "number_of_trades"))
+    messages = bodies.select("symbol", _broken(F.col("body"), F.col("number_of_trades")).alias("body"))
+    problem = kline_problem(F.col("body"))
+    flagged = messages.select("symbol", F.coalesce(problem, F.lit("valid")).alias("reason"))
+    return flagged.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("messages"))
 
-    Rows of one load are appended in event-time order, so the later version
-    of a candle is the later row of its load.
-    """
-    store = CandleStore(spark, scratch_path(spark, "incremental"))
-    candles = event_candles(spark, sf_dir).sortWithinPartitions("symbol", "open_time", "created_at")
-    cut = as_ntz(INCREMENTAL_CUT)
-    store.append(candles.filter(F.col("open_time") < cut))
-    store.refresh_rollup("5 minutes")
-    store.append(candles.filter(F.col("open_time") >= cut))
-    store.refresh_rollup("5 minutes")
-    return store.read_rollup("5 minutes").drop("created_at", "open_month")
 
+def q_pipeline_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6, tickers: messages as a text stream into the ticker folder."""
+    with _workspace(spark, "tickers") as work:
+        _ticker_messages(spark, sf_dir).write.text(f"{work}/in")
+        stream = spark.readStream.schema("value string").text(f"{work}/in").withColumnRenamed("value", "body")
+        store = CandleStore(spark, f"{work}/tables")
+        path = f"{work}/tickers"
+        start_message_ingest(stream, store, f"{work}/checkpoint", kind="ticker", ticker_path=path, available_now=True).awaitTermination()
+        return _kept(spark.read.parquet(path).select("symbol", "price", "time"), work)
 
-def _kline_messages(candles: DataFrame) -> DataFrame:
+
+def _kline_messages(candles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed candles -> live candle message text (event time = created_at)."""
     s = lambda c: F.col(c).cast("string")
     kline = F.struct(
@@ -276,19 +452,19 @@ def _kline_messages(candles: DataFrame) -> DataFrame:
         F.col("symbol").alias("s"),
         kline.alias("k"),
     )
-    return candles.select(F.to_json(msg).alias("body"))
+    return candles.select(F.to_json(msg).alias("body"), *keep)
 
 
 def q_pipeline_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6 end to end: live candle messages (text files) -> message stream ->
     tables -> deduplicated view.  Updates of one candle are resolved by the
     message's event time."""
-    work = scratch_path(spark, "messages")
-    _kline_messages(event_candles(spark, sf_dir)).write.mode("errorifexists").text(f"{work}/in")
-    store = CandleStore(spark, f"{work}/tables")
-    stream = spark.readStream.schema("value string").text(f"{work}/in").withColumnRenamed("value", "body")
-    start_message_ingest(stream, store, f"{work}/checkpoint", kind="kline", available_now=True).awaitTermination()
-    return store.latest().drop("created_at", "open_month")
+    with _workspace(spark, "messages") as work:
+        _kline_messages(event_candles(spark, sf_dir)).write.mode("errorifexists").text(f"{work}/in")
+        store = CandleStore(spark, f"{work}/tables")
+        stream = spark.readStream.schema("value string").text(f"{work}/in").withColumnRenamed("value", "body")
+        start_message_ingest(stream, store, f"{work}/checkpoint", kind="kline", available_now=True).awaitTermination()
+        return _kept(store.latest().drop("created_at", MONTH), work)
 
 
 FILTER_COLUMNS = ["minPrice", "maxPrice", "tickSize", "minQty", "maxQty", "stepSize", "maxNumOrders"]
@@ -297,8 +473,6 @@ FILTER_COLUMNS = ["minPrice", "maxPrice", "tickSize", "minQty", "maxQty", "stepS
 def _filter(tag: str, **values) -> F.Column:
     """One symbol filter with every field of the union; absent ones stay NULL
     and ``to_json`` leaves them out."""
-    from wickline.sources.exchange_info import FILTER_FIELD_TYPES
-
     fields = [F.lit(tag).alias("filterType")]
     for name, dtype in FILTER_FIELD_TYPES.items():
         fields.append((values[name] if name in values else F.lit(None).cast(dtype)).alias(name))
@@ -342,6 +516,67 @@ def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables["symbol_filters"].select("server_time", "symbol", "position", "filter_type", *FILTER_COLUMNS)
 
 
+def _union_filters(tags: dict[str, list[str]], n: F.Column) -> F.Column:
+    """One filter of every tag; each field's value follows from ``n`` and the
+    field's place in the union."""
+    place = {name: i for i, name in enumerate(FILTER_FIELD_TYPES)}
+
+    def value(name: str) -> F.Column:
+        kind = FILTER_FIELD_TYPES[name].simpleString()
+        return n % 2 == 0 if kind == "boolean" else (n + place[name]).cast(kind)
+
+    return F.array(*[_filter(tag, **{f: value(f) for f in fields}) for tag, fields in tags.items()])
+
+
+def _exchange_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One exchange-info document a day: every symbol of the day with all
+    symbol filters, all exchange filters, rate limits and one routing group."""
+    events = read_table(spark, sf_dir, "events")
+    stats = events.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    flags = {name: F.col("n") % 2 == 0 for name, kind in SYMBOL_FIELDS if kind is not None and kind.simpleString() == "boolean"}
+    known = {
+        "symbol": F.col("symbol"), "status": F.lit("TRADING"), "baseAsset": F.col("symbol"), "quoteAsset": F.lit("USDT"),
+        "quotePrecision": F.when(F.col("n") % 2 == 0, F.lit(8)).cast("long"), "orderTypes": F.array(F.lit("LIMIT"), F.lit("MARKET")),
+        "filters": _union_filters(SYMBOL_FILTER_FIELDS, F.col("n")), "permissions": F.array().cast("array<string>"),
+        "permissionSets": F.array(F.array(F.lit("SPOT"), F.col("symbol"))), "defaultSelfTradePreventionMode": F.lit("NONE"),
+        "allowedSelfTradePreventionModes": F.array(F.lit("NONE")), **flags,
+    }
+    symbol = F.struct(*[(known[name] if name in known else F.lit(8).cast("long")).alias(name) for name, _ in SYMBOL_FIELDS])
+    days = stats.select("day", "n", symbol.alias("s")).groupBy("day").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list("s")).alias("symbols"))
+    limits = [("REQUEST_WEIGHT", "MINUTE", 1), ("ORDERS", "SECOND", 10), ("RAW_REQUESTS", "DAY", 1)]
+    rate = [
+        F.struct(F.lit(t).alias("rateLimitType"), F.lit(i).alias("interval"), F.lit(k).alias("intervalNum"), (F.col("n") + k).alias("limit")) for t, i, k in limits
+    ]
+    doc = F.struct(
+        F.lit("UTC").alias("timezone"),
+        to_epoch_millis(F.col("day").cast("timestamp_ntz")).alias("serverTime"),
+        F.array(*rate).alias("rateLimits"),
+        _union_filters(EXCHANGE_FILTER_FIELDS, F.col("n")).alias("exchangeFilters"),
+        "symbols",
+        F.array(F.struct(F.lit("ALL").alias("baseAsset"), F.transform("symbols", lambda x: x["symbol"]).alias("symbols"))).alias("sors"),
+    )
+    return days.select(F.to_json(doc).alias("body"))
+
+
+def _exchange_table(table: str, columns: list[str]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return flatten_exchange_info(_exchange_documents(spark, sf_dir))[table].select(*columns)
+
+    query.__doc__ = f"SRC-10/11: the {table} rows of daily documents built from events."
+    return query
+
+
+EXCHANGE_TABLES = {
+    "header": ["timezone", "server_time", "symbol_count"],
+    "rate_limits": ["server_time", "position", "rate_limit_type", "interval", "interval_num", "limit"],
+    "exchange_filters": ["server_time", "position", "filter_type", *FILTER_FIELD_TYPES],
+    "symbols": ["server_time", "symbol_index", "symbol", "status", "baseAsset", "quoteAsset", "quotePrecision", "icebergAllowed"],
+    "symbol_filters": ["server_time", "symbol", "position", "filter_type", *FILTER_FIELD_TYPES],
+    "permission_sets": ["server_time", "symbol", "set_index", "position", "permission"],
+    "order_routing": ["server_time", "group_index", "base_asset", "position", "symbol"],
+}
+
+
 QUERIES: dict[str, Query] = {
     "latest_candles": q_latest_candles,
     "rollup_5min": q_rollup_5min,
@@ -367,6 +602,17 @@ QUERIES: dict[str, Query] = {
     "pipeline_incremental_rollup": q_pipeline_incremental_rollup,
     "pipeline_stream_messages": q_pipeline_stream_messages,
     "exchange_info_filters": q_exchange_info_filters,
+    **{f"exchange_{t}": _exchange_table(t, columns) for t, columns in EXCHANGE_TABLES.items()},
+    "incremental_rollup_late": q_incremental_rollup_late,
+    "slice_unbounded": q_slice_unbounded,
+    "slice_interval_5m": q_slice_interval_5m,
+    "newest_load_first": q_newest_load_first,
+    "run_stamps": q_run_stamps,
+    "payload_rejects": q_payload_rejects,
+    "pipeline_layered_latest": q_pipeline_layered_latest,
+    "pipeline_compact_then_older": q_pipeline_compact_then_older,
+    "pipeline_bad_files": q_pipeline_bad_files,
+    "pipeline_tickers": q_pipeline_tickers,
 }
 
 
@@ -431,6 +677,57 @@ def _slice_where() -> str:
     return f"symbol = '{SLICE_SYMBOL}' AND open_time >= {_ts(SLICE_START)} AND open_time <= {_ts(SLICE_END)}"
 
 
+def _union_sql(tags: dict[str, list[str]], source: str, lead: str) -> str:
+    """The rows of ``_union_filters`` in SQL."""
+    rows = []
+    for position, (tag, fields) in enumerate(tags.items()):
+        cols = []
+        for i, (name, kind) in enumerate(FILTER_FIELD_TYPES.items()):
+            sql = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN"}[kind.simpleString()]
+            value = "NULL" if name not in fields else "n % 2 = 0" if sql == "BOOLEAN" else f"n + {i}"
+            cols.append(f'CAST({value} AS {sql}) AS "{name}"')
+        rows.append(f"SELECT {lead}, CAST({position} AS INTEGER) AS position, '{tag}' AS filter_type, {', '.join(cols)} FROM {source}")
+    return "\nUNION ALL\n".join(rows)
+
+
+def _exchange_oracle() -> dict[str, str]:
+    base = """WITH s AS (
+  SELECT event_type AS symbol, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS server_time, count(*) AS n,
+    row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_type) - 1 AS place
+  FROM events GROUP BY event_type, CAST(ts AS DATE)),
+d AS (SELECT server_time, CAST(sum(n) AS BIGINT) AS n, count(*) AS symbols FROM s GROUP BY server_time)
+"""
+    limits = [("REQUEST_WEIGHT", "MINUTE", 1), ("ORDERS", "SECOND", 10), ("RAW_REQUESTS", "DAY", 1)]
+    return {
+        "exchange_header": base + "SELECT 'UTC' AS timezone, server_time, CAST(symbols AS INTEGER) AS symbol_count FROM d",
+        "exchange_rate_limits": base
+        + "\nUNION ALL\n".join(
+            f"SELECT server_time, {i} AS position, '{t}' AS rate_limit_type, '{unit}' AS interval, CAST({k} AS BIGINT) AS interval_num, n + {k} AS \"limit\" FROM d"
+            for i, (t, unit, k) in enumerate(limits)
+        ),
+        "exchange_exchange_filters": base + _union_sql(EXCHANGE_FILTER_FIELDS, "d", "server_time"),
+        "exchange_symbols": base
+        + """SELECT server_time, CAST(place AS INTEGER) AS symbol_index, symbol, 'TRADING' AS status, symbol AS "baseAsset", 'USDT' AS "quoteAsset",
+  CASE WHEN n % 2 = 0 THEN CAST(8 AS BIGINT) END AS "quotePrecision", n % 2 = 0 AS "icebergAllowed" FROM s""",
+        "exchange_symbol_filters": base + _union_sql(SYMBOL_FILTER_FIELDS, "s", "server_time, symbol"),
+        "exchange_permission_sets": base
+        + """SELECT server_time, symbol, 0 AS set_index, 0 AS position, 'SPOT' AS permission FROM s
+UNION ALL SELECT server_time, symbol, 0, 1, symbol FROM s""",
+        "exchange_order_routing": base
+        + "SELECT server_time, 0 AS group_index, 'ALL' AS base_asset, CAST(place AS INTEGER) AS position, symbol FROM s",
+    }
+
+
+def _late_sql() -> str:
+    return (
+        f"(x.open_time >= {_ts(LATE_CUT)} OR x.symbol = 'signup' OR (x.number_of_trades % 5 = 0 AND x.symbol <> '{SLICE_SYMBOL}'))"
+    )
+
+
+def _dedup_sql(source: str) -> str:
+    return f"SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY symbol, open_time ORDER BY created_at DESC) = 1"
+
+
 def _oracle() -> dict[str, str]:
     base = _with(_CANDLES, _LATEST)
     rollup5 = _rollup_sql("latest")
@@ -449,7 +746,42 @@ def _oracle() -> dict[str, str]:
     ) + _upsert_sql("target", "new")
     slice_sql = f"SELECT * FROM latest WHERE {_slice_where()} ORDER BY open_time LIMIT {SLICE_LIMIT}"
     span = 60000 * PAGE_LIMIT
+    late = _with(
+        _CANDLES,
+        _LATEST,
+        f"first_rows AS (SELECT * FROM candles x WHERE NOT {_late_sql()})",
+        f"first_latest AS ({_dedup_sql('first_rows')})",
+        f"target AS ({_rollup_sql('first_latest')})",
+        "hw AS (SELECT coalesce(max(open_time), TIMESTAMP '1970-01-01') AS hw FROM target)",
+        f"new AS ({_rollup_sql('latest', where='WHERE x.open_time > (SELECT hw FROM hw)')})",
+    ) + _upsert_sql("target", "new")
+    cols = ", ".join(LANDING_COLUMNS)
+    older = _with(
+        _CANDLES,
+        f"a AS ({_dedup_sql('(SELECT * FROM candles WHERE number_of_trades % 2 = 0)')})",
+        f"b AS ({_dedup_sql('(SELECT * FROM candles WHERE number_of_trades % 2 = 1)')})",
+        f"""both AS (SELECT {cols}, {_ts(LOAD_TIME)} AS created_at FROM a UNION ALL
+  SELECT {cols}, {_ts(LOAD_TIME - dt.timedelta(days=1))} FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.symbol = b.symbol AND a.open_time = b.open_time))""",
+    ).replace("both AS", "merged AS") + "SELECT *, 'layered' AS phase FROM merged UNION ALL SELECT *, 'compacted' FROM merged"
+    span3 = 3 * BAD_EVERY
     return {
+        **_exchange_oracle(),
+        "incremental_rollup_late": late,
+        "slice_unbounded": base
+        + f"""SELECT * FROM (SELECT * FROM latest WHERE symbol = '{SLICE_SYMBOL}' ORDER BY open_time DESC LIMIT {SLICE_LIMIT}) ORDER BY open_time""",
+        "slice_interval_5m": base + f"SELECT * FROM ({rollup5}) r WHERE {_slice_where()}",
+        "newest_load_first": _with(_CANDLES)
+        + "SELECT symbol, open_time, created_at, row_number() OVER (PARTITION BY symbol ORDER BY created_at DESC, open_time) AS place FROM candles",
+        "run_stamps": "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%f') AS stamp FROM events",
+        "payload_rejects": f"""SELECT event_type AS symbol,
+  CASE WHEN event_id % {span3} = 0 THEN 'no JSON object' WHEN event_id % {span3} = {BAD_EVERY} THEN 'no candle message'
+       WHEN event_id % {span3} = {2 * BAD_EVERY} THEN 'no JSON object' ELSE 'valid' END AS reason, count(*) AS messages
+FROM events GROUP BY ALL""",
+        "pipeline_layered_latest": base + "SELECT * FROM latest",
+        "pipeline_compact_then_older": older,
+        "pipeline_bad_files": """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE count(*) END AS rows,
+  CASE WHEN event_type IN ('error', 'signup') THEN 'failed' ELSE 'loaded' END AS status FROM events GROUP BY event_type""",
+        "pipeline_tickers": "SELECT event_type AS symbol, value AS price, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time FROM events",
         "latest_candles": base + "SELECT * FROM latest",
         "rollup_5min": base + rollup5,
         "rollup_5min_two_step": base + rollup5,
@@ -499,7 +831,7 @@ FROM latest GROUP BY symbol""",
         "ticker_projection": "SELECT event_type AS symbol, value AS price, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time FROM events",
         "event_payload": _with(_CANDLES) + f"SELECT {', '.join(LANDING_COLUMNS)} FROM candles",
         "notifications": f"""SELECT '{LANDING_BUCKET}' AS bucket,
-  'incoming/candles/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS key
+  '{LANDING_PREFIX}' || event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS key
 FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
         "rest_roundtrip": base
         + f"SELECT {', '.join(LANDING_COLUMNS)}, {_ts(LOAD_TIME)} AS created_at FROM latest",

@@ -38,9 +38,13 @@ def _page_rows(payload: Column) -> Column:
 
 def page_problem(payload: Column) -> Column:
     """Why a page cannot be read; NULL when it can."""
-    rows = _page_rows(payload)
-    short = F.exists(rows, lambda r: r.isNull() | (F.size(r) < PAGE_WIDTH))
-    return F.when(F.json_array_length(payload).isNull() | rows.isNull(), F.lit("no list of candles")).when(short, F.lit("short candle row"))
+    def reason(x: Column) -> Column:
+        short = F.exists(x["rows"], lambda r: r.isNull() | (F.size(r) < PAGE_WIDTH))
+        return F.when(x["n"].isNull() | x["rows"].isNull(), F.lit("no list of candles")).when(short, F.lit("short candle row"))
+
+    # both parts are read once a row
+    parts = F.array(F.struct(_page_rows(payload).alias("rows"), F.json_array_length(payload).alias("n")))
+    return F.transform(parts, reason)[0]
 
 
 def _valid(problem: Column, payload: Column) -> Column:

@@ -7,6 +7,8 @@ same functions serve batch tables and streaming DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,13 @@ _NOTIFICATION = T.StructType(
 )
 
 
+def _once(parts: dict[str, Column], reason: Callable[[Column], Column]) -> Column:
+    """``reason`` over the struct of ``parts``, each part evaluated once a row
+    however often ``reason`` refers to it."""
+    row = F.array(F.struct(*[c.alias(n) for n, c in parts.items()]))
+    return F.transform(row, reason)[0]
+
+
 def _only_valid(df: DataFrame, problem: Column, body: Column, what: str) -> DataFrame:
     """``df`` unchanged; a row with a problem raises.  A filter below the
     projection, so no choice of output columns can prune the check."""
@@ -60,15 +69,15 @@ def split_rejects(df: DataFrame, problem: Column, body_col: str = "body") -> tup
 def notification_problem(body: Column) -> Column:
     """Why a notification body cannot be read; NULL when it can.  A body
     without ``Records`` is a valid one without records."""
-    doc = F.from_json(body, _NOTIFICATION)
-    shape = F.json_object_keys(body)
-    records = doc["Records"]
-    lacking = F.exists(records, lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
-    return (
-        F.when(shape.isNull(), F.lit("no JSON object"))
-        .when(F.array_contains(shape, "Records") & records.isNull(), F.lit("Records is no list of objects"))
-        .when(lacking, F.lit("record without bucket/key"))
-    )
+    def reason(x: Column) -> Column:
+        lacking = F.exists(x["records"], lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+        return (
+            F.when(x["keys"].isNull(), F.lit("no JSON object"))
+            .when(F.array_contains(x["keys"], "Records") & x["records"].isNull(), F.lit("Records is no list of objects"))
+            .when(lacking, F.lit("record without bucket/key"))
+        )
+
+    return _once({"records": F.from_json(body, _NOTIFICATION)["Records"], "keys": F.json_object_keys(body)}, reason)
 
 
 def parse_notifications(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -138,16 +147,19 @@ def _kline_message(body: Column) -> Column:
 
 def kline_problem(body: Column) -> Column:
     """Why a live candle message cannot be read; NULL when it can."""
-    msg = _kline_message(body)
-    present = msg["event_type"].isNotNull() & msg["event_ms"].isNotNull() & msg["symbol"].isNotNull()
-    for name in STREAM_KLINE_INNER_NAMES:
-        present = present & msg["kline"][name].isNotNull()
-    keys = F.json_object_keys(body)
-    return (
-        F.when(keys.isNull(), F.lit("no JSON object"))
-        .when(~F.array_contains(keys, "k"), F.lit("no candle message"))
-        .when(~F.coalesce(present, F.lit(False)), F.lit("candle with a missing or invalid field"))
-    )
+    def reason(x: Column) -> Column:
+        present = F.lit(True)
+        for name in ("event_type", "event_ms", "symbol"):
+            present = present & x["msg"][name].isNotNull()
+        for name in STREAM_KLINE_INNER_NAMES:
+            present = present & x["msg"]["kline"][name].isNotNull()
+        return (
+            F.when(x["keys"].isNull(), F.lit("no JSON object"))
+            .when(~F.array_contains(x["keys"], "k"), F.lit("no candle message"))
+            .when(~F.coalesce(present, F.lit(False)), F.lit("candle with a missing or invalid field"))
+        )
+
+    return _once({"msg": _kline_message(body), "keys": F.json_object_keys(body)}, reason)
 
 
 def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
