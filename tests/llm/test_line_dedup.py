@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
+from llm_cases import awkward, docs_of  # noqa: F401
 from wickline.llm import line_dedup as L
 
 BLANK = " \t\n\x0b\x0c\r"

@@ -7,8 +7,8 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import prose  # tests/llm
 
+from llm_cases import awkward, docs_of, prose  # noqa: F401
 from wickline.llm import lm_scoring as M
 
 

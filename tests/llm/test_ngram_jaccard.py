@@ -6,8 +6,8 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import prose  # tests/llm
 
+from llm_cases import awkward, docs_of, prose  # noqa: F401
 from wickline.llm import ngram_jaccard as J
 from wickline.llm.components import components
 
@@ -64,14 +64,17 @@ def test_matches_brute_force_on_awkward_rows(docs_of, awkward):
 @pytest.mark.parametrize("tile", [4, 256])
 def test_chains_of_near_copies(docs_of, monkeypatch, tile):
     monkeypatch.setattr(J, "TILE", tile)
+    monkeypatch.setattr(J, "FEW", tile // 2)
     rows = near_copies(tile)
     assert result(J.jaccard_components(docs_of(rows))) == brute(rows)
 
 
-def test_links_that_the_star_pass_misses(docs_of, monkeypatch):
+@pytest.mark.parametrize("few", [1, 4, 16])
+def test_links_that_the_star_pass_misses(docs_of, monkeypatch, few):
     # without stars all links must come from prefixes and tiles
     monkeypatch.setattr(J, "_star_pairs", lambda small: small.select(small["__id"].alias("a"), small["__id"].alias("b")).where("false"))
     monkeypatch.setattr(J, "TILE", 5)
+    monkeypatch.setattr(J, "FEW", few)
     rows = near_copies(77)
     assert result(J.jaccard_components(docs_of(rows))) == brute(rows)
 

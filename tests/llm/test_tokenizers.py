@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm_cases import docs_of  # noqa: F401
 from wickline.llm import range_coder, sentencepieces, token_counts, token_files
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")

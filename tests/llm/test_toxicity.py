@@ -4,8 +4,8 @@ import random
 import zlib
 
 import pytest
-from conftest import prose  # tests/llm
 
+from llm_cases import awkward, docs_of, prose  # noqa: F401
 from wickline.llm import toxicity as T
 
 INSULTS = ["zorbling", "zorblest", "grotfiend", "vilescum"]
