@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -11,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
 #: Stands in for a null document id inside an operator: it sorts after every real id.
 NULL_ID = 2**63 - 1
 
@@ -24,6 +28,22 @@ def workers_can_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows of an Arrow batch are whole texts here, so the default number of
+    rows would hold tens of MB in the JVM and in Python alike.  A number that
+    the user has chosen stays."""
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give memory that a worker has freed back to the machine: workers live
+    on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
@@ -73,7 +93,6 @@ def real_id(column: str = "__id"):
 
 def arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch."""
-    workers_can_import(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,13 +101,19 @@ def arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 if out is not None:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return arrow_iter(df, run, schema)
 
 
 def arrow_iter(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``fn`` to the iterator of a partition's Arrow batches."""
     workers_can_import(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
 
 
 def batch(**columns) -> pa.RecordBatch:
