@@ -30,19 +30,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(moved.select("u", F.col("m").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """True if every component is a star: no node hangs on two others, and
+    none on which others hang hangs itself."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    nodes = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return nodes.where("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the least node reachable from each node of the edges
     (long columns ``u`` and ``v``).  Alternates large and small stars until
     every node hangs on its component's least node; each round is written to
     the shared folder."""
-    now = staged(edges.where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = staged(down.where("u <> v").distinct(), "edges")
+    while not _settled(now):
         stars = _large_star(now).where("u <> v").distinct()
         after = staged(_small_star(stars).where("u <> v").distinct(), "edges")
         unstage(now)
-        seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         now = after
-        if seen == state:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        state = seen
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component"))

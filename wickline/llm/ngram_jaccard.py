@@ -5,7 +5,7 @@ Jaccard similarity is at least 0.8; the result is each document's component.
 
 1. Documents with the same set are one class.
 2. Classes that share minima of hash ranges are compared with the least class
-   of theirs: one pair a class, so a group of near copies becomes a star.
+   of each: a few pairs a class, so a group of near copies becomes stars.
 3. All other links are found by prefixes.  In any order of shingles, two
    linked sets share one among the first n - ceil(0.8 n) + 1 of each.  The
    order puts shingles that are frequent in a sample last; it changes the cost
@@ -14,7 +14,8 @@ Jaccard similarity is at least 0.8; the result is each document's component.
    tiles whose sizes are compatible meet pairwise and compare bitmap
    signatures: a bit of one that the other lacks is an element that it lacks,
    so bit counts bound the overlap from above.  Tiles of one shingle are dealt
-   out over tasks, and pairs beyond the bound never leave them.
+   out over tasks, and pairs beyond the bound never leave them.  Shingles of a
+   few documents skip the tiles: their pairs meet the signatures once each.
 4. What remains is checked by exact intersection of the sorted arrays.
 
 Nothing is capped: every pair of sets that links ends in one component.
@@ -44,11 +45,15 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Hash ranges whose least shingle is a key of the star pass.
 MINIMA = 8
+#: Least classes that a class is compared with in the star pass.
+LEADERS = 3
 #: Documents sampled for frequent shingles, and how many must hold one.
-SAMPLE, FREQUENT = 8192, 8
+SAMPLE, FREQUENT = 16_384, 6
 TILE = 256
+#: A shingle of at most so many documents is paired up without tiles.
+FEW = 32
 #: Widths of bitmap signatures in bits.
-LEAST_WIDTH, MOST_WIDTH = 64, 4096
+LEAST_WIDTH, MOST_WIDTH = 64, 16_384
 #: Bits of the fixed-size filters on shingles and documents.
 FILTER_BITS = 23
 SALT = U64(0xA0761D6478BD642F)
@@ -76,8 +81,8 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """A bitmap of hashed bits, about as wide as the set is large."""
-    width = min(MOST_WIDTH, max(LEAST_WIDTH, 1 << max(len(s) - 1, 0).bit_length()))
+    """A bitmap of hashed bits, four to eight for each element."""
+    width = min(MOST_WIDTH, max(LEAST_WIDTH, 4 << max(len(s) - 1, 0).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(mix(s) & U64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -185,13 +190,18 @@ def _with_filter(df: DataFrame, bits: np.ndarray, column: str) -> DataFrame:
 
 
 def _star_pairs(small: DataFrame) -> DataFrame:
-    """(a, b): each class with the least class that shares most minima with it."""
-    keyed = small.select("__id", "n", F.explode("minima").alias("key")).distinct()
+    """(a, b): each class with the least classes that share most minima with it."""
+    keyed = small.select("__id", "n", F.explode("minima").alias("key"))
     least = keyed.groupBy("key").agg(F.min("__id").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
     shared = keyed.join(least, "key").where("b < __id").groupBy(F.col("__id").alias("a"), "b").agg(F.count("*").alias("m"))
-    best = shared.groupBy("a").agg(F.max_by("b", F.struct("m", -F.col("b"))).alias("b"))
+    best = Window.partitionBy("a").orderBy(F.col("m").desc(), "b")
+    return _within_bound(shared.withColumn("r", F.row_number().over(best)).where(F.col("r") <= LEADERS).select("a", "b"), small)
+
+
+def _within_bound(pairs: DataFrame, small: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sizes and signatures allow to link."""
     sigs = small.select("__id", "n", "signature")
-    rows = best.join(sigs.toDF("a", "na", "sa"), "a").join(sigs.toDF("b", "nb", "sb"), "b")
+    rows = pairs.join(sigs.toDF("a", "na", "sa"), "a").join(sigs.toDF("b", "nb", "sb"), "b")
 
     def near(b: pa.RecordBatch) -> pa.RecordBatch | None:
         keep = []
@@ -201,7 +211,7 @@ def _star_pairs(small: DataFrame) -> DataFrame:
                 keep.append(i)
         return batch(a=b["a"].take(pa.array(keep, pa.int64())), b=b["b"].take(pa.array(keep, pa.int64()))) if keep else None
 
-    return arrow(rows, near, "a long, b long").distinct()
+    return arrow(rows, near, "a long, b long")
 
 
 def exact_links(src: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -223,12 +233,12 @@ def exact_links(src: DataFrame, pairs: DataFrame) -> DataFrame:
         kept = pa.array(keep)
         return batch(a=b["a"].filter(kept), b=b["b"].filter(kept))
 
-    return arrow(rows, check, "a long, b long").distinct()
+    return arrow(rows, check, "a long, b long")
 
 
 def _postings(labelled: DataFrame, flags: np.ndarray | None) -> DataFrame:
-    """(key, __id, n, component, signature) of the prefixes' shingles, or of
-    those whose flag is set; (key, component) alone without flags."""
+    """(key, __id, n, component) of the prefixes' shingles whose flag is set;
+    (key, component) of all without flags."""
     packed = None if flags is None else np.packbits(flags)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,9 +253,9 @@ def _postings(labelled: DataFrame, flags: np.ndarray | None) -> DataFrame:
             hit = np.flatnonzero(wanted[mix(keys) >> U64(64 - FILTER_BITS)])
             for i in range(0, len(hit), 50_000):
                 at = hit[i : i + 50_000]
-                yield b.select(["__id", "n", "component", "signature"]).take(pa.array(row[at])).append_column("key", pa.array(keys[at].view(np.int64)))
+                yield b.select(["__id", "n", "component"]).take(pa.array(row[at])).append_column("key", pa.array(keys[at].view(np.int64)))
 
-    kinds = "key long, component long" if flags is None else "__id long, n long, component long, signature binary, key long"
+    kinds = "key long, component long" if flags is None else "__id long, n long, component long, key long"
     return arrow_iter(labelled, spread, kinds)
 
 
@@ -272,26 +282,62 @@ def _key_flags(keys: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little")
 
 
-def _tiles(postings: DataFrame) -> DataFrame:
+def _ranked(postings: DataFrame) -> DataFrame:
+    """Postings in order of set size within their shingle, with their rank and number."""
+    of_key = Window.partitionBy("key")
+    rank = F.row_number().over(of_key.orderBy("n", "__id"))
+    return postings.withColumns({"rank": rank, "m": F.count("*").over(of_key)})
+
+
+def _few(ranked: DataFrame) -> DataFrame:
+    """(a, b) of different components and compatible sizes that share a
+    shingle of at most ``FEW`` documents."""
+    dealt = ranked.where(F.col("m") <= FEW).repartition("key").sortWithinPartitions("key", "rank")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for b in batches:
+            now = [b[c].to_numpy() for c in ("key", "__id", "n", "component")]
+            if held is not None:
+                now = [np.concatenate([h, x]) for h, x in zip(held, now, strict=True)]
+            key, ids, n, component = now
+            out_a, out_b = [], []
+            for d in range(1, min(FEW, len(key))):
+                same = (key[d:] == key[:-d]) & (component[d:] != component[:-d]) & links(n[:-d], n[:-d], n[d:])
+                at = np.flatnonzero(same)
+                out_a.append(np.maximum(ids[at], ids[at + d]))
+                out_b.append(np.minimum(ids[at], ids[at + d]))
+            held = [x[-FEW:] for x in now]  # pairs seen twice are dropped below
+            if out_a:
+                both = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0)
+                if len(both):
+                    yield batch(a=np.ascontiguousarray(both[:, 0]), b=np.ascontiguousarray(both[:, 1]))
+
+    return arrow_iter(dealt.select("key", "__id", "n", "component"), pairs, "a long, b long").where("a <> b")
+
+
+def _tiles(ranked: DataFrame) -> DataFrame:
     """Postings with the tile of their shingle and every tile that it meets.
 
     A shingle's documents in order of set size are cut into tiles; a tile
     meets itself and the later tiles that start with a compatible size."""
-    in_order = Window.partitionBy("key").orderBy("n", "__id")
-    ranked = postings.withColumn("tile", F.floor((F.row_number().over(in_order) - 1) / TILE).cast("int"))
-    bands = ranked.groupBy("key", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high")).where("low > 0")
+    placed = ranked.withColumn("tile", F.floor((F.col("rank") - 1) / TILE).cast("int"))
+    bands = placed.groupBy("key", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     later = bands.toDF("key", "other", "other_low", "other_high")
     met = bands.join(later, "key").where((F.col("other") >= F.col("tile")) & (NUMERATOR * F.col("other_low") <= DENOMINATOR * F.col("high")))
     meets = met.select("key", F.col("tile").alias("left"), F.col("other").alias("right"))
     sides = meets.select("key", F.col("left").alias("tile"), "left", "right").unionByName(
         meets.where("left < right").select("key", F.col("right").alias("tile"), "left", "right")
     )
-    return ranked.join(sides, ["key", "tile"])
+    return placed.join(sides, ["key", "tile"])
 
 
-def _candidates(postings: DataFrame) -> DataFrame:
-    """(a, b) of different components whose signatures allow a link."""
-    dealt = _tiles(postings).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "tile", "n", "__id")
+def _many(ranked: DataFrame, small: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a shingle of more documents
+    and whose signatures allow a link."""
+    sigs = small.select("__id", "n", "signature")
+    dealt = _tiles(ranked.where(F.col("m") > FEW)).join(sigs, ["__id", "n"])
+    dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "tile", "n", "__id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -306,7 +352,14 @@ def _candidates(postings: DataFrame) -> DataFrame:
             yield from _compare(rest, np.append(_group_starts(rest), rest.num_rows))
 
     rows = dealt.select("key", "left", "right", "tile", "__id", "n", "component", "signature")
-    return arrow_iter(rows, compare, "a long, b long").distinct()
+    return arrow_iter(rows, compare, "a long, b long")
+
+
+def _candidates(postings: DataFrame, small: DataFrame) -> DataFrame:
+    """(a, b) of different components whose sizes and signatures allow a link."""
+    ranked = staged(_ranked(postings), "postings")
+    few = _within_bound(_few(ranked).distinct(), small)
+    return few.unionByName(_many(ranked, small)).distinct()
 
 
 def _group_starts(t: pa.Table) -> np.ndarray:
@@ -323,6 +376,7 @@ def _compare(t: pa.Table, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     t = t.combine_chunks()
     ids, n, component, tile = (t[c].to_numpy() for c in ("__id", "n", "component", "tile"))
     sigs = [x.as_py() for x in t["signature"]]
+    size = np.array([len(x) for x in sigs])
     out_a, out_b = [], []
     for lo, hi in zip(place[:-1].tolist(), place[1:].tolist(), strict=True):
         c = component[lo:hi]
@@ -336,12 +390,15 @@ def _compare(t: pa.Table, place: np.ndarray) -> Iterator[pa.RecordBatch]:
         x, y = np.nonzero(ok)
         if not len(x):
             continue
-        width = 8 * min(len(sigs[i]) for i in range(lo, hi))
-        folded = np.stack([_fold(sigs[i], width) for i in range(lo, hi)])
         x, y = left[x], right[y]
-        near = links(_bound(folded[x - lo], n[x], folded[y - lo], n[y]), n[x], n[y])
-        out_a.append(ids[x[near]])
-        out_b.append(ids[y[near]])
+        narrow = np.minimum(size[x], size[y])
+        for width in np.unique(narrow).tolist():  # sizes of a pair are near, so are its widths
+            u, v = x[narrow == width], y[narrow == width]
+            rows, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+            folded = np.stack([_fold(sigs[i], 8 * width) for i in rows.tolist()])
+            near = links(_bound(folded[at[: len(u)]], n[u], folded[at[len(u) :]], n[v]), n[u], n[v])
+            out_a.append(ids[u[near]])
+            out_b.append(ids[v[near]])
     if out_a:
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
@@ -367,11 +424,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     known = member.join(before.withColumnRenamed("id", "__id"), "__id", "left")
     known = known.select("__id", "f1", "f2", "n", F.coalesce("component", "__id").alias("component")).where("__id = class")
-    columns = head.where("n > 0").select("__id", "f1", "f2", "n", "signature", "prefix").dropDuplicates(["__id", "f1", "f2", "n"])
-    labelled = staged(columns.join(known, ["__id", "f1", "f2", "n"]).select("__id", "n", "component", "signature", "prefix"), "labelled")
+    columns = head.where("n > 0").select("__id", "f1", "f2", "n", "prefix").dropDuplicates(["__id", "f1", "f2", "n"])
+    labelled = staged(columns.join(known, ["__id", "f1", "f2", "n"]).select("__id", "n", "component", "prefix"), "labelled")
     contested = staged(_contested(labelled), "contested")
     postings = _postings(labelled, _key_flags(contested)).join(contested, "key")
-    pairs = staged(_candidates(postings), "pairs")
+    pairs = staged(_candidates(postings, small), "pairs")
     second = staged(exact_links(src, pairs).toDF("u", "v"), "links")
     for done in (stars, labelled, contested, pairs):
         unstage(done)
