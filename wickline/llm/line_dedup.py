@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, arrow_iter, batch, real_id, staged, with_ids
+from wickline.llm.base import arrow, arrow_iter, batch, real_id, staged, unstage, with_ids
 from wickline.llm.text import LOWER, SEPARATOR, chunks, span_hash
 
 KEYS = "h1 long, h2 long, doc long, fp long, pos int"
@@ -133,8 +133,10 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = ["h1", "h2", "doc", "pos"]
     ranged = keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     marked = staged(arrow_iter(ranged, _stream_first, f"kind int, {KEYS}"), "line-marks")
+    unstage(keys)
+    # two rows of each partition at most, whatever the number of lines
     least = marked.where("kind = 2").groupBy("h1", "h2").agg(F.min("doc").alias("least"))
-    settled = marked.where("kind = 1").join(least, ["h1", "h2"]).where("doc != least")
+    settled = marked.where("kind = 1").join(F.broadcast(least), ["h1", "h2"]).where("doc != least")
     drops = marked.where("kind = 0").select("doc", "fp", "pos").unionByName(settled.select("doc", "fp", "pos"))
     lists = drops.groupBy("doc", "fp").agg(F.collect_list("pos").alias("dropped"))
 
