@@ -63,7 +63,7 @@ class PieceCodec:
         self.raw = [p.piece.replace(SPACE, " ").encode() if p.type == p.NORMAL else b"" for p in model.pieces]
         for b, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([b])
-        self.words = Memory(self._word, 500_000)
+        self.words = Memory(self._word, 300_000)
 
     def stream(self, symbols: str) -> Iterator[int]:
         """Piece ids of a text in space marks, committed as paths converge."""
