@@ -52,6 +52,8 @@ SAMPLE, FREQUENT = 16_384, 6
 TILE = 256
 #: A shingle of at most so many documents is paired up without tiles.
 FEW = 32
+#: Signature words of pairs compared at a time.
+PAIR_WORDS = 1 << 19
 #: Widths of bitmap signatures in bits.
 LEAST_WIDTH, MOST_WIDTH = 64, 16_384
 #: Bits of the fixed-size filters on shingles and documents.
@@ -334,9 +336,12 @@ def _tiles(ranked: DataFrame) -> DataFrame:
 
 def _many(ranked: DataFrame, small: DataFrame) -> DataFrame:
     """(a, b) of different components that share a shingle of more documents
-    and whose signatures allow a link."""
-    sigs = small.select("__id", "n", "signature")
-    dealt = _tiles(ranked.where(F.col("m") > FEW)).join(sigs, ["__id", "n"])
+    and whose signatures allow a link.  A pair that shares several of them
+    comes from the least one only."""
+    held = ranked.where(F.col("m") > FEW)
+    keys = held.groupBy("__id", "n").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # of one prefix
+    sigs = small.select("__id", "n", "signature").join(keys, ["__id", "n"])
+    dealt = _tiles(held).join(sigs, ["__id", "n"])
     dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "tile", "n", "__id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +356,7 @@ def _many(ranked: DataFrame, small: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield from _compare(rest, np.append(_group_starts(rest), rest.num_rows))
 
-    rows = dealt.select("key", "left", "right", "tile", "__id", "n", "component", "signature")
+    rows = dealt.select("key", "left", "right", "tile", "__id", "n", "component", "signature", "keys")
     return arrow_iter(rows, compare, "a long, b long")
 
 
@@ -377,6 +382,7 @@ def _compare(t: pa.Table, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     ids, n, component, tile = (t[c].to_numpy() for c in ("__id", "n", "component", "tile"))
     sigs = [x.as_py() for x in t["signature"]]
     size = np.array([len(x) for x in sigs])
+    key, held = t["key"].to_numpy(), [x.values.to_numpy() for x in t["keys"]]
     out_a, out_b = [], []
     for lo, hi in zip(place[:-1].tolist(), place[1:].tolist(), strict=True):
         c = component[lo:hi]
@@ -396,9 +402,15 @@ def _compare(t: pa.Table, place: np.ndarray) -> Iterator[pa.RecordBatch]:
             u, v = x[narrow == width], y[narrow == width]
             rows, at = np.unique(np.concatenate([u, v]), return_inverse=True)
             folded = np.stack([_fold(sigs[i], 8 * width) for i in rows.tolist()])
-            near = links(_bound(folded[at[: len(u)]], n[u], folded[at[len(u) :]], n[v]), n[u], n[v])
-            out_a.append(ids[u[near]])
-            out_b.append(ids[v[near]])
+            step = max(1, PAIR_WORDS // folded.shape[1])
+            for i in range(0, len(u), step):
+                p, q = u[i : i + step], v[i : i + step]
+                bound = _bound(folded[at[i : i + len(p)]], n[p], folded[at[len(u) + i : len(u) + i + len(p)]], n[q])
+                near = np.flatnonzero(links(bound, n[p], n[q]))
+                first = [np.intersect1d(held[x], held[y], assume_unique=True)[0] == key[lo] for x, y in zip(p[near].tolist(), q[near].tolist(), strict=True)]
+                near = near[np.array(first, bool)]
+                out_a.append(ids[p[near]])
+                out_b.append(ids[q[near]])
     if out_a:
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
