@@ -37,42 +37,48 @@ _BIT_LENGTH = np.array([int(i).bit_length() for i in range(1 << 16)], np.uint8)
 
 
 class _Model:
-    """The guesses and symbol counts of all lanes."""
+    """The guesses and symbol counts of all lanes; counts are [symbol, lane]."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.guess1 = np.zeros(lanes * SLOTS, np.int32)
-        self.guess2 = np.zeros(lanes * SLOTS, np.int32)
-        self.sure1 = np.zeros(lanes * SLOTS, np.uint8)
-        self.sure2 = np.zeros(lanes * SLOTS, np.uint8)
-        self.count0 = np.ones((lanes, SYMBOLS), np.int32)
-        self.count1 = np.ones((lanes * SURE, SYMBOLS), np.int32)
-        self.count2 = np.ones((lanes * SURE, SYMBOLS), np.int32)
-        self.first = self.lane * SLOTS
-        self.sure_first = self.lane * SURE
-        self.flat0 = self.lane * SYMBOLS
+        self.lanes, self.lane = lanes, np.arange(lanes)
+        # a slot holds the guessed id and, in the low bits, how sure it is
+        self.slots1 = np.zeros(lanes * SLOTS, np.int32)
+        self.slots2 = np.zeros(lanes * SLOTS, np.int32)
+        self.count0 = np.ones((SYMBOLS, lanes), np.int32)
+        self.count1 = np.ones((SYMBOLS, lanes * SURE), np.int32)
+        self.count2 = np.ones((SYMBOLS, lanes * SURE), np.int32)
+        self.mixed = np.empty((SYMBOLS, lanes), np.int32)
+        self.upto = np.empty((SYMBOLS, lanes), np.int32)
+        self.first = (self.lane * SLOTS).astype(np.int32)
+        self.sure_first = (self.lane * SURE).astype(np.int32)
         self.prev1 = np.zeros(lanes, np.int32)
         self.prev2 = np.zeros(lanes, np.int32)
 
     def predict(self) -> np.ndarray:
-        """Cumulative counts [lane, symbol] of the mixed distribution."""
+        """Cumulative counts [symbol, lane] of the mixed distribution."""
         self.at1 = self.first + ((self.prev1 * 40503) >> 7 & (SLOTS - 1))
         self.at2 = self.first + ((self.prev1 * 30011 + self.prev2 * 17737) >> 7 & (SLOTS - 1))
-        self.is1, self.is2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
-        self.conf1, self.conf2 = self.sure1.take(self.at1), self.sure2.take(self.at2)
-        self.row1, self.row2 = self.sure_first + self.conf1, self.sure_first + self.conf2
-        self.mixed = self.count0 + self.count1.take(self.row1, 0)
-        self.mixed += self.count2.take(self.row2, 0)
-        return np.cumsum(self.mixed, axis=1, dtype=np.int32)
+        self.held1, self.held2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
+        self.is1, self.is2 = self.held1 >> 2, self.held2 >> 2
+        self.row1, self.row2 = self.sure_first + (self.held1 & 3), self.sure_first + (self.held2 & 3)
+        np.take(self.count1, self.row1, axis=1, out=self.mixed, mode="clip")
+        self.mixed += self.count0
+        self.mixed += self.count2.take(self.row2, axis=1)
+        upto = self.upto
+        upto[0] = self.mixed[0]
+        for k in range(1, SYMBOLS):
+            np.add(upto[k - 1], self.mixed[k], out=upto[k])
+        return upto
 
     def learn(self, ids: np.ndarray, symbol: np.ndarray) -> None:
-        self.count0.ravel()[self.flat0 + symbol] += STEP
-        self.count1.ravel()[self.row1 * SYMBOLS + symbol] += STEP
-        self.count2.ravel()[self.row2 * SYMBOLS + symbol] += STEP
-        for guess, sure, at, held, conf in ((self.guess1, self.sure1, self.at1, self.is1, self.conf1), (self.guess2, self.sure2, self.at2, self.is2, self.conf2)):
-            hit = held == ids
-            sure[at] = np.where(hit, np.minimum(conf + 1, SURE - 1), conf >> 1)
-            guess[at] = np.where(hit | (conf > 1), held, ids)
+        for counts, row, width in ((self.count0, self.lane, self.lanes), (self.count1, self.row1, SURE * self.lanes), (self.count2, self.row2, SURE * self.lanes)):
+            counts.reshape(-1)[symbol * width + row] += STEP
+        fresh = ids << 2
+        for slots, at, held, guess in ((self.slots1, self.at1, self.held1, self.is1), (self.slots2, self.at2, self.held2, self.is2)):
+            sure = held & 3
+            # a miss halves the trust; an untrusted guess gives way
+            missed = np.where(sure > 1, held - sure + (sure >> 1), fresh)
+            slots[at] = np.where(guess == ids, held + (sure < SURE - 1), missed)
         self.prev2, self.prev1 = self.prev1, ids
 
 
@@ -93,16 +99,17 @@ def _encode_lanes(ids: np.ndarray) -> list[bytes]:
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(2**64 - 1))
     out = np.zeros((lanes, 2 * steps + 8), np.uint16)
     used = np.zeros(lanes, np.int64)
-    lengths = np.maximum(_BIT_LENGTH[ids], LEAST_BITS)
-    base = model.flat0
+    columns = np.ascontiguousarray(ids.T)
+    lengths = np.maximum(_BIT_LENGTH[columns], LEAST_BITS).astype(np.int32)
+    lane = model.lane
     for t in range(steps):
-        x, length = ids[:, t], lengths[:, t]
+        x, length = columns[t], lengths[t]
         upto = model.predict()
         symbol = np.where(model.is2 == x, HIT2, np.where(model.is1 == x, HIT1, length - (LEAST_BITS - LENGTHS)))
-        cell = base + symbol
-        freq = model.mixed.ravel()[cell]
-        unit = size // upto[:, -1].astype(np.uint64)
-        low += unit * (upto.ravel()[cell] - freq).astype(np.uint64)
+        cell = symbol * lanes + lane
+        freq = model.mixed.reshape(-1).take(cell)
+        unit = size // upto[-1].astype(np.uint64)
+        low += unit * (upto.reshape(-1).take(cell) - freq).astype(np.uint64)
         size = unit * freq.astype(np.uint64)
         plain = symbol >= LENGTHS
         bits = np.where(plain, np.maximum(length, LEAST_BITS + 1) - 1, 0).astype(np.uint64)
@@ -140,16 +147,15 @@ def _decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
         code = code << S16 | words[:, k]
     used = np.full(lanes, 4)
     ids = np.zeros((steps, lanes), np.int32)
-    base = model.flat0
     for t in range(steps):
         upto = model.predict()
-        total = upto[:, -1]
+        total = upto[-1]
         unit = size // total.astype(np.uint64)
         at = np.minimum((code - low) // unit, (total - 1).astype(np.uint64)).astype(np.int32)
-        symbol = (upto <= at[:, None]).sum(axis=1)
-        cell = base + symbol
-        freq = model.mixed.ravel()[cell]
-        low += unit * (upto.ravel()[cell] - freq).astype(np.uint64)
+        symbol = (upto <= at).sum(axis=0)
+        cell = symbol * lanes + lane
+        freq = model.mixed.reshape(-1).take(cell)
+        low += unit * (upto.reshape(-1).take(cell) - freq).astype(np.uint64)
         size = unit * freq.astype(np.uint64)
         plain = symbol >= LENGTHS
         length = symbol + (LEAST_BITS - LENGTHS)

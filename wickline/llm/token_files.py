@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,10 @@ from wickline.llm.range_coder import decode_record, encode_record
 
 RECORD = 1 << 22
 #: Words whose ids a worker remembers before starting afresh.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 FILE_ROWS = "shard int, seq int, n_ids long, doc_ids array<long>, doc_lengths array<int>, record binary"
+#: Fixed value: how byte-level vocabularies cut a text before the merges.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _BLANK_RUN = re.compile(r"^\s| \s| $")
 
 
@@ -44,8 +47,8 @@ class Tokens:
     """Ids of whole texts by a tokenizers file, remembering words.
 
     The byte-level pattern always starts a piece at a space before a
-    character that is no space, so a text is cut there and each part is
-    encoded once by the library.  Texts where spaces meet other blanks or that
+    character that is no space, so a text is cut there; the pieces of each new
+    part are encoded once by the library.  Texts where spaces meet other blanks or that
     hold a special string go to the library whole."""
 
     def __init__(self, path: str):
@@ -56,18 +59,30 @@ class Tokens:
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<i4").tobytes() for e in got]
 
     def _know(self, memory: dict[str, bytes], parts: list[str], lead: str) -> None:
+        """Learn parts that are not known, from their pieces; the library
+        encodes each piece once."""
         new = list(set(parts).difference(memory))
-        if new:
-            if len(memory) > REMEMBERED:
-                memory.clear()
-                new = list(set(parts))
-            memory.update(zip(new, self._whole([lead + p for p in new]), strict=True))
+        if not new:
+            return
+        if len(memory) > REMEMBERED:
+            memory.clear()
+            new = list(set(parts))
+        cut = [_PIECES.findall(lead + p) for p in new]
+        unknown = list({x for c in cut for x in c}.difference(self.pieces))
+        if unknown:
+            if len(self.pieces) > REMEMBERED:
+                self.pieces.clear()
+                unknown = list({x for c in cut for x in c})
+            self.pieces.update(zip(unknown, self._whole(unknown), strict=True))
+        known = self.pieces
+        memory.update((p, known[c[0]] if len(c) == 1 else b"".join([known[x] for x in c])) for p, c in zip(new, cut, strict=True))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
