@@ -51,7 +51,7 @@ LEADERS = 3
 SAMPLE, FREQUENT = 16_384, 6
 TILE = 256
 #: A shingle of at most so many documents is paired up without tiles.
-FEW = 32
+FEW = 16
 #: Signature words of pairs compared at a time.
 PAIR_WORDS = 1 << 19
 #: Widths of bitmap signatures in bits.
