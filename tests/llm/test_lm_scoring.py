@@ -109,3 +109,12 @@ def test_nothing_to_learn_from(docs_of):
     i = next(i for i in range(100) if held(i))
     row = M.lm_scores(docs_of([(i, "some words")]), ~M.held_out()).first()
     assert tuple(row) == (i, 3, 0, 0, 0.0, 0.0)
+
+
+def test_ngrams_seen_twice_are_learnt_in_a_large_corpus(docs_of, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BYTES", 1 << 20)
+    rng = random.Random(12)
+    rows = [(10 + i, prose(rng, 4000, 3000)) for i in range(180)]  # over 500,000 tokens to learn from
+    rows += [(2000 + i, "rare words stand here") for i in range(9)]
+    kept = [r for r in rows if r[0] < 2000] + [r for r in rows if r[0] >= 2000 and not held(r[0])][:2]
+    check(M.lm_scores(docs_of(kept).repartition(3).checkpoint(), ~M.held_out()), kept, 0)

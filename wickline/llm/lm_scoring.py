@@ -8,11 +8,13 @@ state sum to one.  A traversal of a text keeps the state of its last words and
 adds the log10 probability of each token; ``</end>`` closes a text and is the
 context of the next one's first word.
 
-Word counts are exact over the whole corpus.  N-grams are kept from a relative
-frequency of ``SHARE`` on (and two occurrences), found exactly in two passes:
-one that reaches it overall reaches it in some block.  So at most 1 / SHARE
-n-grams of an order exist whatever the corpus, and only these are sent to all
-tasks; counts of other words meet the texts that use them in a join by block.
+All counts are exact over the whole corpus, and every n-gram that occurs
+``LEAST`` times is kept, whatever the corpus' size.  Nothing of the model is
+sent to all tasks: a block of texts deals its distinct words, pairs and triples
+out by hash range, each range adds up its own, and a block gets back the totals
+of what it holds.  Triples are dealt out only where both their pairs are kept,
+as no other can be.  The weight of a context's arcs is added up the same way:
+the one block that a kept n-gram belongs to adds it to the context's sum.
 
 Defined cases: a null or empty text is its end token alone; a null id is never
 held out; rows are independent, so repeated ids stay as they are and each row
@@ -24,21 +26,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow_iter, batch, staged, unstage
+from wickline.llm.base import arrow_iter, batch, staged
 from wickline.llm.text import MIX_B, U64, chunks, mix, word_hashes
 
-SHARE = 4e-6
+#: Occurrences from which on an n-gram is kept.
+LEAST = 2
+#: A relative frequency that n-grams must reach besides, for smaller models.
+SHARE = 0.0
 DISCOUNT = 0.75
 #: Bytes of text of a block: the unit in which words are counted and joined.
 BLOCK_BYTES = 8 << 20
+#: Ranges of hashes: at least so many, and one for so many bytes of text.
+RANGES, RANGE_BYTES = 64, 16 << 20
 END = U64(0x5E0D0FD0C5E0D0FD)
 #: Stands before the end that opens a text, so that pair is no counted one.
 BEFORE = U64(0xBEF0BEF0BEF0BEF1)
@@ -113,36 +121,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.Re
         yield number, held
 
 
-def _training(rows: list[pa.RecordBatch]) -> Tokens:
-    out = []
-    for b in rows:
-        learn = b.filter(b["learn"])
-        out += [t for _, _, t in _tokens(learn["text"])]
-    return _merge(out)
-
-
-def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(h, return_counts=True)
-
-
-def word_counts(src: DataFrame) -> DataFrame:
-    """(block, word, c, first): every word of a block with its count over the
-    training texts; ``first`` marks one row of each word."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in _blocks(batches):
-            learnt, n = _counted(_training(rows).word)
-            other = [t.word for b in rows for _, _, t in _tokens(b.filter(pc.invert(b["learn"]))["text"])]
-            new = np.setdiff1d(np.concatenate(other), learnt) if other else np.zeros(0, np.uint64)
-            words = np.concatenate([learnt, new])
-            counts = np.concatenate([n, np.zeros(len(new), np.int64)])
-            yield batch(block=np.full(len(words), block, np.int64), word=words.view(np.int64), n=counts.astype(np.int64))
-
-    rows = arrow_iter(src, count, "block long, word long, n long")
-    of_word = Window.partitionBy("word")  # a row a block at most
-    return rows.select(
-        "block", "word", F.sum("n").over(of_word).alias("c"), (F.row_number().over(of_word.orderBy("block")) == 1).alias("first")
-    )
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted values, a place of each, the value's number at each place)."""
+    order = np.argsort(h)
+    ordered = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    of = np.empty(len(h), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], of
 
 
 def _member(sorted_values: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,21 +140,6 @@ def _member(sorted_values: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nd
     return sorted_values[at] == h, at
 
 
-def _ngrams(tokens: Tokens, frequent: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By order: (n-gram, context) hashes where every word is frequent."""
-    one, two = tokens.contexts()
-    known, _ = _member(frequent, tokens.word)
-    lead = np.empty_like(known)
-    lead[1:], lead[:1] = known[:-1], True
-    lead[tokens.first] = True
-    pair = known & lead
-    lead2 = np.empty_like(known)
-    lead2[1:], lead2[:1] = lead[:-1], True
-    lead2[tokens.first] = True
-    triple = pair & lead2
-    return {2: (join(one[pair], tokens.word[pair]), one[pair]), 3: (join(two[triple], tokens.word[triple]), two[triple])}
-
-
 @dataclass
 class NGrams:
     """Kept n-grams of an order, sorted by hash, with contexts and counts."""
@@ -177,70 +149,6 @@ class NGrams:
     count: np.ndarray
 
 
-def _candidates(src: DataFrame, frequent: np.ndarray, least: int) -> pa.Table:
-    """(order, gram, context): every n-gram that may occur ``least`` times.
-
-    A block reports those that reach half its share; what it leaves out is
-    below that, which bounds each n-gram's count from above.  Those whose
-    bound reaches ``least`` were reported at least half as often, so there are
-    at most 2 / SHARE of an order."""
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _blocks(batches):
-            tokens = _training(rows)
-            limit = max(1, int(np.ceil(SHARE * len(tokens.word) / 2)))
-            yield _grams(0, np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.zeros(1, np.int64), limit - 1)
-            for order, (grams, contexts) in _ngrams(tokens, frequent).items():
-                values, at, n = np.unique(grams, return_index=True, return_counts=True)
-                some = n >= limit
-                if some.any():
-                    yield _grams(order, values[some], contexts[at[some]], n[some], limit - 1)
-
-    found = staged(arrow_iter(src, local, "order int, gram long, context long, n long, unseen long"), "lm-candidates")
-    slack = found.where("order = 0").agg(F.sum("unseen")).first()[0] or 0
-    merged = found.where("order > 0").groupBy("order", "gram").agg(F.max("context").alias("context"), F.sum("n").alias("n"), F.sum("unseen").alias("unseen"))
-    out = merged.where(F.col("n") + (slack - F.col("unseen")) >= least).select("order", "gram", "context").toArrow()
-    unstage(found)
-    return out
-
-
-def _grams(order: int, gram: np.ndarray, context: np.ndarray, n: np.ndarray, unseen: int) -> pa.RecordBatch:
-    k = len(gram)
-    return batch(
-        order=np.full(k, order, np.int32), gram=gram.view(np.int64), context=context.view(np.int64), n=n.astype(np.int64), unseen=np.full(k, unseen, np.int64)
-    )
-
-
-def frequent_ngrams(src: DataFrame, frequent: np.ndarray, least: int) -> dict[int, NGrams]:
-    """By order: all n-grams of ``frequent`` words that occur ``least`` times or more."""
-    table = _candidates(src, frequent, least)
-    order, gram, context = (table[c].to_numpy() for c in ("order", "gram", "context"))
-    maybe, context_of = {}, {}
-    for k in (2, 3):
-        own = gram[order == k].view(np.uint64)
-        place = np.argsort(own)
-        maybe[k], context_of[k] = own[place], context[order == k].view(np.uint64)[place]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {k: np.zeros(len(maybe[k]), np.int64) for k in maybe}
-        for _, rows in _blocks(batches):
-            for k, (grams, _) in _ngrams(_training(rows), frequent).items():
-                found, at = _member(maybe[k], grams)
-                totals[k] += np.bincount(at[found], minlength=len(maybe[k]))
-        for k, n in totals.items():
-            some = np.flatnonzero(n)
-            yield batch(order=np.full(len(some), k, np.int32), place=some.astype(np.int32), n=n[some])
-
-    exact = arrow_iter(src, count, "order int, place int, n long").groupBy("order", "place").agg(F.sum("n").alias("n"))
-    got = exact.where(F.col("n") >= least).orderBy("order", "place").toArrow()  # at most 1 / SHARE of an order
-    out = {}
-    for k in (2, 3):
-        own = got["order"].to_numpy() == k
-        place = got["place"].to_numpy()[own]
-        out[k] = NGrams(maybe[k][place], context_of[k][place], got["n"].to_numpy()[own])
-    return out
-
-
 @dataclass
 class Automaton:
     """States by context hash with their failure weights, arcs by n-gram hash."""
@@ -269,41 +177,173 @@ class Automaton:
         return np.log10(p)
 
 
-def _automaton(tokens: int, types: int, words: np.ndarray, counts: np.ndarray, grams: dict[int, NGrams]) -> Automaton:
-    """States, arcs and weights; ``words`` are the frequent ones, sorted."""
+Sums = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _automaton(tokens: int, types: int, words: np.ndarray, counts: np.ndarray, grams: dict[int, NGrams], sums: Sums | None = None) -> Automaton:
+    """States, arcs and weights; ``words`` are sorted.  ``grams`` may be a part
+    of the model if ``sums`` has the discounted counts of all arcs by context."""
     states, arcs = {}, {}
     known, totals = words, counts
     for order in (2, 3):
         g = grams[order]
         there, at = _member(known, g.context)  # the start of a text has no count of its own
         gram, context, n = g.gram[there], g.context[there], g.count[there]
-        weight = (n - DISCOUNT) / totals[at[there]]
-        state, of = np.unique(context, return_inverse=True)
-        left = 1.0 - np.bincount(of, weights=weight, minlength=len(state))
-        states[order], arcs[order] = (state, np.maximum(left, 1e-9)), (gram, weight)
+        arcs[order] = gram, (n - DISCOUNT) / totals[at[there]]
+        if sums is None:
+            state, of = np.unique(context, return_inverse=True)
+            mass = np.bincount(of, weights=n - DISCOUNT, minlength=len(state))
+        else:
+            some = sums[order][1] > 0
+            state, mass = sums[order][0][some], sums[order][1][some]
+        _, at = _member(known, state)
+        states[order] = state, np.maximum(1.0 - mass / totals[at], 1e-9)
         known, totals = g.gram, g.count
     return Automaton(tokens, types, states, arcs)
 
 
-def _train(src: DataFrame, words: DataFrame) -> Automaton:
-    once = words.where("first AND c > 0")
-    tokens, types = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(2, int(np.ceil(SHARE * tokens)))
-    common = once.where(F.col("c") >= least).select("word", "c").toArrow()  # at most 1 / SHARE
-    frequent = common["word"].to_numpy().view(np.uint64)
-    place = np.argsort(frequent)
-    frequent, counts = frequent[place], common["c"].to_numpy()[place]
-    return _automaton(tokens, types, frequent, counts, frequent_ngrams(src, frequent, least))
+#: What is dealt out: counts of words, pairs and triples, and the discounted
+#: counts of all arcs of a word and of a pair.
+WORD, PAIR, TRIPLE, OF_WORD, OF_PAIR = range(5)
+_DEALT = "block long, kind int, part int, check long, keys binary, amounts binary"
+_TOTALS = "block long, kind int, part int, check long, n int, totals binary, own binary, occurrences double, types long"
+#: Spark deletes a query's shuffle files when it ends, which nothing reads any more.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_ZSTD = pa.Codec("zstd", 1)
 
 
-def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every
-    text, learning from rows for which ``learn`` holds.  ``df`` is scanned
-    several times and must give the same partitions each time, as a table's
-    files do; a partition that changed is found out and fails the job."""
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), learn.alias("learn"), F.col(text_col).alias("text"))
-    words = staged(word_counts(src), "lm-words")
-    model = _train(src, words)
+def _small(spans: list[np.ndarray]) -> pa.Array:
+    return pa.array([_ZSTD.compress(np.ascontiguousarray(x), asbytes=True) for x in spans], pa.binary())
+
+
+def _large(column: pa.ChunkedArray, sizes: list[int], kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    spans = [np.frombuffer(_ZSTD.decompress(x.as_py(), n * width), kind) for x, n in zip(column, sizes, strict=True)]
+    return np.concatenate([np.zeros(0, kind), *spans])
+
+
+def _deal(block: int, kind: int, keys: np.ndarray, amounts: np.ndarray, ranges: int) -> pa.RecordBatch:
+    """A row for each range of hashes that holds some of the sorted ``keys``."""
+    bounds = np.arange(1, ranges, dtype=np.uint64) << U64(65 - ranges.bit_length())
+    cut = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+    some = np.flatnonzero(np.diff(cut))
+    spans = [(cut[i], cut[i + 1]) for i in some]
+    n = len(some)
+    return batch(
+        block=np.full(n, block, np.int64), kind=np.full(n, kind, np.int32), part=some.astype(np.int32),
+        check=np.array([keys[a:z].sum() for a, z in spans], np.uint64).view(np.int64),
+        keys=pa.array([keys[a:z].tobytes() for a, z in spans], pa.binary()),
+        amounts=_small([amounts[a:z].astype(np.float64) for a, z in spans]),
+    )
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """The totals of a range, told to each block in the order of its keys;
+    ``own`` marks one block of each key."""
+    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
+    sizes = [len(k) for k in keys]
+    amounts, ends = _large(table["amounts"], sizes, np.float64), np.cumsum(sizes)[:-1]
+    _, at, of = _distinct(np.concatenate(keys))
+    total = np.bincount(of, weights=amounts)[of]
+    own = np.zeros(len(total), np.uint8)
+    own[at] = 1
+    totals, owns = np.split(total, ends), np.split(own, ends)
+    return pa.table({
+        **{c: table[c] for c in ("block", "kind", "part", "check")},
+        "n": pa.array(sizes, pa.int32()),
+        "totals": _small(totals),
+        "own": _small(owns),
+        "occurrences": pa.array([float(t[o > 0].sum()) for t, o in zip(totals, owns, strict=True)]),
+        "types": pa.array([int((t[o > 0] > 0).sum()) for t, o in zip(totals, owns, strict=True)]),
+    })
+
+
+def _added(dealt: DataFrame) -> DataFrame:
+    conf = dealt.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return staged(dealt.groupBy("kind", "part").applyInArrow(_add, _TOTALS), "lm-totals")
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
+class _Block:
+    """The tokens of a block and, as far as their totals are there, its words
+    (sorted), pairs and triples with what is learnt of them."""
+
+    def __init__(self, rows: list[pa.RecordBatch], totals: pa.Table | None = None, least: int = LEAST):
+        self._totals, self.least = totals, least
+        tokens, learn = [], []
+        for b in rows:
+            for r0, r1, t in _tokens(b["text"]):
+                own = pc.fill_null(b["learn"].slice(r0, r1 - r0), False).to_numpy(zero_copy_only=False)
+                tokens.append(t)
+                learn.append(np.repeat(own, np.diff(t.start)))
+        self.tokens, self.learn = _merge(tokens), np.concatenate([np.zeros(0, bool), *learn])
+        self.one, self.two = self.tokens.contexts()
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        self.word, _, self.word_of = _distinct(self.tokens.word)
+        return self.word, np.bincount(self.word_of, weights=self.learn, minlength=len(self.word))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        self.pair, self.pair_at, self.pair_of = _distinct(join(self.one, self.tokens.word))
+        return self.pair, np.bincount(self.pair_of, weights=self.learn, minlength=len(self.pair))
+
+    def triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Those whose pairs are both kept."""
+        self.pair_total, self.pair_own = self.total(PAIR, self.pair)
+        kept = (self.pair_total >= self.least)[self.pair_of]
+        self.lead = np.zeros_like(kept)
+        self.lead[1:] = kept[:-1]
+        self.lead[self.tokens.first] = False
+        maybe = np.flatnonzero(kept & self.lead)
+        self.triple, at, of = _distinct(join(self.two[maybe], self.tokens.word[maybe]))
+        self.triple_at = maybe[at]
+        return self.triple, np.bincount(of, weights=self.learn[maybe], minlength=len(self.triple))
+
+    def _arcs(self, context: np.ndarray, of: np.ndarray, total: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct contexts with the discounted counts of the arcs that belong to this block."""
+        keys, arc = np.unique(context), (total >= self.least) & own
+        return keys, np.bincount(np.searchsorted(keys, of[arc]), weights=total[arc] - DISCOUNT, minlength=len(keys))
+
+    def of_words(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._arcs(self.one, self.one[self.pair_at], self.pair_total, self.pair_own)
+
+    def of_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        self.triple_total, self.triple_own = self.total(TRIPLE, self.triple)
+        return self._arcs(self.two[self.lead], self.two[self.triple_at], self.triple_total, self.triple_own)
+
+    def total(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(total, belongs to this block) of each key."""
+        t = self._totals.filter(pc.equal(self._totals["kind"], kind)).sort_by("part")
+        sizes = t["n"].to_pylist()
+        total, own = _large(t["totals"], sizes, np.float64), _large(t["own"], sizes, np.uint8) > 0
+        check = t["check"].to_numpy().view(np.uint64).sum(dtype=np.uint64)
+        if len(total) != len(keys) or check != keys.sum(dtype=np.uint64):
+            raise RuntimeError("a partition changed between scans of the texts")
+        return total, own
+
+    def model(self, tokens: int, types: int) -> tuple[Automaton, np.ndarray]:
+        """The part of the automaton that the block's texts can reach, and the
+        training count of each token."""
+        self.words()
+        self.pairs()
+        self.triples()
+        of_word, of_pair = self.of_words()[0], self.of_pairs()[0]
+        count, _ = self.total(WORD, self.word)
+        two, three = self.pair_total >= self.least, self.triple_total >= self.least
+        grams = {
+            2: NGrams(self.pair[two], self.one[self.pair_at[two]], self.pair_total[two]),
+            3: NGrams(self.triple[three], self.two[self.triple_at[three]], self.triple_total[three]),
+        }
+        sums = {2: (of_word, self.total(OF_WORD, of_word)[0]), 3: (of_pair, self.total(OF_PAIR, of_pair)[0])}
+        return _automaton(tokens, types, self.word, count, grams, sums), count[self.word_of]
+
+
+def _packed(src: DataFrame) -> DataFrame:
+    """(block, rows): the texts of each block."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -314,30 +354,67 @@ def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: st
                     out.write_batch(b)
                 yield batch(block=np.array([block]), rows=pa.array([sink.getvalue().to_pybytes()], pa.binary()))
 
-    def rate(packed: pa.Table, counts: pa.Table) -> pa.Table:
-        word = counts["word"].to_numpy().view(np.uint64)
-        place = np.argsort(word)
-        word, c = word[place], counts["c"].to_numpy()[place]
-        out = []
-        for raw in packed["rows"]:
-            for b in pa.ipc.open_stream(raw.as_py()):
-                for r0, r1, tokens in _tokens(b["text"]):
-                    found, at = _member(word, tokens.word)
-                    if not found.all():
-                        raise RuntimeError("a partition changed between scans of the texts")
-                    count, first = c[at], tokens.start[:-1]
-                    out.append(pa.RecordBatch.from_arrays([
-                        b["doc_id"].slice(r0, r1 - r0),
-                        pa.array(np.diff(tokens.start)),
-                        pa.array(np.add.reduceat(count > 0, first, dtype=np.int64)),
-                        pa.array(np.full(r1 - r0, model.tokens)),
-                        pa.array(np.add.reduceat(np.log10(model.root(count)), first)),
-                        pa.array(np.add.reduceat(model.traverse(tokens, count), first)),
-                    ], names))
-        return pa.Table.from_batches(out, schema)
-
-    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    schema = pa.schema([(n, pa.float64() if n.endswith("score") else pa.int64()) for n in names])
+    return arrow_iter(src, pack, "block long, rows binary")
+
+
+def _unpacked(packed: pa.Table) -> list[pa.RecordBatch]:
+    return [b for raw in packed["rows"] for b in pa.ipc.open_stream(raw.as_py())]
+
+
+def _with_totals(src: DataFrame, totals: list[DataFrame], fn, schema: str) -> DataFrame:
+    """``fn`` of each block's texts and totals."""
+    every = reduce(DataFrame.unionAll, totals).select("block", "kind", "part", "check", "n", "totals", "own")
+    return _packed(src).groupBy("block").cogroup(every.groupBy("block")).applyInArrow(fn, schema)
+
+
+def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every
+    text, learning from rows for which ``learn`` holds.  ``df`` is scanned
+    several times and must give the same partitions each time, as a table's
+    files do; a partition that changed is found out and fails the job."""
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), learn.alias("learn"), F.col(text_col).alias("text"))
+    size = src.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ranges = max(RANGES, 1 << (size // RANGE_BYTES).bit_length())
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in _blocks(batches):
+            block = _Block(rows)
+            yield _deal(number, WORD, *block.words(), ranges)
+            yield _deal(number, PAIR, *block.pairs(), ranges)
+
+    first = _added(arrow_iter(src, counts, _DEALT))
+    tokens, types = first.where(F.col("kind") == WORD).agg(F.sum("occurrences"), F.sum("types")).first()
+    tokens, types = int(tokens or 0), int(types or 0)
+    least = max(LEAST, int(np.ceil(SHARE * tokens)))
+
+    def triples(packed: pa.Table, totals: pa.Table) -> pa.Table:
+        block, number = _Block(_unpacked(packed), totals, least), packed["block"][0].as_py()
+        block.pairs()
+        dealt = _deal(number, TRIPLE, *block.triples(), ranges)
+        return pa.Table.from_batches([dealt, _deal(number, OF_WORD, *block.of_words(), ranges)])
+
+    def arcs_of_pairs(packed: pa.Table, totals: pa.Table) -> pa.Table:
+        block, number = _Block(_unpacked(packed), totals, least), packed["block"][0].as_py()
+        block.pairs()
+        block.triples()
+        return pa.Table.from_batches([_deal(number, OF_PAIR, *block.of_pairs(), ranges)])
+
+    def rate(packed: pa.Table, totals: pa.Table) -> pa.Table:
+        rows = _unpacked(packed)
+        block = _Block(rows, totals, least)
+        model, count = block.model(tokens, types)
+        start = block.tokens.start[:-1]
+        return pa.table({
+            "doc_id": pa.chunked_array([b["doc_id"] for b in rows]),
+            "n_tokens": np.diff(block.tokens.start),
+            "n_known": np.add.reduceat(count > 0, start, dtype=np.int64),
+            "train_tokens": np.full(len(start), tokens),
+            "base_score": np.add.reduceat(np.log10(model.root(count)), start),
+            "score": np.add.reduceat(model.traverse(block.tokens, count), start),
+        })
+
+    pairs = first.where(F.col("kind") == PAIR)
+    second = _added(_with_totals(src, [pairs], triples, _DEALT))
+    third = _added(_with_totals(src, [pairs, second.where(F.col("kind") == TRIPLE)], arcs_of_pairs, _DEALT))
     kinds = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    left = arrow_iter(src, pack, "block long, rows binary").groupBy("block")
-    return left.cogroup(words.select("block", "word", "c").groupBy("block")).applyInArrow(rate, kinds)
+    return _with_totals(src, [first, second, third], rate, kinds)
