@@ -87,3 +87,34 @@ def test_longest_common_subsequence():
             for j, y in enumerate(b):
                 prev, row[j + 1] = row[j + 1], prev + 1 if x == y else max(row[j + 1], row[j])
         assert D.lcs(D._masks(a), len(a), b) == row[-1]
+
+
+def test_paraphrases_are_found_in_a_large_corpus(spark, docs_of, items, monkeypatch):
+    small = D.document_frequencies
+
+    def large(docs, vocabulary):
+        n, df = small(docs, vocabulary)
+        return n * 10**7, df * 10**7
+
+    monkeypatch.setattr(D, "document_frequencies", large)
+    rng = random.Random(10)
+    docs = []
+    for i, text in items[1:]:
+        words = text.split()
+        for k in rng.sample(range(len(words) * 3 // 4), len(words) // 4):
+            words[k] = f"unseen{rng.randrange(10**6)}"
+        docs.append((i, embed(rng, " ".join(words))))
+    docs += [(1000 + k, prose(rng, 400, 3000)) for k in range(50)]
+    assert pairs(D.contaminated(docs_of(docs), ben(spark, items))) == [(i, i) for i, _ in items[1:]]
+
+
+def test_rare_words_lose_no_match(items):
+    rng = random.Random(11)
+    item = [list(range(100, 100 + n)) for n in (6, 8, 37, 150)]
+    vocabulary = D._Vocabulary(np.array([w for w in range(100, 180)], np.uint64))
+    rare = D._rare(item, vocabulary, np.linspace(1, 4, 80))
+    for p, words in enumerate(item):
+        own = set(rare.vocabulary.words[np.flatnonzero([p in rare.items[a:z] for a, z in zip(rare.start, rare.start[1:])])].tolist())
+        for _ in range(50):
+            kept = rng.sample(words, next(k for k in range(len(words) + 1) if k / len(words) >= D._least(len(words))))
+            assert len(own & set(kept)) >= rare.need[p] > 0

@@ -8,8 +8,9 @@ longest common subsequence of words between the item and the text around the
 window, and by how much of the item's answer (its last words) is there, so
 paraphrases that replace, add or drop words are found and look-alikes are not.
 
-Only windows that keep ``ENERGY`` of their TF-IDF weight in the benchmark's
-vocabulary are projected: no other has a high cosine.  Benchmark passages go
+Only windows around which enough of an item's rarest words stand are projected:
+an item of which ``COMMON`` is there in order can lack no more than the other
+words, so this loses nothing.  Benchmark passages go
 through in blocks of ``BLOCK``, each against all documents, so what is sent to
 tasks is bounded.
 
@@ -42,10 +43,12 @@ BLOCK = 512
 #: As many dimensions as passages of a block: fewer lose passages that share
 #: no words with others.
 RANK, OVERSAMPLING = 512, 10
-ENERGY = 0.2
 COSINE = 0.45
 #: Shares of the item's and of the answer's words that must be there in order.
 COMMON, ANSWER = 0.7, 0.5
+#: Share of the item's words by which the rare words looked for outnumber those
+#: that may be missing; it changes the time only.
+RARE = 0.35
 _QUICK_BITS = 22
 
 
@@ -180,18 +183,51 @@ def latent_space(rows: DataFrame, vocabulary: _Vocabulary, idf: np.ndarray, n_ro
     return (basis @ turn[:, ::-1][:, : min(RANK, k)]).astype(np.float32)
 
 
+@dataclass
+class _Rare:
+    """The rare words of a block's items: ``items[start[w] : start[w + 1]]``
+    hold word w, and ``need`` of an item's are around it wherever it matches."""
+
+    vocabulary: _Vocabulary
+    start: np.ndarray
+    items: np.ndarray
+    need: np.ndarray
+
+
+def _least(n: int) -> float:
+    """The share of an item of ``n`` words that must be there in order."""
+    return COMMON if n >= 8 else 1.0
+
+
+def _rare(item_words: list[list[int]], vocabulary: _Vocabulary, idf: np.ndarray) -> _Rare:
+    chosen, need = [], []
+    for item in item_words:
+        h = np.array(item, np.int64).view(np.uint64)
+        number = vocabulary.number(h)
+        rarity = np.where(number >= 0, idf[number], 0)
+        lacking = len(h) - int(np.ceil(_least(len(h)) * len(h) - 1e-9))
+        most = min(len(h), lacking + max(1, int(np.ceil(RARE * len(h)))))
+        chosen.append(np.unique(h[np.argsort(-rarity, kind="stable")[:most]]))
+        need.append(most - lacking)
+    of = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+    words, at = np.unique(np.concatenate(chosen), return_inverse=True)
+    start = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(np.bincount(at, minlength=len(words)), out=start[1:])
+    return _Rare(_Vocabulary(words), start, of[np.argsort(at, kind="stable")], np.array(need))
+
+
 @dataclass
 class _Block:
     """What tasks need of a block of passages."""
 
     vocabulary: _Vocabulary
     idf: np.ndarray
-    other_idf: float
     space: np.ndarray
     item: np.ndarray
     scale: np.ndarray
     latent: np.ndarray
-    item_words: list[np.ndarray]
+    item_words: list[list[int]]
+    rare: _Rare
 
 
 def lcs(masks: dict[int, int], length: int, text: list[int]) -> int:
@@ -242,33 +278,71 @@ def _project(block: _Block, number: np.ndarray, upto: np.ndarray, known: np.ndar
     return np.add.reduceat(vectors, first, axis=0)
 
 
+def _spread_out(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, value) of all values of ranges."""
+    of = np.repeat(np.arange(len(lo)), size)
+    return of, lo[of] + np.arange(len(of)) - (np.cumsum(size) - size)[of]
+
+
+def _stretches(block: _Block, h: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, row, first, last word) of stretches that hold just as many rare
+    words of an item as a match needs, no longer than the text a match is checked in."""
+    rare = block.rare
+    number = rare.vocabulary.number(h)
+    known = np.flatnonzero(number >= 0)
+    lo, hi = rare.start[number[known]], rare.start[number[known] + 1]
+    of, at = _spread_out(lo, hi - lo)
+    item, place = rare.items[at], known[of]
+    order = np.argsort(item, kind="stable")  # places stay in order
+    item, place = item[order], place[order]
+    last = np.arange(len(item)) + rare.need[item] - 1
+    inside = np.flatnonzero(last < len(item))
+    last = last[inside]
+    inside, last = (x[item[inside] == item[last]] for x in (inside, last))
+    reach = np.array([len(w) for w in block.item_words])
+    row = np.searchsorted(before, place[inside], side="right") - 1
+    near = (place[last] - place[inside] < (block.scale + 2 * reach)[item[inside]]) & (place[last] < before[row + 1])
+    return item[inside][near], row[near], place[inside][near], place[last][near]
+
+
 def _search(block: _Block, h: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
     """(row, item, cosine, common, answer) of the matches in a chunk."""
+    passage, rows, first, last = _stretches(block, h, before)
+    if not len(passage):
+        return
     number = block.vocabulary.number(h)
     inside = number >= 0
     known = np.flatnonzero(inside)
     upto = np.zeros(len(h) + 1, np.int64)
     np.cumsum(inside, out=upto[1:])
-    own, every = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
-    weight = np.where(inside, block.idf[number], block.other_idf).astype(np.float64) ** 2
-    np.cumsum(np.where(inside, weight, 0), out=own[1:])
-    np.cumsum(weight, out=every[1:])
+    reach = np.array([len(w) for w in block.item_words])
     found: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
-    for scale in np.unique(block.scale):
-        chosen = np.flatnonzero(block.scale == scale)
+    for scale in np.unique(block.scale[passage]):
+        own = np.flatnonzero(block.scale[passage] == scale)
         row, start, end = _windows(before, int(scale))
-        kept = own[end] - own[start]
-        go = np.flatnonzero((kept > 1e-9) & (kept >= ENERGY * (every[end] - every[start])))
-        for i in range(0, len(go), 1024):
-            w = go[i : i + 1024]
+        step = max(1, int(scale) // 4)
+        row0 = np.searchsorted(row, rows[own])
+        most = np.searchsorted(row, rows[own], side="right") - row0 - 1
+        base, far = before[rows[own]], reach[passage[own]]
+        lo = np.clip(-((base + far + scale - 1 - last[own]) // step), 0, most)
+        hi = np.clip((first[own] + far - base) // step, 0, most)
+        of, at = _spread_out(row0 + lo, np.maximum(hi - lo + 1, 0))
+        pairs = np.unique(at * len(block.item) + passage[own][of])  # by window
+        window, p = pairs // len(block.item), pairs % len(block.item)
+        some = upto[end[window]] > upto[start[window]]
+        window, p = window[some], p[some]
+        for i in range(0, len(window), 4096):
+            w, which = np.unique(window[i : i + 4096], return_inverse=True)
+            q = p[i : i + 4096]
             x = _project(block, number, upto, known, start[w], end[w])
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-            cosine = x @ block.latent[chosen].T
-            for a, p in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                found.setdefault((int(row[w[a]]), int(chosen[p])), []).append((float(cosine[a, p]), int(start[w[a]]), int(end[w[a]])))
+            cosine = np.einsum("ij,ij->i", x[which], block.latent[q])
+            for k in np.flatnonzero(cosine >= COSINE):
+                a = w[which[k]]
+                found.setdefault((int(row[a]), int(q[k])), []).append((float(cosine[k]), int(start[a]), int(end[a])))
     for (r, p), at in found.items():
         item = block.item_words[p]
-        reach, least = len(item), COMMON if len(item) >= 8 else 1.0
+        reach, least = len(item), _least(len(item))
         for cosine, s, e in sorted(at, reverse=True):
             text = h[max(before[r], s - reach) : min(before[r + 1], e + reach)].view(np.int64).tolist()
             common, answer = _agree(item, text)
@@ -311,10 +385,9 @@ def _matches(src: DataFrame, rows: DataFrame, held: pa.Table, kinds: str) -> Dat
         at, weight = _weighted(vocabulary.number(w), idf)
         latent[i] = weight @ space[at]
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    block = _Block(
-        vocabulary, idf.astype(np.float32), float(np.log(n_docs + 1) + 0.05), space, held["item"].to_numpy(), held["scale"].to_numpy(), latent,
-        [w.values.to_pylist() for w in held["item_words"]],
-    )
+    item_words = [w.values.to_pylist() for w in held["item_words"]]
+    rare = _rare(item_words, vocabulary, idf)
+    block = _Block(vocabulary, idf.astype(np.float32), space, held["item"].to_numpy(), held["scale"].to_numpy(), latent, item_words, rare)
 
     def search(b: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, out = b["__id"].to_numpy(), []
