@@ -78,3 +78,17 @@ def test_no_python_in_the_plan(spark):
     df = spark.range(3).selectExpr("id conv_id", "0 turn", "'user' role", "'x' text")
     plan = C.chat_digests(C.format_turns(C.canonical_turns(C.turn_rows(df))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_by_turn_have_no_limit_of_a_variant(spark):
+    df = spark.range(9).selectExpr("1L conv_id", "id turn", "'user' role", "repeat('x', 15 << 20) text")
+    row = C.canonical_turns(C.turn_rows(df)).selectExpr("layout", "size(turns) n", "aggregate(turns, 0L, (a, t) -> a + length(t.text)) c").first()
+    assert tuple(row) == ("messages", 9, 9 * (15 << 20))
+
+
+def test_a_record_too_large_to_read_is_no_null(spark, monkeypatch):
+    df = spark.createDataFrame([('{"prompt": "' + "x" * 200,)], "record string")
+    assert C.canonical_turns(df).first()["turns"] is None
+    monkeypatch.setattr(C, "JSON_BYTES", 100)
+    with pytest.raises(Exception, match="beyond the size limit"):
+        C.canonical_turns(df).collect()

@@ -13,9 +13,13 @@ Control strings inside texts get a backslash after their first character, and
 backslashes are doubled, so every text is read back exactly.  ``loss_spans``
 marks the assistant texts as code-point ranges of the formatted text.
 
-Defined cases: a record that is no JSON, holds no known layout or is beyond
-Spark's size limit of a variant keeps its row with null layout, turns and
-text; a null text is empty; an empty list of turns formats as an empty text;
+Records are JSON texts, or structs, which are read straight from their fields
+and have no limit of size but that of a row.
+
+Defined cases: a record that is no JSON or holds no known layout keeps its row
+with null layout, turns and text; a JSON object or list of more than
+``JSON_BYTES`` that cannot be read, as it is beyond Spark's size limit of a
+variant, fails the query; a null text is empty; an empty list of turns formats as an empty text;
 fields besides the known paths are ignored; turn rows of one conversation are
 ordered by turn, then role and text, and repeated rows are all turns; a null
 conversation id groups like any other.
@@ -23,8 +27,11 @@ conversation id groups like any other.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 TURNS = "array<struct<role:string,text:string>>"
 
@@ -50,6 +57,8 @@ MAPPINGS = [
     },
     {"layout": "question_answer", "paths": ["$.answer", "$.question"], "turns": [("user", "$.question"), ("assistant", "$.answer")]},
 ]
+#: No JSON text below this makes a variant beyond Spark's 128 MiB.
+JSON_BYTES = 16 << 20
 KNOWN_PATHS = sorted({p for m in MAPPINGS for p in m["paths"]})
 #: Such other names of the canonical roles.
 ROLE_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "model": "assistant", "bot": "assistant"}
@@ -93,15 +102,61 @@ def _mapped(record: Column, mapping: dict) -> Column:
     return F.array(*[_turn(F.lit(role), F.try_variant_get(record, path, "string")) for role, path in mapping["turns"]])
 
 
+def _field(record: Column, kind: DataType, path: str) -> Column | None:
+    """The field of a struct at a path, None if its type has none."""
+    for step in re.findall(r"\w+", path[1:]):
+        if step.isdigit() and isinstance(kind, ArrayType):
+            record, kind = F.get(record, F.lit(int(step))), kind.elementType
+        elif isinstance(kind, StructType) and step in kind.names:
+            record, kind = record[step], kind[step].dataType
+        else:
+            return None
+    return record
+
+
+def _struct_mapped(record: Column, kind: StructType, mapping: dict) -> Column:
+    if "items" in mapping:
+        path, role, text = mapping["items"]
+        return F.transform(
+            _field(record, kind, path), lambda x: _turn(_canonical(x[role].cast("string"), "names" in mapping), x[text].cast("string"))
+        )
+    return F.array(*[_turn(F.lit(role), _field(record, kind, path).cast("string")) for role, path in mapping["turns"]])
+
+
+def _struct_turns(df: DataFrame, record_col: str, kind: StructType) -> DataFrame:
+    """As :func:`canonical_turns`, of structs."""
+    record = F.col(record_col)
+    fields = {p: _field(record, kind, p) for p in KNOWN_PATHS}
+    held = [F.when(c.isNotNull(), F.lit(p)) for p, c in fields.items() if c is not None]
+    own = F.when(record.isNotNull(), _fingerprint(F.concat_ws("\n", *held)))
+    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    for m in MAPPINGS:
+        if all(fields[p] is not None for p in m["paths"]):
+            chosen = own == _fingerprint(F.lit("\n".join(sorted(m["paths"]))))
+            layout = F.when(chosen, F.lit(m["layout"])).otherwise(layout)
+            turns = F.when(chosen, _struct_mapped(record, kind, m)).otherwise(turns)
+    return df.withColumns({"layout": layout, "turns": turns})
+
+
+def _parsed(text: Column) -> Column:
+    """The variant of a JSON text, null if it is none."""
+    out = F.try_parse_json(text)
+    lost = out.isNull() & (F.octet_length(text) > JSON_BYTES) & F.substring(text, 1, 1000).rlike(r"^\s*[{\[]")
+    return F.when(lost, F.raise_error(F.lit("a record cannot be read: it is beyond the size limit of a variant, or no JSON")).cast("variant")).otherwise(out)
+
+
 def canonical_turns(df: DataFrame, record_col: str = "record") -> DataFrame:
-    """``df`` with ``layout`` and ``turns`` of the JSON records in ``record_col``."""
+    """``df`` with ``layout`` and ``turns`` of the records in ``record_col``."""
+    kind = df.schema[record_col].dataType
+    if isinstance(kind, StructType):
+        return _struct_turns(df, record_col, kind)
     record = F.col("__record")
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in MAPPINGS:
         chosen = F.col("__fingerprint") == _fingerprint(F.lit("\n".join(sorted(m["paths"]))))
         layout = F.when(chosen, F.lit(m["layout"])).otherwise(layout)
         turns = F.when(chosen, _mapped(record, m)).otherwise(turns)
-    parsed = df.withColumn("__record", F.try_parse_json(F.col(record_col))).withColumn("__fingerprint", fingerprint(record))
+    parsed = df.withColumn("__record", _parsed(F.col(record_col))).withColumn("__fingerprint", fingerprint(record))
     return parsed.withColumns({"layout": layout, "turns": turns}).drop("__record", "__fingerprint")
 
 
@@ -176,13 +231,13 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def turn_rows(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """conv_id and record: the rows of each conversation as one JSON record of messages."""
+    """conv_id and record: the rows of each conversation as one record of messages."""
     row = F.struct(
         F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("content")
     )
     groups = df.groupBy(F.col(id_col).alias("conv_id")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
     messages = F.transform(F.col("rows"), lambda r: F.struct(r["role"].alias("role"), r["content"].alias("content")))
-    return groups.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    return groups.select("conv_id", F.struct(messages.alias("messages")).alias("record"))
 
 
 def chat_digests(df: DataFrame) -> DataFrame:
