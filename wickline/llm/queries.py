@@ -17,7 +17,7 @@ from wickline.llm.token_counts import token_counts
 from wickline.llm.token_files import new_folder, read_tokens, token_digests, write_tokens
 from wickline.llm.topk_search import top_k
 from wickline.llm.toxicity import toxicity_scores
-
+from wickline.llm.whitening import whiten
 
 
 def tokenizer_path(name: str) -> str:
@@ -79,6 +79,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("word_bpe_49k.json"), budget=2048).drop("prefix")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding, fitted to the distinct integer vectors."""
+    return whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
+    "op13_whitening": op13_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
