@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm.base import read
+from wickline.llm.byte_bpe import byte_bpe_digests
 from wickline.llm.chat_format import canonical_turns, chat_digests, format_turns, turn_rows
 from wickline.llm.decontamination import contaminated
+from wickline.llm.lexical_search import search
 from wickline.llm.line_dedup import line_digests
 from wickline.llm import lm_scoring
 from wickline.llm.ngram_jaccard import jaccard_components
@@ -79,6 +81,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("word_bpe_49k.json"), budget=2048).drop("prefix")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the ranks of a public vocabulary, decoded again, as digests."""
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return byte_bpe_digests(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of every embedding, fitted to the distinct integer vectors."""
     return whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
@@ -95,12 +110,16 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_whitening": op13_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": rf"""
 WITH RECURSIVE word AS (
@@ -177,5 +196,32 @@ WITH vec AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
+""",
+    "op11_lexical_search": rf"""
+WITH occurrence AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS term FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM occurrence GROUP BY doc_id, term
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), doc AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS own FROM tf GROUP BY doc_id
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(own) AS BIGINT) AS terms FROM doc
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS term FROM benchmark
+), item AS (
+  SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term
+), weighted AS (
+  SELECT item_id, term, times * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM item JOIN df USING (term), total
+), sized AS (
+  SELECT doc_id, 100 - 75 + ((75 * own * docs) // terms) AS m FROM doc, total
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM weighted JOIN tf USING (term) JOIN sized USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
 """,
 }
