@@ -150,13 +150,13 @@ def test_stream_retry_after_bad_file(spark, workdir):
     status = {os.path.basename(r[0]): (r[1], r[2]) for r in report}
     assert status == {"good.parquet": ("loaded", 3), "broken.parquet": ("failed", 0)}
     assert store.history().count() == 3  # the good file landed although the batch failed
-    # restart: the same batch is replayed and fails again; the good file is
-    # not appended a second time
+    # restart: the same batch is replayed and fails again; it overwrites its
+    # own folder, so the good file is there once
     replay: list = []
     with pytest.raises(Exception):
         run_once(spark, land, store, ckpt, reports=replay)
     assert store.history().count() == 3 and store.latest().count() == 3
-    assert {os.path.basename(r[0]): r[3] for r in replay[0][1]}["good.parquet"] == "loaded by an earlier attempt"
+    assert {os.path.basename(r[0]): r[3] for r in replay[0][1]}["good.parquet"] is None
     # the file is fixed in place: the replayed batch now commits
     pq.write_table(_typed_table(F3_ROWS, "QZAUSD"), bad)
     run_once(spark, land, store, ckpt)
@@ -192,6 +192,7 @@ def test_message_stream_candles_and_tickers(spark, workdir):
     store = CandleStore(spark, f"{workdir}/tables")
     q = start_message_ingest(stream, store, f"{workdir}/ckpt", kind="kline", available_now=True)
     q.awaitTermination()
+    store.propagate()
     rows = store.latest().collect()
     assert len(rows) == 1 and rows[0].close_price == 2.5  # the later event wins, not the later line
 
@@ -220,6 +221,7 @@ def test_continuous_ingest_stops_gracefully(spark, workdir):
         done.set()
     finally:
         q.stop()
+    store.propagate()
     assert done.is_set() and store.latest().count() == 3 and not q.isActive
 
 
@@ -275,12 +277,15 @@ def test_optimize_history_keeps_every_row(spark, workdir):
     for i in range(9):
         store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 15, 10, i % 3), i)]), now=dt.datetime(2025, 1, 16, 0, i))
     before = sorted(tuple(r) for r in store.history().drop("load_seq").collect())
-    assert store.optimize_history() == [202501]
+    assert len(store.optimize_history()) == 9
     after = sorted(tuple(r) for r in store.history().drop("load_seq").collect())
     assert before == after and len(after) == 9
     files = [f for _, _, fs in os.walk(f"{workdir}/tables/append_only") for f in fs if f.endswith(".parquet")]
     assert len(files) == 1
-    assert store.latest().count() == 3
+    assert store.latest().count() == 3 and store.latest_rows().count() == 9
+    # merged rows are not carried again, later ones are
+    store.append(candles_df(spark, [("B", dt.datetime(2025, 1, 15, 10), 1)]))
+    assert store.latest_rows().count() == 10 and store.optimize_history() == []
 
 
 def _layered(spark, workdir, spec):
@@ -305,28 +310,25 @@ def test_an_older_load_after_compaction_does_not_win(spark, workdir):
     assert [r.open_price for r in folded.latest().collect()] == [1.0]
 
 
-def test_rows_appended_during_compaction_stay(spark, workdir, monkeypatch):
+def test_rows_loaded_during_compaction_stay(spark, workdir, monkeypatch):
     from conftest import candles_df
-    from wickline.plans.keyed import KeyedTable
+    from wickline.plans.months import MonthTable
 
     key = dt.datetime(2025, 1, 15, 10)
     store = _layered(spark, workdir, [([("A", key, 1)], dt.datetime(2025, 2, 1), False)])
-    write = KeyedTable._write_base
+    write = MonthTable.replace_months
 
-    def slow(self, *a):
-        if not store.latest_table.spark.conf.get("test.appended", ""):
-            spark.conf.set("test.appended", "1")
-            store.append(candles_df(spark, [("B", key, 5), ("A", key, 6)]), now=dt.datetime(2025, 2, 2))
-        return write(self, *a)
+    def slow(self, df):
+        store.append(candles_df(spark, [("B", key, 5), ("A", key, 6)]), now=dt.datetime(2025, 2, 2), propagate=False)
+        write(self, df)
 
-    monkeypatch.setattr(KeyedTable, "_write_base", slow)
-    try:
+    with monkeypatch.context() as m:
+        m.setattr(MonthTable, "replace_months", slow)
         store.compact()
+    for _ in range(2):
+        store.propagate()
         assert sorted((r.symbol, r.open_price) for r in store.latest().collect()) == [("A", 6.0), ("B", 5.0)]
         store.compact()
-        assert sorted((r.symbol, r.open_price) for r in store.latest().collect()) == [("A", 6.0), ("B", 5.0)]
-    finally:
-        spark.conf.unset("test.appended")
 
 
 def test_old_files_are_loaded_after_new_ones(spark, workdir):
@@ -406,6 +408,7 @@ def test_other_messages_go_to_the_rejects(spark, workdir):
     with pytest.raises(Exception):
         start_message_ingest(stream, store, f"{workdir}/c0", available_now=True).awaitTermination()
     start_message_ingest(stream, store, f"{workdir}/c1", available_now=True, reject_path=f"{workdir}/rejects").awaitTermination()
+    store.propagate()
     assert store.latest().count() == 1 and store.compact() == [197001]
     assert [(r.body, r.reason) for r in spark.read.parquet(f"{workdir}/rejects").collect()] == [('{"result":null,"id":1}', "no candle message")]
 
@@ -431,3 +434,202 @@ def test_upsert_takes_one_row_a_key(spark, workdir):
     twice = candles_df(spark, [("A", key, 7), ("A", key, 7)]).selectExpr("*", "202501 AS open_month")
     store.upsert(twice)
     assert [r.open_price for r in store.read_rollup().collect()] == [7.0]
+
+
+class _DiesOnce(list):
+    """A report list whose first use ends the batch after its rows are written."""
+
+    def __init__(self):
+        super().__init__()
+        self.dead = False
+
+    def append(self, item):
+        if not self.dead:
+            self.dead = True
+            raise RuntimeError("killed between the write and the commit")
+        super().append(item)
+
+
+def test_a_crash_between_write_and_commit_gives_each_row_once(spark, workdir):
+    land = f"{workdir}/landing"
+    _write(f"{land}/a.parquet", _typed_table(F3_ROWS))
+    _write(f"{land}/b.parquet", _typed_table(F3_ROWS, "QZAUSD"))
+    store = CandleStore(spark, f"{workdir}/tables")
+    reports = _DiesOnce()
+    with pytest.raises(Exception, match="killed"):
+        run_once(spark, land, store, f"{workdir}/ckpt", reports=reports)
+    assert store.history().count() == 6  # written, not committed
+    run_once(spark, land, store, f"{workdir}/ckpt", reports=reports)
+    assert store.history().count() == 6 and store.latest().count() == 6 and len(store.batches()) == 1
+    # a fresh checkpoint is a stream of its own: its loads stand beside
+    run_once(spark, land, store, f"{workdir}/ckpt2")
+    assert store.history().count() == 12 and store.latest().count() == 6
+
+
+def test_a_replay_that_holds_less_leaves_nothing_stale(spark, workdir):
+    land = f"{workdir}/landing"
+    _write(f"{land}/a.parquet", _typed_table(F3_ROWS))
+    other = [("2025-03-01 10:00:00", *F3_ROWS[0][1:])]
+    march = _write(f"{land}/b.parquet", _typed_table(other, "QZAUSD"))
+    store = CandleStore(spark, f"{workdir}/tables")
+    with pytest.raises(Exception, match="killed"):
+        run_once(spark, land, store, f"{workdir}/ckpt", reports=_DiesOnce())
+    with open(march, "wb") as f:
+        f.write(b"broken meanwhile")
+    with pytest.raises(Exception):
+        run_once(spark, land, store, f"{workdir}/ckpt")
+    assert {r.symbol for r in store.history().collect()} == {"LUMUSD"}
+
+
+def test_propagation_killed_between_the_two_writes(spark, workdir, monkeypatch):
+    from conftest import candles_df
+    from wickline.plans.months import MonthTable
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    day = dt.datetime(2025, 1, 15, 10)
+    append = MonthTable.append
+    for place in ("before", "after"):
+
+        def killed(self, rows, place=place):
+            if place == "after":
+                append(self, rows)
+            raise RuntimeError("killed")
+
+        with monkeypatch.context() as m:
+            m.setattr(MonthTable, "append", killed)
+            with pytest.raises(Exception, match="killed"):
+                store.append(candles_df(spark, [(place, day, 1), (place, day + dt.timedelta(minutes=1), 2)]))
+        store.propagate()
+        assert {(r.symbol, r.open_price) for r in store.latest().collect()} >= {(place, 1.0), (place, 2.0)}
+    assert store.latest().count() == store.history().count() == 4
+    store.compact()
+    assert store.latest_rows().count() == 4
+
+
+def test_continuous_propagation(spark, workdir):
+    from conftest import candles_df
+    from wickline.streaming.propagate import start_propagation
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    assert start_propagation(store) is None
+    store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 15, 10), 1)]), propagate=False)
+    q = start_propagation(store, poll_seconds=1, max_files=1)
+    try:
+        q.processAllAvailable()
+        store.append(candles_df(spark, [("B", dt.datetime(2025, 1, 15, 10), 1)]), propagate=False)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert store.latest().count() == 2
+
+
+def test_a_lost_month_comes_back_from_the_history(spark, workdir):
+    import shutil
+
+    from conftest import candles_df
+
+    store = CandleStore(spark, f"{workdir}/tables")
+    key, other = dt.datetime(2025, 1, 15, 10), dt.datetime(2025, 2, 15, 10)
+    store.append(candles_df(spark, [("A", key, 1), ("A", other, 2)]), now=dt.datetime(2025, 3, 1))
+    store.append(candles_df(spark, [("A", key, 3)]), now=dt.datetime(2025, 3, 2))
+    shutil.move(f"{store.latest_path}/open_month=202501", f"{workdir}/gone")
+    assert store.rebuild_latest() == [202501] and store.rebuild_latest() == []
+    assert sorted(r.open_price for r in store.latest().collect()) == [2.0, 3.0]
+
+
+def _jobs(spark, run):
+    """Jobs that ``run`` starts."""
+    group = f"count-{id(run)}"
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_backfill_runs_as_many_jobs_for_many_files(spark, workdir):
+    from wickline.streaming.ingest import backfill
+
+    counts = []
+    for n in (3, 60):
+        for i in range(n):
+            _write(f"{workdir}/land{n}/s{i}/f.parquet", _typed_table(F3_ROWS, f"S{i}"))
+        store = CandleStore(spark, f"{workdir}/tables{n}")
+        store.propagate = lambda: None
+        counts.append(_jobs(spark, lambda: backfill(spark, f"{workdir}/land{n}", store)))  # noqa: B023
+        assert store.history().count() == 3 * n
+    # Spark lists more than 32 folders by a job of its own
+    assert counts[1] <= counts[0] + 2
+
+
+def test_footers_of_every_kind(spark, workdir):
+    from wickline.sources.footers import FOOTERS, listed_names, names_of, read_footers, resolved
+
+    land = f"{workdir}/with space+plus/land"
+    _write(f"{land}/good.parquet", _typed_table(F3_ROWS))
+    _write(f"{land}/extra.parquet", _typed_table(F3_ROWS).append_column("more", pa.array([1, 2, 3])))
+    _write(f"{land}/missing.parquet", _typed_table(F3_ROWS).drop_columns(["volume"]))
+    _write(f"{land}/typed.parquet", _typed_table(F3_ROWS).set_column(6, "volume", pa.array([True, False, True])))
+    _write(f"{land}/listed.parquet", _typed_table(F3_ROWS).set_column(6, "volume", pa.array([[1.0], [], [2.0]])))
+    with open(f"{land}/broken.parquet", "wb") as f:
+        f.write(b"this is not valid parquet data")
+    found = spark.createDataFrame(read_footers(listed_names(spark, land)).collect(), FOOTERS)
+    got = {os.path.basename(r.path): r for r in resolved(spark, found).collect()}
+    assert len(got) == 6 and got["good.parquet"].error is None and (got["good.parquet"].rows, got["good.parquet"].row_groups) == (3, 1)
+    assert "unknown=['more']" in got["extra.parquet"].error and "missing=['volume']" in got["missing.parquet"].error
+    assert "volume:boolean" in got["typed.parquet"].error and "volume other" in got["listed.parquet"].error
+    assert got["broken.parquet"].error.startswith("Arrow") and got["broken.parquet"].rows is None
+    lost = spark.createDataFrame(read_footers(names_of(spark, [f"{land}/gone.parquet"])).collect(), FOOTERS)
+    assert [(r.error, r.rows) for r in resolved(spark, lost).collect()] == [("file not found", None)]
+
+
+def test_footers_in_a_store_that_tasks_do_not_reach(spark, workdir, monkeypatch):
+    from wickline.sources import footers as S
+
+    _write(f"{workdir}/land/good.parquet", _typed_table(F3_ROWS))
+    with open(f"{workdir}/land/broken.parquet", "wb") as f:
+        f.write(b"this is not valid parquet data")
+    found = [(f"file:{workdir}/land/{n}.parquet", None, None, None, S._UNREACHED) for n in ("good", "broken")]
+    got = {os.path.basename(r.path): r for r in S.resolved(spark, spark.createDataFrame(found, S.FOOTERS)).collect()}
+    assert (got["good.parquet"].rows, got["good.parquet"].error) == (3, None) and got["broken.parquet"].error.startswith("Arrow")
+
+
+def test_files_at_fault_are_found_in_one_scan(spark, workdir, monkeypatch):
+    from wickline.streaming import ingest
+
+    land = f"{workdir}/land"
+    paths = [_write(f"{land}/g{i}.parquet", _typed_table(F3_ROWS, f"G{i}")) for i in range(4)]
+    paths += [_break_pages(_write(f"{land}/p{i} x+y.parquet", _typed_table(F3_ROWS, "P"))) for i in range(3)]
+    text = _typed_table(F3_ROWS).drop_columns(["created_at"]).set_column(2, "open_price", pa.array(["61.5", "abc", None]))
+    paths.append(_write(f"{land}/text.parquet", text))
+    scans = []
+    read = ingest._read_shapes
+    monkeypatch.setattr(ingest, "_read_shapes", lambda *a, **k: scans.append(k.get("tolerant", False)) or read(*a, **k))
+    store = CandleStore(spark, f"{workdir}/tables")
+    result = load_files(spark, paths, store)
+    assert scans == [False, True, False]  # the load, the reconciliation, the load of the others
+    report = {os.path.basename(r[0]): r for r in result.report}
+    assert [report[f"g{i}.parquet"][1:] for i in range(4)] == [("loaded", 3, None)] * 4
+    assert all(report[f"p{i} x+y.parquet"][3] == "0 of 3 rows can be read" for i in range(3))
+    assert report["text.parquet"][3].startswith("2 rows with NULL or invalid")
+    assert store.history().count() == 12 and result.health["rows"] == 12 and result.health["bad_time_order"] == 0
+
+
+def test_an_empty_landing_write_leaves_other_runs_alone(spark, workdir, monkeypatch):
+    from wickline.sources import landing
+
+    base = f"{workdir}/landing"
+    page = '[[1612345680000,"7.3","7.9","7.1","7.4","1203.5",1612345739999,"8845.7",57,"640.2","4711.9","0"]]'
+    full = parse_kline_pages(spark.createDataFrame([("QZAUSDT", page)], "symbol string, payload string"))
+    empty = parse_kline_pages(spark.createDataFrame([("QZAUSDT", "[]")], "symbol string, payload string"))
+
+    def stamp(_):  # another run lands after this one has looked at the folder
+        monkeypatch.undo()
+        write_landing(full, base, dt.datetime(2025, 1, 1))
+        return "20250102000000000000"
+
+    monkeypatch.setattr(landing, "_run_stamp", stamp)
+    assert write_landing(empty, base) is None
+    assert read_landing(spark, base).count() == 1

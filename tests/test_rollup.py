@@ -140,53 +140,48 @@ def test_store_slice_and_monthly_rebuild(spark, workdir):
     assert store.latest_rows().count() == 21
 
 
-def test_clean_months_skip_dedup_until_appended(spark, workdir):
+def test_compaction_is_by_month_and_keeps_the_latest(spark, workdir):
     store = CandleStore(spark, workdir)
     jan = [("A", dt.datetime(2025, 1, 31, 23, m), m) for m in range(0, 5)]
     feb = [("A", dt.datetime(2025, 2, 1, 0, m), m) for m in range(0, 5)]
     store.append(candles_df(spark, jan + feb), now=dt.datetime(2025, 2, 2))
     store.append(candles_df(spark, jan + feb), now=dt.datetime(2025, 2, 3))
     assert store.latest().count() == 10 and store.latest_rows().count() == 20
-    store.compact()
-    assert store.clean_months() == [202501, 202502]
-    plan = store.latest()._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and store.latest().count() == 10
+    assert store.compact([202502, 209901]) == [202502]
+    assert store.latest_rows([202502]).count() == 5 and store.latest_rows([202501]).count() == 10
     store.append(candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 0), 42)]), now=dt.datetime(2025, 2, 4))
-    assert store.clean_months() == [202501]
-    assert store.latest_table.compact() == [202502]  # only the dirty month is rewritten
-    assert store.clean_months() == [202501, 202502]
+    assert store.compact() == [202501, 202502] and store.latest_rows().count() == 10
     store.append(candles_df(spark, [("A", dt.datetime(2025, 2, 1, 0, 1), 43)]), now=dt.datetime(2025, 2, 5))
     got = {r.open_time: r.open_price for r in store.latest().collect()}
     assert len(got) == 10 and got[dt.datetime(2025, 2, 1, 0, 0)] == 42.0 and got[dt.datetime(2025, 2, 1, 0, 1)] == 43.0
-    assert "Window" in store.latest()._jdf.queryExecution().executedPlan().toString()
 
 
-def test_incremental_runs_append_and_compact(spark, workdir):
+def test_incremental_runs_upsert_the_months_after_the_high_water(spark, workdir):
     store = CandleStore(spark, workdir)
-    store.append(candles_df(spark, LOAD1), now=dt.datetime(2025, 1, 15, 11))
+    store.append(candles_df(spark, LOAD1 + [("A", dt.datetime(2024, 12, 1, 0, 0), 5)]), now=dt.datetime(2025, 1, 15, 11))
     store.refresh_rollup("5 minutes")
     table = store.rollup_table("5 minutes")
-    assert table.clean_months() == [202501]
     store.append(candles_df(spark, LOAD2), now=dt.datetime(2025, 1, 15, 12))
     out = store.refresh_rollup("5 minutes")
     assert out["mode"] == "incremental" and out["months"] == [202501]
-    assert table.clean_months() == [] and table.rows().count() == 4  # old A@10:05 kept until compaction
-    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
-    assert store.compact_rollup("5 minutes") == [202501]
-    assert table.rows().count() == 3 and table.clean_months() == [202501]
-    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
+    want = [("A", "00:00", 5.0), ("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
+    assert table.rows().count() == 4 and _values(store.read_rollup()) == want
+    assert "Window" not in store.read_rollup()._jdf.queryExecution().executedPlan().toString()
     # no new rows: the run still re-rolls the last bucket (rows after its
     # start are after the high water), with the same values
     assert store.refresh_rollup("5 minutes")["months"] == [202501]
-    assert _values(store.read_rollup()) == [("A", "10:00", 4.0), ("A", "10:05", 8.0), ("B", "10:05", 6.0)]
-    # the rewrite form gives the same table
-    store2 = CandleStore(spark, workdir + "/b")
-    store2.append(candles_df(spark, LOAD1), now=dt.datetime(2025, 1, 15, 11))
-    store2.refresh_rollup("5 minutes")
-    store2.append(candles_df(spark, LOAD2), now=dt.datetime(2025, 1, 15, 12))
-    assert store2.refresh_rollup("5 minutes", rewrite=True)["mode"] == "rewrite"
-    assert store2.rollup_table("5 minutes").rows().count() == 3
-    assert _values(store2.read_rollup()) == _values(store.read_rollup())
+    assert _values(store.read_rollup()) == want
+
+
+def test_upsert_is_one_exchange(spark):
+    from wickline.operators.dedup import upsert
+
+    t = candles_df(spark, [("A", minute(10, m), m) for m in range(9)])
+    plan = upsert(t, candles_df(spark, [("A", minute(10, 3), 33), ("B", minute(10, 0), 1)]))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Join" not in text
+    got = {(r.symbol, r.open_time.minute): r.open_price for r in plan.collect()}
+    assert len(got) == 10 and got["A", 3] == 33.0 and got["B", 0] == 1.0 and got["A", 4] == 4.0
 
 
 def test_week_rebuild_replaces_whole_table(spark, workdir):
@@ -200,22 +195,9 @@ def test_week_rebuild_replaces_whole_table(spark, workdir):
 
 
 def test_rewrite_partitions_follow_bytes():
-    from wickline.plans.keyed import TARGET_FILE_BYTES, partitions_for
+    from wickline.plans.months import TARGET_FILE_BYTES, partitions_for
 
     assert partitions_for(0) == 1
     assert partitions_for(TARGET_FILE_BYTES) == 1
     assert partitions_for(TARGET_FILE_BYTES + 1) == 2
     assert partitions_for(8 * 1024**4) == 32768  # an 8 TB month -> 256 MB files
-
-
-def test_small_delta_read_broadcasts_keys_over_the_base(spark, workdir):
-    store = CandleStore(spark, workdir)
-    rows = [("A", dt.datetime(2025, 1, 1, 0, 0) + dt.timedelta(minutes=m), m) for m in range(0, 500)]
-    store.append(candles_df(spark, rows), now=dt.datetime(2025, 1, 2))
-    store.compact()
-    store.append(candles_df(spark, [("A", dt.datetime(2025, 1, 1, 0, 3), 999)]), now=dt.datetime(2025, 1, 3))
-    view = store.latest()
-    plan = view._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    got = {r.open_time.minute + 60 * r.open_time.hour: r.open_price for r in view.collect()}
-    assert len(got) == 500 and got[3] == 999.0 and got[4] == 4.0

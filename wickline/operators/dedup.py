@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from wickline.schemas import KEY, LOAD_SEQ, VERSION
 
 _RN = "__rn"
+_ORIGIN = "__origin"
 
 
 def _order(version: str | None, seq: str | None, df: DataFrame) -> list[Column]:
@@ -49,11 +50,9 @@ def latest_by_key(
 def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     """Rows of ``new`` replace rows of ``target`` with the same key; others are kept.
 
-    ``new`` is expected to be unique by key (a rollup or a deduplicated batch).
-    Spark plans the anti join from the sizes it knows: it broadcasts the keys
-    of ``new`` where they are under ``spark.sql.autoBroadcastJoinThreshold``
-    (at run time: ``spark.sql.adaptive.autoBroadcastJoinThreshold``) and
-    shuffles both sides on the key otherwise.
+    Both sides are expected to be unique by key.  Where a row comes from is its
+    version, so this is the latest row per key of both together: one shuffle by
+    key, whatever the sizes, and no join.
     """
-    kept = target.join(new.select(*keys), on=list(keys), how="left_anti")
-    return kept.unionByName(new.select(*target.columns))
+    tagged = target.withColumn(_ORIGIN, F.lit(0)).unionByName(new.select(*target.columns).withColumn(_ORIGIN, F.lit(1)))
+    return latest_by_key(tagged, keys, _ORIGIN, None).drop(_ORIGIN)

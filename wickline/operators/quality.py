@@ -39,6 +39,17 @@ def check_candles(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def health_metrics(columns: Sequence[str], time_col: str = "open_time") -> list[Column]:
+    """Aggregates to observe while candles are written (``DataFrame.observe``):
+    rows, first and last time, and violations per rule of :func:`candle_rules`
+    as far as ``columns`` have them.  No pass of its own, no distinct counts
+    (observed metrics cannot hold them; see :func:`table_health`)."""
+    out = [F.count(F.lit(1)).alias("rows"), F.min(time_col).alias("first_open"), F.max(time_col).alias("last_open")]
+    if set(CANDLE_COLUMNS) <= set(columns):
+        out += [F.count_if(~c).alias(f"bad_{name}") for name, c in candle_rules().items()]
+    return out
+
+
 def check_slice(
     df: DataFrame,
     start: dt.datetime | None = None,

@@ -54,31 +54,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def touch_dir(spark: SparkSession, path: str) -> None:
+def delete_if_empty(spark: SparkSession, path: str) -> bool:
+    """Remove a folder that holds nothing; the file system refuses any other."""
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create or replace a small text file."""
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
     try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+        return bool(fs.delete(p, False))
+    except Exception:  # noqa: BLE001 - not empty
+        return False
 
 
 def size_bytes(spark: SparkSession, path: str) -> int:
@@ -87,30 +69,3 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
-
-
-def file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(visible data files, bytes) under a folder."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return 0, 0
-    summary = fs.getContentSummary(p)
-    return int(summary.getFileCount()), int(summary.getLength())
-
-
-def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders matching a glob pattern, in one listing call."""
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p)
-    if found is None:
-        return []
-    return [st.getPath().toString() for st in found if st.isDirectory()]
-
-
-def glob_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a glob pattern, in one listing call."""
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p)
-    if found is None:
-        return []
-    return [st.getPath().toString() for st in found if st.isFile()]

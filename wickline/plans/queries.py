@@ -149,17 +149,16 @@ def q_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DED-4 twice on a stored table: each side is computed once."""
+    """DED-4 twice on a stored table: the second time changes nothing."""
     candles = event_candles(spark, sf_dir)
     with _workspace(spark, "upsert") as work:
-        store = CandleStore(spark, f"{work}/tables")
-        store.append(candles.filter(F.col("open_time") < as_ntz(UPSERT_TARGET_BEFORE)), order_by="created_at", given_created_at=True)
-        store.refresh_rollup("5 minutes")
-        new = rollup_last(candles.filter(F.col("open_time") >= as_ntz(UPSERT_NEW_FROM)))
-        new = new.withColumn(MONTH, month_key("open_time"))
-        store.upsert(new)
-        store.upsert(new)
-        return _kept(store.read_rollup("5 minutes").drop(MONTH), work)
+        table = CandleStore(spark, f"{work}/tables").rollup_table("5 minutes")
+        rolled = lambda rows: rollup_last(rows).withColumn(MONTH, month_key("open_time"))
+        table.replace_all(rolled(candles.filter(F.col("open_time") < as_ntz(UPSERT_TARGET_BEFORE))))
+        new = candles.filter(F.col("open_time") >= as_ntz(UPSERT_NEW_FROM))
+        months = table.upsert(rolled(new), [r[0] for r in new.select(month_key("open_time")).distinct().collect()])
+        table.upsert(rolled(new), months)
+        return _kept(table.rows().drop(MONTH), work)
 
 
 def q_slice_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,6 +463,7 @@ def q_pipeline_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = CandleStore(spark, f"{work}/tables")
         stream = spark.readStream.schema("value string").text(f"{work}/in").withColumnRenamed("value", "body")
         start_message_ingest(stream, store, f"{work}/checkpoint", kind="kline", available_now=True).awaitTermination()
+        store.propagate()
         return _kept(store.latest().drop("created_at", MONTH), work)
 
 

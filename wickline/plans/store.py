@@ -1,18 +1,18 @@
 """Candle tables on a file system.
 
-Layout under one root folder, every table partitioned by ``open_month``
-(yyyymm of open_time) and clustered by (symbol, open_time) inside files:
-
-* ``append_only/`` - every loaded row with its load stamp and load order;
-  may hold duplicates (retries, revisions).  ``optimize_history`` merges
-  its small files; rows are never changed or dropped.
-* ``latest/``      - the deduplicated table.  Loads append to each month's
-  delta layer; reads keep the latest version per (symbol, open_time), and
-  ``compact`` folds deltas into the month's base (see ``plans.keyed``).
-* ``rollup_<width>/`` - incremental "last candle" rollups.  Each run appends
-  only its new rows, stamped with the run; reads keep the newest run's row
-  per (symbol, open_time), which is the upsert by unique key.  A full
-  rebuild or ``compact_rollup`` leaves months physically unique.
+Layout under one root folder:
+
+* ``append_only/batch=<id>/open_month=M/`` - the history: every loaded row with
+  its load stamp and load order; may hold duplicates (retries, revisions).
+  Each load owns one batch folder, which it overwrites: a load that is run
+  again replaces itself.  ``optimize_history`` merges small batches; rows are
+  never changed or dropped.
+* ``latest/open_month=M/`` - the deduplicated table.  A stream of its own, whose
+  source is the history folder, appends every row of the history to it
+  (``streaming.propagate``); reads keep the latest version per (symbol,
+  open_time), and ``compact`` rewrites months with one row per key.
+* ``rollup_<width>/open_month=M/`` - incremental "last candle" rollups, one row
+  per key: each run upserts its new rows into the months they touch.
 """
 
 from __future__ import annotations
@@ -23,19 +23,23 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import default_created_at, stamp
 from wickline.functions.time import EPOCH, month_key, parse_width, to_epoch_micros, width_name, width_seconds
+from wickline.operators.quality import health_metrics
 from wickline.operators.rollup import after_high_water, rollup_last
 from wickline.operators.slices import slice_klines
-from wickline.plans.keyed import DELTA, LAYER, KeyedTable, clustered, months_of
+from wickline.plans import fs
+from wickline.plans.months import TARGET_FILE_BYTES, MonthTable, clustered, partitions_for
 from wickline.schemas import CANDLE, CANDLE_COLUMNS, KEY, LOAD_SEQ, MONTH, VERSION
 
-RUN_SEQ = "run_seq"
+BATCH = "batch"
+# Batch folders by who wrote them; the propagation stream reads the first two.
+LOADED, STREAMED, MERGED = "load", "stream", "merged"
 
-__all__ = ["CandleStore", "clustered", "newest_load_first", "RUN_SEQ"]
+__all__ = ["CandleStore", "clustered", "newest_load_first"]
 
 
 def _slug(width: str) -> str:
@@ -70,15 +74,15 @@ class CandleStore:
         return f"{self.root.rstrip('/')}/rollup_{_slug(width)}"
 
     @property
-    def latest_table(self) -> KeyedTable:
-        return KeyedTable(self.spark, self.latest_path, self.key, (self.columns[-1], LOAD_SEQ), self.columns, self.partitions)
+    def latest_table(self) -> MonthTable:
+        return MonthTable(self.spark, self.latest_path, self.key, self.columns, (self.columns[-1], LOAD_SEQ), self.partitions)
 
-    @property
-    def history_table(self) -> KeyedTable:
-        return KeyedTable(self.spark, self.append_only_path, self.key, (), self.columns, self.partitions, layered=False)
+    def rollup_table(self, width: str) -> MonthTable:
+        return MonthTable(self.spark, self.rollup_path(width), KEY, CANDLE_COLUMNS, (), self.partitions)
 
-    def rollup_table(self, width: str) -> KeyedTable:
-        return KeyedTable(self.spark, self.rollup_path(width), KEY, (RUN_SEQ,), CANDLE_COLUMNS, self.partitions)
+    @property
+    def propagation_checkpoint(self) -> str:
+        return f"{self.root.rstrip('/')}/_propagation"
 
     # ------------------------------------------------------------ loading
     def prepare(
@@ -131,15 +135,27 @@ class CandleStore:
             stamped = stamped.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(f"NULL in a key column of {list(self.key)}")).cast("boolean")))
         return stamped.withColumn(MONTH, month_key(self.time_col))
 
-    def stage(self, rows: DataFrame) -> DataFrame:
-        """Prepared rows arranged for an append (rebalanced, sorted by key)."""
-        return clustered(rows, None, self.key, rebalance=True, layer=DELTA)
+    def write_batch(self, rows: DataFrame, batch: str) -> dict:
+        """SRC-12: make prepared rows the history's batch folder ``batch``.
 
-    def append_staged(self, staged: DataFrame) -> None:
-        """DED-3: write staged rows to the latest table's delta layer and to the
-        history (pass a persisted DataFrame from ``stage``)."""
-        self.latest_table.append(staged)
-        self.history_table.append(staged.drop(LAYER))
+        The folder is overwritten, so writing a batch again (a replay after a
+        failure) replaces what an earlier attempt left, however far it got.
+        Returns the health of the rows, observed while they were written
+        (``operators.quality.health_metrics``); no second pass counts them.
+        """
+        path = f"{self.append_only_path}/{BATCH}={batch}"
+        watched = Observation()
+        staged = clustered(rows, None, self.key, rebalance=True)
+        staged = staged.observe(watched, *health_metrics(staged.columns, self.time_col))
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+        writer.partitionBy(MONTH).parquet(path)
+        health = watched.get
+        if not health["rows"]:
+            fs.delete(self.spark, path)  # no rows, no folder
+        return health
+
+    def drop_batch(self, batch: str) -> None:
+        fs.delete(self.spark, f"{self.append_only_path}/{BATCH}={batch}")
 
     def append(
         self,
@@ -148,42 +164,65 @@ class CandleStore:
         prepared: bool = False,
         order_by: str | None = None,
         given_created_at: bool = False,
-    ) -> None:
-        """SRC-12 + DED-3: append rows to the history and to the latest table.
+        propagate: bool = True,
+    ) -> dict:
+        """SRC-12 + DED-3: append rows to the history as a batch of their own,
+        then let the propagation stream carry what is new to the latest table
+        (``propagate=False`` leaves that to its next run).
 
-        Both writes are plain appends partitioned by month, from one cached
-        copy of the staged rows: one small shuffle, no shuffle on the key and
-        no rewrite of existing files.  An empty input writes nothing.
+        An empty input writes nothing.  Returns the observed health of the rows.
         """
         rows = df if prepared else self.prepare(df, now, order_by=order_by, given_created_at=given_created_at)
-        staged = self.stage(rows).persist()
-        try:
-            if staged.isEmpty():
-                return
-            self.append_staged(staged)
-        finally:
-            staged.unpersist()
+        health = self.write_batch(rows, f"{LOADED}-{uuid.uuid4().hex}")
+        if propagate and health["rows"]:
+            self.propagate()
+        return health
+
+    def propagate(self) -> None:
+        """DED-3: carry every history row not yet carried to the latest table."""
+        from wickline.streaming.propagate import start_propagation
+
+        query = start_propagation(self, available_now=True)
+        if query is not None:
+            query.awaitTermination()
+
+    def rebuild_latest(self, months: Iterable[int] | None = None) -> list[int]:
+        """Make months of the latest table anew from the history, one job
+        each; without ``months`` those that the history has and the table
+        lacks (a rewrite that died in its last step)."""
+        history = self.history()
+        if history is None:
+            return []
+        listed = {int(v) for b in self.batches() for v in fs.partition_values(self.spark, f"{self.append_only_path}/{BATCH}={b}", MONTH)}
+        wanted = sorted(listed - set(self.latest_table.months()) if months is None else listed & {int(m) for m in months})
+        for m in wanted:
+            own = history.filter(F.col(MONTH) == m)
+            self.latest_table.replace_months(self.latest_table.latest(own))
+        return wanted
 
     # ------------------------------------------------------------ reading
+    def batches(self) -> list[str]:
+        return fs.partition_values(self.spark, self.append_only_path, BATCH)
+
     def history(self) -> DataFrame | None:
         """The append-only table, duplicates included."""
-        return self.history_table.rows()
+        if not fs.has_data(self.spark, self.append_only_path):
+            return None
+        return self.spark.read.parquet(self.append_only_path).drop(BATCH)
 
     def latest_rows(self, months: Iterable[int] | None = None) -> DataFrame | None:
         """Raw rows of the latest table (may hold superseded versions)."""
         return self.latest_table.rows(months)
 
     def latest(self, months: Iterable[int] | None = None) -> DataFrame | None:
-        """DED-1 view: one row per key, the latest load winning; compacted
-        months are read without the deduplication shuffle."""
+        """DED-1 view: one row per key, the latest load winning."""
         return self.latest_table.view(months)
 
-    def clean_months(self) -> list[int]:
-        return self.latest_table.clean_months()
-
-    def compact(self, months: Iterable[int] | None = None, months_per_job: int = 1) -> list[int]:
-        """DED-2: rewrite months of the latest table with one row per key."""
-        return self.latest_table.compact(months, months_per_job)
+    def compact(self, months: Iterable[int] | None = None) -> list[int]:
+        """DED-2: rewrite months of the latest table (all, unless named) with
+        one row per key, a month a job.  Loads may go on beside it, since they
+        only write the history; the propagation stream may not."""
+        return self.latest_table.compact(months)
 
     def register_views(self, prefix: str = "candles", widths: Sequence[str] = ()) -> dict[str, str]:
         """Temp views for SQL users: ``{prefix}_latest`` (one row per key),
@@ -200,11 +239,35 @@ class CandleStore:
                 made[name] = name
         return made
 
-    def optimize_history(self, months: Iterable[int] | None = None) -> list[int]:
-        """Merge the small files appends leave in the append-only table (every
-        row kept, duplicates included), one month per job.  Without ``months``
-        only months whose files are small on average are rewritten."""
-        return self.history_table.rewrite_files(months)
+    def optimize_history(self, min_batches: int = 8) -> list[str]:
+        """Merge the small batches that loads leave into one, every row kept,
+        duplicates included; returns the batches merged.
+
+        Everything is propagated first, so the stream never misses a merged
+        batch.  A stream's newest batch stays, since that is the one a restart
+        may write again.  A failure between the write and the last step leaves
+        rows twice in the history, as a repeated load does.
+        """
+        listed = self.batches()
+        self.propagate()
+        newest: dict[str, int] = {}
+        for b in listed:
+            if b.startswith(f"{STREAMED}-"):
+                stream, number = b.rsplit("-", 1)
+                newest[stream] = max(newest.get(stream, -1), int(number))
+        kept = {f"{stream}-{number}" for stream, number in newest.items()}
+        size = {b: fs.size_bytes(self.spark, f"{self.append_only_path}/{BATCH}={b}") for b in listed}
+        small = [b for b in listed if b not in kept and size[b] < TARGET_FILE_BYTES / 4]
+        if len(small) < min_batches:
+            return []
+        paths = [f"{self.append_only_path}/{BATCH}={b}" for b in small]
+        rows = self.spark.read.option("basePath", self.append_only_path).parquet(*paths).drop(BATCH)
+        parts = self.partitions or partitions_for(sum(size[b] for b in small))
+        merged = clustered(rows, parts, self.key).write.mode("errorifexists").option("compression", "zstd").partitionBy(MONTH)
+        merged.parquet(f"{self.append_only_path}/{BATCH}={MERGED}-{uuid.uuid4().hex}")
+        for b in small:
+            self.drop_batch(b)
+        return small
 
     def slice(
         self,
@@ -232,15 +295,14 @@ class CandleStore:
 
     # ------------------------------------------------------------ rollups
     def read_rollup(self, width: str = "5 minutes") -> DataFrame | None:
-        """The rollup table: one row per (symbol, open_time), newest run winning."""
+        """The rollup table: one row per (symbol, open_time)."""
         return self.rollup_table(width).view()
 
     def rollup_high_water(self, width: str = "5 minutes") -> dt.datetime | None:
         """max(open_time) of a rollup table, reading only its newest month.
 
         The month list comes from the folder listing; only the newest
-        non-empty month is scanned (one column).  Superseded rows cannot
-        change a maximum, so no deduplication is needed.
+        non-empty month is scanned (one column).
         """
         table = self.rollup_table(width)
         for m in reversed(table.months()):
@@ -249,79 +311,43 @@ class CandleStore:
                 return value
         return None
 
-    def refresh_rollup(self, width: str = "5 minutes", full_refresh: bool = False, rewrite: bool = False) -> dict:
+    def refresh_rollup(self, width: str = "5 minutes", full_refresh: bool = False) -> dict:
         """AGG-3 + FLT-3 + DED-4: the incremental rollup model.
 
-        First run (or ``full_refresh``): roll up everything, month by month.
-        Later runs: base rows after the target's high water are rolled up
-        (one shuffle: dedup and bucket in one window) and upserted by key.
-        By default the upsert appends the new rows with this run's sequence
-        (reads keep the newest run per key), so a run costs what its new rows
-        cost; ``rewrite=True`` instead rewrites the touched months.  The high
-        water is global and strict, so late or revised rows at or before it
-        wait for a full refresh.
+        First run (or ``full_refresh``): roll up everything in one job.
+        Later runs: base rows after the target's high water are rolled up (one
+        shuffle: dedup and bucket in one window) and upserted by key into the
+        months at or after it.  The high water is global and strict, so late
+        or revised rows at or before it wait for a full refresh.
         """
         table = self.rollup_table(width)
         if not self.latest_table.exists():
             return {"mode": "empty", "high_water": None, "months": []}
-        run = int(time.time() * 1000)
         if full_refresh or not table.exists():
-            return {"mode": "full", "high_water": None, "months": self._rebuild_rollup(width, run)}
+            table.replace_all(self._rolled(self.latest_rows(), width))
+            return {"mode": "full", "high_water": None, "months": table.months()}
         hw = self.rollup_high_water(width) or EPOCH
-        # only months at or after the high water's month are listed and read
+        # only months at or after the high water's month are listed and read;
+        # a wide bucket may start in the month before
         months = [m for m in self.latest_table.months() if m >= hw.year * 100 + hw.month]
-        fresh = after_high_water(self.latest_rows(months), hw)
-        new = (
-            rollup_last(fresh.drop(MONTH), width)
-            .withColumn(MONTH, month_key("open_time"))
-            .withColumn(RUN_SEQ, F.lit(run).cast("long"))
-        )
-        if rewrite:
-            new = new.persist()
-            try:
-                touched = table.upsert_rewrite(new)
-            finally:
-                new.unpersist()
-            return {"mode": "rewrite", "high_water": hw, "months": touched}
-        staged = clustered(new, None, KEY, rebalance=True, layer=DELTA).persist()
-        try:
-            touched = months_of(r[MONTH] for r in staged.select(MONTH).distinct().collect())
-            if touched:
-                table.append(staged)
-        finally:
-            staged.unpersist()
+        new = self._rolled(after_high_water(self.latest_rows(months), hw), width)
+        touched = table.upsert(new, months if self._stays_in_month(width) else None)
         return {"mode": "incremental", "high_water": hw, "months": touched}
 
-    def _rebuild_rollup(self, width: str, run: int) -> list[int]:
-        """Full rebuild.  When no bucket can cross a month boundary (widths
-        that divide a day, or one month) it runs one month per job, each
-        replacing its month; otherwise in one job."""
-        table = self.rollup_table(width)
-        months = self.latest_table.months()
-        _, unit = parse_width(width)
-        per_month = unit == "month" or (unit in ("second", "minute", "hour", "day") and 86400 % width_seconds(width) == 0)
-        groups = [[m] for m in months] if per_month else [months]
-        for group in groups:
-            out = (
-                rollup_last(self.latest_rows(group).drop(MONTH), width)
-                .withColumn(MONTH, month_key("open_time"))
-                .withColumn(RUN_SEQ, F.lit(run).cast("long"))
-            )
-            # per month: replace that month; otherwise buckets may land in
-            # other months than their rows, so the whole table is replaced
-            table.overwrite_unique(out, group if per_month else None, self.latest_table.month_bytes(group))
-        return months
-
-    def compact_rollup(self, width: str = "5 minutes", months: Iterable[int] | None = None) -> list[int]:
-        return self.rollup_table(width).compact(months)
+    @staticmethod
+    def _rolled(rows: DataFrame, width: str) -> DataFrame:
+        return rollup_last(rows.drop(MONTH), width).withColumn(MONTH, month_key("open_time"))
 
-    def upsert(self, new: DataFrame, width: str = "5 minutes") -> list[int]:
-        """DED-4 on disk by rewriting the months ``new`` touches (rows of
-        ``new`` replace rows with the same key, all others are kept)."""
-        if RUN_SEQ not in new.columns:
-            new = new.withColumn(RUN_SEQ, F.lit(int(time.time() * 1000)).cast("long"))
-        return self.rollup_table(width).upsert_rewrite(new)
+    @staticmethod
+    def _stays_in_month(width: str) -> bool:
+        """Whether every bucket of this width lies in one month."""
+        n, unit = parse_width(width)
+        return unit == "month" or (unit in ("second", "minute", "hour", "day") and 86400 % width_seconds(width) == 0)
 
+    def upsert(self, new: DataFrame, width: str = "5 minutes", months: Iterable[int] | None = None) -> list[int]:
+        """DED-4 on disk: rows of ``new`` replace rows of the rollup with the
+        same key, all others are kept; only their months are rewritten."""
+        return self.rollup_table(width).upsert(new, months)
 
 
 def newest_load_first(df: DataFrame) -> DataFrame:

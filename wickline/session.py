@@ -76,5 +76,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def workers_can_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def sf_dir() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -13,6 +13,10 @@ from wickline.plans import fs
 from wickline.schemas import LANDING, LANDING_COLUMNS, LOAD_SEQ
 
 
+# Most rows of one landing file.
+ROWS_PER_FILE = 2_000_000
+
+
 def _run_stamp(run_time: dt.datetime | None) -> str:
     run_time = run_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return run_time.strftime("%Y%m%d%H%M%S%f")
@@ -37,7 +41,7 @@ def landing_text(df: DataFrame) -> DataFrame:
 
 
 def write_landing(
-    df: DataFrame, base: str, run_time: dt.datetime | None = None, order_by: tuple[str, ...] = ()
+    df: DataFrame, base: str, run_time: dt.datetime | None = None, order_by: tuple[str, ...] = (), partitions: int | None = None
 ) -> str | None:
     """Write landing rows as zstd parquet, one folder per symbol; no rows, no files.
 
@@ -47,28 +51,36 @@ def write_landing(
     Rows stay in the files with all 13 columns.  ``order_by`` names extra
     columns of ``df`` that order rows of the same (symbol, open_time) inside
     a file (the loader lets the later row win); they are not written.
-    Returns the run folder.
+    ``partitions`` sizes the range shuffle of a large write (AQE merges range
+    partitions but never splits them); files hold at most ``ROWS_PER_FILE``
+    rows whatever its size, and where a file ends within the rows of a key the
+    next file is the later one.
+    Returns the run folder, or None where nothing was written.
     """
     landing = to_landing(df)
     assert_landing_schema(landing)
     known = fs.exists(df.sparkSession, base)
     out = f"{base.rstrip('/')}/run={_run_stamp(run_time)}"
+    ranges = ([partitions] if partitions else []) + ["symbol", "open_time"]
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDING.fields], *order_by)
     (
         rows.withColumn("pair", F.col("symbol"))
         # Range partitions split a hot symbol by time and keep a key in one
         # file; AQE merges small ones.
-        .repartitionByRange("symbol", "open_time")
+        .repartitionByRange(*ranges)
         .sortWithinPartitions("pair", "symbol", "open_time", *order_by)
         .drop(*order_by)
         .write.mode("errorifexists")
         .option("compression", "zstd")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy("pair")
         .parquet(out)
     )
     if fs.has_data(df.sparkSession, out):
         return out
-    fs.delete(df.sparkSession, out if known else base)
+    fs.delete(df.sparkSession, out)
+    if not known:
+        fs.delete_if_empty(df.sparkSession, base)  # another run may have landed there meanwhile
     return None
 
 

@@ -2,28 +2,23 @@
 message streams (STR-6).
 
 Landing files are discovered by a ``binaryFile`` stream that lists names
-only (the content column is never read).  Each micro-batch holds at most
-``max_files`` names; ``foreachBatch`` checks every file's footer, loads all
-good files in one parallel read, appends them to the candle tables, and
-raises if any file was bad.  The checkpoint commits a batch only after
-``foreachBatch`` returns, so a failed batch is retried whole on restart;
-a per-batch ledger in the checkpoint folder makes the retry append only the
-files the failed attempt did not, so each file reaches the append-only
-table once.
+only (the content column is never read).  For each micro-batch of at most
+``max_files`` names ``foreachBatch`` reads the footers in one distributed job
+(``sources.footers``) and writes the rows of all good files as one batch folder
+of the history in one more.  It raises if any file was bad.  The checkpoint
+commits a batch only after ``foreachBatch`` returns, so a failed batch is
+retried whole on restart, and the retry overwrites the batch's own folder: each
+file reaches the append-only table once, wherever an attempt died.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
-import urllib.parse
 import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,10 +26,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickline.functions.convert import stamp, type_klines
 from wickline.functions.time import epoch_ntz, month_key
-from wickline.operators.quality import assert_schema
 from wickline.plans import fs
-from wickline.plans.store import CandleStore
-from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ, MONTH
+from wickline.plans.store import LOADED, STREAMED, CandleStore
+from wickline.schemas import CANDLE_COLUMNS, LOAD_SEQ
+from wickline.session import scratch_path
+from wickline.sources.footers import FOOTERS, decoded_path, has_nanos, listed_names, names_of, norm_path, read_footers, resolved, shape_schema
 from wickline.sources.landing import with_file_sequence
 from wickline.sources.payloads import (
     kline_problem,
@@ -49,8 +45,6 @@ from wickline.sources.payloads import (
 # Files per batch and pause between batches.
 MAX_FILES_PER_BATCH = 10
 POLL_SECONDS = 5
-# Footers of a batch read at the same time.
-FOOTERS_AT_ONCE = 8
 
 BINARY_FILE_SCHEMA = T.StructType(
     [
@@ -110,21 +104,17 @@ def landing_file_stream(
     return reader.load(base).select("path", "length", "modificationTime")
 
 
-def _norm_path(p: str) -> str:
-    """``_metadata.file_path`` is a URL-encoded URI, listings give plain paths."""
-    p = urllib.parse.unquote(p)
-    if p.startswith("file:"):
-        p = "/" + p[len("file:"):].lstrip("/")
-    return p
-
-
 def _short(e: BaseException) -> str:
     return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
 
 @dataclass
 class LoadResult:
+    """``report`` has a row a file (``backfill``: the failed ones only),
+    ``health`` the metrics observed while the rows were written."""
+
     report: list[tuple[str, str, int, str | None]]
+    health: dict = field(default_factory=dict)
 
     @property
     def ok(self) -> bool:
@@ -142,53 +132,26 @@ def _nanos_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def _footer(spark: SparkSession, path: str, columns: list[str]) -> tuple[bool, T.StructType]:
-    """(nanosecond times, schema) of one file; raises for a wrong one."""
-    nanos = False
-    try:
-        schema = spark.read.parquet(path).schema
-    except AnalysisException as e:
-        if "NANOS" not in str(e):
-            raise
-        nanos = True
-        schema = _nanos_session(spark).read.parquet(path).schema
-    assert_schema(schema, columns, optional=(columns[-1],), check_types=columns == CANDLE_COLUMNS and not nanos)
-    return nanos, schema
-
-
-def _check_footers(spark: SparkSession, paths: Sequence[str], columns: list[str]):
-    """Every file's own footer: (files by shape, schemas by shape, report of the bad ones)."""
-    report: list[tuple[str, str, int, str | None]] = []
-    shapes: dict[tuple[bool, str], list[str]] = {}
-    schemas: dict[tuple[bool, str], T.StructType] = {}
-
-    def one(path: str):
-        try:
-            return _footer(spark, path, columns)
-        except Exception as e:  # noqa: BLE001 - unreadable or wrong file: report it, keep going
-            return e
-
-    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
-        found = list(pool.map(one, paths))
-    for path, got in zip(paths, found, strict=True):
-        if isinstance(got, Exception):
-            report.append((path, "failed", 0, _short(got)))
-            continue
-        key = (got[0], got[1].simpleString())
-        shapes.setdefault(key, []).append(path)
-        schemas[key] = got[1]
-    return shapes, schemas, report
-
-
-def _read_shapes(spark: SparkSession, shapes: dict, schemas: dict, columns: list[str], time_cols: list[str], load_ms: int) -> DataFrame:
-    """All files as typed rows with their load order and ``__bad`` flags."""
+def _time_columns(columns: Sequence[str], time_col: str) -> list[str]:
+    return [c for c in (time_col, "close_time", columns[-1]) if c in columns]
+
+
+def _read_shapes(
+    spark: SparkSession, shapes: dict[str, Sequence[str]], columns: Sequence[str], time_col: str, load_ms: int = 0, tolerant: bool = False
+) -> DataFrame:
+    """Files by shape (``sources.footers``) as typed rows with their load order
+    and ``__bad``: whether a required value is NULL or no number.  A file whose
+    pages cannot be read fails the scan; a ``tolerant`` one reads what it can."""
     frames = []
-    for (nanos, shape), group in shapes.items():
-        # the schema read from the footers: no second inference job
-        reader = (_nanos_session(spark) if nanos else spark).read.schema(schemas[(nanos, shape)])
-        raw = with_file_sequence(reader.parquet(*group), load_ms)
+    for shape, paths in shapes.items():
+        nanos, schema = has_nanos(shape), shape_schema(shape)
+        reader = (_nanos_session(spark) if nanos else spark).read
+        reader = reader.option("ignoreCorruptFiles", str(tolerant).lower()).option("recursiveFileLookup", "true").option("pathGlobFilter", "*")
+        # the schema read from the footers: no inference job
+        reader = reader.schema(schema) if schema is not None else reader
+        raw = with_file_sequence(reader.parquet(*paths), load_ms)
         if nanos:
-            raw = _nanos_to_ntz(raw, time_cols)
+            raw = _nanos_to_ntz(raw, _time_columns(columns, time_col))
         # the load stamp replaces any value the file carries
         frames.append(_typed(raw, columns, strict=False).drop(columns[-1]))
     rows = frames[0]
@@ -200,71 +163,105 @@ def _read_shapes(spark: SparkSession, shapes: dict, schemas: dict, columns: list
     return rows.withColumn("__bad", bad)
 
 
+def corrupt_file_report(
+    spark: SparkSession, footers: DataFrame, columns: Sequence[str] = tuple(CANDLE_COLUMNS), time_col: str = "open_time", shapes: dict[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """STR-4: which files cannot be loaded whole, by reconciliation.
+
+    One tolerant scan of all files with a good footer counts by file the rows
+    that can be read and those with a missing or invalid value; a join with the
+    rows that the footers promise names the files that come short.  No file is
+    tried by itself.  ``path``, ``rows`` (promised), ``rows_read``, ``bad_rows``
+    and ``error`` (null: whole) of every file; unreadable footers included.
+    """
+    if shapes is None:
+        grouped = footers.where("error IS NULL").groupBy("shape").agg(F.collect_list("path").alias("paths")).collect()
+        shapes = {r["shape"]: r["paths"] for r in grouped}
+    keyed = footers.withColumn("__key", norm_path(F.col("path")))
+    if not shapes:
+        return footers.select("path", "rows", F.lit(0).cast("long").alias("rows_read"), F.lit(0).cast("long").alias("bad_rows"), "error")
+    rows = _read_shapes(spark, shapes, columns, time_col, tolerant=True)
+    read = rows.groupBy(F.col(f"{LOAD_SEQ}.source").alias("source")).agg(F.count(F.lit(1)).alias("rows_read"), F.count_if("__bad").alias("bad_rows"))
+    read = read.groupBy(decoded_path(F.col("source")).alias("__key")).agg(F.sum("rows_read").alias("rows_read"), F.sum("bad_rows").alias("bad_rows"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    short = F.concat(zero("rows_read").cast("string"), F.lit(" of "), F.col("rows").cast("string"), F.lit(" rows can be read"))
+    bad = F.concat(F.col("bad_rows").cast("string"), F.lit(" rows with NULL or invalid values in required columns"))
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(zero("rows_read") < F.col("rows"), short).when(zero("bad_rows") > 0, bad)
+    return keyed.join(read, "__key", "left").select("path", "rows", zero("rows_read").alias("rows_read"), zero("bad_rows").alias("bad_rows"), error.alias("error"))
+
+
+def _write_rows(
+    spark: SparkSession, shapes: dict[str, Sequence[str]], store: CandleStore, batch: str, now: dt.datetime | None, promised: int
+) -> dict:
+    """STR-5: the rows of good files as one batch of the history, in one job.
+    A page that cannot be read or an invalid value fails the job, and then
+    nothing of it is published."""
+    load_ms = int(time.time() * 1000)
+    columns = list(store.columns)
+    rows = _read_shapes(spark, shapes, columns, store.time_col, load_ms)
+    valid = F.when(~F.col("__bad"), F.lit(True)).otherwise(F.raise_error(F.lit("NULL or invalid values in required columns")).cast("boolean"))
+    health = store.write_batch(store.prepare(rows.filter(valid).drop("__bad"), now=now, load_ms=load_ms, check_keys=False), batch)
+    if health["rows"] != promised:
+        store.drop_batch(batch)
+        raise RuntimeError(f"{health['rows']} rows read where the footers promise {promised}")
+    return health
+
+
 def load_files(
     spark: SparkSession,
-    paths: Sequence[str],
+    paths: Sequence[str] | DataFrame,
     store: CandleStore,
     now: dt.datetime | None = None,
-    all_or_nothing: bool = False,
+    batch: str | None = None,
+    propagate: bool = True,
 ) -> LoadResult:
     """STR-4 + STR-5: load a batch of landing files, isolating bad ones.
 
-    Every file's footer is checked first (DQ-2), so an unreadable file or
-    one with other columns is reported and skipped.  The good files are read
-    in one parallel scan per landing shape, typed, stamped with one load time
-    and staged once (cached).  One aggregation counts rows and NULLs per
-    file: a file with an unparsable number is reported and left out.  If the
-    scan itself fails (broken pages behind a good footer), each file is
-    tried alone and the broken ones are reported.  The rest is appended with
-    one write per table; with ``all_or_nothing`` only if no file is bad.
+    One job reads every file's footer (DQ-2), so an unreadable file or one
+    with other columns is reported and skipped.  One more job reads the good
+    files, types and stamps them with one load time and writes them as one
+    batch of the history; their health (DQ-1) is observed on the way.  Only if
+    that job fails (broken pages behind a good footer, an unparsable number)
+    :func:`corrupt_file_report` names the files at fault in one scan, and the
+    others are written.  ``batch`` names the batch folder, which is replaced.
     """
+    batch = batch or f"{LOADED}-{uuid.uuid4().hex}"
     columns = list(store.columns)
-    shapes, schemas, report = _check_footers(spark, paths, columns)
-    good = [p for group in shapes.values() for p in group]
-    if good and not (all_or_nothing and report):
+    names = paths if isinstance(paths, DataFrame) else names_of(spark, paths)
+    listed = read_footers(names, columns).collect()  # one row a file of the batch
+    if not listed:
+        return LoadResult([])
+    footers = resolved(spark, spark.createDataFrame(listed, FOOTERS), columns)
+    found = {r["path"]: r for r in footers.collect()}
+    good = {p: r for p, r in found.items() if r["error"] is None}
+    report = {p: (p, "failed", 0, r["error"]) for p, r in found.items() if r["error"] is not None}
+    health: dict = {}
+    if good:
         try:
-            report += _load_good(spark, shapes, schemas, store, now, all_or_nothing)
-        except Exception as e:  # noqa: BLE001 - a file whose pages cannot be read
-            if all_or_nothing:
+            health = _write_rows(spark, _by_shape(good), store, batch, now, sum(r["rows"] for r in good.values()))
+        except Exception:
+            broken = corrupt_file_report(spark, footers, columns, store.time_col, _by_shape(good)).where("error IS NOT NULL").collect()
+            at_fault = {r["path"]: r["error"] for r in broken if r["path"] in good}
+            if not at_fault:
                 raise
-            if len(good) == 1:
-                report.append((good[0], "failed", 0, _short(e)))
-            else:
-                for path in good:
-                    report += load_files(spark, [path], store, now).report
-    order = {p: i for i, p in enumerate(paths)}
-    report.sort(key=lambda r: order.get(r[0], 0))
-    return LoadResult(report)
-
-
-def _load_good(
-    spark: SparkSession, shapes: dict, schemas: dict, store: CandleStore, now: dt.datetime | None, all_or_nothing: bool
-) -> list[tuple[str, str, int, str | None]]:
-    """Load files with good footers; nothing is written before every page was read."""
-    load_ms = int(time.time() * 1000)
-    columns = list(store.columns)
-    time_cols = [c for c in (store.time_col, "close_time", columns[-1]) if c in columns]
-    rows = _read_shapes(spark, shapes, schemas, columns, time_cols, load_ms)
-    source = F.col(f"{LOAD_SEQ}.source")
-    staged = store.stage(store.prepare(rows, now=now, load_ms=load_ms, keep=("__bad",), check_keys=False)).persist()
-    try:
-        # one pass over the cached batch: rows and bad rows per file
-        grouped = staged.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__bad")).alias("bad")).collect()
-        stats = {_norm_path(r["source"]): (r["n"], r["bad"]) for r in grouped}
-        rejected = [r["source"] for r in grouped if r["bad"]]
-        if len(rejected) < len(grouped) and not (all_or_nothing and rejected):
-            keep = staged.filter(~source.isin(rejected)) if rejected else staged
-            store.append_staged(keep.drop("__bad"))
-    finally:
-        staged.unpersist()
-    report: list[tuple[str, str, int, str | None]] = []
-    for path in (p for group in shapes.values() for p in group):
-        n, bad = stats.get(_norm_path(path), (0, 0))
-        if bad:
-            report.append((path, "failed", 0, f"{bad} rows with NULL or invalid values in required columns"))
-        else:
-            report.append((path, "loaded", int(n), None))
-    return report
+            report |= {p: (p, "failed", 0, e) for p, e in at_fault.items()}
+            good = {p: r for p, r in good.items() if p not in at_fault}
+            if good:
+                health = _write_rows(spark, _by_shape(good), store, batch, now, sum(r["rows"] for r in good.values()))
+    if not good:
+        store.drop_batch(batch)  # an earlier attempt may have written it
+    elif propagate:
+        store.propagate()
+    report |= {p: (p, "loaded", r["rows"], None) for p, r in good.items()}
+    order = list(paths) if not isinstance(paths, DataFrame) else sorted(report)
+    return LoadResult([report[p] for p in order if p in report], health)
+
+
+def _by_shape(files: dict) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for p, r in files.items():
+        out.setdefault(r["shape"], []).append(p)
+    return out
 
 
 def _nanos_to_ntz(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -286,56 +283,53 @@ def _typed(raw: DataFrame, columns: Sequence[str], strict: bool = True) -> DataF
 
 
 def backfill(spark: SparkSession, base: str, store: CandleStore, now: dt.datetime | None = None) -> LoadResult:
-    """Load a whole landing folder in one distributed scan per landing shape.
+    """Load a whole landing folder: one job for all footers, one for all rows.
 
     Every file passes the checks of ``load_files``; both landing shapes may
     lie in one folder.  One bad file raises ``BatchLoadError`` and nothing is
-    appended.  No ledger is kept: running it again appends the files again
-    (the latest view is unaffected); the file stream is the idempotent path.
-    """
-    paths = [r["path"] for r in _landing_names(spark, base).collect()]  # names only
-    result = load_files(spark, paths, store, now, all_or_nothing=True)
-    if not result.ok:
-        raise BatchLoadError(result.report)
-    return result
-
-
-def _landing_names(spark: SparkSession, base: str) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    return reader.load(base).select("path")
-
-
-class BatchLedger:
-    """Files already appended by each micro-batch, kept in the stream's
-    checkpoint folder.
-
-    ``foreachBatch`` may run a batch again after a failure; files the
-    earlier attempt appended are skipped, so the append-only table gets each
-    file once.  The record is written right after the appends, so only a
-    crash between the two can still duplicate a file (the deduplicated view
-    is unaffected).  Records stay as long as the checkpoint, so a replay from
-    a restored older one is a replay too.  A fresh checkpoint starts a fresh ledger, as the stream
-    itself restarts from batch 0.
+    loaded.  However many files there are, the number of jobs is fixed and the
+    driver gets the shapes and the failures only (the names too where files of
+    several shapes lie in one folder, since each shape is read by itself).
+    Running it again loads the files again (the latest view is unaffected);
+    the file stream is the idempotent path.
     """
+    columns = list(store.columns)
+    table = scratch_path(spark, "footers")
+    try:
+        read_footers(listed_names(spark, base), columns).write.parquet(table)
+        footers = resolved(spark, spark.read.schema(FOOTERS).parquet(table), columns)
+        shapes = footers.groupBy("shape", F.col("error").isNull().alias("good")).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).collect()
+        if not shapes:
+            return LoadResult([])
+        failed = _failures(footers) if any(not r["good"] for r in shapes) else []
+        if not failed:
+            if len(shapes) == 1:
+                paths = {shapes[0]["shape"]: [base]}
+            else:
+                paths = _by_shape({r["path"]: r for r in footers.select("path", "shape").collect()})
+            try:
+                health = _write_rows(spark, paths, store, f"{LOADED}-{uuid.uuid4().hex}", now, sum(r["rows"] for r in shapes))
+            except Exception:
+                failed = _failures(corrupt_file_report(spark, footers, columns, store.time_col, paths))
+                if not failed:
+                    raise
+        if failed:
+            raise BatchLoadError(failed)
+    finally:
+        fs.delete(spark, table)
+    store.propagate()
+    return LoadResult([], health)
 
-    def __init__(self, spark: SparkSession, checkpoint: str):
-        self.spark = spark
-        self.base = f"{checkpoint.rstrip('/')}/loaded_files"
 
-    def stream_id(self) -> str:
-        """A name that stays with the checkpoint folder."""
-        known = fs.read_text(self.spark, f"{self.base}/stream")
-        if not known:
-            known = uuid.uuid4().hex
-            fs.write_text(self.spark, f"{self.base}/stream", known)
-        return known
+def _failures(files: DataFrame) -> list[tuple[str, str, int, str | None]]:
+    return [(r["path"], "failed", 0, r["error"]) for r in files.where("error IS NOT NULL").select("path", "error").orderBy("path").collect()]
 
-    def loaded(self, batch_id: int) -> set[str]:
-        text = fs.read_text(self.spark, f"{self.base}/{batch_id}")
-        return set(json.loads(text)) if text else set()
 
-    def record(self, batch_id: int, paths: set[str]) -> None:
-        fs.write_text(self.spark, f"{self.base}/{batch_id}", json.dumps(sorted(paths)))
+def _stream_batch(session: SparkSession, batch_id: int) -> str:
+    """The history folder of a micro-batch: the query's id stays with its
+    checkpoint, so a replay has the same one and a fresh checkpoint another."""
+    query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{STREAMED}-{query}-{batch_id}"
 
 
 def start_ingest(
@@ -353,38 +347,25 @@ def start_ingest(
     """STR-1 (continuous, a batch every ``poll_seconds``) or STR-2 (``available_now``:
     drain what is waiting in batches of ``max_files``, then stop).
 
-    STR-3: a batch with a bad file raises after its good files are appended,
-    so the checkpoint does not commit it and a restart retries the batch;
-    the retry appends only the files not yet appended (``BatchLedger``).
-    With ``quarantine`` (a folder) failures are recorded there and the batch
-    commits instead.  ``query.stop()`` stops gracefully between batches.
+    STR-3: a batch with a bad file raises after its good files are written,
+    so the checkpoint does not commit it and a restart retries the batch into
+    the same folder of the history.  With ``quarantine`` (a folder) failures
+    are recorded there and the batch commits instead.  The latest table is fed
+    by a query of its own (``streaming.propagate.start_propagation``).
+    ``query.stop()`` stops gracefully between batches.
     """
 
-    ledger = BatchLedger(spark, checkpoint)
-
     def run_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
-        names = [r["path"] for r in files.select("path").collect()]  # at most max_files rows
-        if not names:
-            return
-        done = ledger.loaded(batch_id)
-        result = load_files(session, [p for p in names if p not in done], store)
-        loaded = {r[0] for r in result.report if r[1] == "loaded"}
-        if loaded:
-            ledger.record(batch_id, done | loaded)
-        result = LoadResult([(p, "loaded", 0, "loaded by an earlier attempt") for p in names if p in done] + result.report)
+        batch = _stream_batch(session, batch_id)
+        result = load_files(session, files, store, batch=batch, propagate=False)
         if reports is not None:
             reports.append((batch_id, result.report))
         if result.ok:
             return
         if quarantine:
             failed = [r for r in result.report if r[1] != "loaded"]
-            (
-                session.createDataFrame(failed, REPORT_SCHEMA)
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .write.mode("append")
-                .parquet(quarantine)
-            )
+            session.createDataFrame(failed, REPORT_SCHEMA).write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={batch}")
             return
         raise BatchLoadError(result.report)
 
@@ -398,9 +379,13 @@ def start_ingest(
 
 
 def run_once(spark: SparkSession, landing_base: str, store: CandleStore, checkpoint: str, **kw) -> StreamingQuery:
-    """Load everything waiting now and wait for it (STR-2)."""
+    """Load everything waiting now, wait for it (STR-2), and carry what was
+    loaded to the latest table, also where a bad batch ends the load."""
     q = start_ingest(spark, landing_base, store, checkpoint, available_now=True, **kw)
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:
+        store.propagate()
     return q
 
 
@@ -444,38 +429,33 @@ def start_message_ingest(
 ) -> StreamingQuery:
     """STR-6: any streaming DataFrame with a string body -> candle or ticker tables.
 
-    A batch of candles is appended whole; the ledger in the checkpoint folder
-    makes a replay of an appended batch a no-op.  Tickers have no key that
-    could tell a repeated row, so each batch has a folder of its own that a
-    replay overwrites.  A message that cannot be read fails the batch; with
-    ``reject_path`` it is written there with its reason (one folder a batch,
-    too) and the others are loaded.
+    Each batch has a folder of its own that a replay overwrites: in the
+    history for candles (the propagation query carries them on from there), in
+    ``ticker_path`` for tickers, which have no key that could tell a repeated
+    row.  A message that cannot be read fails the batch; with ``reject_path``
+    it is written there with its reason (one folder a batch, too) and the
+    others are loaded.
     """
     if kind not in ("kline", "ticker"):
         raise ValueError("kind must be 'kline' or 'ticker'")
     if kind == "ticker" and not ticker_path:
         raise ValueError("ticker_path is required for tickers")
 
-    ledger = BatchLedger(messages.sparkSession, checkpoint)
     problem = kline_problem(F.col(body_col)) if kind == "kline" else ticker_problem(F.col(body_col))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        if ledger.loaded(batch_id):
-            return  # appended by an earlier attempt of this batch
         load_ms = int(time.time() * 1000)
-        folder = f"batch={ledger.stream_id()}-{batch_id}"
+        name = _stream_batch(batch.sparkSession, batch_id)
         if reject_path:
             batch, rejects = split_rejects(batch, problem, body_col)
-            rejects.write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/{folder}")
+            rejects.write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/batch={name}")
         if kind == "kline":
-            candles = stream_candles(batch, body_col, load_ms)
-            store.append(store.prepare(candles, load_ms=load_ms), prepared=True)
+            store.write_batch(store.prepare(stream_candles(batch, body_col, load_ms), load_ms=load_ms), name)
         else:
             now = dt.datetime.fromtimestamp(load_ms / 1000, dt.timezone.utc).replace(tzinfo=None)
             tickers = stamp(stream_tickers(batch, body_col), ["symbol", "price", "time", "created_at"], now=now)
             tickers = tickers.withColumn("open_month", month_key("time"))
-            tickers.write.mode("overwrite").partitionBy("open_month").parquet(f"{ticker_path.rstrip('/')}/{folder}")
-        ledger.record(batch_id, {"batch"})
+            tickers.write.mode("overwrite").partitionBy("open_month").parquet(f"{ticker_path.rstrip('/')}/batch={name}")
 
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{poll_seconds} seconds")
