@@ -33,7 +33,7 @@ from wickline.sources.exchange_info import (
     FILTER_FIELD_TYPES,
     SYMBOL_FIELDS,
     SYMBOL_FILTER_FIELDS,
-    flatten_exchange_info,
+    exchange_table,
 )
 from wickline.plans.store import CandleStore, newest_load_first
 from wickline.session import scratch_path
@@ -470,13 +470,12 @@ def q_pipeline_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILTER_COLUMNS = ["minPrice", "maxPrice", "tickSize", "minQty", "maxQty", "stepSize", "maxNumOrders"]
 
 
-def _filter(tag: str, **values) -> F.Column:
-    """One symbol filter with every field of the union; absent ones stay NULL
-    and ``to_json`` leaves them out."""
-    fields = [F.lit(tag).alias("filterType")]
-    for name, dtype in FILTER_FIELD_TYPES.items():
-        fields.append((values[name] if name in values else F.lit(None).cast(dtype)).alias(name))
-    return F.struct(*fields)
+def _filter(tag: str, **values: str) -> str:
+    """SQL of one symbol filter with every field of the union; absent ones stay
+    NULL and ``to_json`` leaves them out."""
+    fields = [f"'filterType', '{tag}'"]
+    fields += [f"'{name}', CAST({values.get(name, 'NULL')} AS {kind.simpleString()})" for name, kind in FILTER_FIELD_TYPES.items()]
+    return f"named_struct({', '.join(fields)})"
 
 
 def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,7 +487,11 @@ def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = events.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("day")).agg(
         F.min("value").alias("mn"), F.max("value").alias("mx"), F.min(k).alias("kmin"), F.max(k).alias("kmax"), F.count(F.lit(1)).alias("n")
     )
-    text = lambda c: c.cast("long").cast("string")
+    filters = [
+        _filter("PRICE_FILTER", minPrice="CAST(floor(mn) AS BIGINT)", maxPrice="CAST(ceil(mx) AS BIGINT)", tickSize="'0.01'"),
+        _filter("LOT_SIZE", minQty="kmin", maxQty="kmax", stepSize="'1'"),
+        _filter("MAX_NUM_ORDERS", maxNumOrders="n"),
+    ]
     symbol = F.struct(
         F.col("symbol").alias("symbol"), F.lit("TRADING").alias("status"), F.col("symbol").alias("baseAsset"),
         F.lit(8).alias("baseAssetPrecision"), F.lit("USDT").alias("quoteAsset"), F.lit(8).alias("quoteAssetPrecision"),
@@ -497,11 +500,7 @@ def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("ocoAllowed"), F.lit(True).alias("otoAllowed"), F.lit(True).alias("quoteOrderQtyMarketAllowed"),
         F.lit(False).alias("allowTrailingStop"), F.lit(False).alias("cancelReplaceAllowed"),
         F.lit(True).alias("isSpotTradingAllowed"), F.lit(False).alias("isMarginTradingAllowed"),
-        F.array(
-            _filter("PRICE_FILTER", minPrice=text(F.floor("mn")), maxPrice=text(F.ceil("mx")), tickSize=F.lit("0.01")),
-            _filter("LOT_SIZE", minQty=F.col("kmin").cast("string"), maxQty=F.col("kmax").cast("string"), stepSize=F.lit("1")),
-            _filter("MAX_NUM_ORDERS", maxNumOrders=F.col("n")),
-        ).alias("filters"),
+        F.expr(f"array({', '.join(filters)})").alias("filters"),
         F.array().cast("array<string>").alias("permissions"),
         F.array(F.array(F.lit("SPOT"))).alias("permissionSets"),
         F.lit("NONE").alias("defaultSelfTradePreventionMode"),
@@ -512,20 +511,19 @@ def q_exchange_info_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_epoch_millis(F.col("day").cast("timestamp_ntz")).alias("serverTime"),
         F.array(symbol).alias("symbols"),
     )
-    tables = flatten_exchange_info(stats.select(F.to_json(doc).alias("body")))
-    return tables["symbol_filters"].select("server_time", "symbol", "position", "filter_type", *FILTER_COLUMNS)
+    filters = exchange_table(stats.select(F.to_json(doc).alias("body")), "symbol_filters")
+    return filters.select("server_time", "symbol", "position", "filter_type", *FILTER_COLUMNS)
 
 
-def _union_filters(tags: dict[str, list[str]], n: F.Column) -> F.Column:
+def _union_filters(tags: dict[str, list[str]]) -> F.Column:
     """One filter of every tag; each field's value follows from ``n`` and the
     field's place in the union."""
     place = {name: i for i, name in enumerate(FILTER_FIELD_TYPES)}
 
-    def value(name: str) -> F.Column:
-        kind = FILTER_FIELD_TYPES[name].simpleString()
-        return n % 2 == 0 if kind == "boolean" else (n + place[name]).cast(kind)
+    def value(name: str) -> str:
+        return "n % 2 = 0" if FILTER_FIELD_TYPES[name].simpleString() == "boolean" else f"n + {place[name]}"
 
-    return F.array(*[_filter(tag, **{f: value(f) for f in fields}) for tag, fields in tags.items()])
+    return F.expr(f"array({', '.join(_filter(tag, **{f: value(f) for f in fields}) for tag, fields in tags.items())})")
 
 
 def _exchange_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,7 +535,7 @@ def _exchange_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = {
         "symbol": F.col("symbol"), "status": F.lit("TRADING"), "baseAsset": F.col("symbol"), "quoteAsset": F.lit("USDT"),
         "quotePrecision": F.when(F.col("n") % 2 == 0, F.lit(8)).cast("long"), "orderTypes": F.array(F.lit("LIMIT"), F.lit("MARKET")),
-        "filters": _union_filters(SYMBOL_FILTER_FIELDS, F.col("n")), "permissions": F.array().cast("array<string>"),
+        "filters": _union_filters(SYMBOL_FILTER_FIELDS), "permissions": F.array().cast("array<string>"),
         "permissionSets": F.array(F.array(F.lit("SPOT"), F.col("symbol"))), "defaultSelfTradePreventionMode": F.lit("NONE"),
         "allowedSelfTradePreventionModes": F.array(F.lit("NONE")), **flags,
     }
@@ -551,7 +549,7 @@ def _exchange_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("UTC").alias("timezone"),
         to_epoch_millis(F.col("day").cast("timestamp_ntz")).alias("serverTime"),
         F.array(*rate).alias("rateLimits"),
-        _union_filters(EXCHANGE_FILTER_FIELDS, F.col("n")).alias("exchangeFilters"),
+        _union_filters(EXCHANGE_FILTER_FIELDS).alias("exchangeFilters"),
         "symbols",
         F.array(F.struct(F.lit("ALL").alias("baseAsset"), F.transform("symbols", lambda x: x["symbol"]).alias("symbols"))).alias("sors"),
     )
@@ -560,7 +558,7 @@ def _exchange_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _exchange_table(table: str, columns: list[str]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return flatten_exchange_info(_exchange_documents(spark, sf_dir))[table].select(*columns)
+        return exchange_table(_exchange_documents(spark, sf_dir), table).select(*columns)
 
     query.__doc__ = f"SRC-10/11: the {table} rows of daily documents built from events."
     return query

@@ -1,16 +1,17 @@
 """Exchange-info documents (SRC-10) and their tagged-union filters (SRC-11).
 
-One document per row of a string column.  ``flatten_exchange_info`` returns
-seven DataFrames keyed by the document's server time.  Every list is
-exploded with Spark generators (``posexplode``), so documents are processed
-in parallel and nothing is gathered on the driver.  A missing optional list
-gives no rows; a missing required field, an unknown rate-limit type or an
-unknown filter tag raises.
+One document per row of a string column.  ``read_documents`` parses each
+document once into a tree that one generator hands to all seven tables; every
+list of the tree is exploded with Spark generators (``posexplode``), so
+documents are processed in parallel and nothing is gathered on the driver.  Each
+row carries the document's server time.  A missing optional list gives no rows;
+a missing required field, an unknown rate-limit type or an unknown filter tag
+raises.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,18 +89,14 @@ def exchange_info_schema() -> T.StructType:
     )
 
 
-def _require(df: DataFrame, cond: Column, message: Column) -> DataFrame:
+def _require(df: DataFrame, cond: str, message: str) -> DataFrame:
     """``df`` unchanged; a row that fails ``cond`` raises.  A filter, so the
     check stays whatever columns are used later."""
-    failed = F.raise_error(message).cast("boolean")
-    return df.filter(F.when(F.coalesce(cond, F.lit(False)), F.lit(True)).otherwise(failed))
+    return df.filter(F.expr(f"CASE WHEN coalesce({cond}, false) THEN true ELSE CAST(raise_error({message}) AS BOOLEAN) END"))
 
 
-def _all_present(prefix: str, fields: list[str]) -> Column:
-    cond = F.lit(True)
-    for f in fields:
-        cond = cond & F.col(f"{prefix}.{f}").isNotNull()
-    return cond
+def _all_present(prefix: str, fields: list[str]) -> str:
+    return " AND ".join([f"{prefix}.`{f}` IS NOT NULL" for f in fields]) or "true"
 
 
 def resolve_filters(df: DataFrame, struct_col: str = "filter", variants: dict[str, list[str]] | None = None) -> DataFrame:
@@ -109,93 +106,94 @@ def resolve_filters(df: DataFrame, struct_col: str = "filter", variants: dict[st
     fields a tag does not define stay NULL.
     """
     variants = variants if variants is not None else SYMBOL_FILTER_FIELDS
-    tag = F.col(f"{struct_col}.filterType")
-    known = tag.isin(list(variants))
-    ok = F.lit(False)
-    for name, fields in variants.items():
-        ok = ok | ((tag == name) & _all_present(struct_col, fields))
-    message = F.concat(
-        F.lit("invalid filter ("),
-        F.coalesce(tag, F.lit("no filterType")),
-        F.when(known, F.lit("): missing field")).otherwise(F.lit("): unknown type")),
-        F.lit(": "),
-        F.to_json(F.col(struct_col)),
+    tag = f"`{struct_col}`.filterType"
+    known = ", ".join(f"'{v}'" for v in variants)
+    cases = " ".join(f"WHEN '{name}' THEN {_all_present(f'`{struct_col}`', fields)}" for name, fields in variants.items())
+    message = (
+        f"concat('invalid filter (', coalesce({tag}, 'no filterType'), "
+        f"CASE WHEN {tag} IN ({known}) THEN '): missing field' ELSE '): unknown type' END, ': ', to_json(`{struct_col}`))"
     )
-    checked = _require(df, ok, message)
-    rest = [F.col(f"{struct_col}.{n}").alias(n) for n in FILTER_FIELD_TYPES]
-    others = [c for c in df.columns if c != struct_col]
-    return checked.select(*others, tag.alias("filter_type"), *rest)
+    checked = _require(df, f"CASE {tag} {cases} ELSE false END", message)
+    rest = [f"`{struct_col}`.`{n}` AS `{n}`" for n in FILTER_FIELD_TYPES]
+    others = [f"`{c}`" for c in df.columns if c != struct_col]
+    return checked.selectExpr(*others, f"{tag} AS filter_type", *rest)
 
 
-def parse_exchange_info(df: DataFrame, body_col: str = "body") -> DataFrame:
-    """Documents -> one struct column ``doc`` (with required header fields checked)."""
-    doc = F.from_json(F.col(body_col), exchange_info_schema())
-    parsed = df.select(doc.alias("doc"))
-    ok = F.col("doc.timezone").isNotNull() & F.col("doc.serverTime").isNotNull() & F.col("doc.symbols").isNotNull()
-    return _require(parsed, ok, F.concat(F.lit("invalid exchange info: "), F.coalesce(F.to_json("doc"), F.lit("unparseable"))))
+def read_documents(df: DataFrame, body_col: str = "body") -> DataFrame:
+    """Documents -> ``server_time`` and ``doc``, the whole tree, each parsed once.
 
+    The tree comes out of a generator, which Catalyst neither moves the checks
+    and projections above it below nor evaluates twice; a plain column would be
+    inlined, and the document parsed again, wherever it is used.  A document
+    without time zone, server time or symbols raises.
+    """
+    tree = F.transform(F.array(F.from_json(F.col(body_col), exchange_info_schema())), lambda d: F.struct(d.alias("doc")))
+    parsed = df.select(F.explode_outer(tree).alias("__read")).select("__read.doc")
+    checked = _require(parsed, _all_present("doc", ["timezone", "serverTime", "symbols"]), "concat('invalid exchange info: ', coalesce(to_json(doc), 'unparseable'))")
+    return checked.select(from_epoch_millis(F.col("doc.serverTime")).alias("server_time"), "doc")
 
-def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, DataFrame]:
-    """SRC-10: header, rate_limits, exchange_filters, symbols, symbol_filters,
-    permission_sets, order_routing.  Each child row carries ``server_time``."""
-    docs = parse_exchange_info(df, body_col)
-    server_time = from_epoch_millis(F.col("doc.serverTime")).alias("server_time")
 
-    header = docs.select(
-        F.col("doc.timezone").alias("timezone"),
-        server_time,
-        F.size(F.coalesce(F.col("doc.symbols"), F.array())).alias("symbol_count"),
-    )
+def _header(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr("doc.timezone AS timezone", "server_time", "size(doc.symbols) AS symbol_count")
 
-    rates = docs.select(server_time, F.posexplode("doc.rateLimits").alias("position", "r"))
-    rate_ok = F.col("r.rateLimitType").isin(RATE_LIMIT_TYPES) & _all_present("r", ["interval", "intervalNum", "limit"])
-    rates = _require(rates, rate_ok, F.concat(F.lit("invalid rate limit: "), F.coalesce(F.to_json("r"), F.lit("NULL"))))
-    rate_limits = rates.select(
-        "server_time",
-        "position",
-        F.col("r.rateLimitType").alias("rate_limit_type"),
-        F.col("r.interval").alias("interval"),
-        F.col("r.intervalNum").alias("interval_num"),
-        F.col("r.limit").alias("limit"),
-    )
 
-    exchange_filters = resolve_filters(
-        docs.select(server_time, F.posexplode("doc.exchangeFilters").alias("position", "filter")),
-        "filter",
-        EXCHANGE_FILTER_FIELDS,
-    )
+def _rate_limits(docs: DataFrame) -> DataFrame:
+    rates = docs.selectExpr("server_time", "posexplode(doc.rateLimits) AS (position, r)")
+    kinds = ", ".join(f"'{k}'" for k in RATE_LIMIT_TYPES)
+    fields = _all_present("r", ["interval", "intervalNum", "limit"])
+    rates = _require(rates, f"r.rateLimitType IN ({kinds}) AND {fields}", "concat('invalid rate limit: ', coalesce(to_json(r), 'NULL'))")
+    return rates.selectExpr("server_time", "position", "r.rateLimitType AS rate_limit_type", "r.interval AS interval", "r.intervalNum AS interval_num", "r.limit AS limit")
 
-    sym = docs.select(server_time, F.posexplode("doc.symbols").alias("symbol_index", "s"))
+
+def _exchange_filters(docs: DataFrame) -> DataFrame:
+    return resolve_filters(docs.selectExpr("server_time", "posexplode(doc.exchangeFilters) AS (position, filter)"), "filter", EXCHANGE_FILTER_FIELDS)
+
+
+def _checked_symbols(docs: DataFrame) -> DataFrame:
+    rows = docs.selectExpr("server_time", "posexplode(doc.symbols) AS (symbol_index, s)")
     required = [n for n, _ in SYMBOL_FIELDS if n not in SYMBOL_OPTIONAL]
-    sym_ok = _all_present("s", required)
-    sym = _require(sym, sym_ok, F.concat(F.lit("invalid symbol: "), F.coalesce(F.to_json("s"), F.lit("NULL"))))
-    scalar = [n for n, t in SYMBOL_FIELDS if n not in ("filters", "permissionSets")]
-    symbols = sym.select("server_time", "symbol_index", *[F.col(f"s.{n}").alias(n) for n in scalar])
-
-    symbol_filters = resolve_filters(
-        sym.select("server_time", F.col("s.symbol").alias("symbol"), F.posexplode("s.filters").alias("position", "filter")),
-        "filter",
-        SYMBOL_FILTER_FIELDS,
-    )
+    return _require(rows, _all_present("s", required), "concat('invalid symbol: ', coalesce(to_json(s), 'NULL'))")
 
-    sets = sym.select("server_time", F.col("s.symbol").alias("symbol"), F.posexplode("s.permissionSets").alias("set_index", "perms"))
-    permission_sets = sets.select("server_time", "symbol", "set_index", F.posexplode("perms").alias("position", "permission"))
 
-    sors = docs.select(server_time, F.posexplode("doc.sors").alias("group_index", "g"))
-    sors = _require(sors, _all_present("g", ["baseAsset", "symbols"]), F.concat(F.lit("invalid order routing: "), F.coalesce(F.to_json("g"), F.lit("NULL"))))
-    order_routing = sors.select(
-        "server_time",
-        "group_index",
-        F.col("g.baseAsset").alias("base_asset"),
-        F.posexplode("g.symbols").alias("position", "symbol"),
-    )
+def _symbols(docs: DataFrame) -> DataFrame:
+    scalar = [n for n, _ in SYMBOL_FIELDS if n not in ("filters", "permissionSets")]
+    return _checked_symbols(docs).selectExpr("server_time", "symbol_index", *[f"s.`{n}` AS `{n}`" for n in scalar])
+
+
+def _symbol_filters(docs: DataFrame) -> DataFrame:
+    rows = _checked_symbols(docs).selectExpr("server_time", "s.symbol AS symbol", "posexplode(s.filters) AS (position, filter)")
+    return resolve_filters(rows, "filter", SYMBOL_FILTER_FIELDS)
 
-    return {
-        "header": header,
-        "rate_limits": rate_limits,
-        "exchange_filters": exchange_filters,
-        "symbols": symbols,
-        "symbol_filters": symbol_filters,
-        "permission_sets": permission_sets,
-        "order_routing": order_routing,
-    }
+
+def _permission_sets(docs: DataFrame) -> DataFrame:
+    sets = _checked_symbols(docs).selectExpr("server_time", "s.symbol AS symbol", "posexplode(s.permissionSets) AS (set_index, perms)")
+    return sets.selectExpr("server_time", "symbol", "set_index", "posexplode(perms) AS (position, permission)")
+
+
+def _order_routing(docs: DataFrame) -> DataFrame:
+    sors = docs.selectExpr("server_time", "posexplode(doc.sors) AS (group_index, g)")
+    sors = _require(sors, _all_present("g", ["baseAsset", "symbols"]), "concat('invalid order routing: ', coalesce(to_json(g), 'NULL'))")
+    return sors.selectExpr("server_time", "group_index", "g.baseAsset AS base_asset", "posexplode(g.symbols) AS (position, symbol)")
+
+
+TABLES = {
+    "header": _header,
+    "rate_limits": _rate_limits,
+    "exchange_filters": _exchange_filters,
+    "symbols": _symbols,
+    "symbol_filters": _symbol_filters,
+    "permission_sets": _permission_sets,
+    "order_routing": _order_routing,
+}
+
+
+def exchange_table(df: DataFrame, table: str, body_col: str = "body") -> DataFrame:
+    """One of the seven tables (a key of ``TABLES``) of a column of documents."""
+    return TABLES[table](read_documents(df, body_col))
+
+
+def flatten_exchange_info(df: DataFrame, body_col: str = "body") -> dict[str, DataFrame]:
+    """SRC-10: header, rate_limits, exchange_filters, symbols, symbol_filters,
+    permission_sets, order_routing.  Each child row carries ``server_time``."""
+    docs = read_documents(df, body_col)
+    return {name: table(docs) for name, table in TABLES.items()}

@@ -1,8 +1,10 @@
 """Message payloads: object-store notifications (SRC-7), live candles
 (SRC-8) and mini tickers (SRC-9), plus their typed projections (PRJ-2, PRJ-3).
 
-All parsing is ``from_json`` / ``get_json_object`` on a string column, so the
-same functions serve batch tables and streaming DataFrames.
+All parsing is ``from_json`` on a string column, so the same functions serve
+batch tables and streaming DataFrames.  A body is parsed once: its content and
+the reason why it cannot be read are one struct, made by one generator that the
+check and the projection both read from (:func:`_read_once`).
 """
 
 from __future__ import annotations
@@ -46,18 +48,33 @@ _NOTIFICATION = T.StructType(
 )
 
 
-def _once(parts: dict[str, Column], reason: Callable[[Column], Column]) -> Column:
-    """``reason`` over the struct of ``parts``, each part evaluated once a row
-    however often ``reason`` refers to it."""
-    row = F.array(F.struct(*[c.alias(n) for n, c in parts.items()]))
-    return F.transform(row, reason)[0]
+Reason = Callable[[Column, Column], Column]
 
 
-def _only_valid(df: DataFrame, problem: Column, body: Column, what: str) -> DataFrame:
-    """``df`` unchanged; a row with a problem raises.  A filter below the
-    projection, so no choice of output columns can prune the check."""
-    message = F.concat(F.lit(f"{what}: "), problem, F.lit(": "), F.coalesce(F.substring(body, 1, 300), F.lit("NULL")))
-    return df.filter(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+def _reason(body: Column, content: Column, reason: Reason) -> Column:
+    """``reason(content, body)`` with the content evaluated once however often
+    ``reason`` refers to it."""
+    return F.transform(F.array(content), lambda c: reason(c, body))[0]
+
+
+def _read_once(df: DataFrame, body: Column, content: Column, reason: Reason, keep: tuple[str, ...]) -> DataFrame:
+    """``keep``, ``content`` and ``problem`` (NULL: readable) of every body.
+
+    Both come out of one generator.  Catalyst would inline a plain column into
+    each filter and projection above it and so parse the body again for each of
+    them; nothing is moved below a generator or pruned out of it.
+    """
+    both = F.transform(F.array(content), lambda c: F.struct(c.alias("content"), reason(c, body).alias("problem")))
+    made = df.select(*keep, body.alias("__body"), F.explode_outer(both).alias("__read"))
+    return made.select(*keep, "__body", "__read.content", "__read.problem")
+
+
+def _only_valid(read: DataFrame, what: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and ``content`` of rows without a problem; any other raises.  A
+    filter below the projection, so no choice of output columns prunes it."""
+    message = F.concat(F.lit(f"{what}: "), F.col("problem"), F.lit(": "), F.coalesce(F.substring("__body", 1, 300), F.lit("NULL")))
+    ok = F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return read.filter(ok).select(*keep, "content")
 
 
 def split_rejects(df: DataFrame, problem: Column, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
@@ -66,18 +83,25 @@ def split_rejects(df: DataFrame, problem: Column, body_col: str = "body") -> tup
     return valid, df.filter(problem.isNotNull()).select(F.col(body_col).alias("body"), problem.alias("reason"))
 
 
+def _records(body: Column) -> Column:
+    return F.from_json(body, _NOTIFICATION)["Records"]
+
+
+def _notification_reason(records: Column, body: Column) -> Column:
+    lacking = F.exists(records, lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+    # the keys are looked for only where there are no records
+    keys = F.json_object_keys(body)
+    return (
+        F.when(records.isNotNull(), F.when(lacking, F.lit("record without bucket/key")))
+        .when(keys.isNull(), F.lit("no JSON object"))
+        .when(F.array_contains(keys, "Records"), F.lit("Records is no list of objects"))
+    )
+
+
 def notification_problem(body: Column) -> Column:
     """Why a notification body cannot be read; NULL when it can.  A body
     without ``Records`` is a valid one without records."""
-    def reason(x: Column) -> Column:
-        lacking = F.exists(x["records"], lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
-        return (
-            F.when(x["keys"].isNull(), F.lit("no JSON object"))
-            .when(F.array_contains(x["keys"], "Records") & x["records"].isNull(), F.lit("Records is no list of objects"))
-            .when(lacking, F.lit("record without bucket/key"))
-        )
-
-    return _once({"records": F.from_json(body, _NOTIFICATION)["Records"], "keys": F.json_object_keys(body)}, reason)
+    return _reason(body, _records(body), _notification_reason)
 
 
 def parse_notifications(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -88,8 +112,8 @@ def parse_notifications(df: DataFrame, body_col: str = "body", keep: tuple[str,
     them apart beforehand).
     """
     body = F.col(body_col)
-    valid = _only_valid(df, notification_problem(body), body, "notification")
-    parsed = valid.select(*keep, F.explode(F.from_json(body, _NOTIFICATION)["Records"]).alias("__r"))
+    valid = _only_valid(_read_once(df, body, _records(body), _notification_reason, keep), "notification", keep)
+    parsed = valid.select(*keep, F.explode("content").alias("__r"))
     return parsed.select(
         *keep,
         F.coalesce(F.col("__r.eventName"), F.lit("unknown")).alias("event_name"),
@@ -145,21 +169,25 @@ def _kline_message(body: Column) -> Column:
     )
 
 
+def _kline_reason(msg: Column, body: Column) -> Column:
+    present = F.lit(True)
+    for name in ("event_type", "event_ms", "symbol"):
+        present = present & msg[name].isNotNull()
+    for name in STREAM_KLINE_INNER_NAMES:
+        present = present & msg["kline"][name].isNotNull()
+    # the keys are looked for only where a field is missing
+    keys = F.json_object_keys(body)
+    return F.when(
+        ~F.coalesce(present, F.lit(False)),
+        F.when(keys.isNull(), F.lit("no JSON object"))
+        .when(~F.array_contains(keys, "k"), F.lit("no candle message"))
+        .otherwise(F.lit("candle with a missing or invalid field")),
+    )
+
+
 def kline_problem(body: Column) -> Column:
     """Why a live candle message cannot be read; NULL when it can."""
-    def reason(x: Column) -> Column:
-        present = F.lit(True)
-        for name in ("event_type", "event_ms", "symbol"):
-            present = present & x["msg"][name].isNotNull()
-        for name in STREAM_KLINE_INNER_NAMES:
-            present = present & x["msg"]["kline"][name].isNotNull()
-        return (
-            F.when(x["keys"].isNull(), F.lit("no JSON object"))
-            .when(~F.array_contains(x["keys"], "k"), F.lit("no candle message"))
-            .when(~F.coalesce(present, F.lit(False)), F.lit("candle with a missing or invalid field"))
-        )
-
-    return _once({"msg": _kline_message(body), "keys": F.json_object_keys(body)}, reason)
+    return _reason(body, _kline_message(body), _kline_reason)
 
 
 def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -172,8 +200,8 @@ def parse_stream_klines(df: DataFrame, body_col: str = "body", keep: tuple[str,
     required fields) raises; ``kline_problem`` tells them apart beforehand.
     """
     body = F.col(body_col)
-    valid = _only_valid(df, kline_problem(body), body, "live candle")
-    return valid.select(*keep, _kline_message(body).alias("__m")).select(*keep, "__m.*")
+    valid = _only_valid(_read_once(df, body, _kline_message(body), _kline_reason, keep), "live candle", keep)
+    return valid.select(*keep, "content.*")
 
 
 def type_stream_klines(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -211,15 +239,20 @@ def _ticker_items(body: Column) -> Column:
     return F.from_json(body, raw).cast(named)
 
 
-def ticker_problem(body: Column) -> Column:
-    """Why a mini-ticker message cannot be read; NULL when it can."""
-    items = _ticker_items(body)
+def _ticker_reason(items: Column, body: Column) -> Column:
     lacking = F.exists(items, lambda t: t["s"].isNull() | t["c"].try_cast("double").isNull() | t["key_E"].try_cast("long").isNull())
-    return F.when(F.json_array_length(body).isNull(), F.lit("no JSON list")).when(
-        F.coalesce(lacking, F.lit(True)), F.lit("ticker with a missing or invalid field")
+    # whether it is a list at all is looked up only where something is wrong
+    return F.when(
+        F.coalesce(lacking, F.lit(True)),
+        F.when(F.json_array_length(body).isNull(), F.lit("no JSON list")).otherwise(F.lit("ticker with a missing or invalid field")),
     )
 
 
+def ticker_problem(body: Column) -> Column:
+    """Why a mini-ticker message cannot be read; NULL when it can."""
+    return _reason(body, _ticker_items(body), _ticker_reason)
+
+
 def parse_tickers(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Mini-ticker messages (a JSON *array* of objects) -> one row per ticker.
 
@@ -228,8 +261,8 @@ def parse_tickers(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] =
     list of objects with symbol, price and time raises.
     """
     body = F.col(body_col)
-    valid = _only_valid(df, ticker_problem(body), body, "mini ticker")
-    items = valid.select(*keep, F.explode(_ticker_items(body)).alias("__t"))
+    valid = _only_valid(_read_once(df, body, _ticker_items(body), _ticker_reason, keep), "mini ticker", keep)
+    items = valid.select(*keep, F.explode("content").alias("__t"))
     return items.select(*keep, *[F.col("__t")[_ticker_name(k)].alias(_ticker_name(k)) for k in MINI_TICKER_KEYS])
 
 
