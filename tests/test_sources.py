@@ -284,3 +284,21 @@ def test_checks_survive_projection(spark):
     for table, column in (("symbol_filters", "minPrice"), ("order_routing", "symbol"), ("rate_limits", "limit")):
         with pytest.raises(ERRORS):
             t[table].select(column).collect()
+
+
+@pytest.mark.parametrize("parse", [lambda d: type_stream_klines(parse_stream_klines(d)), parse_notifications, lambda d: type_tickers(parse_tickers(d))])
+def test_payloads_are_parsed_once(spark, parse):
+    df = spark.createDataFrame([("{}",)], "body string").repartition(2)
+    for out in (parse(df), parse(df).select(parse(df).columns[0])):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_exchange_documents_are_parsed_once(spark):
+    from wickline.sources.exchange_info import TABLES, exchange_table
+
+    df = spark.createDataFrame([("{}",)], "body string").repartition(2)
+    for name in TABLES:
+        out = exchange_table(df, name)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+        with pytest.raises(ERRORS):
+            out.select(out.columns[-1]).collect()

@@ -11,13 +11,14 @@ import contextlib
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.functions.convert import stamp, type_klines
-from wickline.functions.time import as_ntz, bucket_start, month_key, stamp_format, to_epoch_millis
+from wickline.functions.convert import default_created_at, stamp, type_klines
+from wickline.functions.time import as_ntz, bucket_start, month_key, stamp_format, to_epoch_micros, to_epoch_millis
 from wickline.operators.dedup import latest_by_key, upsert
 from wickline.operators.quality import check_candles, check_slice, table_health
+from wickline.operators.ranking import ranked, ranked_in_groups
 from wickline.operators.rollup import (
     high_water_column,
     incremental_rollup,
@@ -26,7 +27,7 @@ from wickline.operators.rollup import (
 )
 from wickline.operators.slices import plan_pages, slice_klines, top_n_per_symbol
 from wickline.plans import fs
-from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS, MONTH
+from wickline.schemas import CANDLE_COLUMNS, LANDING_COLUMNS, LOAD_SEQ, MONTH
 from wickline.sources.events import event_candles, read_table
 from wickline.sources.exchange_info import (
     EXCHANGE_FILTER_FIELDS,
@@ -35,11 +36,13 @@ from wickline.sources.exchange_info import (
     SYMBOL_FILTER_FIELDS,
     exchange_table,
 )
-from wickline.plans.store import CandleStore, newest_load_first
+from wickline.plans.store import CandleStore, newest_load_order
 from wickline.session import scratch_path
+from wickline.sources.footers import FOOTERS, layout_skips, listed_names, read_footers, resolved
 from wickline.sources.landing import landing_text, write_landing
 from wickline.sources.pages import format_kline_row, parse_kline_pages
-from wickline.streaming.ingest import REPORT_SCHEMA, backfill, run_once, start_message_ingest
+from wickline.streaming.ingest import REPORT_SCHEMA, backfill, corrupt_file_report, load_files, run_once, start_ingest, start_message_ingest
+from wickline.streaming.propagate import start_propagation
 from wickline.sources.payloads import (
     kline_problem,
     new_landing_files,
@@ -64,6 +67,8 @@ LANDING_BUCKET = "candles-landing"
 LANDING_PREFIX = "incoming/candles/"
 LATE_CUT = dt.datetime(2024, 1, 16)
 BAD_EVERY = 7
+BROKEN_SYMBOL = "error"
+LAYOUT_GROUP_ROWS, LAYOUT_FILE_ROWS = 256, 256 * 40
 BAD_FILE_SYMBOLS = ["view", "click", "purchase", "error", "signup"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,15 +194,27 @@ def q_slice_interval_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_newest_load_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT-3: the place of every history row in the order newest load first."""
+    """SRT-3: the place of every history row of a symbol in the order newest load first."""
     with _workspace(spark, "history") as work:
         store = CandleStore(spark, f"{work}/tables")
-        store.append(event_candles(spark, sf_dir), order_by="created_at", given_created_at=True)
-        ordered = newest_load_first(store.history())
-        # the sort is global, so ids that grow with the partition number follow it
-        placed = ordered.select("symbol", "open_time", "created_at", F.monotonically_increasing_id().alias("place"))
-        w = Window.partitionBy("symbol").orderBy("place")
-        return _kept(placed.select("symbol", "open_time", "created_at", F.row_number().over(w).cast("long").alias("place")), work)
+        store.append(event_candles(spark, sf_dir), order_by="created_at", given_created_at=True, propagate=False)
+        rows = store.history().select("symbol", "open_time", "created_at", LOAD_SEQ)
+        placed = ranked_in_groups(rows, ["symbol"], newest_load_order(), path=f"{work}/ranked")
+        return _kept(placed.drop(LOAD_SEQ), work)
+
+
+def q_layout_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-1: candles clustered by (symbol, open_time) into files of whole row
+    groups; the statistics in their footers say which groups a symbol needs."""
+    with _workspace(spark, "layout") as work:
+        candles = event_candles(spark, sf_dir)
+        placed = ranked(candles, ["symbol", "open_time", "created_at"], path=f"{work}/ranked")
+        total = placed.agg(F.max("place")).first()[0] or 0
+        files = max(1, -(-total // LAYOUT_FILE_ROWS))
+        file = F.floor((F.col("place") - 1) / LAYOUT_FILE_ROWS).cast("int")
+        dealt = placed.withColumn("file", file).repartitionById(files, F.col("file")).sortWithinPartitions("place")
+        dealt.drop("file", "place").write.option("parquet.block.row.count.limit", LAYOUT_GROUP_ROWS).parquet(f"{work}/clustered")
+        return _kept(layout_skips(listed_names(spark, f"{work}/clustered"), candles.select("symbol")), work)
 
 
 def q_run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +223,17 @@ def q_run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", stamp_format("ts").alias("stamp"))
 
 
+def q_default_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-5: a given load time stays, a missing one becomes the clock's, at
+    whole milliseconds."""
+    events = read_table(spark, sf_dir, "events")
+    given = F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("created_at")
+    stamped = default_created_at(events.select("event_id", given))
+    clock = F.col("event_id") % 3 == 0
+    in_ms = (to_epoch_micros("created_at") % 1000 == 0) & (F.col("created_at") > as_ntz(LOAD_TIME))
+    return stamped.select("event_id", F.when(~clock, F.col("created_at")).alias("given"), F.when(clock, in_ms).alias("clock_in_ms"))
+
+
 def q_top_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n_per_symbol(_latest(spark, sf_dir), TOP_N)
 
@@ -368,22 +396,29 @@ def q_pipeline_compact_then_older(spark: SparkSession, sf_dir: str) -> DataFrame
         return before.unionByName(after)
 
 
+def _land_by_symbol(candles: DataFrame, base: str) -> None:
+    """Landing files in a folder a symbol, of which one symbol's lack a column,
+    one's have a column too many and one's hold prices that are no numbers."""
+    for symbol in BAD_FILE_SYMBOLS:
+        own = landing_text(candles).filter(F.col("symbol") == symbol).drop("created_at")
+        if symbol == "error":
+            own = own.drop("volume")
+        if symbol == "signup":
+            own = own.withColumn("open_price", F.lit("n/a"))
+        if symbol == "purchase":
+            own = own.withColumn("more", F.lit(1))
+        own.write.parquet(f"{base}/{symbol}")
+
+
 def q_pipeline_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-3, STR-4 and DQ-2: landing files per symbol, of which one symbol's
-    lack a column and another's hold a number that is none.  The batches are
-    quarantined and commit; the result is the rows that were loaded and the
-    rows of files that were reported, by symbol."""
+    """STR-3, STR-4 and DQ-2: landing files per symbol, of which three symbols'
+    cannot be loaded.  The batches are quarantined and commit; the result is
+    the rows that were loaded and, by symbol, whether files were reported."""
     with _workspace(spark, "bad") as work:
-        candles = landing_text(event_candles(spark, sf_dir))
-        for symbol in BAD_FILE_SYMBOLS:
-            own = candles.filter(F.col("symbol") == symbol).drop("created_at")
-            if symbol == "error":
-                own = own.drop("volume")
-            if symbol == "signup":
-                own = own.withColumn("open_price", F.when(F.col("number_of_trades") % BAD_EVERY == 0, F.lit("n/a")).otherwise(F.col("open_price")))
-            own.coalesce(1).write.parquet(f"{work}/landing/{symbol}")
+        candles = event_candles(spark, sf_dir)
+        _land_by_symbol(candles, f"{work}/landing")
         store = CandleStore(spark, f"{work}/tables")
-        run_once(spark, f"{work}/landing", store, f"{work}/checkpoint", quarantine=f"{work}/quarantine")
+        run_once(spark, f"{work}/landing", store, f"{work}/checkpoint", max_files=100, quarantine=f"{work}/quarantine")
         loaded = store.history().groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")).withColumn("status", F.lit("loaded"))
         failed = spark.read.schema(REPORT_SCHEMA).parquet(f"{work}/quarantine")
         symbol = F.element_at(F.split("path", "/"), -2).alias("symbol")
@@ -391,6 +426,77 @@ def q_pipeline_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(loaded.select("symbol", "rows", "status").unionByName(failed), work)
 
 
+def q_landing_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5, DQ-2: the footers of all landing files, read by one job: rows by
+    file group and verdict."""
+    with _workspace(spark, "footers") as work:
+        _land_by_symbol(event_candles(spark, sf_dir), f"{work}/landing")
+        read_footers(listed_names(spark, f"{work}/landing")).write.parquet(f"{work}/footers")
+        found = resolved(spark, spark.read.schema(FOOTERS).parquet(f"{work}/footers"))
+        group = F.element_at(F.split("path", "/"), -2).alias("file_group")
+        verdict = F.coalesce("error", F.lit("loadable")).alias("verdict")
+        return _kept(found.groupBy(group, verdict).agg(F.sum("rows").alias("rows")), work)
+
+
+def _break_pages(names: DataFrame) -> int:
+    """Overwrite the data pages of files and keep their footers, each file by
+    the task that has its name; returns how many.  Only for folders that tasks
+    reach as files."""
+
+    def run(batches):
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                with open("/" + path.removeprefix("file:").lstrip("/"), "r+b") as f:
+                    end = f.seek(-8, 2)
+                    size = int.from_bytes(f.read(4), "little")
+                    f.seek(4)
+                    f.write(b"\xff" * (end - size - 4))
+            yield b
+
+    return names.select("path").mapInArrow(run, "path string").count()
+
+
+def q_corrupt_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-4: files with broken pages behind a good footer, named by comparing
+    the rows a tolerant scan reads with the rows the footers promise."""
+    with _workspace(spark, "corrupt") as work:
+        candles = landing_text(event_candles(spark, sf_dir)).drop("created_at").withColumn("pair", F.col("symbol"))
+        candles.write.partitionBy("pair").parquet(f"{work}/landing")
+        _break_pages(listed_names(spark, f"{work}/landing/pair={BROKEN_SYMBOL}"))
+        read_footers(listed_names(spark, f"{work}/landing")).write.parquet(f"{work}/footers")
+        footers = resolved(spark, spark.read.schema(FOOTERS).parquet(f"{work}/footers"))
+        report = corrupt_file_report(spark, footers)
+        symbol = F.split(F.element_at(F.split("path", "/"), -2), "=")[1].alias("symbol")
+        whole = F.when(F.col("error").isNull(), F.lit("whole")).otherwise(F.lit("broken")).alias("status")
+        return _kept(report.groupBy(symbol, whole).agg(F.sum("rows").alias("rows"), F.sum("rows_read").alias("rows_read")), work)
+
+
+def q_observed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-1, AGG-4: what the load observed of its rows while it wrote them."""
+    with _workspace(spark, "health") as work:
+        candles = event_candles(spark, sf_dir)
+        write_landing(landing_text(candles), f"{work}/landing", order_by=("created_at",))
+        store = CandleStore(spark, f"{work}/tables")
+        health = load_files(spark, listed_names(spark, f"{work}/landing"), store, propagate=False).health
+        fields = "rows long, first_open timestamp_ntz, last_open timestamp_ntz"
+        rules = [k for k in health if k.startswith("bad_")]
+        return spark.createDataFrame([tuple(health.values())], ", ".join([fields, *[f"{k} long" for k in rules]]))
+
+
+def q_pipeline_chained_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-3: landing files loaded into the history by one stream in two lots;
+    a second stream, whose source is the history, feeds the latest table."""
+    with _workspace(spark, "chained") as work:
+        candles = landing_text(event_candles(spark, sf_dir))
+        store = CandleStore(spark, f"{work}/tables")
+        cut = as_ntz(INCREMENTAL_CUT)
+        for lot in (F.col("open_time") < cut, F.col("open_time") >= cut):
+            write_landing(candles.filter(lot), f"{work}/landing", order_by=("created_at",))
+            start_ingest(spark, f"{work}/landing", store, f"{work}/checkpoint", available_now=True, max_files=100).awaitTermination()
+            start_propagation(store, available_now=True).awaitTermination()
+        return _kept(store.latest().drop("created_at", MONTH), work)
+
+
 def _broken(c: F.Column, n: F.Column) -> F.Column:
     """Every few texts broken, in turn: cut short, replaced by an error object, missing."""
     return (
@@ -611,6 +717,12 @@ QUERIES: dict[str, Query] = {
     "pipeline_compact_then_older": q_pipeline_compact_then_older,
     "pipeline_bad_files": q_pipeline_bad_files,
     "pipeline_tickers": q_pipeline_tickers,
+    "landing_footers": q_landing_footers,
+    "corrupt_file_report": q_corrupt_file_report,
+    "pipeline_chained_latest": q_pipeline_chained_latest,
+    "observed_health": q_observed_health,
+    "layout_skips": q_layout_skips,
+    "default_stamps": q_default_stamps,
 }
 
 
@@ -777,8 +889,29 @@ def _oracle() -> dict[str, str]:
 FROM events GROUP BY ALL""",
         "pipeline_layered_latest": base + "SELECT * FROM latest",
         "pipeline_compact_then_older": older,
-        "pipeline_bad_files": """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE count(*) END AS rows,
-  CASE WHEN event_type IN ('error', 'signup') THEN 'failed' ELSE 'loaded' END AS status FROM events GROUP BY event_type""",
+        "pipeline_bad_files": """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'signup', 'purchase') THEN 0 ELSE count(*) END AS rows,
+  CASE WHEN event_type IN ('error', 'signup', 'purchase') THEN 'failed' ELSE 'loaded' END AS status FROM events GROUP BY event_type""",
+        "landing_footers": """SELECT event_type AS file_group, count(*) AS rows,
+  CASE event_type WHEN 'error' THEN 'SchemaError: schema mismatch: missing=[''volume''] unknown=[]'
+    WHEN 'purchase' THEN 'SchemaError: schema mismatch: missing=[] unknown=[''more'']' ELSE 'loadable' END AS verdict
+FROM events GROUP BY event_type""",
+        "corrupt_file_report": f"""SELECT event_type AS symbol, CASE event_type WHEN '{BROKEN_SYMBOL}' THEN 'broken' ELSE 'whole' END AS status, count(*) AS rows,
+  CASE event_type WHEN '{BROKEN_SYMBOL}' THEN 0 ELSE count(*) END AS rows_read FROM events GROUP BY event_type""",
+        "pipeline_chained_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
+        "observed_health": _with(_CANDLES)
+        + """SELECT count(*) AS rows, min(open_time) AS first_open, max(open_time) AS last_open,
+  count_if(NOT coalesce(open_time < close_time, false)) AS bad_time_order,
+  count_if(NOT coalesce(low_price <= high_price, false)) AS bad_low_le_high,
+  count_if(NOT coalesce(number_of_trades >= 0, false)) AS bad_trades_non_negative,
+  count_if(NOT coalesce(volume >= 0, false)) AS bad_volume_non_negative FROM candles""",
+        "layout_skips": _with(
+            _CANDLES,
+            f"placed AS (SELECT symbol, (row_number() OVER (ORDER BY symbol, open_time, created_at) - 1) // {LAYOUT_GROUP_ROWS} AS g FROM candles)",
+            "groups AS (SELECT g, min(symbol) AS least, max(symbol) AS greatest FROM placed GROUP BY g)",
+        )
+        + """SELECT s.symbol, (SELECT count(*) FROM groups) AS groups, count(*) AS overlaps
+FROM (SELECT DISTINCT symbol FROM candles) s JOIN groups ON s.symbol BETWEEN least AND greatest GROUP BY s.symbol""",
+        "default_stamps": """SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN ts END AS given, CASE WHEN event_id % 3 = 0 THEN true END AS clock_in_ms FROM events""",
         "pipeline_tickers": "SELECT event_type AS symbol, value AS price, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time FROM events",
         "latest_candles": base + "SELECT * FROM latest",
         "rollup_5min": base + rollup5,

@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.functions.convert import default_created_at, stamp
@@ -39,7 +39,7 @@ BATCH = "batch"
 # Batch folders by who wrote them; the propagation stream reads the first two.
 LOADED, STREAMED, MERGED = "load", "stream", "merged"
 
-__all__ = ["CandleStore", "clustered", "newest_load_first"]
+__all__ = ["CandleStore", "clustered", "newest_load_first", "newest_load_order"]
 
 
 def _slug(width: str) -> str:
@@ -350,6 +350,11 @@ class CandleStore:
         return self.rollup_table(width).upsert(new, months)
 
 
+def newest_load_order() -> list[Column]:
+    """SRT-3: newest load first, then by key."""
+    return [F.col(VERSION).desc(), F.col(LOAD_SEQ).desc(), *[F.col(k) for k in KEY]]
+
+
 def newest_load_first(df: DataFrame) -> DataFrame:
     """SRT-3: history ordered newest load first, then by key."""
-    return df.orderBy(F.col(VERSION).desc(), F.col(LOAD_SEQ).desc(), *KEY)
+    return df.orderBy(*newest_load_order())

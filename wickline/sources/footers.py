@@ -25,6 +25,7 @@ from wickline.plans import fs
 from wickline.schemas import CANDLE_COLUMNS
 from wickline.session import workers_can_import
 
+ROW_GROUPS = "path string, row_group int, rows long, least string, greatest string"
 FOOTERS = "path string, rows long, row_groups int, shape string, error string"
 #: Stands in ``error`` for a file that no task could open; never returned.
 _UNREACHED = "unreached"
@@ -189,3 +190,46 @@ def resolved(spark: SparkSession, found: DataFrame, columns: Sequence[str] = tup
     plain = {p: "/" + p.removeprefix("file:").lstrip("/") if p.startswith("file:") else p for p in lost}
     again = [(p, *by_path.get(plain[p], (None, None, None, "file not found"))) for p in lost]
     return kept.unionByName(spark.createDataFrame(again, FOOTERS))
+
+
+def row_group_ranges(names: DataFrame, column: str) -> DataFrame:
+    """``path``, ``row_group``, ``rows`` and the ``least`` and ``greatest`` value
+    (as text) of a column in every row group, from the footers alone: what a
+    reader may skip by.  A group without statistics has NULLs."""
+    workers_can_import(names.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for path in b.to_pydict()["path"]:
+                with _open(path) as file:
+                    meta = pq.read_metadata(file)
+                places = [i for i in range(meta.num_columns) if meta.schema.column(i).path == column]
+                if not places:
+                    raise ValueError(f"{path} has no column {column}")
+                for g in range(meta.num_row_groups):
+                    group = meta.row_group(g)
+                    stats = group.column(places[0]).statistics
+                    known = stats is not None and stats.has_min_max
+                    out.append((path, g, group.num_rows, str(stats.min) if known else None, str(stats.max) if known else None))
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string())
+            cols = zip(*out, strict=True) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["path", "row_group", "rows", "least", "greatest"])
+
+    return names.select("path").mapInArrow(run, ROW_GROUPS)
+
+
+def layout_skips(names: DataFrame, values: DataFrame, column: str = "symbol") -> DataFrame:
+    """SRT-1: by value of a text column, the row groups of the files and how
+    many of them a reader of that value cannot skip (``overlaps``).  A group
+    without statistics can never be skipped.
+
+    ``values`` has one column, ``column``.  One row a group is compared with
+    each value, so it is meant for the values of a report, such as the symbols.
+    """
+    groups = row_group_ranges(names, column)
+    value = F.col(column)
+    overlaps = F.coalesce((F.col("least") <= value) & (value <= F.col("greatest")), F.lit(True))
+    total = groups.agg(F.count(F.lit(1)).alias("groups"))
+    met = values.distinct().join(groups, overlaps, "left").groupBy(column).agg(F.count("path").alias("overlaps"))
+    return met.crossJoin(total).select(column, "groups", "overlaps")
