@@ -553,9 +553,9 @@ def test_backfill_runs_as_many_jobs_for_many_files(spark, workdir):
     from wickline.streaming.ingest import backfill
 
     counts = []
-    for n in (3, 60):
+    for n in (3, 2000):
         for i in range(n):
-            _write(f"{workdir}/land{n}/s{i}/f.parquet", _typed_table(F3_ROWS, f"S{i}"))
+            _write(f"{workdir}/land{n}/s{i % 40}/f{i}.parquet", _typed_table(F3_ROWS, f"S{i}"))
         store = CandleStore(spark, f"{workdir}/tables{n}")
         store.propagate = lambda: None
         counts.append(_jobs(spark, lambda: backfill(spark, f"{workdir}/land{n}", store)))  # noqa: B023

@@ -497,6 +497,29 @@ def q_pipeline_chained_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(store.latest().drop("created_at", MONTH), work)
 
 
+def q_pipeline_continuous_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1, DED-3: both streams running side by side on their own clocks until
+    the waiting files are through, then stopped; the deduplicated view."""
+    with _workspace(spark, "continuous") as work:
+        candles = event_candles(spark, sf_dir)
+        store = CandleStore(spark, f"{work}/tables")
+        landing = landing_text(candles)
+        write_landing(landing.filter(F.col("symbol") == SLICE_SYMBOL), f"{work}/landing", order_by=("created_at",))
+        load = start_ingest(spark, f"{work}/landing", store, f"{work}/checkpoint", poll_seconds=1, max_files=100)
+        carry = None
+        try:
+            load.processAllAvailable()
+            carry = start_propagation(store, poll_seconds=1)
+            write_landing(landing.filter(F.col("symbol") != SLICE_SYMBOL), f"{work}/landing", order_by=("created_at",))
+            load.processAllAvailable()
+            carry.processAllAvailable()
+        finally:
+            load.stop()
+            if carry is not None:
+                carry.stop()
+        return _kept(store.latest().drop("created_at", MONTH), work)
+
+
 def _broken(c: F.Column, n: F.Column) -> F.Column:
     """Every few texts broken, in turn: cut short, replaced by an error object, missing."""
     return (
@@ -720,6 +743,7 @@ QUERIES: dict[str, Query] = {
     "landing_footers": q_landing_footers,
     "corrupt_file_report": q_corrupt_file_report,
     "pipeline_chained_latest": q_pipeline_chained_latest,
+    "pipeline_continuous_latest": q_pipeline_continuous_latest,
     "observed_health": q_observed_health,
     "layout_skips": q_layout_skips,
     "default_stamps": q_default_stamps,
@@ -898,6 +922,7 @@ FROM events GROUP BY event_type""",
         "corrupt_file_report": f"""SELECT event_type AS symbol, CASE event_type WHEN '{BROKEN_SYMBOL}' THEN 'broken' ELSE 'whole' END AS status, count(*) AS rows,
   CASE event_type WHEN '{BROKEN_SYMBOL}' THEN 0 ELSE count(*) END AS rows_read FROM events GROUP BY event_type""",
         "pipeline_chained_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
+        "pipeline_continuous_latest": base + f"SELECT {', '.join(LANDING_COLUMNS)} FROM latest",
         "observed_health": _with(_CANDLES)
         + """SELECT count(*) AS rows, min(open_time) AS first_open, max(open_time) AS last_open,
   count_if(NOT coalesce(open_time < close_time, false)) AS bad_time_order,

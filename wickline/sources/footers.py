@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,12 +224,21 @@ def layout_skips(names: DataFrame, values: DataFrame, column: str = "symbol") ->
     many of them a reader of that value cannot skip (``overlaps``).  A group
     without statistics can never be skipped.
 
-    ``values`` has one column, ``column``.  One row a group is compared with
-    each value, so it is meant for the values of a report, such as the symbols.
+    ``values`` has one column, ``column``.  A value meets the groups that begin
+    at or before it less those that end before it, so no group is compared with
+    each value: groups are counted by their bounds, and one running sum goes
+    over the distinct bounds and values (values of the column all of them, so
+    as many rows as the report has lines, whatever the number of groups).
     """
     groups = row_group_ranges(names, column)
-    value = F.col(column)
-    overlaps = F.coalesce((F.col("least") <= value) & (value <= F.col("greatest")), F.lit(True))
-    total = groups.agg(F.count(F.lit(1)).alias("groups"))
-    met = values.distinct().join(groups, overlaps, "left").groupBy(column).agg(F.count("path").alias("overlaps"))
-    return met.crossJoin(total).select(column, "groups", "overlaps")
+    ends = F.explode(F.array(F.struct(F.col("least").alias("v"), F.lit(1).alias("begin"), F.lit(0).alias("end")), F.struct(F.col("greatest").alias("v"), F.lit(0).alias("begin"), F.lit(1).alias("end"))))
+    bounds = groups.select(ends.alias("e")).select("e.v", "e.begin", "e.end", F.lit(False).alias("asked"))
+    asked = values.select(F.col(column).alias("v"), F.lit(0).alias("begin"), F.lit(0).alias("end"), F.lit(True).alias("asked"))
+    counted = bounds.unionByName(asked).groupBy("v").agg(F.sum("begin").alias("begin"), F.sum("end").alias("end"), F.max("asked").alias("asked"))
+    whole = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    through, before = whole.rowsBetween(Window.unboundedPreceding, 0), whole.rowsBetween(Window.unboundedPreceding, -1)
+    # a NULL bound sorts first: as a beginning it is met by every value, and it never ends
+    known_end = F.when(F.col("v").isNotNull(), F.col("end")).otherwise(0)
+    met = F.sum("begin").over(through) - F.coalesce(F.sum(known_end).over(before), F.lit(0))
+    out = counted.select("v", "asked", F.sum("begin").over(whole).alias("groups"), met.alias("overlaps"))
+    return out.where("asked AND v IS NOT NULL").select(F.col("v").alias(column), "groups", "overlaps")
