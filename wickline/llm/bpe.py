@@ -77,10 +77,14 @@ class PrefixEncoder:
         if known is None:
             if len(self._pairs) > REMEMBERED:
                 self._pairs.clear()
-            want = [self.text[a], self.text[b]] if a else [self.text[b]]
-            known = self._pairs[key] = self.merge(self.symbols[a] + self.symbols[b]) == want
+            known = self._pairs[key] = self.joined(a, b)
         return known
 
+    def joined(self, a: int, b: int) -> bool:
+        """What :meth:`follows` remembers, found anew by the merges."""
+        want = [self.text[a], self.text[b]] if a else [self.text[b]]
+        return self.merge(self.symbols[a] + self.symbols[b]) == want
+
     def last(self, s: Sequence[str], i: int, before: Sequence[int], final: str | None = None) -> tuple[int, int]:
         """(token, its start): the last token of the encoding of ``s[:i]``, or
         (0, -1).  ``final`` stands in for the last symbol."""

@@ -9,9 +9,10 @@ one boundary, ids up to it are committed and the lattice before it is dropped.
 The vocabulary is a BPE one, whose best path is the one the merges give, not
 the one of highest score sum.  Its transitions are therefore scored 0 where
 the pair of pieces stays itself under the merges and minus infinity elsewhere;
-exactly one path to each position survives.  No piece holds a space mark after
-another character, so all paths meet at every word's start; words are encoded
-one by one and remembered within a bounded memory.
+exactly one path to each position survives.  The pieces that end at a position
+come from an automaton over all pieces, which reads each symbol once.  No piece
+holds a space mark after another character, so all paths meet at every word's
+start; words are encoded one by one and remembered within a bounded memory.
 
 Defined cases: a null or empty text has no ids; characters without a piece
 become the pieces of their UTF-8 bytes; U+2581 is the space mark itself and
@@ -23,10 +24,13 @@ are; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline.llm.base import arrow, batch
-from wickline.llm.bpe import START, Memory, PrefixEncoder
+from wickline.llm.bpe import REMEMBERED, START, Memory, PrefixEncoder
 
 SPACE = "▁"
 
@@ -57,7 +61,17 @@ class PieceCodec:
         cost = {p: -score for _, p, score in normal}
         self.encoder = PrefixEncoder((p for _, p, _ in normal), lambda a, b: cost.get(a + b))
         self.ids = [0, *(i for i, _, _ in normal)]
-        self.known = {p for p in cost if len(p) == 1}
+        known = "".join(p for p in cost if len(p) == 1)
+        #: Runs of symbols that have pieces, and single ones that have none.
+        self.runs = re.compile(f"[{re.escape(known)}]+|.", re.DOTALL)
+        self.known = frozenset(known)
+        #: Every piece that ends at a symbol: its length, its number, and
+        #: whether it may follow the tokens it has been tried after.
+        self.ending = ahocorasick.Automaton()
+        for number, (_, p, _) in enumerate(normal, 1):
+            self.ending.add_word(p, (len(p), number, {}))
+        self.ending.make_automaton()
+        self.held = 0
         self.bytes_at = {p.piece: i for i, p in enumerate(model.pieces) if p.type == p.BYTE}
         self.byte_ids = [self.bytes_at[f"<0x{b:02X}>"] for b in range(256)]
         self.raw = [p.piece.replace(SPACE, " ").encode() if p.type == p.NORMAL else b"" for p in model.pieces]
@@ -65,36 +79,66 @@ class PieceCodec:
             self.raw[i] = bytes([b])
         self.words = Memory(self._word, 300_000)
 
-    def stream(self, symbols: str) -> Iterator[int]:
+    def stream(self, symbols: str) -> Iterator[list[int]]:
         """Piece ids of a text in space marks, committed as paths converge."""
-        longest, at = self.encoder.longest, 0
-        window, token, back = "", [START], [-1]
-        while at < len(symbols):
-            c = symbols[at]
-            at += 1
-            if c not in self.known:  # a boundary of every path
-                yield from self._path(token, back, len(token) - 1)
-                yield from (self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass"))
-                window, token, back = "", [START], [-1]
+        for m in self.runs.finditer(symbols):
+            run = m.group()
+            if run[0] in self.known:
+                yield from self._lattice(run)
+            else:  # a boundary of every path
+                yield [self.byte_ids[b] for b in run.encode("utf-8", "surrogatepass")]
+
+    def _lattice(self, run: str) -> Iterator[list[int]]:
+        """Piece ids of symbols that all have pieces.
+
+        ``token`` and ``back`` are the last piece of the path to each position
+        of the window and where that piece starts; the window begins at
+        ``base``, before which everything is committed, and its paths are
+        found up to ``reached``."""
+        longest = self.encoder.longest
+        token, back, base, reached, check = [START], [-1], 0, 0, 4 * longest
+        for end, (length, number, after) in self.ending.iter(run):
+            if end < reached:  # its path is found
                 continue
-            window += c
-            t, j = self.encoder.last(window, len(window), token)
-            token.append(t)
-            back.append(j)
-            if len(window) >= 4 * longest and len(window) % longest == 0:
-                meet = self._meeting(back, longest)
-                if meet > 0:
-                    yield from self._path(token, back, meet)
-                    window, token = window[meet:], token[meet:]
-                    back = [-1, *(max(b - meet, -1) for b in back[meet + 1 :])]
-        yield from self._path(token, back, len(token) - 1)
+            j = end + 1 - base - length
+            if j < 0:  # a piece across the committed boundary is on no path
+                continue
+            last = token[j]
+            fits = after.get(last)
+            if fits is None:
+                fits = self._tried(last, number, after)
+            if fits:
+                token.append(number)
+                back.append(j)
+                reached = end + 1
+                if reached - base == check:
+                    meet = self._meeting(back, longest)
+                    if meet > 0:
+                        yield self._path(token, back, meet)
+                        base += meet
+                        token = token[meet:]
+                        back = [-1, *[max(b - meet, -1) for b in back[meet + 1 :]]]
+                    check = max(reached - base + longest, 4 * longest)
+        yield self._path(token, back, reached - base)
+
+    def _tried(self, last: int, number: int, after: dict[int, bool]) -> bool:
+        """Whether a piece may follow the last one, remembered with the piece;
+        all is forgotten once a bounded number of pairs is held."""
+        if self.held >= REMEMBERED:
+            for _, _, other in self.ending.values():
+                other.clear()
+            self.held = 0
+        self.held += 1
+        after[last] = fits = self.encoder.joined(last, number)
+        return fits
 
     def _path(self, token: list[int], back: list[int], end: int) -> list[int]:
-        out = []
+        out, ids = [], self.ids
         while end > 0:
-            out.append(self.ids[token[end]])
+            out.append(ids[token[end]])
             end = back[end]
-        return out[::-1]
+        out.reverse()
+        return out
 
     @staticmethod
     def _meeting(back: list[int], longest: int) -> int:
@@ -107,7 +151,7 @@ class PieceCodec:
         return open_ends.pop()
 
     def _word(self, word: str) -> bytes:
-        return np.fromiter(self.stream(SPACE + word), np.int32).tobytes()
+        return b"".join([array("i", part).tobytes() for part in self.stream(SPACE + word)])
 
     def encode(self, text: str) -> np.ndarray:
         """Piece ids of a whole text."""
@@ -168,12 +212,12 @@ def decode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
 def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned
     32-bit integers), n_chars and text_sha256 of the decoded text."""
-    encoded = encode_pieces(df, path, id_col, text_col)
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def digest(b: pa.RecordBatch) -> pa.RecordBatch:
         own, rows = codec(path), []
-        for x in b["ids"]:
-            ids = x.values.to_numpy()
+        for t in b["text"]:  # ids stay in the task that makes and decodes them
+            ids = own.encode(t.as_py() or "")
             text = own.decode(ids)
             rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(text), hashlib.sha256(text.encode()).hexdigest()))
         n, crc, chars, sha = zip(*rows, strict=True)
@@ -181,7 +225,7 @@ def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             doc_id=b["doc_id"], n_tokens=np.array(n, np.int64), ids_crc32=np.array(crc, np.int64), n_chars=np.array(chars, np.int64), text_sha256=pa.array(sha)
         )
 
-    return arrow(encoded, digest, "doc_id long, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string")
+    return arrow(src, digest, "doc_id long, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string")
 
 
 def library_ids(path: str, texts: list[str]) -> list[list[int]]:
