@@ -177,18 +177,20 @@ def _bits(df: DataFrame, column: str) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little")
 
 
-def _with_filter(df: DataFrame, bits: np.ndarray, column: str) -> DataFrame:
-    """Rows whose bit is set: all that matter, and some others."""
+def _sets_with_bit(src: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``__id`` and sorted shingles of the documents whose bit is set: all that
+    matter, and some others.  One pass, so a task needs one Python worker."""
     packed = np.packbits(bits)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(packed).astype(bool)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.unpackbits(packed).view(bool)
         for b in batches:
-            yield b.filter(pa.array(flags[b["__slot"].to_numpy()])).drop_columns(["__slot"])
+            b = b.filter(pa.array(flags[b["__slot"].to_numpy()]))
+            if b.num_rows:
+                yield batch(__id=b["__id"], shingles=pa.array([s.tobytes() for s in _sets(b["text"])], pa.binary()))
 
-    slot = F.shiftrightunsigned(F.xxhash64(column), 64 - FILTER_BITS)
-    kinds = ", ".join(f"{c} {t}" for c, t in df.dtypes)
-    return arrow_iter(df.withColumn("__slot", slot), keep, kinds)
+    slot = F.shiftrightunsigned(F.xxhash64("__id"), 64 - FILTER_BITS)
+    return arrow_iter(src.withColumn("__slot", slot), whole, "__id long, shingles binary")
 
 
 def _star_pairs(small: DataFrame) -> DataFrame:
@@ -220,10 +222,7 @@ def exact_links(src: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link, by intersection of the sorted arrays."""
     needed = pairs.select(F.col("a").alias("__id")).unionByName(pairs.select(F.col("b").alias("__id"))).distinct()
 
-    def whole(b: pa.RecordBatch) -> pa.RecordBatch:
-        return batch(__id=b["__id"], shingles=pa.array([s.tobytes() for s in _sets(b["text"])], pa.binary()))
-
-    sets = arrow(_with_filter(src, _bits(needed, "__id"), "__id"), whole, "__id long, shingles binary")
+    sets = _sets_with_bit(src, _bits(needed, "__id"))
     rows = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
 
     def check(b: pa.RecordBatch) -> pa.RecordBatch:
