@@ -63,6 +63,50 @@ def test_blocks_of_passages(spark, docs_of, items, monkeypatch):
     assert pairs(D.contaminated(docs_of([(i, "x " + t) for i, t in items]), ben(spark, items))) == [(i, i) for i, _ in items]
 
 
+def test_parts_of_long_items_and_short_items_are_found(spark, docs_of):
+    rng = random.Random(12)
+    long = " ".join(f"l{rng.randrange(10**6)}" for _ in range(130))
+    words = long.split()
+    bench = [(1, long), (2, "a b c d"), (3, "Lonely"), (4, "x y"), (5, "x y")]
+    docs = [(10, embed(rng, " ".join(words[:64]))), (11, embed(rng, " ".join(words[:80]))), (12, embed(rng, long)), (13, embed(rng, " ".join(words[:30])))]
+    docs += [(20, "so A b, c D it is"), (21, "a b c e d"), (22, "b c d a"), (23, "a b c"), (24, "a b c\nd"), (30, "lonely"), (31, "not alone"), (40, "x. y"), (None, "x y")]
+    want = [(10, 1), (11, 1), (12, 1), (20, 2), (24, 2), (30, 3), (40, 4), (40, 5), (None, 4), (None, 5)]
+    assert pairs(D.contaminated(docs_of(docs), ben(spark, bench))) == sorted(want, key=repr)
+
+
+def test_recall_against_an_exhaustive_scan(spark, docs_of):
+    """Every place of every document against every item, without words chosen
+    or cosines: what the search finds is right, and nearly all there is."""
+    rng = random.Random(13)
+    bench = [(i, prose(rng, n, 1500)) for i, n in enumerate([9, 14, 18, 25, 33, 48, 64] * 3)]
+    docs = []
+    for i, text in bench:
+        for rate in (0.0, 0.1, 0.2, 0.25, 0.3, 0.4):
+            words = []
+            for w in text.split():
+                u = rng.random()
+                words += [] if u < rate / 3 else [w, f"w{rng.randrange(1500)}"] if u < rate / 2 else [f"w{rng.randrange(1500)}"] if u < rate else [w]
+            docs.append((len(docs), embed(rng, " ".join(words))))
+
+    def hashed(texts):
+        import pyarrow as pa
+
+        return [h[before[k] : before[k + 1]].view(np.int64).tolist() for _, _, h, before in D._words(pa.array(texts)) for k in range(len(before) - 1)]
+
+    items, every = hashed([t for _, t in bench]), set()
+    for (d, _), text in zip(docs, hashed([t for _, t in docs]), strict=True):
+        for (i, _), item in zip(bench, items, strict=True):
+            reach = 3 * len(item)
+            for s in range(0, max(1, len(text) - len(item) // 2), max(1, len(item) // 4)):
+                common, answer = D._agree(item, text[max(0, s - len(item)) : s + reach - len(item)])
+                if common >= D._least(len(item)) and answer >= D.ANSWER:
+                    every.add((d, i))
+                    break
+    found = set(pairs(D.contaminated(docs_of(docs), ben(spark, bench))))
+    assert len(every) > 60 and len(found & every) >= 0.9 * len(every)
+    assert len(found - every) <= 0.05 * len(found)
+
+
 def test_randomised_svd_spans_the_leading_directions(spark, items):
     bench = D.passages(ben(spark, items), "item_id", "text")
     words = [np.array(r["words"], np.int64).view(np.uint64) for r in bench.orderBy("item", "part").collect()]

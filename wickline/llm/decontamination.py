@@ -14,10 +14,14 @@ words, so this loses nothing.  Benchmark passages go
 through in blocks of ``BLOCK``, each against all documents, so what is sent to
 tasks is bounded.
 
+Items of more words than the largest scale are cut into overlapping passages,
+each searched and checked as an item of its own, so a document that holds a
+part of a long item is found too.  Items of fewer than ``MIN_WORDS`` words have
+no direction worth a cosine: they are looked up exactly, as a run of words.
+
 Defined cases: words are runs of letters, digits and non-ASCII characters
 in lower case; null or empty texts and items match nothing; items of fewer
-than ``MIN_WORDS`` words are no evidence and are not searched, those of fewer
-than 8 must be there word for word; repeated documents or items give one row
+than 8 words must be there word for word; repeated documents or items give one row
 for each pair of ids; null ids match like others; empty tables give no rows;
 other columns are ignored.
 """
@@ -44,6 +48,8 @@ BLOCK = 512
 #: no words with others.
 RANK, OVERSAMPLING = 512, 10
 COSINE = 0.45
+#: Windows and passages compared at a time.
+PAIRS = 512
 #: Shares of the item's and of the answer's words that must be there in order.
 COMMON, ANSWER = 0.7, 0.5
 #: Share of the item's words by which the rare words looked for outnumber those
@@ -60,34 +66,32 @@ def _words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
 
 
 def passages(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, part, scale, words, item_words): items cut to at most the
-    largest scale, half overlapping."""
+    """(item, part, scale, words): items cut to at most the largest scale, half
+    overlapping; scale 0: too short for a window."""
     most = SCALES[-1]
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        item, part, scale, own, whole = [], [], [], [], []
+        item, part, scale, own = [], [], [], []
         ids = b["__id"].to_pylist()
         for r0, r1, h, before in _words(b["text"]):
             for r in range(r0, r1):
                 w = h[before[r - r0] : before[r - r0 + 1]].view(np.int64)
-                if len(w) < MIN_WORDS:
+                if not len(w):
                     continue
                 starts = range(0, max(1, len(w) - most // 2), most // 2) if len(w) > most else (0,)
                 for k, s in enumerate(starts):
                     p = w[s : s + most]
                     item.append(ids[r])
                     part.append(k)
-                    scale.append(min(SCALES, key=lambda x: abs(np.log(x / len(p)))))
+                    scale.append(min(SCALES, key=lambda x: abs(np.log(x / len(p)))) if len(w) >= MIN_WORDS else 0)
                     own.append(p)
-                    whole.append(w)
         if not item:
             return None
         many = pa.list_(pa.int64())
-        return batch(item=np.array(item, np.int64), part=np.array(part, np.int32), scale=np.array(scale, np.int32), words=pa.array(own, many), item_words=pa.array(whole, many))
+        return batch(item=np.array(item, np.int64), part=np.array(part, np.int32), scale=np.array(scale, np.int32), words=pa.array(own, many))
 
     src = with_ids(benchmark, id_col, text_col).select("__id", F.col(text_col).alias("text"))
-    cut_rows = arrow(src, cut, "item long, part int, scale int, words array<long>, item_words array<long>")
-    return cut_rows.dropDuplicates(["item", "part", "item_words"])
+    return arrow(src, cut, "item long, part int, scale int, words array<long>").dropDuplicates(["item", "part", "words"])
 
 
 class _Vocabulary:
@@ -331,9 +335,9 @@ def _search(block: _Block, h: np.ndarray, before: np.ndarray) -> Iterator[tuple[
         window, p = pairs // len(block.item), pairs % len(block.item)
         some = upto[end[window]] > upto[start[window]]
         window, p = window[some], p[some]
-        for i in range(0, len(window), 4096):
-            w, which = np.unique(window[i : i + 4096], return_inverse=True)
-            q = p[i : i + 4096]
+        for i in range(0, len(window), PAIRS):
+            w, which = np.unique(window[i : i + PAIRS], return_inverse=True)
+            q = p[i : i + PAIRS]
             x = _project(block, number, upto, known, start[w], end[w])
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
             cosine = np.einsum("ij,ij->i", x[which], block.latent[q])
@@ -358,22 +362,64 @@ def contaminated(
     benchmark item that it holds, and the shares of words found."""
     src = with_ids(docs, id_col, text_col).select("__id", F.col(text_col).alias("text"))
     parts = staged(passages(benchmark, item_col, item_text_col), "passages")
-    total = parts.count()
-    blocks = min(total, 1) if total <= BLOCK else 2 * -(-total // BLOCK)  # about half full each
     kinds = "__id long, item long, cosine double, common double, answer double"
     out = docs.sparkSession.createDataFrame([], kinds)
-    for n in range(blocks):
-        rows = parts.where(F.pmod(F.xxhash64("item", "part"), F.lit(blocks)) == n)
-        held = rows.orderBy("item", "part").toArrow()
-        if held.num_rows:
-            out = out.unionByName(_matches(src, rows, held, kinds))
-    if blocks > 1:
+    rounds = 0
+    for own, find in ((parts.where("scale > 0"), _matches), (parts.where("scale = 0"), _short_matches)):
+        total = own.count()
+        blocks = min(total, 1) if total <= BLOCK else 2 * -(-total // BLOCK)  # about half full each
+        for n in range(blocks):
+            rows = own.where(F.pmod(F.xxhash64("item", "part"), F.lit(blocks)) == n)
+            held = rows.orderBy("item", "part").toArrow()
+            if held.num_rows:
+                out = out.unionByName(find(src, rows, held, kinds))
+                rounds += 1
+    if rounds > 1:
         out = staged(out, "matches")
         unstage(parts)
     best = out.groupBy("__id", "item").agg(*[F.max(c).alias(c) for c in ("cosine", "common", "answer")])
     return best.select(real_id().alias("doc_id"), real_id("item").alias("item_id"), "cosine", "common", "answer")
 
 
+def _hit_rows(src: DataFrame, find, kinds: str) -> DataFrame:
+    """``find(word hashes, words before each row)``: (row, ...) of the hits."""
+
+    def search(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        ids, out = b["__id"].to_numpy(), []
+        for r0, _, h, before in _words(b["text"]):
+            out += [(ids[r0 + r], *hit) for r, *hit in find(h, before)]
+        if not out:
+            return None
+        cols = list(zip(*out, strict=True))
+        return batch(__id=np.array(cols[0], np.int64), item=np.array(cols[1], np.int64), cosine=np.array(cols[2]), common=np.array(cols[3]), answer=np.array(cols[4]))
+
+    return arrow(src, search, kinds)
+
+
+def _short_matches(src: DataFrame, rows: DataFrame, held: pa.Table, kinds: str) -> DataFrame:
+    """Documents that hold an item of a few words as a run of words."""
+    own = [tuple(w.values.to_pylist()) for w in held["words"]]
+    items: dict[tuple[int, ...], list[int]] = {}
+    for w, item in zip(own, held["item"].to_pylist(), strict=True):
+        items.setdefault(w, []).append(item)
+    firsts = np.unique(np.array([w[0] for w in own], np.int64))
+    sizes = sorted({len(w) for w in own})
+
+    def find(h: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        words = h.view(np.int64)
+        starts = np.flatnonzero(np.isin(words, firsts))
+        row = np.searchsorted(before, starts, side="right") - 1
+        found = set()
+        for s, r in zip(starts.tolist(), row.tolist(), strict=True):
+            for n in sizes:
+                if s + n <= before[r + 1]:
+                    found.update((r, item) for item in items.get(tuple(words[s : s + n].tolist()), ()))
+        for r, item in sorted(found):
+            yield r, item, 1.0, 1.0, 1.0
+
+    return _hit_rows(src, find, kinds)
+
+
 def _matches(src: DataFrame, rows: DataFrame, held: pa.Table, kinds: str) -> DataFrame:
     own = [w.values.to_numpy().view(np.uint64) for w in held["words"]]
     vocabulary = _Vocabulary(np.unique(np.concatenate(own)))
@@ -385,20 +431,11 @@ def _matches(src: DataFrame, rows: DataFrame, held: pa.Table, kinds: str) -> Dat
         at, weight = _weighted(vocabulary.number(w), idf)
         latent[i] = weight @ space[at]
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    item_words = [w.values.to_pylist() for w in held["item_words"]]
+    item_words = [w.values.to_pylist() for w in held["words"]]
     rare = _rare(item_words, vocabulary, idf)
     block = _Block(vocabulary, idf.astype(np.float32), space, held["item"].to_numpy(), held["scale"].to_numpy(), latent, item_words, rare)
 
-    def search(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, out = b["__id"].to_numpy(), []
-        for r0, _, h, before in _words(b["text"]):
-            out += [(ids[r0 + r], *hit) for r, *hit in _search(block, h, before)]
-        if not out:
-            return None
-        cols = list(zip(*out, strict=True))
-        return batch(__id=np.array(cols[0], np.int64), item=np.array(cols[1], np.int64), cosine=np.array(cols[2]), common=np.array(cols[3]), answer=np.array(cols[4]))
-
-    return arrow(src, search, kinds)
+    return _hit_rows(src, lambda h, before: _search(block, h, before), kinds)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
