@@ -57,5 +57,13 @@ def test_large_components_are_exact(spark):
     assert run(spark, small, k=2) == brute(small, lambda i: i % 5 == 0, 2)
 
 
+def test_a_query_whose_norm_squared_is_beyond_a_long(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.randrange(-64, 64) / 64, rng.randrange(-64, 64) / 64]) for i in range(40)]
+    rows += [(50, [1e9, 0.5])]  # only its product with itself, which is no candidate, is beyond a long
+    rows = [(i, [float(__import__("numpy").float32(x)) for x in v]) for i, v in rows]
+    assert run(spark, rows) == brute(rows, lambda i: i % 5 == 0, 5)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []

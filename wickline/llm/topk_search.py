@@ -101,9 +101,10 @@ def _histogram(df: DataFrame, block: _Block, low: np.ndarray, width: np.ndarray,
         for b in batches:
             for ids, m in _vectors(b["id"], b["v"], scale):
                 for at, cand, s in block.scores(ids, m):
-                    bins = (s - low[at]) // width[at]
-                    use = (bins >= 0) & (cand[:, None] != block.ids[at])
-                    cell = (np.minimum(bins, BINS - 1) + at * BINS)[use]
+                    # unsigned, since two longs may lie further apart than a long reaches
+                    bins = (s.astype(np.uint64) - low[at].astype(np.uint64)) // width[at].astype(np.uint64)
+                    use = (s >= low[at]) & (cand[:, None] != block.ids[at])
+                    cell = (np.minimum(bins, np.uint64(BINS - 1)).astype(np.int64) + at * BINS)[use]
                     hist += np.bincount(cell, minlength=hist.size).reshape(hist.shape)
         above = np.cumsum(hist[:, ::-1], axis=1)[:, ::-1]
         q, at = np.nonzero((hist > 0) & (above - hist < k))
@@ -125,7 +126,7 @@ def _kth_values(df: DataFrame, block: _Block, bound: int, k: int, scale: int) ->
         found = upto.groupBy("q").agg(F.max_by(F.struct("bin", "n", "upto"), "bin").alias("x"))
         next_low, above = np.full(size, -bound, np.int64), np.full(size, -1, np.int64)
         for q, x in found.collect():  # one row a query of the block
-            next_low[q] = low[q] + x["bin"] * width
+            next_low[q] = int(low[q]) + x["bin"] * width
             above[q] = x["upto"] - x["n"]
         if width == 1:
             return next_low, above
@@ -163,7 +164,7 @@ def top_k(
     workers_can_import(spark)
     df = candidates.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     ask = staged(queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL").distinct(), "queries")
-    bound = _largest_norm(df, scale) * _largest_norm(ask, scale)
+    bound = min(_largest_norm(df, scale) * _largest_norm(ask, scale), 2**63 - 1)  # scores are longs
     total = ask.count()
     parts = min(total, 1) if total <= block else 2 * -(-total // block)  # about half full each
     by_block = ask.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)))
