@@ -7,8 +7,9 @@ fitted through that to the document labels.  The same sentence scores then
 locate the offending sentences.
 
 The fit uses at most about ``MAX_DOCS`` labelled documents, drawn by a hash of
-their id, each of at most ``MAX_WORDS`` words; features are those of at least
-``MIN_DOCS`` of them that tell the labels apart best.  The prior of a sentence
+their id, and fewer where those would hold more than about ``MAX_BYTES`` of
+text; whole texts, however long.  Features are those of at least ``MIN_DOCS`` of
+them that tell the labels apart best.  The prior of a sentence
 is spread over the document's sentences, so length alone makes nothing toxic.
 All documents and whole texts are scored.
 
@@ -32,7 +33,7 @@ from wickline.llm.base import arrow, batch
 from wickline.llm.text import PUNCTUATION, U64, chunks, mix, span_hash, words
 
 MAX_DOCS = 12_000
-MAX_WORDS = 20_000
+MAX_BYTES = 256 << 20
 MIN_DOCS = 8
 FEATURES = 8192
 PREFIXES = (4, 5, 6)
@@ -99,16 +100,27 @@ def _features(data: np.ndarray, offsets: np.ndarray, keep) -> Chunk:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str) -> DataFrame:
-    """(text, toxic) of at most about ``MAX_DOCS`` labelled documents."""
+    """(__id, text, toxic) of at most about ``MAX_DOCS`` labelled documents."""
     known = labels.where("toxic IS NOT NULL").where(usable).groupBy(F.col(id_col).alias("__id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     n = known.count()
     share = min(1.0, MAX_DOCS / n) if n else 0.0
     drawn = known.where(F.pmod(F.xxhash64("__id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
     few = F.broadcast(drawn.limit(2 * MAX_DOCS))  # at most that many rows, whatever the tables' size
-    return docs.join(few, docs["__id"] == few["__id"]).select("text", "toxic")
+    return docs.join(few, docs["__id"] == few["__id"]).select(docs["__id"], "text", "toxic")
 
 
-def _chosen(sample: DataFrame) -> np.ndarray:
+def _bounded(sample: DataFrame) -> tuple[DataFrame, int, int]:
+    """(sample, documents, toxic ones) of at most about ``MAX_BYTES`` of text:
+    what the fit gathers grows with the text, not with the documents alone."""
+    counts = [F.count("*"), F.sum("toxic"), F.sum(F.octet_length("text"))]
+    total, toxic, size = sample.agg(*counts).first()
+    if size and size > MAX_BYTES:
+        sample = sample.where(F.pmod(F.xxhash64("__id", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * MAX_BYTES / size))
+        total, toxic, _ = sample.agg(*counts).first()
+    return sample, total, toxic or 0
+
+
+def _chosen(sample: DataFrame, total: int, toxic: int) -> np.ndarray:
     """The hashes of the features that tell the labels apart best."""
 
     def count(b: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -116,18 +128,13 @@ def _chosen(sample: DataFrame) -> np.ndarray:
         for r0, _, data, off in chunks(b["text"]):
             c = _features(data, off, lambda h: np.arange(len(h)))
             pairs = np.unique(np.rec.fromarrays([c.row, c.feature], names="r,f"))
-            small = np.bincount(c.row, minlength=len(off) - 1) <= MAX_WORDS * (1 + len(PREFIXES))
-            pairs = pairs[small[pairs.r]]
             found.append(pairs.f)
             marks.append(y[r0 + pairs.r])
         features, at = np.unique(np.concatenate(found), return_inverse=True)
         toxic = np.bincount(at, weights=np.concatenate(marks), minlength=len(features)).astype(np.int64)
         return batch(feature=features.view(np.int64), n=np.bincount(at, minlength=len(features)).astype(np.int64), toxic=toxic)
 
-    counts = arrow(sample, count, "feature long, n long, toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    total, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
-    if not total or not toxic or toxic == total:
-        return np.zeros(0, np.uint64)
+    counts = arrow(sample.select("text", "toxic"), count, "feature long, n long, toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     share = toxic / total
     gap = F.abs(F.col("toxic") - F.col("n") * share) - 1.0
     strength = gap / F.sqrt(F.col("n") * share * (1 - share))  # deviations from the mean
@@ -168,7 +175,7 @@ def _fit(sample: DataFrame, features: np.ndarray) -> Model:
             sentence=pa.array(out["sentence"], pa.list_(pa.int32())), feature=pa.array(out["feature"], pa.list_(pa.int32())),
         )
 
-    got = arrow(sample, rows, "toxic int, sentences int, sentence array<int>, feature array<int>").toArrow().combine_chunks()
+    got = arrow(sample.select("text", "toxic"), rows, "toxic int, sentences int, sentence array<int>, feature array<int>").toArrow().combine_chunks()
     y = got["toxic"].to_numpy().astype(float)
     counts = np.maximum(got["sentences"].to_numpy(), 1)
     lists = got["feature"].combine_chunks()
@@ -208,11 +215,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     """The model of the labelled documents whose id satisfies ``usable`` (a
     condition on ``labels``)."""
     src = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    sample = _sample(src, labels, usable, id_col)
-    features = _chosen(sample)
+    sample, total, toxic = _bounded(_sample(src, labels, usable, id_col))
+    features = _chosen(sample, total, toxic) if 0 < toxic < total else np.zeros(0, np.uint64)
     if len(features):
         return _fit(sample, features)
-    share = sample.agg(F.avg("toxic")).first()[0] or 0.0
+    share = toxic / total if total else 0.0
     return Model(features, np.zeros(0), float(np.log(share / (1 - share)) if 0 < share < 1 else (40.0 if share else -40.0)))
 
 
