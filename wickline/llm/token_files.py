@@ -35,6 +35,8 @@ from wickline.llm.base import arrow, arrow_iter, batch, real_id, scratch_root, w
 from wickline.llm.range_coder import decode_record, encode_record
 
 RECORD = 1 << 22
+#: Text of a range partition; less where the cores would have nothing to do.
+PARTITION_BYTES = 256 << 20
 #: Words whose ids a worker remembers before starting afresh.
 REMEMBERED = 400_000
 FILE_ROWS = "shard int, seq int, n_ids long, doc_ids array<long>, doc_lengths array<int>, record binary"
@@ -105,7 +107,9 @@ def write_tokens(df: DataFrame, folder: str, path: str, id_col: str = "doc_id",
     """Tokenise ``df`` with the vocabulary file ``path`` and write the files."""
     spark = df.sparkSession
     src = with_ids(df, id_col, text_col).select("__id", F.xxhash64(text_col).alias("fp"), F.col(text_col).alias("text"))
-    ordered = src.repartitionByRange("__id", "fp").sortWithinPartitions("__id", "fp").select("__id", "text")
+    size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    partitions = max(3 * spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    ordered = src.repartitionByRange(partitions, "__id", "fp").sortWithinPartitions("__id", "fp").select("__id", "text")
     end = np.array([end_id], "<i4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
