@@ -57,6 +57,43 @@ def test_layouts_are_told_apart(spark):
     assert turns["system_prompt_response"] == [("system", "s"), ("user", "q"), ("assistant", "a")]
 
 
+MORE = {  # records with fields of other layouts or without marking ones, their layout and turns
+    "system": ({"prompt": "q", "completion": "a", "system": "s"}, "prompt_completion", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    "prompt": ({"instruction": "q", "output": "a", "prompt": "p"}, "instruction", [("user", "q"), ("assistant", "a")]),
+    "no text": ({"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}]}, "messages", [("user", ""), ("assistant", "a")]),
+    "list": ({"messages": [{"role": "user", "content": "q"}], "prompt": "p", "response": "r"}, "messages", [("user", "q")]),
+    "both": ({"prompt": "q", "completion": "a", "response": "r"}, "prompt_completion", [("user", "q"), ("assistant", "a")]),
+    "null": ({"prompt": None, "response": "a"}, "prompt_response", [("user", ""), ("assistant", "a")]),
+}
+
+
+def test_other_fields_do_not_hide_a_layout(spark):
+    df = spark.createDataFrame([(n, json.dumps(r)) for n, (r, _, _) in MORE.items()], "name string, record string")
+    got = {r["name"]: (r["layout"], [tuple(t) for t in r["turns"]]) for r in C.canonical_turns(df).collect()}
+    assert got == {n: (layout, turns) for n, (_, layout, turns) in MORE.items()}
+
+
+@pytest.mark.parametrize(
+    ("kind", "record", "layout", "turns"),
+    [
+        ("prompt string, response string", (None, "a"), "prompt_response", [("user", ""), ("assistant", "a")]),
+        ("prompt string, response string", (None, None), "prompt_response", [("user", ""), ("assistant", "")]),
+        ("prompt string, response string", None, None, None),
+        ("prompt string, completion string, system string", ("q", "a", None), "prompt_completion", [("user", "q"), ("assistant", "a")]),
+        ("prompt string, completion string, instruction string, output string", (None, None, "q", None), "instruction", [("user", "q"), ("assistant", "")]),
+        ("prompt string, completion string, instruction string, output string", (None, None, None, None), None, None),
+        ("messages array<struct<role:string,content:string>>", ([(None, "x"), ("user", None)],), "messages", [("", "x"), ("user", "")]),
+        ("messages array<struct<role:string>>", ([("user",)],), "messages", [("user", "")]),
+        ("messages array<struct<role:string,content:string>>, prompt string, response string", (None, "q", "a"), "prompt_response", [("user", "q"), ("assistant", "a")]),
+        ("foo string", ("x",), None, None),
+    ],
+)
+def test_structs_with_nulls(spark, kind, record, layout, turns):
+    row = C.canonical_turns(spark.createDataFrame([(record,)], f"record struct<{kind.replace(' string', ':string').replace(' array', ':array')}>")).first()
+    assert row["layout"] == layout
+    assert (row["turns"] and [tuple(t) for t in row["turns"]]) == turns
+
+
 def test_conversation_rows(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (2, None, None, None), (None, 5, "user", "n"), (3, 0, "assistant", "</s>")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, record string")

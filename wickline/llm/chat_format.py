@@ -1,10 +1,11 @@
 """Chat formatting (operator 4), with DataFrame functions only.
 
 Records come in different layouts: prompt and completion, instruction and
-output, lists of messages under several names.  A record's fingerprint is the
-hash of those known nested field paths that it holds; it selects a declarative
-mapping, and the mapping turns the record into canonical turns of role and
-text.  The template then writes
+output, lists of messages under several names.  Each declarative mapping has
+the fingerprint of the nested field paths that mark its layout; a record's own
+fingerprint is the hash of those paths that it holds.  The first mapping of the
+table whose fingerprint the record has turns it into canonical turns of role
+and text, whatever other fields stand beside them.  The template then writes
 
     <<SYS>>system<</SYS>>   [INST]user[/INST]   <s>assistant</s>
     <|hex of the role|>other<|end|>
@@ -17,7 +18,12 @@ Records are JSON texts, or structs, which are read straight from their fields
 and have no limit of size but that of a row.
 
 Defined cases: a record that is no JSON or holds no known layout keeps its row
-with null layout, turns and text; a JSON object or list of more than
+with null layout, turns and text; a record that holds several layouts takes
+the first of the table, lists of turns before prompts, and a system text
+beside a prompt is its first turn; a list item without a text has an empty
+one; a struct whose marking fields are partly null takes the first layout of
+which it holds any, and one that holds none the only layout of its type, if
+that is no list; a JSON object or list of more than
 ``JSON_BYTES`` that cannot be read, as it is beyond Spark's size limit of a
 variant, fails the query; a null text is empty; an empty list of turns formats as an empty text;
 fields besides the known paths are ignored; turn rows of one conversation are
@@ -35,31 +41,32 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 
 TURNS = "array<struct<role:string,text:string>>"
 
-#: Layouts by the nested paths that mark them.  ``turns`` lists (role, path)
-#: of a flat record; ``items`` names a list and its role and text fields, and
-#: ``names`` says that roles go by other names there.
+#: Layouts by the nested paths that mark them, the first to apply first.
+#: ``turns`` lists (role, path) of a flat record, preceded by ``system`` where
+#: the record has that; ``items`` names a list and its role and text fields,
+#: and ``names`` says that roles go by other names there.
+SYSTEM = "$.system"
 MAPPINGS = [
-    {"layout": "messages", "paths": ["$.messages[0].content", "$.messages[0].role"], "items": ("$.messages", "role", "content")},
-    {"layout": "sharegpt", "paths": ["$.conversations[0].from", "$.conversations[0].value"], "items": ("$.conversations", "from", "value"), "names": True},
-    {"layout": "turns", "paths": ["$.turns[0].role", "$.turns[0].text"], "items": ("$.turns", "role", "text")},
-    {"layout": "instruction", "paths": ["$.instruction", "$.output"], "turns": [("user", "$.instruction"), ("assistant", "$.output")]},
+    {"layout": "messages", "paths": ["$.messages[0].role"], "items": ("$.messages", "role", "content")},
+    {"layout": "sharegpt", "paths": ["$.conversations[0].from"], "items": ("$.conversations", "from", "value"), "names": True},
+    {"layout": "turns", "paths": ["$.turns[0].role"], "items": ("$.turns", "role", "text")},
     {
         "layout": "instruction_input",
         "paths": ["$.input", "$.instruction", "$.output"],
         "turns": [("user", "$.instruction"), ("user", "$.input"), ("assistant", "$.output")],
     },
-    {"layout": "prompt_completion", "paths": ["$.completion", "$.prompt"], "turns": [("user", "$.prompt"), ("assistant", "$.completion")]},
-    {"layout": "prompt_response", "paths": ["$.prompt", "$.response"], "turns": [("user", "$.prompt"), ("assistant", "$.response")]},
+    {"layout": "instruction", "paths": ["$.instruction", "$.output"], "turns": [("user", "$.instruction"), ("assistant", "$.output")]},
     {
         "layout": "system_prompt_response",
-        "paths": ["$.prompt", "$.response", "$.system"],
-        "turns": [("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.response")],
+        "paths": ["$.prompt", "$.response", SYSTEM],
+        "turns": [("user", "$.prompt"), ("assistant", "$.response")],
     },
+    {"layout": "prompt_completion", "paths": ["$.completion", "$.prompt"], "turns": [("user", "$.prompt"), ("assistant", "$.completion")]},
+    {"layout": "prompt_response", "paths": ["$.prompt", "$.response"], "turns": [("user", "$.prompt"), ("assistant", "$.response")]},
     {"layout": "question_answer", "paths": ["$.answer", "$.question"], "turns": [("user", "$.question"), ("assistant", "$.answer")]},
 ]
 #: No JSON text below this makes a variant beyond Spark's 128 MiB.
 JSON_BYTES = 16 << 20
-KNOWN_PATHS = sorted({p for m in MAPPINGS for p in m["paths"]})
 #: Such other names of the canonical roles.
 ROLE_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "model": "assistant", "bot": "assistant"}
 
@@ -70,14 +77,16 @@ _CONTROL = r"([\[<])(?=/?INST\]|/?s>|</?SYS>>|\|)"
 _TURN = r"(?s)<<SYS>>.*?<</SYS>>|\[INST\].*?\[/INST\]|<s>.*?</s>|<\|[0-9A-F]*\|>.*?<\|end\|>"
 
 
-def _fingerprint(paths: Column) -> Column:
-    return F.xxhash64(paths)
+def fingerprint(paths: list[str], held: list[Column] | None = None) -> Column:
+    """The hash of those paths that are held; of all of them without ``held``."""
+    names = [F.lit(p) for p in paths] if held is None else [F.when(h, F.lit(p)) for p, h in zip(paths, held, strict=True)]
+    return F.xxhash64(F.concat_ws("\n", *names))
 
 
-def fingerprint(record: Column) -> Column:
-    """The hash of the known nested paths in a variant, null for a null one."""
-    held = [F.when(F.variant_get(record, p, "variant").isNotNull(), F.lit(p)) for p in KNOWN_PATHS]
-    return F.when(record.isNotNull(), _fingerprint(F.concat_ws("\n", *held)))
+def _with_system(turns: Column, system: Column | None, held: Column | None) -> Column:
+    if system is None:
+        return turns
+    return F.concat(F.when(held, F.array(_turn(F.lit("system"), system))).otherwise(F.array().cast(TURNS)), turns)
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -99,7 +108,8 @@ def _mapped(record: Column, mapping: dict) -> Column:
         return F.transform(
             items, lambda x: _turn(_canonical(F.try_variant_get(x, f"$.{role}", "string"), "names" in mapping), F.try_variant_get(x, f"$.{text}", "string"))
         )
-    return F.array(*[_turn(F.lit(role), F.try_variant_get(record, path, "string")) for role, path in mapping["turns"]])
+    turns = F.array(*[_turn(F.lit(role), F.try_variant_get(record, path, "string")) for role, path in mapping["turns"]])
+    return _with_system(turns, F.try_variant_get(record, SYSTEM, "string"), F.variant_get(record, SYSTEM, "variant").isNotNull())
 
 
 def _field(record: Column, kind: DataType, path: str) -> Column | None:
@@ -117,24 +127,38 @@ def _field(record: Column, kind: DataType, path: str) -> Column | None:
 def _struct_mapped(record: Column, kind: StructType, mapping: dict) -> Column:
     if "items" in mapping:
         path, role, text = mapping["items"]
+        has_text = _field(record, kind, f"{path}[0].{text}") is not None
         return F.transform(
-            _field(record, kind, path), lambda x: _turn(_canonical(x[role].cast("string"), "names" in mapping), x[text].cast("string"))
+            _field(record, kind, path),
+            lambda x: _turn(_canonical(x[role].cast("string"), "names" in mapping), x[text].cast("string") if has_text else F.lit("")),
         )
-    return F.array(*[_turn(F.lit(role), _field(record, kind, path).cast("string")) for role, path in mapping["turns"]])
+    turns = F.array(*[_turn(F.lit(role), _field(record, kind, path).cast("string")) for role, path in mapping["turns"]])
+    system = _field(record, kind, SYSTEM)
+    if system is None:
+        return turns
+    return _with_system(turns, system.cast("string"), F.lit(True) if SYSTEM in mapping["paths"] else system.isNotNull())
 
 
 def _struct_turns(df: DataFrame, record_col: str, kind: StructType) -> DataFrame:
     """As :func:`canonical_turns`, of structs."""
     record = F.col(record_col)
-    fields = {p: _field(record, kind, p) for p in KNOWN_PATHS}
-    held = [F.when(c.isNotNull(), F.lit(p)) for p, c in fields.items() if c is not None]
-    own = F.when(record.isNotNull(), _fingerprint(F.concat_ws("\n", *held)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for m in MAPPINGS:
-        if all(fields[p] is not None for p in m["paths"]):
-            chosen = own == _fingerprint(F.lit("\n".join(sorted(m["paths"]))))
-            layout = F.when(chosen, F.lit(m["layout"])).otherwise(layout)
-            turns = F.when(chosen, _struct_mapped(record, kind, m)).otherwise(turns)
+    fitting = [m for m in MAPPINGS if all(_field(record, kind, p) is not None for p in m["paths"])]
+    flat = [m for m in fitting if "turns" in m and not any(set(m["paths"]) < set(o["paths"]) for o in fitting)]
+    chosen = [(flat[0], record.isNotNull())] if len(flat) == 1 and all("turns" in m for m in fitting) else []
+    for whole in (False, True):  # the last to apply comes first here: part of a layout, then all of one
+        for m in reversed(fitting):
+            fields = [_field(record, kind, p) for p in m["paths"]]
+            if not whole and "items" in m:
+                fields += [F.try_element_at(_field(record, kind, m["items"][0]), F.lit(1))]
+            held = [c.isNotNull() for c in fields]
+            if whole:
+                chosen.append((m, fingerprint(m["paths"], held) == fingerprint(m["paths"])))
+            else:
+                chosen.append((m, F.array_contains(F.array(*held), True)))
+    for m, applies in chosen:
+        layout = F.when(applies, F.lit(m["layout"])).otherwise(layout)
+        turns = F.when(applies, _struct_mapped(record, kind, m)).otherwise(turns)
     return df.withColumns({"layout": layout, "turns": turns})
 
 
@@ -152,12 +176,12 @@ def canonical_turns(df: DataFrame, record_col: str = "record") -> DataFrame:
         return _struct_turns(df, record_col, kind)
     record = F.col("__record")
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for m in MAPPINGS:
-        chosen = F.col("__fingerprint") == _fingerprint(F.lit("\n".join(sorted(m["paths"]))))
-        layout = F.when(chosen, F.lit(m["layout"])).otherwise(layout)
-        turns = F.when(chosen, _mapped(record, m)).otherwise(turns)
-    parsed = df.withColumn("__record", _parsed(F.col(record_col))).withColumn("__fingerprint", fingerprint(record))
-    return parsed.withColumns({"layout": layout, "turns": turns}).drop("__record", "__fingerprint")
+    for m in reversed(MAPPINGS):  # the first of the table applies last
+        held = [F.variant_get(record, p, "variant").isNotNull() for p in m["paths"]]
+        applies = fingerprint(m["paths"], held) == fingerprint(m["paths"])
+        layout = F.when(applies, F.lit(m["layout"])).otherwise(layout)
+        turns = F.when(applies, _mapped(record, m)).otherwise(turns)
+    return df.withColumn("__record", _parsed(F.col(record_col))).withColumns({"layout": layout, "turns": turns}).drop("__record")
 
 
 def escape(text: Column) -> Column:

@@ -47,7 +47,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
     return chat_digests(format_turns(canonical_turns(turn_rows(rows.unionByName(extra)))))
 
 
