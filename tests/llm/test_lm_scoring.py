@@ -118,3 +118,25 @@ def test_ngrams_seen_twice_are_learnt_in_a_large_corpus(docs_of, monkeypatch):
     rows += [(2000 + i, "rare words stand here") for i in range(9)]
     kept = [r for r in rows if r[0] < 2000] + [r for r in rows if r[0] >= 2000 and not held(r[0])][:2]
     check(M.lm_scores(docs_of(kept).repartition(3).checkpoint(), ~M.held_out()), kept, 0)
+
+
+def test_a_block_looks_its_ngrams_up_once_each(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["a b a b a b c", "", "b a b", None, "a b c a b", "c"]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([True] * len(texts))], names=["text", "learn"])
+    block = M._Block([rows])
+    dealt = [M._deal(0, M.WORD, *block.words(), 64), M._deal(0, M.PAIR, *block.pairs(), 64)]
+    totals = M._add(pa.Table.from_batches(dealt[:1])), M._add(pa.Table.from_batches(dealt[1:]))
+    for kind, amounts in ((M.TRIPLE, "triples"), (M.OF_WORD, "of_words"), (M.OF_PAIR, "of_pairs")):
+        block._totals = pa.concat_tables(totals)
+        totals = *totals, M._add(pa.Table.from_batches([M._deal(0, kind, *getattr(block, amounts)(), 64)]))
+    block = M._Block([rows], pa.concat_tables(totals))
+    model, count = block.model(24, 4)
+    alone = model.traverse(block.tokens, count)  # numbers its contexts and n-grams itself
+    looked = []
+    member = M._member
+    monkeypatch.setattr(M, "_member", lambda keys, h: looked.append(h) or member(keys, h))
+    assert np.array_equal(model.traverse(block.tokens, count, block.numbered()), alone)
+    assert len(looked) == 4 and all((h[1:] > h[:-1]).all() for h in looked)

@@ -140,13 +140,43 @@ def _member(sorted_values: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nd
     return sorted_values[at] == h, at
 
 
+def _values(keys: np.ndarray, values: np.ndarray, h: np.ndarray, default: float) -> np.ndarray:
+    """The value of each hash, or the default, which also stands at the end."""
+    out = np.full(len(h) + 1, default)
+    found, at = _member(keys, h)
+    out[:-1][found] = values[at[found]]
+    return out
+
+
 @dataclass
 class NGrams:
-    """Kept n-grams of an order, sorted by hash, with contexts and counts."""
+    """Kept n-grams of an order, sorted by hash, with contexts and counts.
+    ``at``, if given: the place of each context among the n-grams of the order
+    below, all of which are there."""
 
     gram: np.ndarray
     context: np.ndarray
     count: np.ndarray
+    at: np.ndarray | None = None
+
+
+@dataclass
+class Numbered:
+    """What a run of tokens looks up at an order: its contexts and n-grams,
+    each once and sorted, and their numbers at each token (-1: none of them)."""
+
+    context: np.ndarray
+    context_of: np.ndarray
+    gram: np.ndarray
+    gram_of: np.ndarray
+
+
+def _numbered(tokens: Tokens) -> list[Numbered]:
+    out = []
+    for context in tokens.contexts():
+        (c, _, c_of), (g, _, g_of) = _distinct(context), _distinct(join(context, tokens.word))
+        out.append(Numbered(c, c_of, g, g_of))
+    return out
 
 
 @dataclass
@@ -162,18 +192,15 @@ class Automaton:
         """Add-one probabilities of words by their training counts."""
         return (count + 1.0) / (self.tokens + self.types + 1.0)
 
-    def traverse(self, tokens: Tokens, count: np.ndarray) -> np.ndarray:
+    def traverse(self, tokens: Tokens, count: np.ndarray, numbered: list[Numbered] | None = None) -> np.ndarray:
         """log10 probability of every token.  The state before a token is its
         longest context that is a state; without an arc there, the failure
-        arcs lead down to the root."""
+        arcs lead down to the root.  States and arcs are looked up once for
+        all tokens that share them."""
         p = self.root(count)
-        for order, context in zip((2, 3), tokens.contexts(), strict=True):
-            state, at = _member(self.states[order][0], context)
-            if not state.any():
-                continue
-            arc, to = _member(self.arcs[order][0], join(context[state], tokens.word[state]))
-            weight = np.where(arc, self.arcs[order][1][to] if len(self.arcs[order][1]) else 0.0, 0.0)
-            p[state] = weight + self.states[order][1][at[state]] * p[state]
+        for order, n in zip((2, 3), numbered or _numbered(tokens), strict=True):
+            p *= _values(*self.states[order], n.context, 1.0)[n.context_of]
+            p += _values(*self.arcs[order], n.gram, 0.0)[n.gram_of]  # every arc starts at a state
         return np.log10(p)
 
 
@@ -187,9 +214,11 @@ def _automaton(tokens: int, types: int, words: np.ndarray, counts: np.ndarray, g
     known, totals = words, counts
     for order in (2, 3):
         g = grams[order]
-        there, at = _member(known, g.context)  # the start of a text has no count of its own
-        gram, context, n = g.gram[there], g.context[there], g.count[there]
-        arcs[order] = gram, (n - DISCOUNT) / totals[at[there]]
+        gram, context, n, at = g.gram, g.context, g.count, g.at
+        if at is None:
+            there, at = _member(known, context)  # the start of a text has no count of its own
+            gram, context, n, at = gram[there], context[there], n[there], at[there]
+        arcs[order] = gram, (n - DISCOUNT) / totals[at]
         if sums is None:
             state, of = np.unique(context, return_inverse=True)
             mass = np.bincount(of, weights=n - DISCOUNT, minlength=len(state))
@@ -285,6 +314,9 @@ class _Block:
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         self.word, _, self.word_of = _distinct(self.tokens.word)
+        self.one_of = np.empty_like(self.word_of)  # every word is the context of what follows it
+        self.one_of[1:] = self.word_of[:-1]
+        self.one_of[self.tokens.first] = np.searchsorted(self.word, END)
         return self.word, np.bincount(self.word_of, weights=self.learn, minlength=len(self.word))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -301,19 +333,25 @@ class _Block:
         maybe = np.flatnonzero(kept & self.lead)
         self.triple, at, of = _distinct(join(self.two[maybe], self.tokens.word[maybe]))
         self.triple_at = maybe[at]
+        self.triple_of = np.full(len(kept), -1)
+        self.triple_of[maybe] = of
         return self.triple, np.bincount(of, weights=self.learn[maybe], minlength=len(self.triple))
 
-    def _arcs(self, context: np.ndarray, of: np.ndarray, total: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct contexts with the discounted counts of the arcs that belong to this block."""
-        keys, arc = np.unique(context), (total >= self.least) & own
-        return keys, np.bincount(np.searchsorted(keys, of[arc]), weights=total[arc] - DISCOUNT, minlength=len(keys))
+    def _arcs(self, contexts: int, of: np.ndarray, total: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The discounted counts of the arcs that belong to this block, by the
+        number of their context."""
+        arc = (total >= self.least) & own
+        return np.bincount(of[arc], weights=total[arc] - DISCOUNT, minlength=contexts)
 
     def of_words(self) -> tuple[np.ndarray, np.ndarray]:
-        return self._arcs(self.one, self.one[self.pair_at], self.pair_total, self.pair_own)
+        return self.word, self._arcs(len(self.word), self.one_of[self.pair_at], self.pair_total, self.pair_own)
 
     def of_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         self.triple_total, self.triple_own = self.total(TRIPLE, self.triple)
-        return self._arcs(self.two[self.lead], self.two[self.triple_at], self.triple_total, self.triple_own)
+        leads = np.zeros(len(self.pair), bool)
+        leads[self.pair_of[np.flatnonzero(self.lead) - 1]] = True
+        number = np.cumsum(leads) - 1
+        return self.pair[leads], self._arcs(int(leads.sum()), number[self.pair_of[self.triple_at - 1]], self.triple_total, self.triple_own)
 
     def total(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(total, belongs to this block) of each key."""
@@ -325,6 +363,13 @@ class _Block:
             raise RuntimeError("a partition changed between scans of the texts")
         return total, own
 
+    def numbered(self) -> list[Numbered]:
+        """The block's contexts and n-grams, as counted."""
+        before = np.full(len(self.pair_of), -1)  # no pair stands before a text
+        before[1:] = self.pair_of[:-1]
+        before[self.tokens.first] = -1
+        return [Numbered(self.word, self.one_of, self.pair, self.pair_of), Numbered(self.pair, before, self.triple, self.triple_of)]
+
     def model(self, tokens: int, types: int) -> tuple[Automaton, np.ndarray]:
         """The part of the automaton that the block's texts can reach, and the
         training count of each token."""
@@ -334,9 +379,11 @@ class _Block:
         of_word, of_pair = self.of_words()[0], self.of_pairs()[0]
         count, _ = self.total(WORD, self.word)
         two, three = self.pair_total >= self.least, self.triple_total >= self.least
+        start, lead = self.pair_at[two], self.triple_at[three]
+        below = (np.cumsum(two) - 1)[self.pair_of[lead - 1]]
         grams = {
-            2: NGrams(self.pair[two], self.one[self.pair_at[two]], self.pair_total[two]),
-            3: NGrams(self.triple[three], self.two[self.triple_at[three]], self.triple_total[three]),
+            2: NGrams(self.pair[two], self.one[start], self.pair_total[two], self.one_of[start]),
+            3: NGrams(self.triple[three], self.two[lead], self.triple_total[three], below),
         }
         sums = {2: (of_word, self.total(OF_WORD, of_word)[0]), 3: (of_pair, self.total(OF_PAIR, of_pair)[0])}
         return _automaton(tokens, types, self.word, count, grams, sums), count[self.word_of]
@@ -389,6 +436,7 @@ def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: st
 
     def triples(packed: pa.Table, totals: pa.Table) -> pa.Table:
         block, number = _Block(_unpacked(packed), totals, least), packed["block"][0].as_py()
+        block.words()
         block.pairs()
         dealt = _deal(number, TRIPLE, *block.triples(), ranges)
         return pa.Table.from_batches([dealt, _deal(number, OF_WORD, *block.of_words(), ranges)])
@@ -410,7 +458,7 @@ def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: st
             "n_known": np.add.reduceat(count > 0, start, dtype=np.int64),
             "train_tokens": np.full(len(start), tokens),
             "base_score": np.add.reduceat(np.log10(model.root(count)), start),
-            "score": np.add.reduceat(model.traverse(block.tokens, count), start),
+            "score": np.add.reduceat(model.traverse(block.tokens, count, block.numbered()), start),
         })
 
     pairs = first.where(F.col("kind") == PAIR)
