@@ -8,8 +8,8 @@ Jaccard similarity is at least 0.8; the result is each document's component.
    of each: a few pairs a class, so a group of near copies becomes stars.
 3. All other links are found by prefixes.  In any order of shingles, two
    linked sets share one among the first n - ceil(0.8 n) + 1 of each.  The
-   order puts shingles that are frequent in a sample last; it changes the cost
-   only.  Only shingles whose documents lie in different components so far
+   order puts frequent shingles last, by counts of all documents added up in
+   fixed-size slots of hashes; it changes the cost only.  Only shingles whose documents lie in different components so far
    matter.  Their documents, in order of set size, form size-banded tiles;
    tiles whose sizes are compatible meet pairwise and compare bitmap
    signatures: a bit of one that the other lacks is an element that it lacks,
@@ -47,8 +47,10 @@ NUMERATOR, DENOMINATOR = 4, 5
 MINIMA = 8
 #: Least classes that a class is compared with in the star pass.
 LEADERS = 3
-#: Documents sampled for frequent shingles, and how many must hold one.
-SAMPLE, FREQUENT = 16_384, 6
+#: Documents of a slot's shingles that make it frequent: so many, and so many of each ``EACH``.
+FREQUENT, EACH = 6, 16_384
+#: Leading bits of a shingle that are its slot, and parts that slots are added up in.
+SLOT_BITS, SLOT_PARTS = 22, 64
 TILE = 256
 #: A shingle of at most so many documents is paired up without tiles.
 FEW = 16
@@ -112,12 +114,14 @@ def _minima(s: np.ndarray) -> np.ndarray:
     return s[at[at < ends]]
 
 
-def _prefix(s: np.ndarray, levels: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles in the global order: frequent ones last, then by a hash."""
+def _prefix(s: np.ndarray, levels: tuple[np.ndarray, np.ndarray], bits: int = 64) -> np.ndarray:
+    """The first shingles in the global order: frequent ones last, then by a
+    hash.  ``levels`` are known by so many leading bits of a shingle."""
     order = mix(s ^ SALT)
     if len(levels[0]):
-        at = np.minimum(np.searchsorted(levels[0], s), len(levels[0]) - 1)
-        level = np.where(levels[0][at] == s, levels[1][at], 0).astype(np.uint64)
+        slot = s >> U64(64 - bits)
+        at = np.minimum(np.searchsorted(levels[0], slot), len(levels[0]) - 1)
+        level = np.where(levels[0][at] == slot, levels[1][at], 0).astype(np.uint64)
         order = (level << U64(58)) | (order >> U64(6))
     size = len(s) - int(required(np.int64(len(s)))) + 1
     if size >= len(s):
@@ -125,21 +129,53 @@ def _prefix(s: np.ndarray, levels: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return s[np.argpartition(order, size - 1)[:size]]
 
 
-def frequent_shingles(src: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingles, level) of those that many of a bounded sample of documents hold."""
-    total = src.count()
-    share = int(1_000_000 * min(1.0, SAMPLE / total)) if total else 0
+def _compressed(counts: np.ndarray) -> bytes:
+    return pa.Codec("zstd", 1).compress(counts, asbytes=True)
+
+
+def _counts(raw: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(raw, 4 * size), np.uint32)
+
+
+def slot_counts(src: DataFrame, least: float = 1) -> DataFrame:
+    """(slot, n): in how many documents each slot's shingles stand, where that
+    are at least so many; all documents are counted.  Counts are added up in
+    ``SLOT_PARTS`` runs of slots, so what a task holds and sends does not grow
+    with its documents."""
+    size = (1 << SLOT_BITS) // SLOT_PARTS
 
-    def explode(b: pa.RecordBatch) -> pa.RecordBatch:
-        sets = list(_sets(b["text"]))
-        return batch(shingle=np.concatenate(sets).view(np.int64))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.uint32)
+        for b in batches:
+            for r in range(0, b.num_rows, 128):
+                slots = np.concatenate(list(_sets(b["text"].slice(r, 128)))) >> U64(64 - SLOT_BITS)
+                np.add.at(counts, slots.view(np.int64), np.uint32(1))
+        for part, own in enumerate(counts.reshape(SLOT_PARTS, size)):
+            if own.any():
+                yield batch(part=np.array([part], np.int32), counts=pa.array([_compressed(own)], pa.binary()))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, raw in zip(b["part"].to_pylist(), b["counts"], strict=True):
+                total = totals.setdefault(part, np.zeros(size, np.int64))
+                total += _counts(raw.as_py(), size)
+        for part, total in totals.items():
+            at = np.flatnonzero(total >= least)
+            yield batch(slot=(at + part * size).astype(np.int32), n=total[at])
+
+    dealt = arrow_iter(src.select("text"), count, "part int, counts binary").repartition("part")
+    return arrow_iter(dealt, add, "slot int, n long")
 
-    drawn = src.where(F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1_000_000)) < share)
-    counts = arrow(drawn, explode, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).toArrow()
-    shingles = counts["shingle"].to_numpy().view(np.uint64)
-    place = np.argsort(shingles)
-    level = np.minimum(np.log2(np.maximum(counts["n"].to_numpy(), 1)).astype(np.int64), 63)
-    return shingles[place], level[place]
+
+def frequent_shingles(src: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted slots, level) of those whose shingles many of all documents hold."""
+    unit = max(1.0, src.count() / EACH)
+    got = slot_counts(src, FREQUENT * unit).toArrow()
+    slots = got["slot"].to_numpy()
+    level = np.minimum(np.log2(got["n"].to_numpy() / unit), 63).astype(np.int8)
+    place = np.argsort(slots)
+    return slots[place].astype(np.uint64), level[place]
 
 
 HEADS = "__id long, n long, f1 long, f2 long, minima array<long>, signature binary, prefix binary"
@@ -156,7 +192,7 @@ def heads(src: DataFrame, levels: tuple[np.ndarray, np.ndarray]) -> DataFrame:
             f2.append(int(mix(s ^ SALT).sum(dtype=np.uint64)))
             minima.append(_minima(s).view(np.int64))
             sig.append(signature(s))
-            prefix.append(_prefix(s, levels).tobytes())
+            prefix.append(_prefix(s, levels, SLOT_BITS).tobytes())
         return batch(
             __id=b["__id"], n=np.array(n, np.int64), f1=np.array(f1, np.uint64).view(np.int64), f2=np.array(f2, np.uint64).view(np.int64),
             minima=pa.array(minima, pa.list_(pa.int64())), signature=pa.array(sig, pa.binary()), prefix=pa.array(prefix, pa.binary()),
