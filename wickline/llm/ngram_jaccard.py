@@ -139,7 +139,8 @@ def _counts(raw: bytes, size: int) -> np.ndarray:
 
 def slot_counts(src: DataFrame, least: float = 1) -> DataFrame:
     """(slot, n): in how many documents each slot's shingles stand, where that
-    are at least so many; all documents are counted.  Counts are added up in
+    are at least so many; all documents are counted.  The mean of a run's slots
+    is taken off, as what other shingles add.  Counts are added up in
     ``SLOT_PARTS`` runs of slots, so what a task holds and sends does not grow
     with its documents."""
     size = (1 << SLOT_BITS) // SLOT_PARTS
@@ -161,8 +162,9 @@ def slot_counts(src: DataFrame, least: float = 1) -> DataFrame:
                 total = totals.setdefault(part, np.zeros(size, np.int64))
                 total += _counts(raw.as_py(), size)
         for part, total in totals.items():
-            at = np.flatnonzero(total >= least)
-            yield batch(slot=(at + part * size).astype(np.int32), n=total[at])
+            own = np.rint(total - total.mean()).astype(np.int64)
+            at = np.flatnonzero(own >= least)
+            yield batch(slot=(at + part * size).astype(np.int32), n=own[at])
 
     dealt = arrow_iter(src.select("text"), count, "part int, counts binary").repartition("part")
     return arrow_iter(dealt, add, "slot int, n long")
