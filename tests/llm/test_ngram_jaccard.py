@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import importlib
 import random
 import re
 
@@ -121,3 +122,35 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(500, 400), (7, 7)], "u long, v long")
     got = {r["id"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, n + 1)}, 500: 400}
+
+
+def test_staged_tables_are_few_files_whatever_the_shuffle_partitions(spark, docs_of, monkeypatch):
+    """Each file made starts processes on an executor; 150 partitions of a few rows once gave 150 files."""
+    rng = random.Random(31)
+    rows = near_copies(31, groups=40, size=8) + [(9000 + k, prose(rng, 30)) for k in range(300)]
+    files = {}
+
+    def counted(module, plain):
+        def stage(df, name, *most):
+            out = plain(df, name, *most)
+            files[name] = max(files.get(name, 0), len(out.inputFiles()))
+            return out
+
+        monkeypatch.setattr(module, "staged", stage)
+
+    components_module = importlib.import_module("wickline.llm.components")
+    counted(J, J.staged)
+    counted(components_module, components_module.staged)
+    conf = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = result(J.jaccard_components(docs_of(rows)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    most = 3 * spark.sparkContext.defaultParallelism
+    assert {n: f for n, f in files.items() if f > most} == {}
+    assert {"classes", "labelled", "contested", "edges"} <= set(files)
+    assert got == brute(rows)

@@ -62,11 +62,20 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def partitions_for(spark: SparkSession, rows: int, each: int) -> int:
+    """Partitions of about ``each`` rows, but three a core at least."""
+    return max(3 * spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def staged(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    and a lost executor costs no work that is already written."""
+    and a lost executor costs no work that is already written.  ``most``: in so
+    many partitions at most.  Without native code Hadoop's local file system
+    starts processes for each file, and until one runs its own program it
+    counts as large as its executor."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    df = df if most is None else df.coalesce(most)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

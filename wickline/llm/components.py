@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import staged, unstage
+from wickline.llm.base import partitions_for, staged, unstage
+
+#: Edges that one task of a round is meant to take.
+EDGES_PER_PARTITION = 500_000
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -45,10 +48,11 @@ def components(edges: DataFrame) -> DataFrame:
     every node hangs on its component's least node; each round is written to
     the shared folder."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = staged(down.where("u <> v").distinct(), "edges")
+    most = partitions_for(edges.sparkSession, edges.count(), EDGES_PER_PARTITION)
+    now = staged(down.where("u <> v").distinct(), "edges", most)
     while not _settled(now):
         stars = _large_star(now).where("u <> v").distinct()
-        after = staged(_small_star(stars).where("u <> v").distinct(), "edges")
+        after = staged(_small_star(stars).where("u <> v").distinct(), "edges", most)
         unstage(now)
         now = after
     return now.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, arrow_iter, batch, real_id, staged, unstage, with_ids
+from wickline.llm.base import arrow, arrow_iter, batch, partitions_for, real_id, staged, unstage, with_ids
 from wickline.llm.text import LOWER, SEPARATOR, chunks, span_hash
 
 KEYS = "h1 long, h2 long, doc long, fp long, pos int"
@@ -129,10 +129,11 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line first; lines after its end stay, and a document without one keeps
     everything."""
     keys = staged(line_keys(df, id_col, text_col, min_chars), "line-keys")
-    parts = max(keys.rdd.getNumPartitions(), -(-keys.count() // ROWS_PER_PARTITION))
+    total = keys.count()
+    parts = max(keys.rdd.getNumPartitions(), -(-total // ROWS_PER_PARTITION))
     order = ["h1", "h2", "doc", "pos"]
     ranged = keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    marked = staged(arrow_iter(ranged, _stream_first, f"kind int, {KEYS}"), "line-marks")
+    marked = staged(arrow_iter(ranged, _stream_first, f"kind int, {KEYS}"), "line-marks", partitions_for(df.sparkSession, total, ROWS_PER_PARTITION))
     unstage(keys)
     # two rows of each partition at most, whatever the number of lines
     least = marked.where("kind = 2").groupBy("h1", "h2").agg(F.min("doc").alias("least"))

@@ -30,13 +30,14 @@ document that sorts after all others; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickline.llm.base import NULL_ID, arrow, arrow_iter, batch, real_id, staged, unstage, with_ids
+from wickline.llm.base import NULL_ID, arrow, arrow_iter, batch, partitions_for, real_id, staged, unstage, with_ids
 from wickline.llm.components import components
 from wickline.llm.text import U64, chunks, mix, ngram_hashes, word_hashes
 
@@ -59,6 +60,10 @@ LEAST_WIDTH, MOST_WIDTH = 64, 16_384
 #: Bits of the fixed-size filters on shingles and documents.
 FILTER_BITS = 23
 SALT = U64(0xA0761D6478BD642F)
+#: Rows that a task is meant to take: documents with their prefixes, documents
+#: whose prefixes' shingles it counts, contested shingles with their documents,
+#: postings whose pairs it drops doubles of, pairs with their sets.
+LABELLED_EACH, COUNTED_EACH, CONTESTED_EACH, POSTINGS_EACH, PAIRS_EACH = 50_000, 10_000, 100_000, 500_000, 10_000
 
 
 def required(n: np.ndarray) -> np.ndarray:
@@ -359,9 +364,8 @@ def _many(ranked: DataFrame, small: DataFrame) -> DataFrame:
     return arrow_iter(rows, compare, "a long, b long")
 
 
-def _candidates(postings: DataFrame, small: DataFrame) -> DataFrame:
+def _candidates(ranked: DataFrame, small: DataFrame) -> DataFrame:
     """(a, b) of different components whose sizes and signatures allow a link."""
-    ranked = staged(_ranked(postings), "postings")
     few = _within_bound(_few(ranked).distinct(), small)
     return few.unionByName(_many(ranked, small)).distinct()
 
@@ -423,24 +427,27 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the same set), a row for each row of ``df``."""
     src = with_ids(df, id_col, text_col).select("__id", F.col(text_col).alias("text"))
     head = staged(heads(src, frequent_shingles(src)), "heads")
+    rows_for = partial(partitions_for, df.sparkSession)
+    documents = head.count()
     small = head.where("n > 0").select("__id", "n", "f1", "f2", "minima", "signature")
     classes = small.groupBy("f1", "f2", "n").agg(F.min("__id").alias("class"))
-    member = staged(small.select("__id", "f1", "f2", "n").distinct().join(classes, ["f1", "f2", "n"]), "classes")
+    member = staged(small.select("__id", "f1", "f2", "n").distinct().join(classes, ["f1", "f2", "n"]), "classes", rows_for(documents, LABELLED_EACH))
     same = member.where("__id <> class").select(F.col("__id").alias("u"), F.col("class").alias("v"))
 
     leaders = small.join(member.where("__id = class").select("__id", "f1", "f2", "n"), ["__id", "f1", "f2", "n"]).dropDuplicates(["__id", "f1", "f2", "n"])
-    stars = staged(_star_pairs(leaders), "star-pairs")
-    first = staged(exact_links(src, stars).toDF("u", "v"), "star-links")
+    stars = staged(_star_pairs(leaders), "star-pairs", rows_for(documents, LABELLED_EACH))
+    first = staged(exact_links(src, stars).toDF("u", "v"), "star-links", rows_for(stars.count(), PAIRS_EACH))
     before = components(same.unionByName(first))
 
     known = member.join(before.withColumnRenamed("id", "__id"), "__id", "left")
     known = known.select("__id", "f1", "f2", "n", F.coalesce("component", "__id").alias("component")).where("__id = class")
     columns = head.where("n > 0").select("__id", "f1", "f2", "n", "prefix").dropDuplicates(["__id", "f1", "f2", "n"])
-    labelled = staged(columns.join(known, ["__id", "f1", "f2", "n"]).select("__id", "n", "component", "prefix"), "labelled")
-    contested = staged(_contested(labelled), "contested")
+    labelled = staged(columns.join(known, ["__id", "f1", "f2", "n"]).select("__id", "n", "component", "prefix"), "labelled", rows_for(documents, LABELLED_EACH))
+    contested = staged(_contested(labelled), "contested", rows_for(documents, COUNTED_EACH))
     postings = _postings(labelled, _key_flags(contested)).join(contested, "key")
-    pairs = staged(_candidates(postings, small), "pairs")
-    second = staged(exact_links(src, pairs).toDF("u", "v"), "links")
+    ranked = staged(_ranked(postings), "postings", rows_for(contested.count(), CONTESTED_EACH))
+    pairs = staged(_candidates(ranked, small), "pairs", rows_for(ranked.count(), POSTINGS_EACH))
+    second = staged(exact_links(src, pairs).toDF("u", "v"), "links", rows_for(pairs.count(), PAIRS_EACH))
     for done in (stars, labelled, contested, pairs):
         unstage(done)
     final = components(same.unionByName(first).unionByName(second))

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text worked on at a time; one longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -49,7 +49,7 @@ def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """root**i and its inverse modulo 2**64 for i < n."""
     have = _POWERS.get(seed)
     if have is None or len(have[0]) < n:
-        size = 1 << max(20, (n - 1).bit_length())
+        size = 1 << max(18, (n - 1).bit_length())
         out = []
         for base in (ROOTS[seed], pow(ROOTS[seed], -1, 2**64)):
             p = np.full(size, base, dtype=np.uint64)
