@@ -37,13 +37,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, arrow_iter, batch, real_id, staged, unstage, with_ids
+from wickline.llm.base import arrow, arrow_iter, batch, partitions_for, real_id, staged, unstage, with_ids
 from wickline.llm.text import PUNCTUATION, U64, chunks, span_hash, words
 
 MIN_WORDS = 5
 #: Words of a document window; a passage is searched at the scale nearest its length.
 SCALES = (8, 16, 32, 64)
 BLOCK = 512
+#: Items whose passages one task is meant to write.
+ITEMS_PER_PARTITION = 10_000
 #: As many dimensions as passages of a block: fewer lose passages that share
 #: no words with others.
 RANK, OVERSAMPLING = 512, 10
@@ -361,7 +363,7 @@ def contaminated(
     """doc_id, item_id, cosine, common, answer: each document with each
     benchmark item that it holds, and the shares of words found."""
     src = with_ids(docs, id_col, text_col).select("__id", F.col(text_col).alias("text"))
-    parts = staged(passages(benchmark, item_col, item_text_col), "passages")
+    parts = staged(passages(benchmark, item_col, item_text_col), "passages", partitions_for(docs.sparkSession, benchmark.count(), ITEMS_PER_PARTITION))
     kinds = "__id long, item long, cosine double, common double, answer double"
     out = docs.sparkSession.createDataFrame([], kinds)
     rounds = 0
