@@ -8,10 +8,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm_cases import docs_of  # noqa: F401
-from wickline.llm import range_coder, sentencepieces, token_counts, token_files
+from wickline.llm import base, range_coder, sentencepieces, token_counts, token_files
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -187,3 +188,31 @@ def test_no_documents_no_records(spark, docs_of):
     folder = token_files.new_folder(spark)
     token_files.write_tokens(docs_of([]), folder, BYTES)
     assert token_files.token_digests(token_files.read_tokens(spark, folder)).count() == 0
+
+
+def test_a_worker_keeps_no_vocabulary_for_later_stages(spark, docs_of):
+    """A worker goes on to other operators; tables of an earlier one would take memory beside theirs."""
+    sentencepieces.piece_digests(docs_of([(i, f"some words {i}") for i in range(40)]).repartition(8), PIECES).collect()
+
+    def held(batches):
+        for b in batches:
+            yield base.batch(held=np.full(b.num_rows, sentencepieces.codec.cache_info().currsize, np.int64))
+
+    later = base.arrow_iter(spark.range(0, 64, 1, 16), held, "held long").agg(F.sum("held"), F.count("*")).first()
+    assert tuple(later) == (0, 64)
+
+
+def test_a_stage_keeps_its_vocabulary_between_tasks(monkeypatch):
+    class Task:
+        def stageId(self):
+            return stage
+
+    monkeypatch.setattr(base.TaskContext, "get", lambda: Task())
+    stage = 1
+    base.begin_task()
+    first = sentencepieces.codec(PIECES)
+    base.begin_task()
+    assert sentencepieces.codec(PIECES) is first
+    stage = 2
+    base.begin_task()
+    assert sentencepieces.codec.cache_info().currsize == 0

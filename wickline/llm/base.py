@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,38 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+#: Empties what a worker keeps between tasks, and the stage it was kept for.
+_FORGET: list[Callable[[], object]] = []
+_stage: int | None = None
+
+
+def forget_after_stage(clear: Callable[[], object]) -> None:
+    """Have ``clear`` called before a worker's first task of another stage."""
+    _FORGET.append(clear)
+
+
+def kept_for_stage(make: Callable) -> Callable:
+    """Remember what ``make`` gives as long as a worker's tasks are of one stage."""
+    cached = lru_cache(maxsize=4)(make)
+    forget_after_stage(cached.cache_clear)
+    return cached
+
+
+def begin_task() -> None:
+    """Drop what was kept for another stage: a worker goes on to other
+    operators, whose memory would come on top of it."""
+    global _stage
+    task = TaskContext.get()
+    now = task.stageId() if task else None
+    if now == _stage:
+        return
+    for clear in _FORGET:
+        clear()
+    _stage = now
+    gc.collect()
+    release()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
@@ -119,6 +154,7 @@ def arrow_iter(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         yield from fn(batches)
         release()
 

@@ -22,7 +22,6 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -32,7 +31,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, batch
+from wickline.llm.base import arrow, batch, kept_for_stage
 
 #: Code points up to which a text's matches are listed at once.
 WHOLE = 1 << 18
@@ -141,7 +140,7 @@ class ByteBpe(dict):
         return b"".join(map(self.piece_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=4)
+@kept_for_stage
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
     """The encoder of this worker."""
     return ByteBpe(path, pattern)

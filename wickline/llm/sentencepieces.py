@@ -28,7 +28,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -37,7 +36,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, batch
+from wickline.llm.base import arrow, batch, kept_for_stage
 from wickline.llm.bpe import REMEMBERED, START, Memory, PrefixEncoder
 
 SPACE = "▁"
@@ -178,7 +177,7 @@ class PieceCodec:
         return raw.decode("utf-8", "replace")[1:] if raw.startswith(b" ") else raw.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
+@kept_for_stage
 def codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 

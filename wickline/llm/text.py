@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from wickline.llm.base import forget_after_stage
+
 U64 = np.uint64
 #: Bytes of text worked on at a time; one longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 18
@@ -43,6 +45,7 @@ def _byte_values(seed: int) -> np.ndarray:
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+forget_after_stage(_POWERS.clear)
 
 
 def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:

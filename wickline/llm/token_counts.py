@@ -20,7 +20,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, batch
+from wickline.llm.base import arrow, batch, kept_for_stage
 from wickline.llm.bpe import START, Memory, PrefixEncoder
 
 END = "\0"
@@ -165,7 +164,7 @@ class WordCounter:
         return np.frombuffer(b"".join(out), np.int8)
 
 
-@lru_cache(maxsize=4)
+@kept_for_stage
 def counter(path: str) -> WordCounter:
     return WordCounter(path)
 

@@ -22,7 +22,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wickline.llm.base import arrow, arrow_iter, batch, real_id, scratch_root, with_ids
+from wickline.llm.base import arrow, arrow_iter, batch, kept_for_stage, real_id, scratch_root, with_ids
 from wickline.llm.range_coder import decode_record, encode_record
 
 RECORD = 1 << 22
@@ -98,7 +97,7 @@ class Tokens:
         return self.first[first] + b"".join(map(self.later.__getitem__, rest))
 
 
-@lru_cache(maxsize=2)
+@kept_for_stage
 def tokens(path: str) -> Tokens:
     return Tokens(path)
 
